@@ -1,0 +1,7 @@
+"""Streaming.
+
+The workload this library rebuilds has no streaming operators: both jobs run
+once over a date range and exit. Late data is handled by re-running a range,
+which the key-based upsert (``keelson.operators.upsert``) makes idempotent.
+Nothing is implemented here on purpose.
+"""
