@@ -33,6 +33,10 @@ def _not_null(keys: Sequence[str]):
 def merge_frames(target: DataFrame, source: DataFrame, keys: Iterable[str] = ("ds_timestamp",)) -> DataFrame:
     """Result of MERGE source INTO target ON keys (update all / insert all).
 
+    One full outer join on the keys: a matched target row takes the source row
+    (NULLs overwrite), an unmatched source row is inserted, other target rows
+    stay. Each side is read once, and a side that is already hash-partitioned
+    on the keys (e.g. straight out of the first-row step) is not shuffled again.
     Source rows with a NULL key are dropped: they could never match and would
     pile up as duplicates on every re-run.
     """
@@ -40,9 +44,19 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Iterable[str] = ("d
     missing = [c for c in target.columns if c not in source.columns]
     if missing:
         raise ValueError(f"source lacks target columns {missing}")
-    src = source.where(_not_null(keys)).select(*target.columns)
-    kept = target.join(src.select(*keys), keys, "left_anti")
-    return kept.unionByName(src)
+    src = source.where(_not_null(keys)).select(
+        *[F.col(c).alias(_SRC + c) for c in target.columns], F.lit(True).alias(_HIT))
+    cond = None
+    for k in keys:
+        eq = F.col(k) == F.col(_SRC + k)
+        cond = eq if cond is None else cond & eq
+    joined = target.join(src, cond, "full_outer")
+    hit = F.col(_HIT).isNotNull()
+    return joined.select(*[F.when(hit, F.col(_SRC + c)).otherwise(F.col(c)).alias(c) for c in target.columns])
+
+
+_SRC = "__src_"
+_HIT = "__src_hit"
 
 
 def _supports_merge(spark: SparkSession, table: str) -> bool:
