@@ -129,17 +129,20 @@ def _sorted(df: DataFrame, partition_cols: Sequence[str], sort_col: str | None)
 
 def _write(df, table, path, partition_cols, sort_col, mode, dynamic):
     df = _sorted(df, partition_cols, sort_col)
-    writer = df.write.mode(mode)
-    if dynamic:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    if table is not None:
-        if dynamic or spark_table_exists(df.sparkSession, table):
-            df.write.option("partitionOverwriteMode", "dynamic" if dynamic else "static").insertInto(table, overwrite=True)
-        else:
-            writer.partitionBy(*partition_cols).format("parquet").saveAsTable(table)
-    else:
+    if path is not None:
+        writer = df.write.mode(mode)
+        if dynamic:
+            writer = writer.option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(*partition_cols).parquet(path)
-
-
-def spark_table_exists(spark: SparkSession, table: str) -> bool:
-    return spark.catalog.tableExists(table)
+        return
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        df.write.mode(mode).partitionBy(*partition_cols).format("parquet").saveAsTable(table)
+        return
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic" if dynamic else "static")
+    try:
+        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(key, before)
