@@ -45,13 +45,22 @@ def true_wind_angle(rel_speed, rel_angle_deg, sog) -> Column:
     return true_wind_angle_raw(*true_wind_vector(rel_speed, rel_angle_deg, sog)).cast("float")
 
 
-def beaufort(speed: Column | str, bounds: tuple[float, ...] = BEAUFORT_BOUNDS) -> Column:
-    """Beaufort class of a speed in knots; NULL stays NULL, NaN compares above every bound."""
+def beaufort(speed: Column | str, cap: int = 12, null_guard: bool = True) -> Column:
+    """Beaufort class of a speed in knots; NaN compares above every bound.
+
+    ``cap`` < 12 gives the shorter scale whose top class collects everything at or
+    above bound ``cap``; with ``null_guard=False`` a NULL speed falls through to the
+    top class, as the older calc script did. The pipeline uses the defaults.
+    """
+    if not 1 <= cap <= len(BEAUFORT_BOUNDS):
+        raise ValueError(f"cap must be within 1..{len(BEAUFORT_BOUNDS)}")
     s = _c(speed)
-    expr = F.when(s.isNull(), F.lit(None).cast("int"))
-    for klass, bound in enumerate(bounds):
-        expr = expr.when(s < F.lit(bound), F.lit(klass))
-    return expr.otherwise(F.lit(len(bounds)))
+    expr = None
+    if null_guard:
+        expr = F.when(s.isNull(), F.lit(None).cast("int"))
+    for klass, bound in enumerate(BEAUFORT_BOUNDS[:cap]):
+        expr = F.when(s < F.lit(bound), F.lit(klass)) if expr is None else expr.when(s < F.lit(bound), F.lit(klass))
+    return expr.otherwise(F.lit(cap))
 
 
 def fuel_total(*terms: Column | str) -> Column:

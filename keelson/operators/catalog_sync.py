@@ -54,3 +54,43 @@ def sync_catalog(
     ids = existing.select(*keys, id_col)
     upserted = incoming.drop(id_col).join(ids, keys, "left")
     return untouched.unionByName(upserted.select(*untouched.columns))
+
+
+def sync_catalog_path(
+    spark,
+    incoming: DataFrame,
+    path: str,
+    keys: Sequence[str] = DEFAULT_KEYS,
+    scope: Sequence[str] = DEFAULT_SCOPE,
+    id_col: str | None = "id",
+) -> None:
+    """Apply ``sync_catalog`` to a catalog stored as Parquet partitioned by hull.
+
+    Only the hull partitions present in ``incoming`` are rewritten (dynamic
+    partition overwrite), so deleting absent keys and upserting the rest is one
+    write per hull and other hulls are never touched. The new rows are staged
+    first so the overwrite never reads the folder it replaces.
+    """
+    import uuid
+
+    from keelson.operators.upsert import remove_path
+    from keelson.session import checkpoint_dir
+
+    incoming = normalise_hull(incoming, scope[0]) if len(scope) == 1 else incoming
+    try:
+        existing = spark.read.parquet(path)
+    except Exception:
+        existing = None
+    if existing is None:
+        out = incoming if id_col is None else incoming.withColumn(id_col, F.lit(None).cast("long"))
+        out.write.mode("overwrite").partitionBy(*scope).parquet(path)
+        return
+    cols = existing.columns
+    rows = incoming.drop(id_col) if id_col and id_col in incoming.columns else incoming
+    if id_col and id_col in cols:
+        rows = rows.join(existing.select(*keys, id_col), list(keys), "left")
+    staging = f"{checkpoint_dir(spark)}/keelson-catalog-{uuid.uuid4().hex}"
+    rows.select(*cols).write.mode("overwrite").partitionBy(*scope).parquet(staging)
+    (spark.read.parquet(staging).select(*cols).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*scope).parquet(path))
+    remove_path(spark, staging)

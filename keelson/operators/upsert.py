@@ -110,6 +110,15 @@ def upsert_table(
     _sorted(merged, partition_cols, sort_col).write.mode("overwrite").partitionBy(*partition_cols).parquet(staging)
     staged = spark.read.parquet(staging).select(*existing.columns)
     _write(staged, table, path, partition_cols, sort_col, mode="overwrite", dynamic=bool(partition_cols))
+    remove_path(spark, staging)
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder this library staged (through the Hadoop file system of the path)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(p, True))
 
 
 def _read_existing(spark: SparkSession, table: str | None, path: str | None) -> DataFrame | None:

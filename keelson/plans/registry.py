@@ -178,6 +178,13 @@ def q_beaufort(spark, sf):
                        beaufort(speed).alias("beaufort_number"))
 
 
+def q_beaufort_capped(spark, sf):
+    """The older nine-class scale: classes 0-8 by the first nine bounds, everything else (NULL too) 9."""
+    conf = _conformed(spark, sf, PROJECTION_TAGS)
+    speed = true_wind_speed_raw(*true_wind_vector("value", "angle", "sog"))
+    return conf.select("source", "seq", beaufort(speed, cap=9, null_guard=False).alias("beaufort_number"))
+
+
 def q_fuel_totals(spark, sf):
     from keelson.functions.wind import fuel_total
     df = _renamed_hourly(spark, sf, FUEL_INPUTS)
@@ -276,6 +283,7 @@ QUERIES: dict[str, QueryFn] = {
     "derive_sums": q_derive_sums,
     "true_wind": q_true_wind,
     "beaufort": q_beaufort,
+    "beaufort_capped": q_beaufort_capped,
     "fuel_totals": q_fuel_totals,
     "calc_table": q_calc_table,
     "upsert_raw": q_upsert_raw,
@@ -509,6 +517,9 @@ s AS (SELECT source, seq, SQRT(POWER(v_x, 2) + POWER(v_y, 2)) AS v_t, (DEGREES(A
     sql["beaufort"] = (_with(RAW_SQL, _conf_sql(PROJECTION_TAGS), wind)
                        + f"SELECT source, seq, CAST(v_t AS FLOAT) AS true_wind_speed, "
                          f"CASE WHEN v_t IS NULL THEN NULL {cases} ELSE {len(BEAUFORT_BOUNDS)} END AS beaufort_number FROM s")
+    capped = " ".join(f"WHEN v_t < {b} THEN {i}" for i, b in enumerate(BEAUFORT_BOUNDS[:9]))
+    sql["beaufort_capped"] = (_with(RAW_SQL, _conf_sql(PROJECTION_TAGS), wind)
+                              + f"SELECT source, seq, CASE {capped} ELSE 9 END AS beaufort_number FROM s")
     f_ = FUEL_INPUTS
     sql["fuel_totals"] = "WITH " + _aligned_sql() + (
         f"\nSELECT ds_timestamp, CAST(CAST({f_['me_fo_flow']} AS DOUBLE) + CAST({f_['ge_fo_flow']} AS DOUBLE) + "

@@ -39,6 +39,38 @@ def create_table(
     spark.sql(sql)
 
 
+# Writer settings of the curated tables (Parquet, Snappy, 256 MiB target files).
+CURATED_PROPERTIES = {
+    "parquet.compression": "SNAPPY",
+    "write.sort.order": "ds_timestamp",
+    "write.target-file-size-bytes": "268435456",
+}
+
+
+def create_raw_table(spark: SparkSession, name: str, tags, location: str | None = None, hull: str | None = None,
+                     partition_col: str = "ds_month") -> StructType:
+    """Wide raw table of a hull from its tag catalog (plus the monthly partition column). Returns its schema."""
+    from pyspark.sql.types import IntegerType, StructField
+
+    from keelson.sources.tagcatalog import wide_schema
+
+    schema = wide_schema(tags, hull)
+    full = StructType([*schema.fields, StructField(partition_col, IntegerType(), True)])
+    create_table(spark, name, full, [partition_col], location, CURATED_PROPERTIES)
+    return schema
+
+
+def create_calc_table(spark: SparkSession, name: str, location: str | None = None,
+                      partition_col: str = "ds_month") -> StructType:
+    from pyspark.sql.types import IntegerType, StructField
+
+    from keelson.plans.jobs import CALC_SCHEMA
+
+    full = StructType([*CALC_SCHEMA.fields, StructField(partition_col, IntegerType(), True)])
+    create_table(spark, name, full, [partition_col], location, CURATED_PROPERTIES)
+    return CALC_SCHEMA
+
+
 def list_tables(spark: SparkSession, db: str, prefix: str) -> list[str]:
     return [t.name for t in spark.catalog.listTables(db, f"{prefix.lower()}*")]
 
@@ -80,5 +112,10 @@ def add_partition(spark: SparkSession, table: str, spec: dict, location: str) ->
     spark.catalog.refreshTable(table)
 
 
+def create_or_replace_view(spark: SparkSession, name: str, select_sql: str) -> None:
+    """Persistent view over catalog tables (``select_sql`` must reference catalog tables only)."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {select_sql}")
+
+
 def add_columns(spark: SparkSession, table: str, schema: StructType) -> None:
     spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({_columns_ddl(schema)})")

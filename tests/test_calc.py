@@ -64,3 +64,11 @@ def test_calc_window_is_half_open_and_typed(spark):
 def test_calc_requires_inputs(spark):
     with pytest.raises(ValueError, match="calc needs"):
         calc(_raw(spark).drop("ge_fg_flow"), "20240101", "20240102")
+
+
+def test_capped_scale_without_null_guard(spark):
+    df = spark.createDataFrame([(0.5,), (40.9,), (41.0,), (70.0,), (None,)], "s double")
+    got = [r[0] for r in df.select(beaufort("s", cap=9, null_guard=False)).collect()]
+    assert got == [0, 8, 9, 9, 9]
+    with pytest.raises(ValueError):
+        beaufort("s", cap=13)

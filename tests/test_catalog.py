@@ -100,3 +100,16 @@ def test_source_priority_frame(spark):
                                "hnum string, table_name string")
     got = [r.table_name for r in source_priority(df).orderBy("priority").collect()]
     assert got == ["x_cams_c", "x_ias_b", "x_vdr_a"]
+
+
+def test_sync_catalog_path_rewrites_only_incoming_hulls(spark, scratch):
+    from keelson.operators.catalog_sync import sync_catalog_path
+    path = os.path.join(scratch, "catalog")
+    existing = _cat(spark, [(1, "H1", "a", "old"), (3, "H1", "gone", "x"), (4, "H2", "a", "other")])
+    existing.write.partitionBy("hnum").parquet(path)
+    incoming = spark.createDataFrame([(" h1", "a", "new"), ("H1", "c", "added")],
+                                     "hnum string, col_name string, description string")
+    sync_catalog_path(spark, incoming, path)
+    sync_catalog_path(spark, incoming, path)  # re-run: same result
+    got = {(r.hnum, r.col_name): (r.id, r.description) for r in spark.read.parquet(path).collect()}
+    assert got == {("H1", "a"): (1, "new"), ("H1", "c"): (None, "added"), ("H2", "a"): (4, "other")}

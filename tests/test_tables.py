@@ -34,3 +34,14 @@ def test_external_table_partitions_and_columns(spark, scratch):
     rows = spark.table("dvtest.col_case").collect()
     assert all(r.colc is None for r in rows)
     spark.sql("DROP TABLE dvtest.col_case")
+
+
+def test_create_curated_tables(spark):
+    from keelson.sources import testbed as tb
+    spark.sql("CREATE DATABASE IF NOT EXISTS dvtest")
+    schema = T.create_raw_table(spark, "dvtest.h2521_raw", tb.TESTBED_TAGS)
+    stored = spark.table("dvtest.h2521_raw")
+    assert stored.columns == schema.names + ["ds_month"]
+    calc_schema = T.create_calc_table(spark, "dvtest.h2521_calc")
+    assert spark.table("dvtest.h2521_calc").columns == calc_schema.names + ["ds_month"]
+    T.clear_hull(spark, "dvtest", "H2521")
