@@ -113,30 +113,27 @@ def wide_schema_frame(catalog: DataFrame, hull_col: str = "hnum") -> DataFrame:
     """Per hull, the raw table's column list: (hnum, position, column_name, data_type).
 
     Position 0 is the time column, then catalog and derived columns by name, then
-    one lineage id per source in priority order. A hull's rows are its table's
-    columns, so each window group is bounded by the table width.
+    one lineage id per source in priority order -- numbered by a single window
+    per hull over all three groups. A hull's rows are its table's columns, so
+    each window group is bounded by the table width.
     """
     spark = catalog.sparkSession
-    tags = catalog.select(F.col(hull_col), F.col("col_name").alias("column_name"), "data_type")
     hulls = catalog.select(hull_col).distinct()
     derived_rows = [(h, n, d) for h in HULL_RULES for n, d in declared_columns(h)]
     derived = spark.createDataFrame(derived_rows, f"{hull_col} string, column_name string, data_type string")
-    derived = derived.join(hulls, hull_col, "left_semi")
-    body = tags.unionByName(derived)
-    w = Window.partitionBy(hull_col).orderBy(F.col("column_name").asc(), F.col("data_type").asc())
-    body = body.withColumn("position", F.row_number().over(w))
-    width = body.groupBy(hull_col).agg(F.count(F.lit(1)).alias("__n"))
-    ids = (
-        source_priority(catalog, [hull_col])
-        .join(width, hull_col, "left")
-        .select(
-            hull_col,
-            F.concat(F.lit("id_"), F.col("table_name")).alias("column_name"),
-            F.lit("BIGINT").alias("data_type"),
-            (F.coalesce(F.col("__n"), F.lit(0)) + F.col("priority")).cast("int").alias("position"),
-        )
-    )
-    ts = hulls.select(hull_col, F.lit("ds_timestamp").alias("column_name"), F.lit("TIMESTAMP").alias("data_type"),
-                      F.lit(0).alias("position"))
-    cols = [hull_col, "position", "column_name", "data_type"]
-    return ts.select(*cols).unionByName(body.select(*cols)).unionByName(ids.select(*cols))
+    no_flags = [F.lit(False).alias(f"__k{i}") for i in range(len(SOURCE_KEYWORDS))]
+    ts = hulls.select(hull_col, F.lit(0).alias("__grp"), *no_flags, F.lit("ds_timestamp").alias("column_name"),
+                      F.lit("TIMESTAMP").alias("data_type"))
+    body = (catalog.select(hull_col, F.col("col_name").alias("column_name"), "data_type")
+            .unionByName(derived.join(hulls, hull_col, "left_semi"))
+            .select(hull_col, F.lit(1).alias("__grp"), *no_flags, "column_name", "data_type"))
+    tables = catalog.select(hull_col, "table_name").distinct()
+    ids = tables.select(
+        hull_col, F.lit(2).alias("__grp"),
+        *[F.col("table_name").contains(k).alias(f"__k{i}") for i, k in enumerate(SOURCE_KEYWORDS)],
+        F.concat(F.lit("id_"), F.col("table_name")).alias("column_name"), F.lit("BIGINT").alias("data_type"))
+    order = [F.col("__grp").asc(), *[F.col(f"__k{i}").desc() for i in range(len(SOURCE_KEYWORDS))],
+             F.col("column_name").asc(), F.col("data_type").asc()]
+    w = Window.partitionBy(hull_col).orderBy(*order)
+    rows = ts.unionByName(body).unionByName(ids)
+    return rows.select(hull_col, (F.row_number().over(w) - 1).alias("position"), "column_name", "data_type")
