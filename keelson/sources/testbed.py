@@ -15,6 +15,7 @@ Raw reading built from an ``events`` row
     sog_txt       user_id % 25 as text
     user_txt      user_id as text
     seq           event_id (tie-break between readings with the same millisecond)
+    hnum          'H' + user_id % 5 as four digits: the hull of the reading in fleet runs
 """
 
 from __future__ import annotations
@@ -67,6 +68,9 @@ TESTBED_TAGS = [
 
 FIRST_DAY, LAST_DAY = "20240101", "20240130"
 
+# Fleet runs: readings belong to hull user_id % FLEET_SIZE; all hulls share the testbed catalog.
+FLEET_SIZE = 5
+
 
 def _k() -> Column:
     return F.get_json_object(F.col("props"), "$.k").cast("int")
@@ -94,6 +98,7 @@ def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         (k * F.expr("3.6")).cast("string").alias("angle_txt"),
         (F.col("user_id") % 25).cast("string").alias("sog_txt"),
         F.col("user_id").cast("string").alias("user_txt"),
+        _hull(F.col("user_id") % FLEET_SIZE).alias("hnum"),
     )
 
 
