@@ -8,7 +8,8 @@ one DataFrame, so writing it once is the atomic step.
 
 Joins are on the composite key (hull, column name) which is unique on both
 sides, so no single hull -- however large -- lands in one join group. The only
-hull-level join is against the distinct hull list of ``incoming``.
+hull-level join is against the distinct hull list of ``incoming``, broadcast
+behind a size check (``_scope_join``).
 """
 
 from __future__ import annotations
@@ -21,6 +22,23 @@ from pyspark.sql import functions as F
 DEFAULT_KEYS = ("hnum", "col_name")
 DEFAULT_SCOPE = ("hnum",)
 
+# Largest number of distinct hulls (scope values) whose list is broadcast; one
+# entry is a short id, so the broadcast side stays far below a few MB.
+MAX_BROADCAST_SCOPE = 100_000
+
+
+def _scope_join(df: DataFrame, incoming: DataFrame, scope: list[str], how: str) -> DataFrame:
+    """Semi / anti join of ``df`` against the distinct scope values of ``incoming``.
+
+    The distinct hull list is counted first; within the bound it is broadcast, so
+    a hull holding a large share of the rows is never gathered into one join task.
+    Beyond it the shuffle join runs and AQE splits skewed partitions.
+    """
+    values = incoming.select(*scope).distinct()
+    n = values.limit(MAX_BROADCAST_SCOPE + 1).count()
+    side = F.broadcast(values) if n <= MAX_BROADCAST_SCOPE else values
+    return df.join(side, scope, how)
+
 
 def normalise_hull(df: DataFrame, col: str = "hnum") -> DataFrame:
     """Hull ids compare upper-cased and trimmed on both sides."""
@@ -35,7 +53,7 @@ def absent_keys(
 ) -> DataFrame:
     """Stored rows of the hulls ``incoming`` covers whose key ``incoming`` no longer has."""
     keys, scope = list(keys), list(scope)
-    in_scope = existing.join(incoming.select(*scope).distinct(), scope, "left_semi")
+    in_scope = _scope_join(existing, incoming, scope, "left_semi")
     return in_scope.join(incoming.select(*keys), keys, "left_anti")
 
 
@@ -48,7 +66,7 @@ def sync_catalog(
 ) -> DataFrame:
     """Catalog after delete-absent + upsert. New keys get a NULL ``id_col`` (the sink assigns it)."""
     keys, scope = list(keys), list(scope)
-    untouched = existing.join(incoming.select(*scope).distinct(), scope, "left_anti")
+    untouched = _scope_join(existing, incoming, scope, "left_anti")
     if id_col is None or id_col not in existing.columns:
         return untouched.unionByName(incoming.select(*untouched.columns))
     ids = existing.select(*keys, id_col)

@@ -91,13 +91,18 @@ def upsert_table(
     if existing is None:
         _write(source.where(_not_null(keys)), table, path, partition_cols, sort_col, mode="overwrite", dynamic=False)
         return
-    source = source.select(*existing.columns)
+    run = f"{checkpoint_dir(spark)}/keelson-upsert-{uuid.uuid4().hex}"
+    # 1. The source is computed exactly once: staged in the shared folder (this also
+    #    cuts its lineage, so a lost executor never re-runs the whole load).
+    (source.where(_not_null(keys)).select(*existing.columns)
+     .write.mode("overwrite").partitionBy(*partition_cols).parquet(f"{run}/source"))
+    staged_source = spark.read.parquet(f"{run}/source").select(*existing.columns)
     target = existing
     if partition_cols:
-        # Only the partitions the source touches are read and rewritten. Their
-        # values are few (one per month / year of the load window), so they are
-        # turned into a literal filter and Spark prunes partitions at planning.
-        touched = source.select(*partition_cols).distinct().collect()
+        # 2. Only the partitions the source touches are read and rewritten. Their
+        #    values are few (one per month of the load window) and come from the
+        #    staged copy's partition folders; as a literal filter they prune the scan.
+        touched = staged_source.select(*partition_cols).distinct().collect()
         cond = F.lit(False)
         for row in touched:
             one = F.lit(True)
@@ -105,12 +110,13 @@ def upsert_table(
                 one = one & (F.col(c).eqNullSafe(F.lit(row[c])))
             cond = cond | one
         target = existing.where(cond)
-    merged = merge_frames(target, source, keys)
-    staging = f"{checkpoint_dir(spark)}/keelson-upsert-{uuid.uuid4().hex}"
-    _sorted(merged, partition_cols, sort_col).write.mode("overwrite").partitionBy(*partition_cols).parquet(staging)
-    staged = spark.read.parquet(staging).select(*existing.columns)
+    # 3. Merge, stage the result, then swap the touched partitions in: the final
+    #    write never reads the partitions it replaces.
+    merged = merge_frames(target, staged_source, keys)
+    _sorted(merged, partition_cols, sort_col).write.mode("overwrite").partitionBy(*partition_cols).parquet(f"{run}/merged")
+    staged = spark.read.parquet(f"{run}/merged").select(*existing.columns)
     _write(staged, table, path, partition_cols, sort_col, mode="overwrite", dynamic=bool(partition_cols))
-    remove_path(spark, staging)
+    remove_path(spark, run)
 
 
 def remove_path(spark: SparkSession, path: str) -> bool:
