@@ -214,6 +214,12 @@ def q_pipeline_calc_fleet(spark, sf):
     return calc(_raw(spark, sf, keys=["hnum"]), tb.FIRST_DAY, tb.LAST_DAY, keys=["hnum"])
 
 
+def q_minute_view_1h(spark, sf):
+    """The aligned view over the testbed catalog, one-hour buckets (1 minute leaves no bucket shared by all sources)."""
+    from keelson.plans.view import minute_view
+    return minute_view(tb.source_reader(spark, sf), tb.TESTBED_TAGS, "1 hour", tiebreak=["seq"])
+
+
 def q_calc_table(spark, sf):
     return calc(_raw(spark, sf), CALC_START, CALC_END)
 
@@ -306,6 +312,7 @@ QUERIES: dict[str, QueryFn] = {
     "wide_schema": q_wide_schema,
     "pipeline_raw": q_pipeline_raw,
     "pipeline_calc": q_pipeline_calc,
+    "minute_view_1h": q_minute_view_1h,
     "pipeline_raw_fleet": q_pipeline_raw_fleet,
     "pipeline_calc_fleet": q_pipeline_calc_fleet,
 }
@@ -426,6 +433,23 @@ def _raw_table_ctes(name: str, start: str, end: str, derive: bool = True, keys:
     return ctes
 
 
+def _view_sql(every_ms: int) -> str:
+    ctes = [RAW_SQL]
+    sources = ordered_sources(tb.TESTBED_TAGS)
+    names_all = []
+    for i, (table, tags) in enumerate(sources):
+        cols = ", ".join(f"{_typed(t.tag, t.data_type)} AS {t.col_name}" for t in tags)
+        names = ", ".join(t.col_name for t in tags)
+        names_all.extend(t.col_name for t in tags)
+        ctes.append(f"""v{i} AS (
+  SELECT ds_date, b, {names} FROM (
+    SELECT ds_date, {_floor('id', every_ms)} AS b, id, seq, {names} FROM (
+      SELECT {_ID} AS id, ds_date, seq, {cols} FROM raw WHERE source = '{tb.TABLE_EVENT[table]}'))
+  QUALIFY row_number() OVER (PARTITION BY ds_date, b ORDER BY id, seq) = 1)""")
+    joins = " ".join(f"JOIN v{i} ON v{i}.ds_date = v0.ds_date AND v{i}.b = v0.b" for i in range(1, len(sources)))
+    return _with(*ctes) + f"SELECT {_text_ms('v0.b')} AS ds_timestamp, {', '.join(names_all)}, v0.ds_date FROM v0 {joins}"
+
+
 def _calc_select(src: str, start: str, end: str, keys: tuple[str, ...] = ()) -> str:
     lo = f"{start[:4]}-{start[4:6]}-{start[6:]} 00:00:00"
     hi_day = int(end[6:]) + 1  # fixture windows end inside January 2024
@@ -545,6 +569,7 @@ s AS (SELECT source, seq, SQRT(POWER(v_x, 2) + POWER(v_y, 2)) AS v_t, (DEGREES(A
     sql["pipeline_raw"] = _with(RAW_SQL, *full) + "SELECT * FROM rawt"
     sql["calc_table"] = _with(RAW_SQL, *full) + _calc_select("rawt", CALC_START, CALC_END)
     sql["pipeline_calc"] = _with(RAW_SQL, *full) + _calc_select("rawt", tb.FIRST_DAY, tb.LAST_DAY)
+    sql["minute_view_1h"] = _view_sql(HOUR_MS)
     fleet = _raw_table_ctes("fleet", tb.FIRST_DAY, tb.LAST_DAY, keys=("hnum",))
     sql["pipeline_raw_fleet"] = _with(RAW_SQL, *fleet) + "SELECT * FROM fleet"
     sql["pipeline_calc_fleet"] = _with(RAW_SQL, *fleet) + _calc_select("fleet", tb.FIRST_DAY, tb.LAST_DAY, keys=("hnum",))
