@@ -82,8 +82,11 @@ def upsert_table(
     if (table is None) == (path is None):
         raise ValueError("give exactly one of table / path")
     if table is not None and _supports_merge(spark, table):
-        cond = " AND ".join(f"t.{k} = s.{k}" for k in keys)
-        (source.where(_not_null(keys)).alias("s").mergeInto(table, F.expr(cond))
+        cond = None
+        for k in keys:
+            eq = F.col(f"{table}.{k}") == F.col(f"s.{k}")
+            cond = eq if cond is None else cond & eq
+        (source.where(_not_null(keys)).alias("s").mergeInto(table, cond)
          .whenMatched().updateAll().whenNotMatched().insertAll().merge())
         return
 

@@ -65,7 +65,9 @@ def resampled_sources(
         src = scan_source(read, table, table_tags, start, end, keep=[*keys, *tiebreak])
         if src is None:
             continue
-        first = first_per_bucket(src, every, time_col=f"id_{table}", keys=keys, tiebreak=tiebreak)
+        # Without explicit tie-break columns, readings tied on the millisecond are
+        # ordered by all their values (deterministic whole-row pick).
+        first = first_per_bucket(src, every, time_col=f"id_{table}", keys=keys, tiebreak=tiebreak or None)
         frames.append(first.drop(*tiebreak))
     return frames
 

@@ -68,3 +68,20 @@ def test_fleet_mode_matches_per_hull_runs(spark):
 
     single = build_raw(read_one, tb.TESTBED_TAGS, tb.FIRST_DAY, tb.LAST_DAY, tiebreak=["seq"])
     assert sorted(fleet.where(F.col("hnum") == one).drop("hnum").collect()) == sorted(single.collect())
+
+
+def test_date_label_and_utc_day_disagree(spark):
+    """T12: a reading filed under ds_date 20240101 but taken 2024-01-02 00:00:05 UTC is loaded for day
+    20240101 (raw follows ds_date) but not calculated for it (calc follows the UTC day)."""
+    from keelson.sources.tagcatalog import Tag
+    tags = [Tag("H0000", name, "db", "h0_ias_pivot", name, None, None, "FLOAT") for name in (
+        "vdr_relative_wind_speed", "vdr_relative_wind_angle", "vdr_aivdo_sog", "me_fo_flow", "ge_fo_flow",
+        "auxb_fo_flow", "me_fg_flow", "ge_fg_flow")]
+    day1, day2 = 1_704_067_200_000, 1_704_153_605_000
+    rows = [(f"{day1 + 1000}.0", "20240101"), (f"{day2}.0", "20240101"), (f"{day2 + 20_000}.0", "20240102")]
+    cols = {t.col_name: "1.5" for t in tags}
+    df = spark.createDataFrame([(ts, d, *cols.values()) for ts, d in rows],
+                               "ds_timestamp string, ds_date string, " + ", ".join(f"{c} string" for c in cols))
+    raw = build_raw(lambda name: df, tags, "20240101", "20240101")
+    assert raw.count() == 2  # both rows labelled 20240101
+    assert calc(raw, "20240101", "20240101").count() == 1  # only the one taken on 2024-01-01 UTC
