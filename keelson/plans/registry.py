@@ -282,6 +282,32 @@ def q_wide_schema(spark, sf):
     return wide_schema_frame(tb.customer_catalog(spark, sf))
 
 
+def q_tag_catalog(spark, sf):
+    """The fleet catalog written as CSV files and read back through the catalog reader."""
+    from keelson.sources.tagcatalog import read_catalog
+    return read_catalog(spark, tb.write_catalog_csv(spark, sf))
+
+
+_LAYOUT_SCHEMA = "cola double, colb double"
+
+
+def q_schema_evolution_by_name(spark, sf):
+    """Two physical layouts read by column name against (cola, colb, colc): colc is NULL where a file lacks it."""
+    from pyspark.sql.types import StructType
+    from keelson.sources.scans import read_by_name
+    schema = StructType.fromDDL(_LAYOUT_SCHEMA + ", colc double")
+    return read_by_name(spark, [tb.write_layouts(spark, sf)], schema)
+
+
+def q_read_by_position(spark, sf):
+    """The same folders read by position against (cola, colb): dt=2 files shift by one column."""
+    from pyspark.sql.types import StructType
+    from keelson.sources.scans import read_by_position
+    base = tb.write_layouts(spark, sf)
+    return read_by_position(spark, [(f"{base}/dt=1", {"dt": 1}), (f"{base}/dt=2", {"dt": 2})],
+                            StructType.fromDDL(_LAYOUT_SCHEMA))
+
+
 QUERIES: dict[str, QueryFn] = {
     "resample_first_15s": q_resample_first_15s,
     "resample_first_1h": q_resample_first_1h,
@@ -313,6 +339,9 @@ QUERIES: dict[str, QueryFn] = {
     "pipeline_raw": q_pipeline_raw,
     "pipeline_calc": q_pipeline_calc,
     "minute_view_1h": q_minute_view_1h,
+    "tag_catalog": q_tag_catalog,
+    "schema_evolution_by_name": q_schema_evolution_by_name,
+    "read_by_position": q_read_by_position,
     "pipeline_raw_fleet": q_pipeline_raw_fleet,
     "pipeline_calc_fleet": q_pipeline_calc_fleet,
 }
@@ -570,6 +599,16 @@ s AS (SELECT source, seq, SQRT(POWER(v_x, 2) + POWER(v_y, 2)) AS v_t, (DEGREES(A
     sql["calc_table"] = _with(RAW_SQL, *full) + _calc_select("rawt", CALC_START, CALC_END)
     sql["pipeline_calc"] = _with(RAW_SQL, *full) + _calc_select("rawt", tb.FIRST_DAY, tb.LAST_DAY)
     sql["minute_view_1h"] = _view_sql(HOUR_MS)
+    sql["tag_catalog"] = _with(*_catalog_ctes()) + "SELECT hnum, col_name, db_name, table_name, tag, description, unit, data_type FROM existing"
+    first = ", ".join(f"'{e}'" for e in tb.LAYOUT_1_EVENTS)
+    k = f"CAST({_K} AS DOUBLE)"
+    sql["schema_evolution_by_name"] = (
+        f"SELECT value AS cola, CAST(user_id AS DOUBLE) AS colb, CAST(NULL AS DOUBLE) AS colc, 1 AS dt "
+        f"FROM events WHERE event_type IN ({first})\nUNION ALL\n"
+        f"SELECT value, CAST(user_id AS DOUBLE), {k}, 2 FROM events WHERE event_type NOT IN ({first})")
+    sql["read_by_position"] = (
+        f"SELECT value AS cola, CAST(user_id AS DOUBLE) AS colb, 1 AS dt FROM events WHERE event_type IN ({first})\n"
+        f"UNION ALL\nSELECT {k}, value, 2 FROM events WHERE event_type NOT IN ({first})")
     fleet = _raw_table_ctes("fleet", tb.FIRST_DAY, tb.LAST_DAY, keys=("hnum",))
     sql["pipeline_raw_fleet"] = _with(RAW_SQL, *fleet) + "SELECT * FROM fleet"
     sql["pipeline_calc_fleet"] = _with(RAW_SQL, *fleet) + _calc_select("fleet", tb.FIRST_DAY, tb.LAST_DAY, keys=("hnum",))

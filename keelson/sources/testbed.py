@@ -146,3 +146,39 @@ def incoming_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
         "description", F.when(F.col("id") % 3 == 1, F.lower(F.col("description"))).otherwise(F.col("description")))
     added = cat.where(F.col("id") % 5 == 0).withColumn("col_name", F.concat(F.col("col_name"), F.lit("_b")))
     return kept.unionByName(added).select(*CATALOG_COLUMNS)
+
+
+# Which event types land in each physical layout of the layout folders.
+LAYOUT_1_EVENTS = ("view", "click")
+
+
+def write_layouts(spark: SparkSession, sf_dir: str) -> str:
+    """Write ``events`` as one table whose two partition folders have different physical layouts.
+
+    ``dt=1`` (view, click rows) holds (cola, colb) = (value, user_id); ``dt=2`` (all other
+    rows) holds (colc, cola, colb) = (k, value, user_id) -- a column added in front, the
+    case where reading by position and reading by name disagree. Written under the
+    shared checkpoint folder; returns the table folder.
+    """
+    import uuid
+
+    from keelson.session import checkpoint_dir
+
+    e = events(spark, sf_dir)
+    base = f"{checkpoint_dir(spark)}/keelson-layouts-{uuid.uuid4().hex}"
+    first = F.col("event_type").isin(*LAYOUT_1_EVENTS)
+    value, user = F.col("value").alias("cola"), F.col("user_id").cast("double").alias("colb")
+    e.where(first).select(value, user).write.parquet(f"{base}/dt=1")
+    e.where(~first).select(_k().cast("double").alias("colc"), value, user).write.parquet(f"{base}/dt=2")
+    return base
+
+
+def write_catalog_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Write the customer fleet catalog as catalog CSV files (header, catalog column order)."""
+    import uuid
+
+    from keelson.session import checkpoint_dir
+
+    path = f"{checkpoint_dir(spark)}/keelson-catalog-csv-{uuid.uuid4().hex}"
+    customer_catalog(spark, sf_dir).select(*CATALOG_COLUMNS).write.option("header", True).csv(path)
+    return path
