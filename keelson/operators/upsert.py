@@ -123,11 +123,18 @@ def upsert_table(
 
 
 def remove_path(spark: SparkSession, path: str) -> bool:
-    """Delete a folder this library staged (through the Hadoop file system of the path)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.delete(p, True))
+    """Best-effort delete of a folder this library staged, through the path's Hadoop file system.
+
+    A failure leaves the staged copy behind (harmless, it is never read again) instead of
+    failing a load whose result is already in place.
+    """
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.delete(p, True))
+    except Exception:
+        return False
 
 
 def _read_existing(spark: SparkSession, table: str | None, path: str | None) -> DataFrame | None:
