@@ -1,7 +1,8 @@
 """Time the headline queries; print one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEAT (default 1: timed runs per query, best kept, after one untimed warm-up run of every query),
+BENCH_REPEAT (default 3: timed runs per query, the best is reported -- steady state after JIT warm-up --
+following one untimed warm-up run of every query),
 BENCH_ORACLE=1 also times the DuckDB oracle SQL of the same queries (single-node yardstick, key "oracle_duckdb").
 Each query is executed in full with the ``noop`` sink (no collect to the driver).
 """
@@ -37,7 +38,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "1"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = build_session(
         master=f"local[{cpus}]",
         app_name="keelson-bench",

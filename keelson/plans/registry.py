@@ -304,8 +304,7 @@ def q_read_by_position(spark, sf):
     from pyspark.sql.types import StructType
     from keelson.sources.scans import read_by_position
     base = tb.write_layouts(spark, sf)
-    return read_by_position(spark, [(f"{base}/dt=1", {"dt": 1}), (f"{base}/dt=2", {"dt": 2})],
-                            StructType.fromDDL(_LAYOUT_SCHEMA))
+    return read_by_position(spark, [f"{base}/dt=1", f"{base}/dt=2"], StructType.fromDDL(_LAYOUT_SCHEMA), base_path=base)
 
 
 QUERIES: dict[str, QueryFn] = {

@@ -110,27 +110,32 @@ def read_by_name(spark: SparkSession, paths: Sequence[str], schema: StructType)
 
 def read_by_position(
     spark: SparkSession,
-    parts: Sequence[tuple[str, dict]],
+    folders: Sequence[str],
     schema: StructType,
+    base_path: str | None = None,
 ) -> DataFrame:
-    """Parquet folders resolved by column *position* against ``schema``.
+    """Parquet partition folders resolved by column *position* against ``schema``.
 
-    ``parts`` is a list of (folder, partition values). The i-th declared column
-    takes the i-th physical column of that folder's files (missing positions are
-    NULL); partition values are appended as columns. Folders sharing one
-    physical layout should be passed as one entry so each layout is scanned once.
+    The i-th declared column takes the i-th physical column of a folder's files
+    (positions a layout lacks read as NULL). Folders are grouped by physical
+    layout and each layout is read with one multi-path scan, so the plan has one
+    scan per distinct layout, not one per partition. With ``base_path`` the
+    partition columns (e.g. ``dt=2``) are discovered from the folder names.
     """
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for folder in folders:
+        layouts.setdefault(tuple(spark.read.parquet(folder).columns), []).append(folder)
     frames = []
-    for path, values in parts:
-        df = spark.read.parquet(path)
-        physical = df.columns
+    for physical, group in layouts.items():
+        reader = spark.read.option("basePath", base_path) if base_path else spark.read
+        df = reader.parquet(*group)
+        partition_cols = [c for c in df.columns if c not in physical]
         cols = [
             (F.col(physical[i]) if i < len(physical) else F.lit(None)).cast(f.dataType).alias(f.name)
             for i, f in enumerate(schema.fields)
         ]
-        cols += [F.lit(v).alias(k) for k, v in values.items()]
-        frames.append(df.select(*cols))
+        frames.append(df.select(*cols, *partition_cols))
     out = frames[0]
     for f in frames[1:]:
-        out = out.unionByName(f)
+        out = out.unionByName(f, allowMissingColumns=True)
     return out

@@ -27,11 +27,23 @@ def test_by_name_and_evolution(spark, scratch):
 def test_by_position(spark, scratch):
     p1, p2 = _frames(spark, scratch)
     two = StructType([StructField("cola", DoubleType()), StructField("colb", DoubleType())])
-    rows = read_by_position(spark, [(p1, {"dt": 1}), (p2, {"dt": 2})], two).collect()
+    rows = read_by_position(spark, [p1, p2], two, base_path=os.path.dirname(p1)).collect()
     got = {(r.dt, r.cola, r.colb) for r in rows}
     assert got == {(1, 1.0, 2.0), (2, 0.0, 1.0)}
 
 
+def test_by_position_one_scan_per_layout(spark, scratch):
+    base = os.path.join(scratch, "days")
+    for day in (1, 2, 3):
+        spark.createDataFrame([(float(day), 2.0)], "cola double, colb double").write.parquet(f"{base}/dt={day}")
+    spark.createDataFrame([(0.0, 4.0, 5.0)], "colc double, cola double, colb double").write.parquet(f"{base}/dt=4")
+    two = StructType([StructField("cola", DoubleType()), StructField("colb", DoubleType())])
+    df = read_by_position(spark, [f"{base}/dt={d}" for d in (1, 2, 3, 4)], two, base_path=base)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2  # two layouts, two scans
+    assert {(r.dt, r.cola, r.colb) for r in df.collect()} == {(1, 1.0, 2.0), (2, 2.0, 2.0), (3, 3.0, 2.0), (4, 0.0, 4.0)}
+
+
 def test_date_filters(spark):
     import datetime as dt
     df = spark.createDataFrame([("20240104", dt.datetime(2024, 1, 4, 23, 59)), ("20240105", dt.datetime(2024, 1, 5)),
