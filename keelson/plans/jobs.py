@@ -133,17 +133,63 @@ def run_hull(
     tags: Sequence[Tag],
     start: str,
     end: str,
-    raw_path: str,
-    calc_path: str,
+    raw_path: str | None = None,
+    calc_path: str | None = None,
     every: int | str = "15 seconds",
     tiebreak: Sequence[str] = (),
+    *,
+    raw_table: str | None = None,
+    calc_table: str | None = None,
+    clear: bool = False,
 ) -> None:
-    """Load days [start, end] of one hull: upsert the raw table, then rebuild calc rows of the window from it."""
+    """Load days [start, end] ('yyyyMMdd', inclusive) of one hull.
+
+    Upserts the raw table, then rebuilds the calc rows of the window from the
+    stored raw table. Targets are Parquet folders (``raw_path`` / ``calc_path``)
+    or catalog tables (``raw_table`` / ``calc_table``). ``clear`` first drops
+    both targets -- off by default, it deletes stored history.
+    """
+    if (raw_path is None) == (raw_table is None) or (calc_path is None) == (calc_table is None):
+        raise ValueError("give a path or a table for both the raw and the calc target")
     prepare(spark)
+    validate(tags)  # an invalid catalog fails before any plan is built or anything is written
+    if clear:
+        _clear_target(spark, raw_path, raw_table)
+        _clear_target(spark, calc_path, calc_table)
     raw = build_raw(read, tags, start, end, every, tiebreak=tiebreak)
-    upsert_table(spark, with_partition(raw), ["ds_timestamp"], path=raw_path, partition_cols=[PARTITION_COL])
-    stored = spark.read.parquet(raw_path)
+    upsert_table(spark, with_partition(raw), ["ds_timestamp"], path=raw_path, table=raw_table,
+                 partition_cols=[PARTITION_COL])
+    stored = spark.read.parquet(raw_path) if raw_path else spark.table(raw_table)
     lo_month, hi_month = int(start[:6]), int(end[:6])
     stored = stored.where(F.col(PARTITION_COL).between(lo_month, hi_month))
     upsert_table(spark, with_partition(calc(stored, start, end)), ["ds_timestamp"], path=calc_path,
-                 partition_cols=[PARTITION_COL])
+                 table=calc_table, partition_cols=[PARTITION_COL])
+
+
+def _clear_target(spark: SparkSession, path: str | None, table: str | None) -> None:
+    from keelson.operators.upsert import remove_path
+
+    if table is not None:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    else:
+        remove_path(spark, path)
+
+
+def sync_catalog_file(spark: SparkSession, csv_path: str, catalog_path: str) -> str:
+    """Bring the stored catalog (Parquet, partitioned by hull) in line with one catalog CSV file.
+
+    The file must describe exactly one hull (compared trimmed and upper-cased);
+    that hull's stored rows are replaced by the file's rows -- absent keys deleted,
+    the rest upserted with their ids kept -- and every other hull is untouched.
+    Returns the hull id.
+    """
+    from keelson.operators.catalog_sync import normalise_hull, sync_catalog_path
+    from keelson.sources.tagcatalog import read_catalog
+
+    prepare(spark)
+    incoming = normalise_hull(read_catalog(spark, csv_path))
+    hulls = incoming.agg(F.count_distinct("hnum").alias("n"), F.min("hnum").alias("hull")).first()
+    if hulls.n != 1:
+        raise ValueError(f"a catalog file must describe exactly one hull, found {hulls.n}")
+    sync_catalog_path(spark, incoming, catalog_path)
+    return hulls.hull

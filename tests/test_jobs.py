@@ -85,3 +85,39 @@ def test_date_label_and_utc_day_disagree(spark):
     raw = build_raw(lambda name: df, tags, "20240101", "20240101")
     assert raw.count() == 2  # both rows labelled 20240101
     assert calc(raw, "20240101", "20240101").count() == 1  # only the one taken on 2024-01-01 UTC
+
+
+def test_run_hull_into_catalog_tables_and_clear(spark):
+    read = tb.source_reader(spark, SF001)
+    spark.sql("DROP TABLE IF EXISTS h2521_raw_t")
+    spark.sql("DROP TABLE IF EXISTS h2521_calc_t")
+    run_hull(spark, read, tb.TESTBED_TAGS, "20240101", "20240110", raw_table="h2521_raw_t", calc_table="h2521_calc_t",
+             tiebreak=["seq"])
+    n = spark.table("h2521_raw_t").count()
+    run_hull(spark, read, tb.TESTBED_TAGS, "20240105", "20240106", raw_table="h2521_raw_t", calc_table="h2521_calc_t",
+             tiebreak=["seq"], clear=True)
+    m = spark.table("h2521_raw_t").count()
+    assert 0 < m < n  # cleared, then only the two days loaded
+    assert spark.table("h2521_calc_t").count() == m
+
+
+def test_sync_catalog_file(spark, scratch):
+    import pytest
+    from keelson.plans.jobs import sync_catalog_file
+    header = "hnum,col_name,db_name,table_name,tag,description,unit,data_type"
+    stored = os.path.join(scratch, "catalog")
+    spark.createDataFrame([(7, "H1", "a", "db", "t", "x", "old", "kn", "FLOAT"), (8, "H1", "gone", "db", "t", "y", "d", "kn", "FLOAT"),
+                           (9, "H2", "a", "db", "t", "x", "keep", "kn", "FLOAT")],
+                          "id long, hnum string, col_name string, db_name string, table_name string, tag string, "
+                          "description string, unit string, data_type string").write.partitionBy("hnum").parquet(stored)
+    good = os.path.join(scratch, "h1.csv")
+    with open(good, "w", encoding="utf-8-sig") as f:
+        f.write(header + "\nh1 ,a,db,t,x,new,kn,FLOAT\nH1,b,db,t,z,added,kn,BOOLEAN\n")
+    assert sync_catalog_file(spark, good, stored) == "H1"
+    got = {(r.hnum, r.col_name): (r.id, r.description) for r in spark.read.parquet(stored).collect()}
+    assert got == {("H1", "a"): (7, "new"), ("H1", "b"): (None, "added"), ("H2", "a"): (9, "keep")}
+    bad = os.path.join(scratch, "two.csv")
+    with open(bad, "w", encoding="utf-8") as f:
+        f.write(header + "\nH1,a,db,t,x,d,kn,FLOAT\nH3,a,db,t,x,d,kn,FLOAT\n")
+    with pytest.raises(ValueError, match="exactly one hull"):
+        sync_catalog_file(spark, bad, stored)
