@@ -2,13 +2,14 @@
 
 ``merge_frames`` is the pure DataFrame form: target rows whose key appears in
 the source are replaced by the source row (NULLs overwrite), the rest stay.
-Because every non-key column is updated, anti-join + union is exactly MERGE.
+Because every non-key column is updated, one full outer join on the key that
+takes the source row wherever there is one is exactly MERGE.
 
 ``upsert_table`` applies it to a stored table. When the table format supports
-MERGE (``DataFrame.mergeInto``) that is used; for plain Parquet it rewrites
-only the partitions the source touches: read those partitions, merge, write
-the result to a per-run staging folder under ``spark.checkpoint.dir``, then
-overwrite exactly those partitions from the staged copy. The final write never
+MERGE (``DataFrame.mergeInto``) that is used; for plain Parquet the source is
+staged once under ``spark.checkpoint.dir``, only the partitions it touches are
+read from the table and merged, the merged rows are staged too, and exactly
+those partitions are overwritten from the staged copy. The final write never
 reads the table it overwrites, and a re-run is idempotent.
 """
 
