@@ -52,3 +52,44 @@ def test_plan_has_map_side_top1(spark):
     df = _df(spark, [(T0, 1, 1.0, None)])
     plan = first_per_bucket(df, "15s", tiebreak=["seq"])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def _exchanges(plan):
+    """(description, shuffled records) of every hash exchange in an executed (adaptive) plan."""
+    out, seen = [], set()
+    stack = [plan.executedPlan() if plan.nodeName().startswith("AdaptiveSparkPlan") else plan]
+    while stack:
+        node = stack.pop()
+        if node.id() in seen:
+            continue
+        seen.add(node.id())
+        for attr in ("plan", "shuffle"):
+            try:
+                sub = getattr(node, attr)()
+                if hasattr(sub, "children"):
+                    stack.append(sub)
+            except Exception:
+                pass
+        children = node.children()
+        stack.extend(children.apply(i) for i in range(children.size()))
+        if node.nodeName() == "Exchange" and "hashpartitioning" in node.toString():
+            out.append(node.metrics().apply("shuffleRecordsWritten").value())
+    return out
+
+
+def test_hot_bucket_is_cut_before_the_shuffle(spark):
+    """A third of all readings share one instant: each map task sends at most one of them."""
+    from conftest import SF01
+    e = spark.read.parquet(f"{SF01}/events.parquet")
+    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    hot = F.when(F.col("event_id") % 3 == 0, F.lit(T0)).otherwise(ms)
+    maps = 8
+    df = e.select(hot.alias("id"), F.col("event_id").alias("seq"), "value").repartition(maps)
+    n_hot = df.where(F.col("id") == T0).count()
+    n_cold = df.count() - n_hot
+    out = first_per_bucket(df, "15s", tiebreak=["seq"])
+    rows = out.collect()
+    shuffled = _exchanges(out._jdf.queryExecution().executedPlan())
+    assert len(shuffled) == 1 and shuffled[0] <= n_cold + maps
+    hot_row = [r for r in rows if r.id == T0]
+    assert len(hot_row) == 1 and hot_row[0].seq == 0  # whole result kept, smallest tie-break wins
