@@ -9,6 +9,7 @@ raw table into true wind, Beaufort class and fuel totals for a day window.
 
 from __future__ import annotations
 
+import logging
 from typing import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,6 +49,8 @@ CALC_SCHEMA = StructType([
 
 PARTITION_COL = "ds_month"
 
+log = logging.getLogger(__name__)
+
 
 def resampled_sources(
     read: TableReader,
@@ -57,14 +60,23 @@ def resampled_sources(
     every: int | str = "15 seconds",
     keys: Iterable[str] = (),
     tiebreak: Sequence[str] = (),
+    warn_empty: bool = False,
 ) -> list[DataFrame]:
-    """Per source in priority order: range scan, typed projection, first row per bucket."""
+    """Per source in priority order: range scan, typed projection, first row per bucket.
+
+    A source without catalogued tags is skipped at plan time. ``warn_empty`` logs a
+    warning for every source with no rows in the window (one small job per source);
+    an empty source still flows through the plan.
+    """
     keys, tiebreak = list(keys), list(tiebreak)
     frames = []
     for table, table_tags in ordered_sources(tags):
         src = scan_source(read, table, table_tags, start, end, keep=[*keys, *tiebreak])
         if src is None:
+            log.warning("source %s has no catalogued tags; skipped", table)
             continue
+        if warn_empty and src.isEmpty():
+            log.warning("source %s has no rows between %s and %s", table, start, end)
         # Without explicit tie-break columns, readings tied on the millisecond are
         # ordered by all their values (deterministic whole-row pick).
         first = first_per_bucket(src, every, time_col=f"id_{table}", keys=keys, tiebreak=tiebreak or None)

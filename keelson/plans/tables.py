@@ -95,10 +95,21 @@ def drop_tables(spark: SparkSession, db: str, names: Sequence[str]) -> list[str]
     return failed
 
 
+# Column types an external table over frame output may declare.
+EXTERNAL_TYPES = ("float", "double", "tinyint", "smallint", "int", "bigint", "boolean", "timestamp_ntz", "string")
+
+
 def create_external_table(
     spark: SparkSession, db: str, name: str, schema: StructType, location: str, partition: str = "dt INT"
 ) -> None:
-    """External Parquet table over ``location`` with one partition column."""
+    """External Parquet table over ``location`` with one partition column.
+
+    Column types are kept as they are (64-bit integers stay BIGINT); a type outside
+    ``EXTERNAL_TYPES`` is an error rather than a silently missing column.
+    """
+    bad = [(f.name, f.dataType.simpleString()) for f in schema.fields if f.dataType.simpleString() not in EXTERNAL_TYPES]
+    if bad:
+        raise ValueError(f"unsupported column types for an external table: {bad}")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {db}.{name} ({_columns_ddl(schema)}, {partition}) USING parquet "
         f"PARTITIONED BY ({partition.split()[0]}) LOCATION '{location}'"

@@ -121,3 +121,13 @@ def test_sync_catalog_file(spark, scratch):
         f.write(header + "\nH1,a,db,t,x,d,kn,FLOAT\nH3,a,db,t,x,d,kn,FLOAT\n")
     with pytest.raises(ValueError, match="exactly one hull"):
         sync_catalog_file(spark, bad, stored)
+
+
+def test_empty_source_warns_and_flows_through(spark, caplog):
+    import logging
+    from keelson.plans.jobs import resampled_sources
+    read = tb.source_reader(spark, SF001)
+    with caplog.at_level(logging.WARNING, logger="keelson.plans.jobs"):
+        frames = resampled_sources(read, tb.TESTBED_TAGS, "20300101", "20300102", tiebreak=["seq"], warn_empty=True)
+    assert len(frames) == 4 and all(f.count() == 0 for f in frames)
+    assert sum("has no rows" in r.message for r in caplog.records) == 4

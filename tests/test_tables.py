@@ -45,3 +45,11 @@ def test_create_curated_tables(spark):
     calc_schema = T.create_calc_table(spark, "dvtest.h2521_calc")
     assert spark.table("dvtest.h2521_calc").columns == calc_schema.names + ["ds_month"]
     T.clear_hull(spark, "dvtest", "H2521")
+
+
+def test_external_table_rejects_unsupported_types(spark, scratch):
+    import pytest
+    from pyspark.sql.types import ArrayType
+    bad = StructType([StructField("cola", DoubleType()), StructField("tags", ArrayType(DoubleType()))])
+    with pytest.raises(ValueError, match="unsupported column types"):
+        T.create_external_table(spark, "default", "bad_ext", bad, os.path.join(scratch, "bad"))
