@@ -15,6 +15,7 @@ reads the table it overwrites, and a re-run is idempotent.
 
 from __future__ import annotations
 
+import logging
 import uuid
 from typing import Iterable, Sequence
 
@@ -23,6 +24,8 @@ from pyspark.sql import functions as F
 
 from keelson.session import checkpoint_dir
 
+log = logging.getLogger(__name__)
+
 
 def _not_null(keys: Sequence[str]):
     cond = F.lit(True)
@@ -77,8 +80,15 @@ def upsert_table(
     path: str | None = None,
     partition_cols: Sequence[str] = (),
     sort_col: str | None = "ds_timestamp",
-) -> None:
-    """Upsert ``source`` into a catalog ``table`` or a Parquet folder ``path``."""
+    check_unique: bool = True,
+) -> int:
+    """Upsert ``source`` into a catalog ``table`` or a Parquet folder ``path``.
+
+    Returns the number of source rows with a NULL key, which are not loaded (they
+    could never match, so every re-run would add them again). With
+    ``check_unique`` a key that occurs twice in the source is an error, raised
+    before the target is touched -- as a SQL MERGE would refuse it.
+    """
     keys = list(keys)
     if (table is None) == (path is None):
         raise ValueError("give exactly one of table / path")
@@ -89,18 +99,28 @@ def upsert_table(
             cond = eq if cond is None else cond & eq
         (source.where(_not_null(keys)).alias("s").mergeInto(table, cond)
          .whenMatched().updateAll().whenNotMatched().insertAll().merge())
-        return
+        return 0
 
     existing = _read_existing(spark, table, path)
-    if existing is None:
-        _write(source.where(_not_null(keys)), table, path, partition_cols, sort_col, mode="overwrite", dynamic=False)
-        return
+    columns = existing.columns if existing is not None else source.columns
     run = f"{checkpoint_dir(spark)}/keelson-upsert-{uuid.uuid4().hex}"
     # 1. The source is computed exactly once: staged in the shared folder (this also
     #    cuts its lineage, so a lost executor never re-runs the whole load).
-    (source.where(_not_null(keys)).select(*existing.columns)
-     .write.mode("overwrite").partitionBy(*partition_cols).parquet(f"{run}/source"))
-    staged_source = spark.read.parquet(f"{run}/source").select(*existing.columns)
+    source.select(*columns).write.mode("overwrite").partitionBy(*partition_cols).parquet(f"{run}/source")
+    staged_all = spark.read.parquet(f"{run}/source").select(*columns)
+    null_keys = staged_all.where(~_not_null(keys)).count()
+    if null_keys:
+        log.warning("%d source rows have a NULL key and are not loaded", null_keys)
+    staged_source = staged_all.where(_not_null(keys))
+    if check_unique:
+        dup = staged_source.groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
+        if dup:
+            remove_path(spark, run)
+            raise ValueError(f"source key {[dup[0][k] for k in keys]} occurs more than once")
+    if existing is None:
+        _write(staged_source, table, path, partition_cols, sort_col, mode="overwrite", dynamic=False)
+        remove_path(spark, run)
+        return null_keys
     target = existing
     if partition_cols:
         # 2. Only the partitions the source touches are read and rewritten. Their
@@ -121,6 +141,7 @@ def upsert_table(
     staged = spark.read.parquet(f"{run}/merged").select(*existing.columns)
     _write(staged, table, path, partition_cols, sort_col, mode="overwrite", dynamic=bool(partition_cols))
     remove_path(spark, run)
+    return null_keys
 
 
 def remove_path(spark: SparkSession, path: str) -> bool:

@@ -60,3 +60,17 @@ def test_upsert_catalog_table(spark, scratch):
     rows = {r.ds_timestamp: r.v for r in spark.table("up_t").collect()}
     assert rows == {D(2024, 1, 1): 1.0, D(2024, 2, 1): 7.0}
     spark.sql("DROP TABLE IF EXISTS up_t")
+
+
+def test_upsert_counts_null_keys_and_rejects_duplicates(spark, scratch):
+    import pytest
+    path = os.path.join(scratch, "raw2")
+    first = _t(spark, [(D(2024, 1, 1), 1.0, 1.0, 202401)])
+    assert upsert_table(spark, first, path=path, partition_cols=["ds_month"]) == 0
+    with_null = _t(spark, [(D(2024, 1, 2), 2.0, 2.0, 202401), (None, 9.0, 9.0, None), (None, 8.0, 8.0, None)])
+    assert upsert_table(spark, with_null, path=path, partition_cols=["ds_month"]) == 2
+    assert spark.read.parquet(path).count() == 2
+    dup = _t(spark, [(D(2024, 1, 3), 3.0, 3.0, 202401), (D(2024, 1, 3), 4.0, 4.0, 202401)])
+    with pytest.raises(ValueError, match="more than once"):
+        upsert_table(spark, dup, path=path, partition_cols=["ds_month"])
+    assert spark.read.parquet(path).count() == 2  # target untouched
