@@ -153,14 +153,20 @@ def run_hull(
     raw_table: str | None = None,
     calc_table: str | None = None,
     clear: bool = False,
+    keys: Iterable[str] = (),
 ) -> None:
-    """Load days [start, end] ('yyyyMMdd', inclusive) of one hull.
+    """Load days [start, end] ('yyyyMMdd', inclusive) of one hull -- or, with
+    ``keys=("hnum",)``, of every hull sharing the tag list, in one job.
 
     Upserts the raw table, then rebuilds the calc rows of the window from the
     stored raw table. Targets are Parquet folders (``raw_path`` / ``calc_path``)
-    or catalog tables (``raw_table`` / ``calc_table``). ``clear`` first drops
-    both targets -- off by default, it deletes stored history.
+    or catalog tables (``raw_table`` / ``calc_table``), partitioned by the keys
+    and the month. ``clear`` first drops both targets -- off by default, it
+    deletes stored history.
     """
+    keys = list(keys)
+    part = [*keys, PARTITION_COL]
+    upsert_keys = [*keys, "ds_timestamp"]
     if (raw_path is None) == (raw_table is None) or (calc_path is None) == (calc_table is None):
         raise ValueError("give a path or a table for both the raw and the calc target")
     prepare(spark)
@@ -168,14 +174,13 @@ def run_hull(
     if clear:
         _clear_target(spark, raw_path, raw_table)
         _clear_target(spark, calc_path, calc_table)
-    raw = build_raw(read, tags, start, end, every, tiebreak=tiebreak)
-    upsert_table(spark, with_partition(raw), ["ds_timestamp"], path=raw_path, table=raw_table,
-                 partition_cols=[PARTITION_COL])
+    raw = build_raw(read, tags, start, end, every, keys=keys, tiebreak=tiebreak)
+    upsert_table(spark, with_partition(raw), upsert_keys, path=raw_path, table=raw_table, partition_cols=part)
     stored = spark.read.parquet(raw_path) if raw_path else spark.table(raw_table)
     lo_month, hi_month = int(start[:6]), int(end[:6])
     stored = stored.where(F.col(PARTITION_COL).between(lo_month, hi_month))
-    upsert_table(spark, with_partition(calc(stored, start, end)), ["ds_timestamp"], path=calc_path,
-                 table=calc_table, partition_cols=[PARTITION_COL])
+    upsert_table(spark, with_partition(calc(stored, start, end, keys=keys)), upsert_keys, path=calc_path,
+                 table=calc_table, partition_cols=part)
 
 
 def _clear_target(spark: SparkSession, path: str | None, table: str | None) -> None:

@@ -113,3 +113,18 @@ def test_sync_catalog_path_rewrites_only_incoming_hulls(spark, scratch):
     sync_catalog_path(spark, incoming, path)  # re-run: same result
     got = {(r.hnum, r.col_name): (r.id, r.description) for r in spark.read.parquet(path).collect()}
     assert got == {("H1", "a"): (1, "new"), ("H1", "c"): (None, "added"), ("H2", "a"): (4, "other")}
+
+
+def test_scope_join_broadcasts_the_bounded_hull_list(spark):
+    """A hull holding most rows never becomes one join task: the distinct hull list is broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [(i, "H1" if i % 3 else "H2", f"c{i}", "d") for i in range(300)]
+        existing = _cat(spark, rows)
+        incoming = spark.createDataFrame([("H1", "c1", "x")], "hnum string, col_name string, description string")
+        out = absent_keys(existing, incoming)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+        assert out.count() == sum(1 for i in range(300) if i % 3) - 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

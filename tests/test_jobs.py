@@ -131,3 +131,14 @@ def test_empty_source_warns_and_flows_through(spark, caplog):
         frames = resampled_sources(read, tb.TESTBED_TAGS, "20300101", "20300102", tiebreak=["seq"], warn_empty=True)
     assert len(frames) == 4 and all(f.count() == 0 for f in frames)
     assert sum("has no rows" in r.message for r in caplog.records) == 4
+
+
+def test_fleet_run_stores_every_hull(spark, scratch):
+    raw_p, calc_p = os.path.join(scratch, "fraw"), os.path.join(scratch, "fcalc")
+    read = tb.source_reader(spark, SF001)
+    run_hull(spark, read, tb.TESTBED_TAGS, tb.FIRST_DAY, tb.LAST_DAY, raw_p, calc_p, tiebreak=["seq"], keys=["hnum"])
+    expect = build_raw(read, tb.TESTBED_TAGS, tb.FIRST_DAY, tb.LAST_DAY, keys=["hnum"], tiebreak=["seq"])
+    stored = spark.read.parquet(raw_p).select(*expect.columns)
+    assert sorted(stored.collect()) == sorted(expect.collect())
+    assert {d for d in os.listdir(raw_p) if d.startswith("hnum=")} == {f"hnum=H000{i}" for i in range(tb.FLEET_SIZE)}
+    assert spark.read.parquet(calc_p).count() == expect.count()
