@@ -66,8 +66,7 @@ def align_first_inner(
     for f in frames:
         vals = [c for c in f.columns if c not in {time_col, date_col, *keys, *tiebreak}]
         values.extend(vals)
-        g = f.withColumn(bucket, floor_ms(F.col(time_col), every_ms))
-        g = first_row(g, join_cols, [time_col, *tiebreak])
-        firsts.append(g.select(*join_cols, *vals))
+        g = f.select(*keys, F.col(date_col), floor_ms(F.col(time_col), every_ms).alias(bucket), time_col, *tiebreak, *vals)
+        firsts.append(first_row(g, join_cols, [time_col, *tiebreak], drop=[time_col, *tiebreak]))
     joined = reduce(lambda left, right: left.join(right, join_cols, "inner"), firsts)
     return joined.select(*keys, text_to_ms(bucket_text(F.col(bucket))).alias(out_time_col), *values, date_col)

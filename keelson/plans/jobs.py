@@ -79,8 +79,8 @@ def resampled_sources(
             log.warning("source %s has no rows between %s and %s", table, start, end)
         # Without explicit tie-break columns, readings tied on the millisecond are
         # ordered by all their values (deterministic whole-row pick).
-        first = first_per_bucket(src, every, time_col=f"id_{table}", keys=keys, tiebreak=tiebreak or None)
-        frames.append(first.drop(*tiebreak))
+        frames.append(first_per_bucket(src, every, time_col=f"id_{table}", keys=keys, tiebreak=tiebreak or None,
+                                       drop_tiebreak=bool(tiebreak)))
     return frames
 
 

@@ -61,7 +61,7 @@ def _conformed(spark: SparkSession, sf: str, tags=GENERIC_TAGS) -> DataFrame:
 
 def _resampled(spark: SparkSession, sf: str, every_ms: int) -> DataFrame:
     conf = _conformed(spark, sf).drop("ds_date")
-    return first_per_bucket(conf, every_ms, time_col="id_source", keys=["source"], tiebreak=["seq"]).drop("seq")
+    return first_per_bucket(conf, every_ms, time_col="id_source", keys=["source"], tiebreak=["seq"], drop_tiebreak=True)
 
 
 def q_resample_first_15s(spark, sf):
@@ -115,7 +115,7 @@ def _hourly_frames(spark, sf) -> list[DataFrame]:
         one = conf.where(F.col("source") == et).select(
             F.col("id_source").alias(f"id_{et}"), "seq",
             F.col("value").alias(f"{et}_value"), F.col("flag").alias(f"{et}_flag"))
-        frames.append(first_per_bucket(one, HOUR_MS, time_col=f"id_{et}", tiebreak=["seq"]).drop("seq"))
+        frames.append(first_per_bucket(one, HOUR_MS, time_col=f"id_{et}", tiebreak=["seq"], drop_tiebreak=True))
     return frames
 
 

@@ -107,7 +107,7 @@ def source_reader(spark: SparkSession, sf_dir: str):
     readings = raw_readings(spark, sf_dir)
 
     def read(table_name: str) -> DataFrame:
-        return readings.where(F.col("source") == TABLE_EVENT[table_name]).drop("source")
+        return readings.where(F.col("source") == TABLE_EVENT[table_name])
 
     return read
 
