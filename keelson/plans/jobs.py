@@ -75,6 +75,7 @@ def resampled_sources(
         if src is None:
             log.warning("source %s has no catalogued tags; skipped", table)
             continue
+        prepare(src.sparkSession)  # epoch -> timestamp conversions assume a UTC session
         if warn_empty and src.isEmpty():
             log.warning("source %s has no rows between %s and %s", table, start, end)
         # Without explicit tie-break columns, readings tied on the millisecond are

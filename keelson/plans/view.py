@@ -7,6 +7,7 @@ from typing import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from keelson.operators.align import align_first_inner
+from keelson.session import prepare
 from keelson.sources.scans import TableReader, project_source
 from keelson.sources.tagcatalog import Tag, ordered_sources
 
@@ -26,6 +27,7 @@ def minute_view(
         for table, table_tags in ordered_sources(tags)
         if table_tags
     ]
+    prepare(frames[0].sparkSession)  # bucket texts are UTC wall-clock times
     return align_first_inner(frames, every, time_col="id", date_col=date_col, keys=keys, tiebreak=tiebreak)
 
 

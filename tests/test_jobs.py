@@ -142,3 +142,14 @@ def test_fleet_run_stores_every_hull(spark, scratch):
     assert sorted(stored.collect()) == sorted(expect.collect())
     assert {d for d in os.listdir(raw_p) if d.startswith("hnum=")} == {f"hnum=H000{i}" for i in range(tb.FLEET_SIZE)}
     assert spark.read.parquet(calc_p).count() == expect.count()
+
+
+def test_library_entry_points_pin_utc(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Seoul")
+    try:
+        raw = build_raw(tb.source_reader(spark, SF001), tb.TESTBED_TAGS, tb.FIRST_DAY, tb.LAST_DAY, tiebreak=["seq"])
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+        first = raw.orderBy("ds_timestamp").first()
+        assert first.ds_timestamp.second % 15 == 0 and first.ds_timestamp.hour < 24
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
