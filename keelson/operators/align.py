@@ -31,13 +31,17 @@ def align_left(frames: Sequence[DataFrame | None], on: Iterable[str] = ("ds_time
         missing = [c for c in on if c not in f.columns]
         if missing:
             raise ValueError(f"source lacks join columns {missing}")
+    _check_disjoint([[c for c in f.columns if c not in on] for f in present])
+    return reduce(lambda left, right: left.join(right, on, how), present)
+
+
+def _check_disjoint(column_lists: Sequence[Sequence[str]]) -> None:
     seen: set[str] = set()
-    for f in present:
-        overlap = (set(f.columns) - set(on)) & seen
+    for cols in column_lists:
+        overlap = set(cols) & seen
         if overlap:
             raise ValueError(f"columns {sorted(overlap)} come from more than one source")
-        seen |= set(f.columns) - set(on)
-    return reduce(lambda left, right: left.join(right, on, how), present)
+        seen |= set(cols)
 
 
 def align_first_inner(
@@ -62,9 +66,10 @@ def align_first_inner(
         raise ValueError("the minute view needs a bucket width in whole minutes")
     bucket = "__bucket_ms"
     join_cols = [*keys, date_col, bucket]
+    per_frame = [[c for c in f.columns if c not in {time_col, date_col, *keys, *tiebreak}] for f in frames]
+    _check_disjoint(per_frame)
     firsts, values = [], []
-    for f in frames:
-        vals = [c for c in f.columns if c not in {time_col, date_col, *keys, *tiebreak}]
+    for f, vals in zip(frames, per_frame):
         values.extend(vals)
         g = f.select(*keys, F.col(date_col), floor_ms(F.col(time_col), every_ms).alias(bucket), time_col, *tiebreak, *vals)
         firsts.append(first_row(g, join_cols, [time_col, *tiebreak], drop=[time_col, *tiebreak]))

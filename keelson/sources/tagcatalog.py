@@ -10,6 +10,7 @@ same derivations also exist as DataFrames (``source_priority``,
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 from typing import Iterable, Sequence
 
@@ -61,7 +62,11 @@ def validate(tags: Sequence[Tag]) -> str:
     """Check one catalog file: one hull, one database, accepted types, unique names. Returns the hull."""
     if not tags:
         raise ValueError("empty tag catalog")
-    hulls = {t.hnum.strip().upper() for t in tags if t.hnum}
+    incomplete = [t.col_name for t in tags
+                  if not all((t.hnum, t.col_name, t.db_name, t.table_name, t.tag, t.data_type))]
+    if incomplete:
+        raise ValueError(f"catalog rows lack a hull, name, database, table, tag or type: {incomplete[:10]}")
+    hulls = {t.hnum.strip().upper() for t in tags}
     if len(hulls) != 1:
         raise ValueError(f"a catalog must describe exactly one hull, found {sorted(hulls)}")
     dbs = {t.db_name for t in tags}
@@ -70,8 +75,8 @@ def validate(tags: Sequence[Tag]) -> str:
     bad = [(t.col_name, t.data_type) for t in tags if t.data_type not in CATALOG_TYPES]
     if bad:
         raise ValueError(f"unsupported data types {bad}")
-    names = [t.col_name for t in tags]
-    dup = sorted({n for n in names if names.count(n) > 1})
+    counts = Counter(t.col_name for t in tags)
+    dup = sorted(n for n, k in counts.items() if k > 1)
     if dup:
         raise ValueError(f"duplicate column names {dup}")
     return hulls.pop()

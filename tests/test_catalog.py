@@ -46,6 +46,7 @@ def _tag(name, table="h_ias_pivot", dtype="FLOAT", hull="H1", db="db"):
     ([_tag("a"), _tag("b", db="other")], "one database"),
     ([_tag("a", dtype="VARCHAR")], "unsupported"),
     ([_tag("a"), _tag("a", table="x")], "duplicate"),
+    ([_tag("a"), _tag("b", hull=None)], "lack"),
 ])
 def test_validate_rejects(tags, msg):
     with pytest.raises(ValueError, match=msg):
