@@ -106,7 +106,9 @@ def sync_catalog_path(
     cols = existing.columns
     rows = incoming.drop(id_col) if id_col and id_col in incoming.columns else incoming
     if id_col and id_col in cols:
-        rows = rows.join(existing.select(*keys, id_col), list(keys), "left")
+        # ids only exist in the incoming hulls' partitions: read just those
+        ids = _scope_join(existing.select(*keys, id_col), incoming, list(scope), "left_semi")
+        rows = rows.join(ids, list(keys), "left")
     staging = f"{checkpoint_dir(spark)}/keelson-catalog-{uuid.uuid4().hex}"
     rows.select(*cols).write.mode("overwrite").partitionBy(*scope).parquet(staging)
     (spark.read.parquet(staging).select(*cols).write.mode("overwrite")
