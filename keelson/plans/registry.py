@@ -514,25 +514,26 @@ _REVISE = "SELECT * REPLACE (CAST(NULL AS FLOAT) AS vdr_relative_wind_speed, me1
 def _catalog_ctes() -> list[str]:
     key = "c_custkey"
     nk = "lpad(CAST(c_nationkey AS VARCHAR), 4, '0')"
-    family = f"CASE {key} % 4 WHEN 0 THEN 'cams' WHEN 1 THEN 'ias' WHEN 2 THEN 'ams' ELSE 'vdr' END"
+    family = ("CASE c_mktsegment " + " ".join(f"WHEN '{seg}' THEN '{fam}'" for seg, fam in tb.SEGMENT_FAMILY.items())
+              + " ELSE 'vdr' END")
     dtype = (f"CASE WHEN {key} % 53 = 0 THEN 'VARCHAR' WHEN {key} % 10 < 6 THEN 'FLOAT' "
              f"WHEN {key} % 10 < 8 THEN 'BOOLEAN' WHEN {key} % 10 = 8 THEN 'DOUBLE' ELSE 'INTEGER' END")
     existing = f"""existing AS (
   SELECT {key} AS id, 'H' || {nk} AS hnum, lower(c_name) AS col_name,
-         'fleet' || CAST(c_nationkey % 5 AS VARCHAR) AS db_name,
+         'fleet' || CAST(n_regionkey AS VARCHAR) AS db_name,
          'h' || {nk} || '_' || {family} || '_' || lower(c_mktsegment) || '_pivot' AS table_name,
          't' || CAST({key} AS VARCHAR) AS tag, c_mktsegment AS description,
          CASE WHEN c_acctbal < 0 THEN 'kn' ELSE 'kg/h' END AS unit, {dtype} AS data_type
-  FROM customer)"""
-    cols = "hnum, col_name, db_name, table_name, tag, description, unit, data_type"
+  FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey)"""
+    quiet = f"'fleet{tb.QUIET_REGION}'"
     incoming = f"""incoming AS (
   SELECT hnum, col_name, db_name, table_name, tag,
-         CASE WHEN id % 3 = 1 THEN lower(description) ELSE description END AS description, unit, data_type
-  FROM existing WHERE db_name <> 'fleet4' AND id % 3 <> 0
+         CASE WHEN description = '{tb.CHANGED_SEGMENT}' THEN lower(description) ELSE description END AS description,
+         unit, data_type
+  FROM existing WHERE db_name <> {quiet} AND description <> '{tb.DROPPED_SEGMENT}'
   UNION ALL
   SELECT hnum, col_name || '_b', db_name, table_name, tag, description, unit, data_type
-  FROM existing WHERE db_name <> 'fleet4' AND id % 5 = 0)"""
-    del cols
+  FROM existing WHERE db_name <> {quiet} AND description = '{tb.ADDED_SEGMENT}')"""
     return [existing, incoming]
 
 

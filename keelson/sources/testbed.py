@@ -116,12 +116,28 @@ def _hull(nationkey: Column) -> Column:
     return F.concat(F.lit("H"), F.lpad(nationkey.cast("string"), 4, "0"))
 
 
+# Source family of each market segment (it decides the priority of the segment's tables).
+SEGMENT_FAMILY = {"AUTOMOBILE": "cams", "BUILDING": "ias", "FURNITURE": "ams", "HOUSEHOLD": "vdr", "MACHINERY": "ias"}
+
+# How the incoming catalog files differ from the stored catalog. Hulls of the quiet
+# region send no new files; the dropped segment's tags are gone, the changed segment's descriptions
+# are rewritten (lower case) and the added segment's tags come with a second key ('<name>_b').
+QUIET_REGION = 4
+DROPPED_SEGMENT, CHANGED_SEGMENT, ADDED_SEGMENT = "AUTOMOBILE", "HOUSEHOLD", "MACHINERY"
+
+
 def customer_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored fleet catalog from ``customer``: hull = nation, one catalog row per customer, id = c_custkey."""
+    """Stored fleet catalog from ``customer``: hull = nation, database = the nation's region,
+    source table = hull + segment, one catalog row (tag) per customer, id = c_custkey."""
     prepare(spark)
     c = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    key = F.col("c_custkey")
-    family = (F.when(key % 4 == 0, "cams").when(key % 4 == 1, "ias").when(key % 4 == 2, "ams").otherwise("vdr"))
+    regions = spark.read.parquet(f"{sf_dir}/nation.parquet").select(
+        F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
+    c = c.join(regions, "c_nationkey", "left")
+    key, segment = F.col("c_custkey"), F.col("c_mktsegment")
+    family = F.lit("vdr")
+    for seg, fam in reversed(list(SEGMENT_FAMILY.items())):
+        family = F.when(segment == seg, F.lit(fam)).otherwise(family)
     dtype = (F.when(key % 53 == 0, "VARCHAR").when(key % 10 < 6, "FLOAT").when(key % 10 < 8, "BOOLEAN")
              .when(key % 10 == 8, "DOUBLE").otherwise("INTEGER"))
     nk = F.lpad(F.col("c_nationkey").cast("string"), 4, "0")
@@ -129,22 +145,22 @@ def customer_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
         key.alias("id"),
         _hull(F.col("c_nationkey")).alias("hnum"),
         F.lower(F.col("c_name")).alias("col_name"),
-        F.concat(F.lit("fleet"), (F.col("c_nationkey") % 5).cast("string")).alias("db_name"),
-        F.concat(F.lit("h"), nk, F.lit("_"), family, F.lit("_"), F.lower(F.col("c_mktsegment")), F.lit("_pivot")).alias("table_name"),
+        F.concat(F.lit("fleet"), F.col("n_regionkey").cast("string")).alias("db_name"),
+        F.concat(F.lit("h"), nk, F.lit("_"), family, F.lit("_"), F.lower(segment), F.lit("_pivot")).alias("table_name"),
         F.concat(F.lit("t"), key.cast("string")).alias("tag"),
-        F.col("c_mktsegment").alias("description"),
+        segment.alias("description"),
         F.when(F.col("c_acctbal") < 0, "kn").otherwise("kg/h").alias("unit"),
         dtype.alias("data_type"),
     )
 
 
 def incoming_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """New catalog files for the hulls outside fleet4: a third of the keys dropped,
-    a third with a changed description, and a new key for every fifth customer."""
-    cat = customer_catalog(spark, sf_dir).where(F.col("db_name") != "fleet4")
-    kept = cat.where(F.col("id") % 3 != 0).withColumn(
-        "description", F.when(F.col("id") % 3 == 1, F.lower(F.col("description"))).otherwise(F.col("description")))
-    added = cat.where(F.col("id") % 5 == 0).withColumn("col_name", F.concat(F.col("col_name"), F.lit("_b")))
+    """New catalog files for every hull outside the quiet region (see the fixed values above)."""
+    cat = customer_catalog(spark, sf_dir).where(F.col("db_name") != F.lit(f"fleet{QUIET_REGION}"))
+    desc = F.col("description")
+    kept = cat.where(desc != DROPPED_SEGMENT).withColumn(
+        "description", F.when(desc == CHANGED_SEGMENT, F.lower(desc)).otherwise(desc))
+    added = cat.where(desc == ADDED_SEGMENT).withColumn("col_name", F.concat(F.col("col_name"), F.lit("_b")))
     return kept.unionByName(added).select(*CATALOG_COLUMNS)
 
 
