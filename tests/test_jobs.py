@@ -153,3 +153,19 @@ def test_library_entry_points_pin_utc(spark):
         assert first.ds_timestamp.second % 15 == 0 and first.ds_timestamp.hour < 24
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_calc_invariants_on_the_pipeline(spark):
+    from conftest import SF01
+    from pyspark.sql import Window
+    out = calc(build_raw(tb.source_reader(spark, SF01), tb.TESTBED_TAGS, tb.FIRST_DAY, tb.LAST_DAY, tiebreak=["seq"]),
+               tb.FIRST_DAY, tb.LAST_DAY)
+    bad_angle = out.where(F.col("true_wind_angle").isNotNull()
+                          & ~((F.col("true_wind_angle") >= 0) & (F.col("true_wind_angle") < 360))).count()
+    assert bad_angle == 0
+    w = Window.orderBy("true_wind_speed", "ds_timestamp")
+    drops = (out.where(F.col("true_wind_speed").isNotNull())
+             .withColumn("prev", F.lag("beaufort_number").over(w))
+             .where(F.col("beaufort_number") < F.col("prev")).count())
+    assert drops == 0  # Beaufort class never decreases as speed grows
+    assert out.select("ds_timestamp").distinct().count() == out.count()  # key unique
