@@ -169,3 +169,17 @@ def test_calc_invariants_on_the_pipeline(spark):
              .where(F.col("beaufort_number") < F.col("prev")).count())
     assert drops == 0  # Beaufort class never decreases as speed grows
     assert out.select("ds_timestamp").distinct().count() == out.count()  # key unique
+
+
+def test_view_date_predicate_reaches_every_source_partition(spark, scratch):
+    readings = tb.raw_readings(spark, SF001)
+    for event, table in tb.EVENT_SOURCES.items():
+        (readings.where(F.col("source") == event).drop("source")
+         .write.partitionBy("ds_date").parquet(os.path.join(scratch, table)))
+    view = minute_view(lambda name: spark.read.parquet(os.path.join(scratch, name)), tb.TESTBED_TAGS, "1 hour",
+                       tiebreak=["seq"])
+    one_day = view.where(F.col("ds_date") == "20240105")
+    import re
+    plan = one_day._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"PartitionFilters: \[[^\]]*ds_date#\d+ = 20240105", plan)) == 4  # one per source scan
+    assert sorted(one_day.collect()) == sorted(r for r in view.collect() if r.ds_date == "20240105")
