@@ -49,8 +49,9 @@ def build_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for staging and lineage cuts.
 
-    Read from ``spark.checkpoint.dir`` (the cluster names a shared folder there);
-    only when nothing is configured -- local tests -- a scratch folder is created.
+    Read from ``spark.checkpoint.dir`` (the cluster names a shared folder there).
+    Only a local-mode session without one (tests) gets a scratch folder; on a
+    cluster a missing setting is an error, never a machine-local folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -60,6 +61,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor shares (staging and lineage cuts)")
     local = tempfile.mkdtemp(prefix="keelson-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
