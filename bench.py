@@ -20,6 +20,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from keelson.plans.registry import QUERIES  # noqa: E402
 from keelson.session import build_session  # noqa: E402
 
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+          "embeddings", "pages", "benchmark", "labels", "conversations")
+
 HEADLINE = [
     "resample_first_15s",
     "resample_first_1h",
@@ -87,15 +90,18 @@ def oracle_times(sf_dir: str, cpus: int) -> dict[str, float]:
 
     con = duckdb.connect()
     con.execute(f"SET threads = {cpus}")
-    for t in ("customer", "events"):
+    for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     sql = oracle()
-    res = {}
+    res: dict[str, float | None] = {}
     for name in HEADLINE:
-        con.execute(sql[name]).fetchall()
-        t0 = time.perf_counter()
-        con.execute(sql[name]).fetchall()
-        res[name] = round(time.perf_counter() - t0, 3)
+        try:
+            con.execute(sql[name]).fetchall()
+            t0 = time.perf_counter()
+            con.execute(sql[name]).fetchall()
+            res[name] = round(time.perf_counter() - t0, 3)
+        except Exception:
+            res[name] = None
     return res
 
 
