@@ -129,3 +129,17 @@ def test_scope_join_broadcasts_the_bounded_hull_list(spark):
         assert out.count() == sum(1 for i in range(300) if i % 3) - 1
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_schema_contract(spark):
+    from pyspark.sql.types import FloatType, LongType, StructField, StructType
+    from keelson.operators.contract import assert_schema, enforce_schema, schema_violations
+    df = spark.createDataFrame([(1, 2.0, "x")], "id_a bigint, v double, extra string")
+    declared = StructType([StructField("id_a", LongType()), StructField("v", FloatType()), StructField("w", FloatType())])
+    assert schema_violations(df.schema, declared) == [("v", "float", "double"), ("w", "float", None)]
+    with pytest.raises(ValueError, match="schema contract"):
+        assert_schema(df, declared)
+    with pytest.raises(ValueError, match="lacks declared columns"):
+        enforce_schema(df, declared)
+    fixed = enforce_schema(df.withColumn("w", F.lit(None)), declared)
+    assert fixed.schema == declared and schema_violations(fixed.schema, declared) == []

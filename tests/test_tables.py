@@ -53,3 +53,14 @@ def test_external_table_rejects_unsupported_types(spark, scratch):
     bad = StructType([StructField("cola", DoubleType()), StructField("tags", ArrayType(DoubleType()))])
     with pytest.raises(ValueError, match="unsupported column types"):
         T.create_external_table(spark, "default", "bad_ext", bad, os.path.join(scratch, "bad"))
+
+
+def test_persistent_view(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS dvtest")
+    spark.createDataFrame([(1, "20240101"), (2, "20240102")], "v int, ds_date string").write.mode("overwrite") \
+        .saveAsTable("dvtest.view_src")
+    T.create_or_replace_view(spark, "dvtest.one_day", "SELECT v FROM dvtest.view_src WHERE ds_date = '20240101'")
+    T.create_or_replace_view(spark, "dvtest.one_day", "SELECT v FROM dvtest.view_src WHERE ds_date = '20240102'")
+    assert [r.v for r in spark.table("dvtest.one_day").collect()] == [2]
+    spark.sql("DROP VIEW dvtest.one_day")
+    spark.sql("DROP TABLE dvtest.view_src")
