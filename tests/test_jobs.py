@@ -183,3 +183,15 @@ def test_view_date_predicate_reaches_every_source_partition(spark, scratch):
     plan = one_day._jdf.queryExecution().executedPlan().toString()
     assert len(re.findall(r"PartitionFilters: \[[^\]]*ds_date#\d+ = 20240105", plan)) == 4  # one per source scan
     assert sorted(one_day.collect()) == sorted(r for r in view.collect() if r.ds_date == "20240105")
+
+
+def test_one_day_matches_the_catalog_schema(spark):
+    """Schema from the catalog, one fixed day queried, every declared column present with its declared type."""
+    import pytest
+    from keelson.operators.contract import schema_violations
+    schema = wide_schema(tb.TESTBED_TAGS)
+    day = build_raw(tb.source_reader(spark, SF001), tb.TESTBED_TAGS, "20240105", "20240105", tiebreak=["seq"])
+    if day.isEmpty():
+        pytest.skip("no readings on the test day")
+    assert set(schema.names) <= set(day.columns)
+    assert schema_violations(day.schema, schema) == []
