@@ -175,6 +175,12 @@ def run_hull(
     if clear:
         _clear_target(spark, raw_path, raw_table)
         _clear_target(spark, calc_path, calc_table)
+    if not keys:  # single-hull catalog tables are declared from the catalog up front (IF NOT EXISTS)
+        from keelson.plans.tables import create_calc_table, create_raw_table
+        if raw_table is not None:
+            create_raw_table(spark, raw_table, tags)
+        if calc_table is not None:
+            create_calc_table(spark, calc_table)
     raw = build_raw(read, tags, start, end, every, keys=keys, tiebreak=tiebreak)
     upsert_table(spark, with_partition(raw), upsert_keys, path=raw_path, table=raw_table, partition_cols=part)
     stored = spark.read.parquet(raw_path) if raw_path else spark.table(raw_table)

@@ -99,6 +99,9 @@ def test_run_hull_into_catalog_tables_and_clear(spark):
     m = spark.table("h2521_raw_t").count()
     assert 0 < m < n  # cleared, then only the two days loaded
     assert spark.table("h2521_calc_t").count() == m
+    expect = build_raw(read, tb.TESTBED_TAGS, "20240105", "20240106", tiebreak=["seq"])
+    assert sorted(spark.table("h2521_raw_t").select(*expect.columns).collect()) == sorted(expect.collect())
+    assert spark.table("h2521_raw_t").columns == wide_schema(tb.TESTBED_TAGS).names + ["ds_month"]
 
 
 def test_sync_catalog_file(spark, scratch):
