@@ -76,9 +76,23 @@ def _k() -> Column:
     return F.get_json_object(F.col("props"), "$.k").cast("int")
 
 
+def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table resolved through the session catalog, like any source table.
+
+    The parquet file is registered once per session as a temporary view; later
+    plans resolve the view instead of listing the file and reading its footer again.
+    """
+    import hashlib
+
+    view = f"keelson_{name}_{hashlib.sha1(sf_dir.rstrip('/').encode()).hexdigest()[:12]}"
+    if not spark.catalog.tableExists(view):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(view)
+    return spark.table(view)
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return driver_table(spark, sf_dir, "events")
 
 
 def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,8 +144,8 @@ def customer_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored fleet catalog from ``customer``: hull = nation, database = the nation's region,
     source table = hull + segment, one catalog row (tag) per customer, id = c_custkey."""
     prepare(spark)
-    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    regions = spark.read.parquet(f"{sf_dir}/nation.parquet").select(
+    c = driver_table(spark, sf_dir, "customer")
+    regions = driver_table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
     c = c.join(regions, "c_nationkey", "left")
     key, segment = F.col("c_custkey"), F.col("c_mktsegment")
