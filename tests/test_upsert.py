@@ -74,3 +74,19 @@ def test_upsert_counts_null_keys_and_rejects_duplicates(spark, scratch):
     with pytest.raises(ValueError, match="more than once"):
         upsert_table(spark, dup, path=path, partition_cols=["ds_month"])
     assert spark.read.parquet(path).count() == 2  # target untouched
+
+
+def test_merge_reuses_first_row_partitioning(spark):
+    from keelson.operators.resample import first_per_bucket
+    t0 = 1_704_067_200_000
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        def load(times):
+            df = spark.createDataFrame([(t, i, float(i)) for i, t in enumerate(times)], "id long, seq long, v double")
+            return first_per_bucket(df, "15s", tiebreak=["seq"], drop_tiebreak=True)
+        merged = merge_frames(load([t0, t0 + 15_000]), load([t0 + 15_000, t0 + 30_000]))
+        assert merged.count() == 3
+        plan = merged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("Exchange hashpartitioning") == 2 and "SortMergeJoin" in plan  # one per load, none for the merge
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
