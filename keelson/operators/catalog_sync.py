@@ -101,7 +101,7 @@ def sync_catalog_path(
         existing = None
     if existing is None:
         out = incoming if id_col is None else incoming.withColumn(id_col, F.lit(None).cast("long"))
-        out.write.mode("overwrite").partitionBy(*scope).parquet(path)
+        out.repartition(*scope).write.mode("overwrite").partitionBy(*scope).parquet(path)
         return
     cols = existing.columns
     rows = incoming.drop(id_col) if id_col and id_col in incoming.columns else incoming
@@ -110,7 +110,8 @@ def sync_catalog_path(
         ids = _scope_join(existing.select(*keys, id_col), incoming, list(scope), "left_semi")
         rows = rows.join(ids, list(keys), "left")
     staging = f"{checkpoint_dir(spark)}/keelson-catalog-{uuid.uuid4().hex}"
-    rows.select(*cols).write.mode("overwrite").partitionBy(*scope).parquet(staging)
+    # one hull's catalog is small (its table width): cluster by hull so each hull is one file
+    rows.select(*cols).repartition(*scope).write.mode("overwrite").partitionBy(*scope).parquet(staging)
     (spark.read.parquet(staging).select(*cols).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*scope).parquet(path))
     remove_path(spark, staging)

@@ -81,6 +81,7 @@ def upsert_table(
     partition_cols: Sequence[str] = (),
     sort_col: str | None = "ds_timestamp",
     check_unique: bool = True,
+    files_per_partition: int = 1,
 ) -> int:
     """Upsert ``source`` into a catalog ``table`` or a Parquet folder ``path``.
 
@@ -88,6 +89,13 @@ def upsert_table(
     could never match, so every re-run would add them again). With
     ``check_unique`` a key that occurs twice in the source is an error, raised
     before the target is touched -- as a SQL MERGE would refuse it.
+
+    Partitioned writes are clustered by the partition columns first, so each
+    partition is written as ``files_per_partition`` files instead of one small
+    file per task. A raw or calc partition (one hull-month) is bounded by the
+    bucketing -- at most 31 days x 5,760 buckets -- so one task per partition
+    cannot be handed an unbounded share; for other layouts raise
+    ``files_per_partition`` to split each partition over that many tasks.
     """
     keys = list(keys)
     if (table is None) == (path is None):
@@ -106,7 +114,8 @@ def upsert_table(
     run = f"{checkpoint_dir(spark)}/keelson-upsert-{uuid.uuid4().hex}"
     # 1. The source is computed exactly once: staged in the shared folder (this also
     #    cuts its lineage, so a lost executor never re-runs the whole load).
-    source.select(*columns).write.mode("overwrite").partitionBy(*partition_cols).parquet(f"{run}/source")
+    cluster = lambda df: _clustered(df, partition_cols, keys, files_per_partition)
+    cluster(source.select(*columns)).write.mode("overwrite").partitionBy(*partition_cols).parquet(f"{run}/source")
     staged_all = spark.read.parquet(f"{run}/source").select(*columns)
     null_keys = staged_all.where(~_not_null(keys)).count()
     if null_keys:
@@ -118,7 +127,7 @@ def upsert_table(
             remove_path(spark, run)
             raise ValueError(f"source key {[dup[0][k] for k in keys]} occurs more than once")
     if existing is None:
-        _write(staged_source, table, path, partition_cols, sort_col, mode="overwrite", dynamic=False)
+        _write(cluster(staged_source), table, path, partition_cols, sort_col, mode="overwrite", dynamic=False)
         remove_path(spark, run)
         return null_keys
     target = existing
@@ -137,7 +146,8 @@ def upsert_table(
     # 3. Merge, stage the result, then swap the touched partitions in: the final
     #    write never reads the partitions it replaces.
     merged = merge_frames(target, staged_source, keys)
-    _sorted(merged, partition_cols, sort_col).write.mode("overwrite").partitionBy(*partition_cols).parquet(f"{run}/merged")
+    _sorted(cluster(merged), partition_cols, sort_col).write.mode("overwrite").partitionBy(*partition_cols).parquet(
+        f"{run}/merged")
     staged = spark.read.parquet(f"{run}/merged").select(*existing.columns)
     _write(staged, table, path, partition_cols, sort_col, mode="overwrite", dynamic=bool(partition_cols))
     remove_path(spark, run)
@@ -159,6 +169,15 @@ def remove_path(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def _clustered(df: DataFrame, partition_cols: Sequence[str], keys: Sequence[str], files: int) -> DataFrame:
+    """Rows of one partition value go to the same ``files`` tasks (hash of the key spreads them)."""
+    if not partition_cols:
+        return df
+    if files <= 1:
+        return df.repartition(*partition_cols)
+    return df.repartition(*partition_cols, F.pmod(F.xxhash64(*keys), F.lit(files)))
+
+
 def _read_existing(spark: SparkSession, table: str | None, path: str | None) -> DataFrame | None:
     if table is not None:
         return spark.table(table) if spark.catalog.tableExists(table) else None

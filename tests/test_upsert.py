@@ -90,3 +90,15 @@ def test_merge_reuses_first_row_partitioning(spark):
         assert plan.count("Exchange hashpartitioning") == 2 and "SortMergeJoin" in plan  # one per load, none for the merge
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_partitioned_writes_make_one_file_per_partition(spark, scratch):
+    path = os.path.join(scratch, "compact")
+    rows = [(D(2024, m, d), float(d), 1.0, 202400 + m) for m in (1, 2) for d in range(1, 28)]
+    df = _t(spark, rows).repartition(8)
+    upsert_table(spark, df, path=path, partition_cols=["ds_month"])
+    upsert_table(spark, _t(spark, [(D(2024, 1, 3), 9.0, 9.0, 202401)]).repartition(3), path=path, partition_cols=["ds_month"])
+    for month in ("ds_month=202401", "ds_month=202402"):
+        files = [f for f in os.listdir(os.path.join(path, month)) if f.endswith(".parquet")]
+        assert len(files) == 1, (month, files)
+    assert spark.read.parquet(path).count() == len(rows)
