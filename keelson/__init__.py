@@ -9,6 +9,14 @@ plans      jobs that chain the steps (raw table, calc table, minute view, catalo
 streaming  nothing: the workload is batch (see the module docstring)
 """
 
-from keelson.session import build_session, prepare, checkpoint_dir  # noqa: F401
+from keelson.session import build_session, checkpoint_dir, prepare  # noqa: F401
+from keelson.plans.jobs import build_raw, calc, run_hull, sync_catalog_file  # noqa: F401, E402
+from keelson.plans.view import minute_view  # noqa: F401, E402
+from keelson.sources.tagcatalog import catalog_rows, read_catalog  # noqa: F401, E402
+from keelson.sources.scans import table_reader  # noqa: F401, E402
 
-__all__ = ["build_session", "prepare", "checkpoint_dir"]
+__all__ = [
+    "build_session", "prepare", "checkpoint_dir",
+    "read_catalog", "catalog_rows", "table_reader",
+    "build_raw", "calc", "minute_view", "run_hull", "sync_catalog_file",
+]
