@@ -136,13 +136,7 @@ def upsert_table(
         #    values are few (one per month of the load window) and come from the
         #    staged copy's partition folders; as a literal filter they prune the scan.
         touched = staged_source.select(*partition_cols).distinct().collect()
-        cond = F.lit(False)
-        for row in touched:
-            one = F.lit(True)
-            for c in partition_cols:
-                one = one & (F.col(c).eqNullSafe(F.lit(row[c])))
-            cond = cond | one
-        target = existing.where(cond)
+        target = existing.where(_partition_filter(partition_cols, touched))
     # 3. Merge, stage the result, then swap the touched partitions in: the final
     #    write never reads the partitions it replaces.
     merged = merge_frames(target, staged_source, keys)
@@ -169,6 +163,26 @@ def remove_path(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def _partition_filter(partition_cols: Sequence[str], touched) -> "F.Column":
+    """Predicate selecting exactly the ``touched`` partition values.
+
+    One flat ``struct(cols) IN (...)`` list (a hash lookup once it is long), not a
+    chain of ORs whose depth would grow with the number of touched partitions;
+    only value tuples holding a NULL get a null-safe term of their own.
+    """
+    cols = list(partition_cols)
+    plain = [r for r in touched if all(r[c] is not None for c in cols)]
+    with_null = [r for r in touched if any(r[c] is None for c in cols)]
+    key = F.struct(*[F.col(c) for c in cols])
+    cond = key.isin([F.struct(*[F.lit(r[c]).alias(c) for c in cols]) for r in plain]) if plain else F.lit(False)
+    for r in with_null:
+        one = F.lit(True)
+        for c in cols:
+            one = one & F.col(c).eqNullSafe(F.lit(r[c]))
+        cond = cond | one
+    return cond
+
+
 def _clustered(df: DataFrame, partition_cols: Sequence[str], keys: Sequence[str], files: int) -> DataFrame:
     """Rows of one partition value go to the same ``files`` tasks (hash of the key spreads them)."""
     if not partition_cols:
