@@ -105,7 +105,10 @@ def upsert_table(
         for k in keys:
             eq = F.col(f"{table}.{k}") == F.col(f"s.{k}")
             cond = eq if cond is None else cond & eq
-        (source.where(_not_null(keys)).alias("s").mergeInto(table, cond)
+        # project onto the target's columns: helper columns such as the Parquet month partition are not
+        # part of a table that partitions by hidden transforms
+        target_cols = spark.table(table).columns
+        (source.where(_not_null(keys)).select(*target_cols).alias("s").mergeInto(table, cond)
          .whenMatched().updateAll().whenNotMatched().insertAll().merge())
         return 0
 

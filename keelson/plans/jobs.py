@@ -155,6 +155,7 @@ def run_hull(
     calc_table: str | None = None,
     clear: bool = False,
     keys: Iterable[str] = (),
+    table_format: str = "parquet",
 ) -> None:
     """Load days [start, end] ('yyyyMMdd', inclusive) of one hull -- or, with
     ``keys=("hnum",)``, of every hull sharing the tag list, in one job.
@@ -163,7 +164,9 @@ def run_hull(
     stored raw table. Targets are Parquet folders (``raw_path`` / ``calc_path``)
     or catalog tables (``raw_table`` / ``calc_table``), partitioned by the keys
     and the month. ``clear`` first drops both targets -- off by default, it
-    deletes stored history.
+    deletes stored history. ``table_format="iceberg"`` (or ``"delta"``) declares the
+    catalog tables in that format -- hidden yearly partitioning, loaded with MERGE --
+    when the session has that format's catalog.
     """
     keys = list(keys)
     part = [*keys, PARTITION_COL]
@@ -178,9 +181,9 @@ def run_hull(
     if not keys:  # single-hull catalog tables are declared from the catalog up front (IF NOT EXISTS)
         from keelson.plans.tables import create_calc_table, create_raw_table
         if raw_table is not None:
-            create_raw_table(spark, raw_table, tags)
+            create_raw_table(spark, raw_table, tags, provider=table_format)
         if calc_table is not None:
-            create_calc_table(spark, calc_table)
+            create_calc_table(spark, calc_table, provider=table_format)
     raw = build_raw(read, tags, start, end, every, keys=keys, tiebreak=tiebreak)
     upsert_table(spark, with_partition(raw), upsert_keys, path=raw_path, table=raw_table, partition_cols=part)
     stored = spark.read.parquet(raw_path) if raw_path else spark.table(raw_table)

@@ -47,25 +47,61 @@ CURATED_PROPERTIES = {
 }
 
 
+# Table properties of curated tables in a table format that supports MERGE.
+TABLE_FORMAT_PROPERTIES = {
+    "format-version": "2",
+    "write.format.default": "parquet",
+    "write.parquet.compression-codec": "snappy",
+    "write.target-file-size-bytes": "268435456",
+}
+
+
+def _create_format_table(spark: SparkSession, name: str, schema: StructType, provider: str) -> None:
+    """Empty table in a MERGE-capable format with hidden yearly partitioning on ds_timestamp.
+
+    Needs the format's catalog on the session (not available in this repository's
+    test environment, so this branch is untested here).
+    """
+    from pyspark.sql.functions import partitioning
+
+    if spark.catalog.tableExists(name):
+        return
+    writer = spark.createDataFrame([], schema).writeTo(name).using(provider)
+    writer = writer.partitionedBy(partitioning.years("ds_timestamp"))
+    for k, v in (TABLE_FORMAT_PROPERTIES if provider == "iceberg" else {}).items():
+        writer = writer.tableProperty(k, v)
+    writer.create()
+
+
 def create_raw_table(spark: SparkSession, name: str, tags, location: str | None = None, hull: str | None = None,
-                     partition_col: str = "ds_month") -> StructType:
-    """Wide raw table of a hull from its tag catalog (plus the monthly partition column). Returns its schema."""
+                     partition_col: str = "ds_month", provider: str = "parquet") -> StructType:
+    """Wide raw table of a hull from its tag catalog. Returns its schema.
+
+    ``parquet``: plus the monthly partition column (copy-on-write upserts);
+    ``iceberg`` / ``delta``: hidden yearly partitioning, upserted with MERGE.
+    """
     from pyspark.sql.types import IntegerType, StructField
 
     from keelson.sources.tagcatalog import wide_schema
 
     schema = wide_schema(tags, hull)
+    if provider != "parquet":
+        _create_format_table(spark, name, schema, provider)
+        return schema
     full = StructType([*schema.fields, StructField(partition_col, IntegerType(), True)])
     create_table(spark, name, full, [partition_col], location, CURATED_PROPERTIES)
     return schema
 
 
 def create_calc_table(spark: SparkSession, name: str, location: str | None = None,
-                      partition_col: str = "ds_month") -> StructType:
+                      partition_col: str = "ds_month", provider: str = "parquet") -> StructType:
     from pyspark.sql.types import IntegerType, StructField
 
     from keelson.plans.jobs import CALC_SCHEMA
 
+    if provider != "parquet":
+        _create_format_table(spark, name, CALC_SCHEMA, provider)
+        return CALC_SCHEMA
     full = StructType([*CALC_SCHEMA.fields, StructField(partition_col, IntegerType(), True)])
     create_table(spark, name, full, [partition_col], location, CURATED_PROPERTIES)
     return CALC_SCHEMA
