@@ -69,7 +69,7 @@ def sync_catalog(
     untouched = _scope_join(existing, incoming, scope, "left_anti")
     if id_col is None or id_col not in existing.columns:
         return untouched.unionByName(incoming.select(*untouched.columns))
-    ids = existing.select(*keys, id_col)
+    ids = _scope_join(existing.select(*keys, id_col), incoming, scope, "left_semi")  # only in-scope hulls can match
     upserted = incoming.drop(id_col).join(ids, keys, "left")
     return untouched.unionByName(upserted.select(*untouched.columns))
 
