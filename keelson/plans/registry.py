@@ -65,14 +65,17 @@ def _resampled(spark: SparkSession, sf: str, every_ms: int) -> DataFrame:
 
 
 def q_resample_first_15s(spark, sf):
+    """First reading per (event type, 15 s bucket), whole row, ties by event id."""
     return _resampled(spark, sf, QUARTER_MIN_MS)
 
 
 def q_resample_first_1h(spark, sf):
+    """First reading per (event type, 1 h bucket) -- most buckets hold several readings."""
     return _resampled(spark, sf, HOUR_MS)
 
 
 def q_first_in_minute(spark, sf):
+    """row_number() first-in-minute per (source, ds_date, minute) with the minute text and its epoch ms."""
     conf = _conformed(spark, sf).withColumn("__b", floor_ms("id_source", MINUTE_MS))
     first = first_row(conf, ["source", "ds_date", "__b"], ["id_source", "seq"])
     minute = bucket_text(F.col("__b"))
@@ -81,25 +84,30 @@ def q_first_in_minute(spark, sf):
 
 
 def q_range_scan(spark, sf):
+    """Typed readings of an inclusive 'yyyyMMdd' day range."""
     conf = date_range(_conformed(spark, sf), RANGE_START, RANGE_END)
     return conf.select("source", "ds_date", "id_source", "value", "flag")
 
 
 def q_half_open_scan(spark, sf):
+    """15 s buckets in [start 00:00, end + 1 day 00:00)."""
     return half_open(_resampled(spark, sf, QUARTER_MIN_MS), RANGE_START, RANGE_END)
 
 
 def q_tag_projection(spark, sf):
+    """Catalog casts of raw texts to FLOAT / DOUBLE / INTEGER; unparsable text becomes NULL."""
     return _conformed(spark, sf, PROJECTION_TAGS).drop("ds_date")
 
 
 def q_bool_normalise(spark, sf):
+    """Raw flag texts next to their boolean reading ('yes', ' true' and NULL read as NULL)."""
     raw = tb.raw_readings(spark, sf)
     return project_source(raw, [_tag("flag_txt", "flag", "BOOLEAN")], id_col="id_source",
                           keep=["source", "seq", "flag_txt"]).drop("id_source")
 
 
 def q_epoch_convert(spark, sf):
+    """Raw time text ('<ms>.0') -> epoch ms -> zone-less timestamp."""
     from keelson.functions.conform import epoch_ms, ms_to_timestamp
     raw = tb.raw_readings(spark, sf)
     ms = epoch_ms("ds_timestamp")
@@ -120,10 +128,12 @@ def _hourly_frames(spark, sf) -> list[DataFrame]:
 
 
 def q_align_left_chain(spark, sf):
+    """Hourly first readings of four sources, left-joined onto the base source (view)."""
     return align_left(_hourly_frames(spark, sf))
 
 
 def q_align_first_inner(spark, sf):
+    """Hourly first readings per (date, bucket), kept where all four sources have one."""
     conf = _conformed(spark, sf)
     frames = [
         conf.where(F.col("source") == et).select(
@@ -154,17 +164,20 @@ def _renamed_hourly(spark, sf, mapping: dict[str, str]) -> DataFrame:
 
 
 def q_derive_load(spark, sf):
+    """H2508 generator load percentages in FLOAT arithmetic from the aligned frame."""
     loads = tuple(f"{ge}_load" for ge in H2508_RATED_KW)
     df = add_derived(_renamed_hourly(spark, sf, LOAD_INPUTS), "H2508", only=loads)
     return df.select("ds_timestamp", *loads)
 
 
 def q_derive_sums(spark, sf):
+    """H2508 fuel / gas flow sums (NULL when a term is missing) from the aligned frame."""
     df = add_derived(_renamed_hourly(spark, sf, SUM_INPUTS), "H2508", only=SUM_OUTPUTS)
     return df.select("ds_timestamp", *SUM_OUTPUTS)
 
 
 def q_true_wind(spark, sf):
+    """True wind speed and angle of every reading (DOUBLE maths, FLOAT results)."""
     conf = _conformed(spark, sf, PROJECTION_TAGS)
     v_x, v_y = true_wind_vector("value", "angle", "sog")
     return conf.select("source", "seq", true_wind_speed_raw(v_x, v_y).cast("float").alias("true_wind_speed"),
@@ -172,6 +185,7 @@ def q_true_wind(spark, sf):
 
 
 def q_beaufort(spark, sf):
+    """Beaufort class of every reading's true wind speed (NULL speed -> NULL class)."""
     conf = _conformed(spark, sf, PROJECTION_TAGS)
     speed = true_wind_speed_raw(*true_wind_vector("value", "angle", "sog"))
     return conf.select("source", "seq", speed.cast("float").alias("true_wind_speed"),
@@ -186,6 +200,7 @@ def q_beaufort_capped(spark, sf):
 
 
 def q_fuel_totals(spark, sf):
+    """Fuel totals widened to DOUBLE and narrowed to FLOAT; NULL when a term is NULL."""
     from keelson.functions.wind import fuel_total
     df = _renamed_hourly(spark, sf, FUEL_INPUTS)
     return df.select("ds_timestamp", fuel_total("me_fo_flow", "ge_fo_flow", "auxb_fo_flow").alias("foc"),
@@ -198,10 +213,12 @@ def _raw(spark, sf, start=tb.FIRST_DAY, end=tb.LAST_DAY, derive=True, keys=()) -
 
 
 def q_schema_enforce(spark, sf):
+    """The aligned raw frame cast to the catalog's schema, before derived columns."""
     return _raw(spark, sf, derive=False)
 
 
 def q_pipeline_raw(spark, sf):
+    """End to end: the hull's raw wide frame for the whole month (15 s buckets, derived columns)."""
     return _raw(spark, sf)
 
 
@@ -211,6 +228,7 @@ def q_pipeline_raw_fleet(spark, sf):
 
 
 def q_pipeline_calc_fleet(spark, sf):
+    """End to end for every hull of the fleet: the calc frame keyed by (hnum, ds_timestamp)."""
     return calc(_raw(spark, sf, keys=["hnum"]), tb.FIRST_DAY, tb.LAST_DAY, keys=["hnum"])
 
 
@@ -221,10 +239,12 @@ def q_minute_view_1h(spark, sf):
 
 
 def q_calc_table(spark, sf):
+    """Calc rows of a ten-day window of the raw frame."""
     return calc(_raw(spark, sf), CALC_START, CALC_END)
 
 
 def q_pipeline_calc(spark, sf):
+    """End to end: the calc frame of the whole month."""
     return calc(_raw(spark, sf), tb.FIRST_DAY, tb.LAST_DAY)
 
 
@@ -243,16 +263,19 @@ def _upsert_pair(spark, sf):
 
 
 def q_upsert_raw(spark, sf):
+    """MERGE of a re-loaded, revised second half-month into the first load of the raw frame."""
     target, source = _upsert_pair(spark, sf)
     return merge_frames(target, source, ["ds_timestamp"])
 
 
 def q_upsert_idempotent(spark, sf):
+    """The same MERGE applied twice: equals applying it once."""
     target, source = _upsert_pair(spark, sf)
     return merge_frames(merge_frames(target, source, ["ds_timestamp"]), source, ["ds_timestamp"])
 
 
 def q_upsert_calc(spark, sf):
+    """MERGE of the calc rows of two overlapping windows."""
     target = calc(_raw(spark, sf, tb.FIRST_DAY, TARGET_END), tb.FIRST_DAY, TARGET_END)
     source = calc(_raw(spark, sf, SOURCE_START, tb.LAST_DAY), SOURCE_START, tb.LAST_DAY)
     return merge_frames(target, source, ["ds_timestamp"])
@@ -278,32 +301,39 @@ def q_stored_raw(spark, sf):
 
 
 def q_stored_calc(spark, sf):
+    """The calc table as stored after two overlapping loads."""
     from keelson.plans.jobs import PARTITION_COL
     _, calc_path = _stored(spark, sf)
     return spark.read.parquet(calc_path).drop(PARTITION_COL)
 
 
 def q_catalog_absent_keys(spark, sf):
+    """Stored catalog rows of the hulls with new files whose key the new files no longer have."""
     return absent_keys(tb.customer_catalog(spark, sf), tb.incoming_catalog(spark, sf))
 
 
 def q_catalog_sync(spark, sf):
+    """The fleet catalog after delete-absent + upsert of the new files (other hulls untouched)."""
     return sync_catalog(tb.customer_catalog(spark, sf), tb.incoming_catalog(spark, sf))
 
 
 def q_single_value_check(spark, sf):
+    """Per database: how many hulls it holds, and the hull when there is exactly one."""
     return single_value(tb.customer_catalog(spark, sf), ["db_name"], "hnum", normalise=True)
 
 
 def q_source_priority(spark, sf):
+    """Distinct source tables per hull with their priority (cams > ias > ams > vdr, then name)."""
     return source_priority(tb.customer_catalog(spark, sf))
 
 
 def q_type_whitelist(spark, sf):
+    """Catalog rows whose data type the pipeline does not accept."""
     return type_violations(tb.customer_catalog(spark, sf))
 
 
 def q_wide_schema(spark, sf):
+    """Per hull, the raw table's column list: time, catalog + derived columns by name, lineage ids."""
     return wide_schema_frame(tb.customer_catalog(spark, sf))
 
 
