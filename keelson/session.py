@@ -51,19 +51,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Read from ``spark.checkpoint.dir`` (the cluster names a shared folder there).
     Only a local-mode session without one (tests) gets a scratch folder; on a
-    cluster a missing setting is an error, never a machine-local folder.
+    cluster a missing setting is an error, never a machine-local folder. Works
+    with Spark Connect sessions too (which have no SparkContext).
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: configuration only
+        sc = None
     if configured:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(configured)
+        if sc is not None and sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(configured)
         return configured.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir().rstrip("/")
+    if sc is None or not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor shares (staging and lineage cuts)")
     local = tempfile.mkdtemp(prefix="keelson-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    sc.setCheckpointDir(local)
     return local
