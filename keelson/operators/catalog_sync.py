@@ -27,17 +27,21 @@ DEFAULT_SCOPE = ("hnum",)
 MAX_BROADCAST_SCOPE = 100_000
 
 
-def _scope_join(df: DataFrame, incoming: DataFrame, scope: list[str], how: str) -> DataFrame:
-    """Semi / anti join of ``df`` against the distinct scope values of ``incoming``.
+def _scope_side(incoming: DataFrame, scope: list[str]) -> DataFrame:
+    """The distinct scope values (hulls) of ``incoming``, marked for broadcast when their count is within bound.
 
-    The distinct hull list is counted first; within the bound it is broadcast, so
-    a hull holding a large share of the rows is never gathered into one join task.
-    Beyond it the shuffle join runs and AQE splits skewed partitions.
+    Beyond the bound the plain side is returned: the join then shuffles and AQE
+    splits skewed partitions, so a hull holding a large share of the rows is never
+    gathered into one join task either way.
     """
     values = incoming.select(*scope).distinct()
     n = values.limit(MAX_BROADCAST_SCOPE + 1).count()
-    side = F.broadcast(values) if n <= MAX_BROADCAST_SCOPE else values
-    return df.join(side, scope, how)
+    return F.broadcast(values) if n <= MAX_BROADCAST_SCOPE else values
+
+
+def _scope_join(df: DataFrame, incoming: DataFrame, scope: list[str], how: str, side: DataFrame | None = None) -> DataFrame:
+    """Semi / anti join of ``df`` against the distinct scope values of ``incoming``."""
+    return df.join(side if side is not None else _scope_side(incoming, scope), scope, how)
 
 
 def normalise_hull(df: DataFrame, col: str = "hnum") -> DataFrame:
@@ -66,10 +70,11 @@ def sync_catalog(
 ) -> DataFrame:
     """Catalog after delete-absent + upsert. New keys get a NULL ``id_col`` (the sink assigns it)."""
     keys, scope = list(keys), list(scope)
-    untouched = _scope_join(existing, incoming, scope, "left_anti")
+    side = _scope_side(incoming, scope)  # counted once, used by both scope joins
+    untouched = _scope_join(existing, incoming, scope, "left_anti", side)
     if id_col is None or id_col not in existing.columns:
         return untouched.unionByName(incoming.select(*untouched.columns))
-    ids = _scope_join(existing.select(*keys, id_col), incoming, scope, "left_semi")  # only in-scope hulls can match
+    ids = _scope_join(existing.select(*keys, id_col), incoming, scope, "left_semi", side)  # only in-scope hulls match
     upserted = incoming.drop(id_col).join(ids, keys, "left")
     return untouched.unionByName(upserted.select(*untouched.columns))
 
