@@ -19,7 +19,7 @@ import logging
 import uuid
 from typing import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.session import checkpoint_dir
@@ -166,7 +166,7 @@ def remove_path(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def _partition_filter(partition_cols: Sequence[str], touched) -> "F.Column":
+def _partition_filter(partition_cols: Sequence[str], touched) -> Column:
     """Predicate selecting exactly the ``touched`` partition values.
 
     One flat ``struct(cols) IN (...)`` list (a hash lookup once it is long), not a
