@@ -50,3 +50,18 @@ def test_joins_reuse_first_row_partitioning(spark):
         assert plan.count("SortMergeJoin") == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_documented_sf001_counts(spark):
+    """Counts stated for the sf0.01 events fixture: buckets per width, left / inner chain sizes, matches."""
+    from pyspark.sql import functions as F
+    from conftest import SF01
+    from keelson.plans.registry import QUERIES, _conformed
+    conf = _conformed(spark, SF01).drop("ds_date")
+    counts = {w: first_per_bucket(conf, w, time_col="id_source", keys=["source"], tiebreak=["seq"]).count()
+              for w in ("15 seconds", "15 minutes", "1 hour")}
+    assert counts == {"15 seconds": 9959, "15 minutes": 7206, "1 hour": 3385}
+    left = QUERIES["align_left_chain"](spark, SF01)
+    assert left.count() == 667
+    assert [left.where(F.col(f"id_{e}").isNotNull()).count() for e in ("click", "error", "purchase")] == [628, 629, 624]
+    assert QUERIES["align_first_inner"](spark, SF01).count() == 554
