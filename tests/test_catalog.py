@@ -143,3 +143,9 @@ def test_schema_contract(spark):
         enforce_schema(df, declared)
     fixed = enforce_schema(df.withColumn("w", F.lit(None)), declared)
     assert fixed.schema == declared and schema_violations(fixed.schema, declared) == []
+
+
+def test_row_with_missing_column_is_rejected(spark, scratch):
+    p = _csv(os.path.join(scratch, "short.csv"), ["H9,a,db,t,tag,d,u,FLOAT", "H9,b,db,t,tag2,d,u"])
+    with pytest.raises(Exception):
+        validate(catalog_rows(read_catalog(spark, p)))
