@@ -26,7 +26,7 @@ class Derived:
     declared: bool = True  # False: re-cast of an existing catalog column, not a new table column
 
 
-def _sum(name: str, *inputs: str) -> Derived:
+def sum_rule(name: str, *inputs: str) -> Derived:
     """Plain sum: NULL when any term is NULL."""
     def build() -> Column:
         total = F.col(inputs[0])
@@ -36,14 +36,14 @@ def _sum(name: str, *inputs: str) -> Derived:
     return Derived(name, "FLOAT", inputs, build)
 
 
-def _load_percent(name: str, power: str, rated_kw: float) -> Derived:
+def load_percent_rule(name: str, power: str, rated_kw: float) -> Derived:
     # FLOAT arithmetic: 100 and the rating are FLOAT literals, the quotient is narrowed to FLOAT.
     def build() -> Column:
         return (F.lit(100.0).cast("float") * F.col(power)) / F.lit(rated_kw).cast("float")
     return Derived(name, "FLOAT", (power,), build)
 
 
-def _recast_bool(name: str) -> Derived:
+def recast_bool_rule(name: str) -> Derived:
     return Derived(name, "BOOLEAN", (name,), lambda: F.col(name).cast("boolean"), declared=False)
 
 
@@ -57,20 +57,20 @@ H2508_FLAGS = (
 )
 
 _MAIN_ENGINE_SUMS = [
-    _sum("me_fo_flow", "me1_fo_flow", "me2_fo_flow"),
-    _sum("me_fg_flow", "me1_fg_flow", "me2_fg_flow"),
+    sum_rule("me_fo_flow", "me1_fo_flow", "me2_fo_flow"),
+    sum_rule("me_fg_flow", "me1_fg_flow", "me2_fg_flow"),
 ]
 
 HULL_RULES: dict[str, list[Derived]] = {
     "H2508": [
-        *(_recast_bool(f) for f in H2508_FLAGS),
-        _sum("ge_fg_flow", "ge1_fg_flow", "ge2_fg_flow", "ge3_fg_flow", "ge4_fg_flow"),
-        *(_load_percent(f"{ge}_load", f"{ge}_power", kw) for ge, kw in H2508_RATED_KW.items()),
+        *(recast_bool_rule(f) for f in H2508_FLAGS),
+        sum_rule("ge_fg_flow", "ge1_fg_flow", "ge2_fg_flow", "ge3_fg_flow", "ge4_fg_flow"),
+        *(load_percent_rule(f"{ge}_load", f"{ge}_power", kw) for ge, kw in H2508_RATED_KW.items()),
         *_MAIN_ENGINE_SUMS,
-        _sum("auxb_fo_flow", "auxb_fo_lsmgo_flow", "auxb_fo_vlsfo_flow"),
+        sum_rule("auxb_fo_flow", "auxb_fo_lsmgo_flow", "auxb_fo_vlsfo_flow"),
     ],
-    "H2521": [_sum("ge2_power", "ge2_1_power", "ge2_2_power"), *_MAIN_ENGINE_SUMS],
-    "H2532": [_sum("ge2_power", "ge2_1_power", "ge2_2_power"), *_MAIN_ENGINE_SUMS],
+    "H2521": [sum_rule("ge2_power", "ge2_1_power", "ge2_2_power"), *_MAIN_ENGINE_SUMS],
+    "H2532": [sum_rule("ge2_power", "ge2_1_power", "ge2_2_power"), *_MAIN_ENGINE_SUMS],
 }
 
 
