@@ -51,12 +51,19 @@ def project_source(
     time_col: str = "ds_timestamp",
     keep: Iterable[str] = (),
 ) -> DataFrame:
-    """Typed, renamed projection of one source: epoch-ms id, kept columns, one column per catalog tag."""
-    cols = [epoch_ms(F.col(time_col)).alias(id_col), *[F.col(c) for c in keep]]
-    cols += [typed_tag(F.col(t.tag), t.data_type).alias(t.col_name) for t in tags]
+    """Typed, renamed projection of one source: epoch-ms id, kept columns, one column per catalog tag.
+
+    Raw column names are quoted, so a tag holding a dot or a blank is read as one column.
+    """
+    cols = [epoch_ms(_raw_col(time_col)).alias(id_col), *[_raw_col(c) for c in keep]]
+    cols += [typed_tag(_raw_col(t.tag), t.data_type).alias(t.col_name) for t in tags]
     return raw.select(*cols)
 
 
+def _raw_col(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def scan_source(
     read: TableReader,
     table_name: str,

@@ -51,3 +51,12 @@ def test_date_filters(spark):
                                "ds_date string, ds_timestamp timestamp_ntz")
     assert [r.ds_date for r in date_range(df, "20240105", "20240112").orderBy("ds_date").collect()] == ["20240105", "20240112"]
     assert [r.ds_date for r in half_open(df, "20240105", "20240112").orderBy("ds_date").collect()] == ["20240105", "20240112"]
+
+
+def test_projection_quotes_raw_names(spark):
+    from keelson.sources.scans import project_source
+    from keelson.sources.tagcatalog import Tag
+    raw = spark.createDataFrame([("1704067200000.0", "2.5", "1")], "ds_timestamp string, `wind.speed` string, `flag a` string")
+    tags = [Tag("H1", "w", "db", "t", "wind.speed", None, None, "FLOAT"), Tag("H1", "f", "db", "t", "flag a", None, None, "BOOLEAN")]
+    row = project_source(raw, tags, id_col="id_t").first()
+    assert (row.id_t, row.w, row.f) == (1704067200000, 2.5, True)
