@@ -94,12 +94,17 @@ def build_raw(
     keys: Iterable[str] = (),
     tiebreak: Sequence[str] = (),
     derive: bool = True,
+    how: str = "left",
 ) -> DataFrame:
-    """The hull's raw wide frame for days [start, end] ('yyyyMMdd', inclusive)."""
+    """The hull's raw wide frame for days [start, end] ('yyyyMMdd', inclusive).
+
+    ``how="left"`` keeps every bucket of the base (highest-priority) source;
+    ``how="inner"`` keeps only buckets that every source has.
+    """
     keys = list(keys)
     hull = validate(tags)
     frames = resampled_sources(read, tags, start, end, every, keys, tiebreak)
-    aligned = align_left(frames, on=[*keys, "ds_timestamp"])
+    aligned = align_left(frames, on=[*keys, "ds_timestamp"], how=how)
     full = wide_schema(tags, hull, derived=derive)
     base = StructType([f for f in full.fields if f.name in aligned.columns])
     typed = enforce_schema(aligned, StructType([*_key_fields(aligned, keys), *base.fields]))

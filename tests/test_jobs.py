@@ -198,3 +198,12 @@ def test_one_day_matches_the_catalog_schema(spark):
         pytest.skip("no readings on the test day")
     assert set(schema.names) <= set(day.columns)
     assert schema_violations(day.schema, schema) == []
+
+
+def test_inner_alignment_keeps_buckets_every_source_has(spark):
+    read = tb.source_reader(spark, SF001)
+    left = build_raw(read, tb.TESTBED_TAGS, tb.FIRST_DAY, tb.LAST_DAY, every="1 hour", tiebreak=["seq"])
+    inner = build_raw(read, tb.TESTBED_TAGS, tb.FIRST_DAY, tb.LAST_DAY, every="1 hour", tiebreak=["seq"], how="inner")
+    ids = [c for c in left.columns if c.startswith("id_")]
+    complete = left.where(" AND ".join(f"{c} IS NOT NULL" for c in ids))
+    assert sorted(inner.collect()) == sorted(complete.collect())
