@@ -37,6 +37,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     load.add_argument("--db", default="dv", help="database of the raw / calc tables (catalog-table targets)")
     load.add_argument("--storage", help="root folder for Parquet targets instead of catalog tables")
     load.add_argument("--every", default="15 seconds", help="bucket width")
+    load.add_argument("--table-format", default="parquet", choices=("parquet", "iceberg", "delta"),
+                      help="format of catalog-table targets (iceberg / delta need that format's catalog)")
     load.add_argument("-c", "--clear", action="store_true", help="drop the hull's raw and calc targets first")
     sync = sub.add_parser("sync-catalog", help="bring the stored tag catalog in line with one catalog file")
     sync.add_argument("--path", required=True, help="catalog CSV of one hull")
@@ -62,7 +64,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     else:
         name = hull.lower()
         run_hull(spark, read, tags, args.start, args.end, raw_table=f"{args.db}.{name}_raw",
-                 calc_table=f"{args.db}.{name}_calc", every=args.every, clear=args.clear)
+                 calc_table=f"{args.db}.{name}_calc", every=args.every, clear=args.clear,
+                 table_format=args.table_format)
     print(f"{hull}: {args.start}..{args.end} loaded")
     return 0
 
