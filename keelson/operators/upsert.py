@@ -108,11 +108,14 @@ def upsert_table(
         # project onto the target's columns: helper columns such as the Parquet month partition are not
         # part of a table that partitions by hidden transforms
         target_cols = spark.table(table).columns
+        _check_no_new_columns(source, target_cols, ignore=partition_cols)
         (source.where(_not_null(keys)).select(*target_cols).alias("s").mergeInto(table, cond)
          .whenMatched().updateAll().whenNotMatched().insertAll().merge())
         return 0
 
     existing = _read_existing(spark, table, path)
+    if existing is not None:
+        _check_no_new_columns(source, existing.columns)
     columns = existing.columns if existing is not None else source.columns
     run = f"{checkpoint_dir(spark)}/keelson-upsert-{uuid.uuid4().hex}"
     # 1. The source is computed exactly once: staged in the shared folder (this also
@@ -166,6 +169,13 @@ def remove_path(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def _check_no_new_columns(source: DataFrame, target_cols: Sequence[str], ignore: Sequence[str] = ()) -> None:
+    """A source column the target lacks would be dropped silently: refuse instead (the catalog gained a tag)."""
+    new = [c for c in source.columns if c not in set(target_cols) | set(ignore)]
+    if new:
+        raise ValueError(f"target lacks columns {new}; add them first (keelson.plans.tables.add_columns)")
+
+
 def _partition_filter(partition_cols: Sequence[str], touched) -> Column:
     """Predicate selecting exactly the ``touched`` partition values.
 

@@ -116,3 +116,12 @@ def test_many_touched_partitions_prune_with_a_flat_filter(spark, scratch):
     upsert_table(spark, update, ["hnum", "ds_timestamp"], path=path, partition_cols=["hnum", "ds_month"])
     got = {(r.hnum, r.ds_month): r.v for r in spark.read.parquet(path).collect()}
     assert len(got) == 120 and all(v == (2.0 if m == 202401 else 1.0) for (_, m), v in got.items())
+
+
+def test_new_source_columns_are_refused_not_dropped(spark, scratch):
+    import pytest
+    path = os.path.join(scratch, "evolve")
+    upsert_table(spark, _t(spark, [(D(2024, 1, 1), 1.0, 1.0, 202401)]), path=path, partition_cols=["ds_month"])
+    wider = _t(spark, [(D(2024, 1, 2), 2.0, 2.0, 202401)]).withColumn("new_tag", F.lit(1.0))
+    with pytest.raises(ValueError, match="lacks columns"):
+        upsert_table(spark, wider, path=path, partition_cols=["ds_month"])
