@@ -41,3 +41,46 @@ def test_merge_matches_dict_update(spark, target, source):
         return spark.createDataFrame([(k, None if v is None else float(v)) for k, v in d.items()], "key long, v double")
     got = {r.key: r.v for r in merge_frames(frame(target), frame(source), ["key"]).collect()}
     assert got == {**target, **{k: (None if v is None else float(v)) for k, v in source.items()}}
+
+
+sources = st.lists(st.lists(st.integers(0, 300_000), min_size=0, max_size=15), min_size=2, max_size=3)
+
+
+def _first_per_bucket_py(times, width):
+    """bucket start (ms) -> (time, seq) of the first reading, ties by seq."""
+    out = {}
+    for seq, t in sorted(enumerate(times), key=lambda p: (p[1], p[0])):
+        out.setdefault(t - t % width, (t, seq))
+    return out
+
+
+@SETTINGS
+@given(sources)
+def test_left_chain_matches_brute_force(spark, per_source):
+    from keelson.operators.align import align_left
+    frames = []
+    for i, times in enumerate(per_source):
+        df = spark.createDataFrame([(T0 + t, s) for s, t in enumerate(times)], f"id_{i} long, seq_{i} long")
+        frames.append(first_per_bucket(df, "1 minute", time_col=f"id_{i}", tiebreak=[f"seq_{i}"]))
+    got = {r.ds_timestamp: tuple(r[f"id_{i}"] for i in range(len(per_source)))
+           for r in align_left(frames).collect()}
+    firsts = [_first_per_bucket_py([T0 + t for t in times], 60_000) for times in per_source]
+    expect = {}
+    for b, (t, _) in firsts[0].items():
+        key = dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=b)
+        expect[key] = (t, *[f.get(b, (None,))[0] for f in firsts[1:]])
+    assert got == expect
+
+
+@SETTINGS
+@given(sources)
+def test_inner_chain_matches_brute_force(spark, per_source):
+    from keelson.operators.align import align_first_inner
+    frames = [spark.createDataFrame([(T0 + t, "20240101", s, float(s)) for s, t in enumerate(times)],
+                                    f"id long, ds_date string, seq long, v{i} double")
+              for i, times in enumerate(per_source)]
+    got = {r.ds_timestamp: tuple(r[f"v{i}"] for i in range(len(per_source)))
+           for r in align_first_inner(frames, "1 minute", tiebreak=["seq"]).collect()}
+    firsts = [_first_per_bucket_py([T0 + t for t in times], 60_000) for times in per_source]
+    common = set(firsts[0]).intersection(*[set(f) for f in firsts[1:]])
+    assert got == {b: tuple(float(f[b][1]) for f in firsts) for b in common}
