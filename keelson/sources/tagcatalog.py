@@ -108,6 +108,9 @@ def wide_schema(tags: Sequence[Tag], hull: str | None = None, derived: bool = Tr
     """Raw table schema: ds_timestamp, then catalog + derived columns by name, then id_<source> in priority order."""
     hull = hull or validate(tags)
     body = [(t.col_name, t.data_type) for t in tags] + (declared_columns(hull) if derived else [])
+    clash = sorted(n for n, k in Counter(n for n, _ in body).items() if k > 1)
+    if clash:
+        raise ValueError(f"catalog columns {clash} collide with columns the hull derives")
     fields = [StructField("ds_timestamp", TimestampNTZType(), True)]
     fields += [StructField(n, spark_type(d), True) for n, d in sorted(body)]
     fields += [StructField(f"id_{name}", LongType(), True) for name, _ in ordered_sources(tags)]

@@ -149,3 +149,8 @@ def test_row_with_missing_column_is_rejected(spark, scratch):
     p = _csv(os.path.join(scratch, "short.csv"), ["H9,a,db,t,tag,d,u,FLOAT", "H9,b,db,t,tag2,d,u"])
     with pytest.raises(Exception):
         validate(catalog_rows(read_catalog(spark, p)))
+
+
+def test_catalog_column_named_like_a_derived_one_is_refused():
+    with pytest.raises(ValueError, match="collide"):
+        wide_schema([_tag("me_fo_flow", hull="H2521"), _tag("me1_fo_flow", hull="H2521")])

@@ -84,3 +84,47 @@ def test_inner_chain_matches_brute_force(spark, per_source):
     firsts = [_first_per_bucket_py([T0 + t for t in times], 60_000) for times in per_source]
     common = set(firsts[0]).intersection(*[set(f) for f in firsts[1:]])
     assert got == {b: tuple(float(f[b][1]) for f in firsts) for b in common}
+
+
+names = st.text(alphabet="abcdefghij_", min_size=1, max_size=6)
+tables = st.sampled_from(["h_ias_a_pivot", "h_vdr_b_pivot", "h_cams_pivot", "h_ams_c_pivot", "h_x_pivot"])
+catalogs = st.dictionaries(names, st.tuples(tables, st.sampled_from(["FLOAT", "DOUBLE", "INTEGER", "BOOLEAN"])),
+                           min_size=1, max_size=12)
+
+
+@SETTINGS
+@given(catalogs, st.sampled_from(["H2521", "H2508", "H0007"]))
+def test_wide_schema_frame_matches_plan_time_schema(spark, cat, hull):
+    from keelson.sources.tagcatalog import CATALOG_COLUMNS, Tag, source_priority, wide_schema, wide_schema_frame
+    tags = [Tag(hull, n, "db", t, n, None, None, d) for n, (t, d) in cat.items()]
+    derived_names = {"ge2_power", "me_fo_flow", "me_fg_flow", "ge_fg_flow", "auxb_fo_flow",
+                     "ge1_load", "ge2_load", "ge3_load", "ge4_load"}
+    if set(cat) & derived_names:
+        return  # refused by wide_schema (tested in test_catalog.py)
+    rows = [tuple(getattr(t, c) for c in CATALOG_COLUMNS) for t in tags]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in CATALOG_COLUMNS))
+    got = [r.column_name for r in wide_schema_frame(df).orderBy("position").collect()]
+    assert got == wide_schema(tags).names
+    prio = [r.table_name for r in source_priority(df).orderBy("priority").collect()]
+    from keelson.sources.tagcatalog import priority_key
+    assert prio == sorted({t for t, _ in cat.values()}, key=priority_key)
+
+
+entries = st.dictionaries(st.tuples(st.sampled_from(["H1", "H2", "H3"]), st.sampled_from(list("abcdef"))),
+                          st.sampled_from(["x", "y", "z"]), max_size=14)
+
+
+@SETTINGS
+@given(entries, entries)
+def test_sync_catalog_matches_dict_semantics(spark, existing, incoming):
+    from keelson.operators.catalog_sync import sync_catalog
+    ex = spark.createDataFrame([(i, h, c, d) for i, ((h, c), d) in enumerate(sorted(existing.items()))],
+                               "id long, hnum string, col_name string, description string")
+    inc = spark.createDataFrame([(h, c, d) for (h, c), d in incoming.items()],
+                                "hnum string, col_name string, description string")
+    got = {(r.hnum, r.col_name): (r.id, r.description) for r in sync_catalog(ex, inc).collect()}
+    ids = {k: i for i, k in enumerate(sorted(existing))}
+    scope = {h for h, _ in incoming}
+    expect = {k: (ids[k], d) for k, d in existing.items() if k[0] not in scope}
+    expect.update({k: (ids.get(k), d) for k, d in incoming.items()})
+    assert got == expect
