@@ -207,3 +207,12 @@ def test_inner_alignment_keeps_buckets_every_source_has(spark):
     ids = [c for c in left.columns if c.startswith("id_")]
     complete = left.where(" AND ".join(f"{c} IS NOT NULL" for c in ids))
     assert sorted(inner.collect()) == sorted(complete.collect())
+
+
+def test_fleet_minute_view_matches_per_hull_views(spark):
+    read = tb.source_reader(spark, SF001)
+    fleet = minute_view(read, tb.TESTBED_TAGS, "1 hour", keys=["hnum"], tiebreak=["seq"])
+    for hull in ("H0000", "H0003"):
+        one = minute_view(lambda name, h=hull: read(name).where(F.col("hnum") == h), tb.TESTBED_TAGS, "1 hour",
+                          tiebreak=["seq"])
+        assert sorted(fleet.where(F.col("hnum") == hull).drop("hnum").collect()) == sorted(one.collect())
