@@ -147,7 +147,7 @@ def customer_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = driver_table(spark, sf_dir, "customer")
     regions = driver_table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
-    c = c.join(regions, "c_nationkey", "left")
+    c = c.join(F.broadcast(regions), "c_nationkey", "left")  # nation has 25 rows at every scale factor
     key, segment = F.col("c_custkey"), F.col("c_mktsegment")
     family = F.lit("vdr")
     for seg, fam in reversed(list(SEGMENT_FAMILY.items())):
@@ -171,11 +171,16 @@ def customer_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 def incoming_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New catalog files for every hull outside the quiet region (see the fixed values above)."""
     cat = customer_catalog(spark, sf_dir).where(F.col("db_name") != F.lit(f"fleet{QUIET_REGION}"))
-    desc = F.col("description")
-    kept = cat.where(desc != DROPPED_SEGMENT).withColumn(
-        "description", F.when(desc == CHANGED_SEGMENT, F.lower(desc)).otherwise(desc))
-    added = cat.where(desc == ADDED_SEGMENT).withColumn("col_name", F.concat(F.col("col_name"), F.lit("_b")))
-    return kept.unionByName(added).select(*CATALOG_COLUMNS)
+    desc, name = F.col("description"), F.col("col_name")
+    # one pass: every stored row yields its kept (possibly changed) version and, for the added
+    # segment, a second key; dropped rows yield nothing
+    kept = F.when(desc != DROPPED_SEGMENT, F.struct(
+        name.alias("col_name"), F.when(desc == CHANGED_SEGMENT, F.lower(desc)).otherwise(desc).alias("description")))
+    added = F.when(desc == ADDED_SEGMENT, F.struct(
+        F.concat(name, F.lit("_b")).alias("col_name"), desc.alias("description")))
+    rows = cat.select("*", F.explode(F.array(kept, added)).alias("__v")).where(F.col("__v").isNotNull())
+    rows = rows.withColumns({"col_name": F.col("__v.col_name"), "description": F.col("__v.description")})
+    return rows.select(*CATALOG_COLUMNS)
 
 
 # Which event types land in each physical layout of the layout folders.
