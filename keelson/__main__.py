@@ -41,7 +41,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
                       help="format of catalog-table targets (iceberg / delta need that format's catalog)")
     load.add_argument("-c", "--clear", action="store_true", help="drop the hull's raw and calc targets first")
     sync = sub.add_parser("sync-catalog", help="bring the stored tag catalog in line with one catalog file")
-    sync.add_argument("--path", required=True, help="catalog CSV of one hull")
+    sync.add_argument("--path", required=True, help="catalog CSV of one hull, or a folder of them (one hull per file)")
     sync.add_argument("--catalog", required=True, help="folder of the stored catalog (Parquet, by hull)")
     return p.parse_args(argv)
 

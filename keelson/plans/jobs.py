@@ -207,21 +207,28 @@ def _clear_target(spark: SparkSession, path: str | None, table: str | None) -> N
         remove_path(spark, path)
 
 
-def sync_catalog_file(spark: SparkSession, csv_path: str, catalog_path: str) -> str:
-    """Bring the stored catalog (Parquet, partitioned by hull) in line with one catalog CSV file.
-
-    The file must describe exactly one hull (compared trimmed and upper-cased);
-    that hull's stored rows are replaced by the file's rows -- absent keys deleted,
-    the rest upserted with their ids kept -- and every other hull is untouched.
-    Returns the hull id.
+def sync_catalog_file(spark: SparkSession, csv_path: str, catalog_path: str) -> str | list[str]:
+    """Bring the stored catalog (Parquet, partitioned by hull) in line with catalog CSV file(s).
+
+    ``csv_path`` is one file or a folder of files. Every file must describe exactly
+    one hull (compared trimmed and upper-cased) -- checked by one aggregation over
+    the files' rows, per source file. Each hull's stored rows are replaced by its
+    file's rows (absent keys deleted, the rest upserted with their ids kept) and
+    every other hull is untouched. Returns the hull id (one file) or the sorted
+    hull ids (several files).
     """
     from keelson.operators.catalog_sync import normalise_hull, sync_catalog_path
-    from keelson.sources.tagcatalog import read_catalog
+    from keelson.sources.tagcatalog import CATALOG_COLUMNS, read_catalog
 
     prepare(spark)
-    incoming = normalise_hull(read_catalog(spark, csv_path))
-    hulls = incoming.agg(F.count_distinct("hnum").alias("n"), F.min("hnum").alias("hull")).first()
-    if hulls.n != 1:
-        raise ValueError(f"a catalog file must describe exactly one hull, found {hulls.n}")
-    sync_catalog_path(spark, incoming, catalog_path)
-    return hulls.hull
+    raw = read_catalog(spark, csv_path)
+    with_file = normalise_hull(raw.select(*CATALOG_COLUMNS, F.col("_metadata.file_path").alias("__file")))
+    per_file = with_file.groupBy("__file").agg(F.count_distinct("hnum").alias("n"), F.min("hnum").alias("hull"))
+    bad = per_file.where(F.col("n") != 1).limit(5).collect()
+    if bad:
+        raise ValueError(f"a catalog file must describe exactly one hull: {[(r['__file'], r['n']) for r in bad]}")
+    hulls = sorted(r["hull"] for r in per_file.select("hull").distinct().collect())  # one per file: bounded
+    if not hulls:
+        raise ValueError("no catalog rows found")
+    sync_catalog_path(spark, with_file.drop("__file"), catalog_path)
+    return hulls[0] if len(hulls) == 1 else hulls

@@ -216,3 +216,22 @@ def test_fleet_minute_view_matches_per_hull_views(spark):
         one = minute_view(lambda name, h=hull: read(name).where(F.col("hnum") == h), tb.TESTBED_TAGS, "1 hour",
                           tiebreak=["seq"])
         assert sorted(fleet.where(F.col("hnum") == hull).drop("hnum").collect()) == sorted(one.collect())
+
+
+def test_sync_catalog_folder_in_one_job(spark, scratch):
+    import pytest
+    from keelson.plans.jobs import sync_catalog_file
+    header = "hnum,col_name,db_name,table_name,tag,description,unit,data_type"
+    folder = os.path.join(scratch, "catalogs")
+    os.makedirs(folder)
+    for hull, cols in (("H1", "ab"), ("H2", "abc")):
+        with open(os.path.join(folder, f"{hull}_metadata.csv"), "w", encoding="utf-8-sig") as f:
+            f.write(header + "\n" + "".join(f"{hull},{c},db,t,{c},d,u,FLOAT\n" for c in cols))
+    stored = os.path.join(scratch, "stored")
+    assert sync_catalog_file(spark, folder, stored) == ["H1", "H2"]
+    got = sorted((r.hnum, r.col_name) for r in spark.read.parquet(stored).collect())
+    assert got == [("H1", "a"), ("H1", "b"), ("H2", "a"), ("H2", "b"), ("H2", "c")]
+    with open(os.path.join(folder, "mixed.csv"), "w", encoding="utf-8") as f:
+        f.write(header + "\nH3,a,db,t,a,d,u,FLOAT\nH4,a,db,t,a,d,u,FLOAT\n")
+    with pytest.raises(ValueError, match="exactly one hull"):
+        sync_catalog_file(spark, folder, stored)
