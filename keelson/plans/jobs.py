@@ -192,8 +192,9 @@ def run_hull(
     raw = build_raw(read, tags, start, end, every, keys=keys, tiebreak=tiebreak)
     upsert_table(spark, with_partition(raw), upsert_keys, path=raw_path, table=raw_table, partition_cols=part)
     stored = spark.read.parquet(raw_path) if raw_path else spark.table(raw_table)
-    lo_month, hi_month = int(start[:6]), int(end[:6])
-    stored = stored.where(F.col(PARTITION_COL).between(lo_month, hi_month))
+    if PARTITION_COL in stored.columns:  # Parquet targets: prune to the window's months (table formats prune by ts)
+        lo_month, hi_month = int(start[:6]), int(end[:6])
+        stored = stored.where(F.col(PARTITION_COL).between(lo_month, hi_month))
     upsert_table(spark, with_partition(calc(stored, start, end, keys=keys)), upsert_keys, path=calc_path,
                  table=calc_table, partition_cols=part)
 
