@@ -235,3 +235,17 @@ def test_sync_catalog_folder_in_one_job(spark, scratch):
         f.write(header + "\nH3,a,db,t,a,d,u,FLOAT\nH4,a,db,t,a,d,u,FLOAT\n")
     with pytest.raises(ValueError, match="exactly one hull"):
         sync_catalog_file(spark, folder, stored)
+
+
+def test_fleet_exchanges_are_keyed_on_hull_and_bucket(spark):
+    import re
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        raw = build_raw(tb.source_reader(spark, SF001), tb.TESTBED_TAGS, tb.FIRST_DAY, tb.LAST_DAY, keys=["hnum"],
+                        tiebreak=["seq"])
+        plan = raw._jdf.queryExecution().executedPlan().toString()
+        keys = re.findall(r"Exchange hashpartitioning\(([^)]*?), \d+\)", plan)
+        assert len(keys) == 4
+        assert all(k.startswith("hnum#") and "ds_timestamp#" in k for k in keys)  # never the hull alone
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
