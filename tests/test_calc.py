@@ -1,5 +1,4 @@
 import datetime as dt
-import math
 
 import pytest
 from pyspark.sql import functions as F

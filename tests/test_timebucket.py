@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from keelson.functions.timebucket import bucket_text, floor_ms, parse_every, text_to_ms
 from keelson.sources.scans import day_bounds
