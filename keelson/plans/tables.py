@@ -108,11 +108,12 @@ def create_calc_table(spark: SparkSession, name: str, location: str | None = Non
 
 
 def list_tables(spark: SparkSession, db: str, prefix: str) -> list[str]:
-    return [t.name for t in spark.catalog.listTables(db, f"{prefix.lower()}*")]
+    """Tables of ``db`` named ``<prefix>_...`` (the separator keeps hull H1 from matching H10's tables)."""
+    return [t.name for t in spark.catalog.listTables(db, f"{prefix.strip().lower()}_*")]
 
 
 def clear_hull(spark: SparkSession, db: str, hull: str) -> list[str]:
-    """Drop every table of ``db`` whose name starts with the hull id. Returns the dropped names."""
+    """Drop every table of ``db`` named ``<hull>_...``. Returns the dropped names."""
     names = list_tables(spark, db, hull)
     for n in names:
         spark.sql(f"DROP TABLE IF EXISTS {db}.{n}")

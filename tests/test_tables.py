@@ -13,6 +13,9 @@ def test_ddl_helpers(spark, scratch):
     T.create_table(spark, "dvtest.h9_raw", schema, partition_cols=["ds_month"])
     T.create_table(spark, "dvtest.h9_calc", schema)
     T.create_table(spark, "dvtest.h10_raw", schema)
+    T.create_table(spark, "dvtest.h1_raw", schema)
+    assert T.list_tables(spark, "dvtest", "H1") == ["h1_raw"]  # not h10_raw
+    T.clear_hull(spark, "dvtest", "H1")
     assert sorted(T.list_tables(spark, "dvtest", "H9")) == ["h9_calc", "h9_raw"]
     assert sorted(T.clear_hull(spark, "dvtest", "H9")) == ["h9_calc", "h9_raw"]
     assert T.list_tables(spark, "dvtest", "h10") == ["h10_raw"]
