@@ -72,6 +72,8 @@ def align_first_inner(
     for f, vals in zip(frames, per_frame):
         values.extend(vals)
         g = f.select(*keys, F.col(date_col), floor_ms(F.col(time_col), every_ms).alias(bucket), time_col, *tiebreak, *vals)
-        firsts.append(first_row(g, join_cols, [time_col, *tiebreak], drop=[time_col, *tiebreak]))
+        # without tie-break columns, readings tied on the millisecond are ordered by their values (deterministic)
+        order = [time_col, *(tiebreak or sorted(vals))]
+        firsts.append(first_row(g, join_cols, order, drop=[time_col, *tiebreak]))
     joined = reduce(lambda left, right: left.join(right, join_cols, "inner"), firsts)
     return joined.select(*keys, text_to_ms(bucket_text(F.col(bucket))).alias(out_time_col), *values, date_col)

@@ -27,6 +27,8 @@ def minute_view(
         for table, table_tags in ordered_sources(tags)
         if table_tags
     ]
+    if not frames:
+        raise ValueError("the catalog lists no source with tags")
     prepare(frames[0].sparkSession)  # bucket texts are UTC wall-clock times
     return align_first_inner(frames, every, time_col="id", date_col=date_col, keys=keys, tiebreak=tiebreak)
 

@@ -65,3 +65,11 @@ def test_documented_sf001_counts(spark):
     assert left.count() == 667
     assert [left.where(F.col(f"id_{e}").isNotNull()).count() for e in ("click", "error", "purchase")] == [628, 629, 624]
     assert QUERIES["align_first_inner"](spark, SF01).count() == 554
+
+
+def test_inner_chain_ties_are_deterministic_without_tiebreak(spark):
+    t = T0 + 5
+    a = spark.createDataFrame([(t, "20240101", 3.0), (t, "20240101", 1.0), (t, "20240101", 2.0)], "id long, ds_date string, a double")
+    b = spark.createDataFrame([(t, "20240101", 7.0)], "id long, ds_date string, b double")
+    rows = align_first_inner([a.repartition(3), b], "1 minute").collect()
+    assert [(r.a, r.b) for r in rows] == [(1.0, 7.0)]
