@@ -65,6 +65,8 @@ def beaufort(speed: Column | str, cap: int = 12, null_guard: bool = True) -> Col
 
 def fuel_total(*terms: Column | str) -> Column:
     """Sum of flow terms in DOUBLE, narrowed to FLOAT; NULL when any term is NULL."""
+    if not terms:
+        raise ValueError("fuel_total needs at least one term")
     total = None
     for t in terms:
         d = _c(t).cast("double")
