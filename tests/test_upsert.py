@@ -125,3 +125,11 @@ def test_new_source_columns_are_refused_not_dropped(spark, scratch):
     wider = _t(spark, [(D(2024, 1, 2), 2.0, 2.0, 202401)]).withColumn("new_tag", F.lit(1.0))
     with pytest.raises(ValueError, match="lacks columns"):
         upsert_table(spark, wider, path=path, partition_cols=["ds_month"])
+
+
+def test_remove_path_is_best_effort(spark, scratch):
+    from keelson.operators.upsert import remove_path
+    folder = os.path.join(scratch, "staged")
+    _t(spark, [(D(2024, 1, 1), 1.0, 1.0, 202401)]).write.parquet(folder)
+    assert remove_path(spark, folder) is True and not os.path.exists(folder)
+    assert remove_path(spark, folder) is False  # nothing left: reported, not raised
