@@ -43,3 +43,19 @@ def test_sync_catalog_command(spark, scratch):
     csv_dir = _catalog_dir(scratch)
     assert main(["sync-catalog", "--path", f"{csv_dir}/{tb.TESTBED_HULL}_metadata.csv", "--catalog", stored], spark) == 0
     assert spark.read.parquet(stored).count() == len(tb.TESTBED_TAGS)
+
+
+def test_load_command_into_parquet_folders(spark, scratch):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {tb.TESTBED_DB}")
+    readings = tb.raw_readings(spark, SF001)
+    for event, table in tb.EVENT_SOURCES.items():
+        (readings.where(F.col("source") == event).drop("source").write.mode("overwrite")
+         .partitionBy("ds_date").saveAsTable(f"{tb.TESTBED_DB}.{table}"))
+    storage = os.path.join(scratch, "hulls")
+    args = ["load", "--hull", "H2521", "--start", "2024-01-01", "--end", "2024-01-30", "--catalog-dir",
+            _catalog_dir(scratch), "--storage", storage]
+    assert main(args, spark) == 0
+    expect = build_raw(tb.source_reader(spark, SF001), tb.TESTBED_TAGS, tb.FIRST_DAY, tb.LAST_DAY)
+    stored = spark.read.parquet(os.path.join(storage, "H2521", "raw")).select(*expect.columns)
+    assert sorted(stored.collect()) == sorted(expect.collect())
+    assert spark.read.parquet(os.path.join(storage, "H2521", "calc")).count() == expect.count()
