@@ -2,8 +2,9 @@
 
 ``events`` stands in for the raw pivot sources: each ``event_type`` is one
 source table, and each row becomes one raw reading written the way raw tables
-store it (texts). ``customer`` stands in for a fleet-wide tag catalog (one hull
-per nation). Everything here is a lazy projection of the given parquet tables,
+store it (texts). ``customer`` (with ``nation`` for the region) stands in for a
+fleet-wide tag catalog: one hull per nation, its region as the database, one tag
+per customer. Everything here is a lazy projection of the given parquet tables,
 so its work grows with them.
 
 Raw reading built from an ``events`` row
@@ -41,7 +42,7 @@ FLAG_TEXTS = ("TRUE", "1", "false", "0", "yes", None, " true")
 TESTBED_HULL = "H2521"
 TESTBED_DB = "ev"
 
-# The tag catalog of the events hull (hnum, col_name, table, tag, unit, data_type).
+# The tag catalog of the events hull, as (col_name, source table, raw tag, unit, data_type).
 _TESTBED_TAGS = [
     ("vdr_relative_wind_speed", "ev_ias_view_pivot", "value_txt", "kn", "FLOAT"),
     ("vdr_relative_wind_angle", "ev_ias_view_pivot", "angle_txt", "deg", "FLOAT"),
