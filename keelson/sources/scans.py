@@ -12,7 +12,7 @@ from typing import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructType, TimestampNTZType, TimestampType
 
 from keelson.functions.conform import epoch_ms, typed_tag
 from keelson.sources.tagcatalog import Tag
@@ -55,7 +55,12 @@ def project_source(
 
     Raw column names are quoted, so a tag holding a dot or a blank is read as one column.
     """
-    cols = [epoch_ms(_raw_col(time_col)).alias(id_col), *[_raw_col(c) for c in keep]]
+    time_type = raw.schema[time_col].dataType if time_col in raw.columns else None
+    if isinstance(time_type, (TimestampType, TimestampNTZType)):  # a real timestamp, not epoch-ms text
+        raw_ms = F.unix_millis(_raw_col(time_col).cast("timestamp"))
+    else:
+        raw_ms = epoch_ms(_raw_col(time_col))
+    cols = [raw_ms.alias(id_col), *[_raw_col(c) for c in keep]]
     cols += [typed_tag(_raw_col(t.tag), t.data_type).alias(t.col_name) for t in tags]
     return raw.select(*cols)
 

@@ -60,3 +60,13 @@ def test_projection_quotes_raw_names(spark):
     tags = [Tag("H1", "w", "db", "t", "wind.speed", None, None, "FLOAT"), Tag("H1", "f", "db", "t", "flag a", None, None, "BOOLEAN")]
     row = project_source(raw, tags, id_col="id_t").first()
     assert (row.id_t, row.w, row.f) == (1704067200000, 2.5, True)
+
+
+def test_projection_accepts_timestamp_typed_time(spark):
+    import datetime as dt
+    from keelson.sources.scans import project_source
+    from keelson.sources.tagcatalog import Tag
+    tags = [Tag("H1", "w", "db", "t", "w", None, None, "FLOAT")]
+    as_ts = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 0, 7, 179000), "1.5")], "ds_timestamp timestamp_ntz, w string")
+    as_text = spark.createDataFrame([("1704067207179.0", "1.5")], "ds_timestamp string, w string")
+    assert project_source(as_ts, tags, "id").first().id == project_source(as_text, tags, "id").first().id == 1704067207179
