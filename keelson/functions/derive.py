@@ -87,6 +87,10 @@ def declared_columns(hull: str) -> list[tuple[str, str]]:
 def add_derived(df: DataFrame, hull: str, only: tuple[str, ...] | None = None) -> DataFrame:
     """Add (or re-cast) the hull's derived columns in one projection."""
     rules = [r for r in rules_for(hull) if only is None or r.name in only]
+    if only is not None:
+        unknown = sorted(set(only) - {r.name for r in rules})
+        if unknown:
+            raise ValueError(f"hull {hull} has no rules for {unknown}")
     if not rules:
         return df
     missing = sorted({n for r in rules for n in r.inputs} - set(df.columns))

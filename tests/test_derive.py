@@ -34,3 +34,8 @@ def test_rule_table_shapes():
 def test_missing_inputs_fail_early(spark):
     with pytest.raises(ValueError, match="missing columns"):
         add_derived(spark.createDataFrame([(1.0,)], "me1_fo_flow float"), "H2521")
+
+
+def test_unknown_rule_names_are_refused(spark):
+    with pytest.raises(ValueError, match="no rules"):
+        add_derived(spark.createDataFrame([(1.0,)], "ge1_power float"), "H2508", only=("ge9_load",))
