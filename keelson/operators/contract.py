@@ -59,3 +59,23 @@ def enforce_schema(df: DataFrame, schema: StructType) -> DataFrame:
     if missing:
         raise ValueError(f"frame lacks declared columns {missing}")
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def schema_report(df: DataFrame, declared: StructType) -> DataFrame:
+    """One row per declared column: declared type, the frame's type (NULL when missing), rows holding a value.
+
+    The counts are one global aggregate (partial per task, merged once), unpivoted
+    to one row per column, so nothing but the per-task partial counts is shuffled.
+    """
+    actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    names = [f.name for f in declared.fields]
+    counts = df.agg(*[(F.count(F.col(n)) if n in actual else F.lit(0).cast("bigint")).alias(n) for n in names])
+    long = counts.unpivot([], names, "column_name", "non_null_rows")
+    declared_type = F.create_map(*[x for f in declared.fields for x in (F.lit(f.name), F.lit(f.dataType.simpleString()))])
+    actual_type = F.create_map(*[x for n in names for x in (F.lit(n), F.lit(actual.get(n)).cast("string"))])
+    return long.select(
+        "column_name",
+        declared_type[F.col("column_name")].alias("declared_type"),
+        actual_type[F.col("column_name")].alias("actual_type"),
+        "non_null_rows",
+    )

@@ -217,6 +217,12 @@ def q_schema_enforce(spark, sf):
     return _raw(spark, sf, derive=False)
 
 
+def q_schema_contract(spark, sf):
+    """Per declared raw-table column: declared type, the built frame's type and how many rows hold a value."""
+    from keelson.operators.contract import schema_report
+    return schema_report(_raw(spark, sf), wide_schema(tb.TESTBED_TAGS))
+
+
 def q_pipeline_raw(spark, sf):
     """End to end: the hull's raw wide frame for the whole month (15 s buckets, derived columns)."""
     return _raw(spark, sf)
@@ -374,6 +380,7 @@ QUERIES: dict[str, QueryFn] = {
     "align_left_chain": q_align_left_chain,
     "align_first_inner": q_align_first_inner,
     "schema_enforce": q_schema_enforce,
+    "schema_contract": q_schema_contract,
     "derive_load": q_derive_load,
     "derive_sums": q_derive_sums,
     "true_wind": q_true_wind,
@@ -659,6 +666,11 @@ QUALIFY row_number() OVER (PARTITION BY source, ds_date, b ORDER BY id_source, s
     full = _raw_table_ctes("rawt", tb.FIRST_DAY, tb.LAST_DAY)
     sql["schema_enforce"] = _with(RAW_SQL, *_raw_table_ctes("rawb", tb.FIRST_DAY, tb.LAST_DAY, derive=False)) + "SELECT * FROM rawb"
     sql["pipeline_raw"] = _with(RAW_SQL, *full) + "SELECT * FROM rawt"
+    # the contract holds: every declared column present with its declared type
+    sql["schema_contract"] = _with(RAW_SQL, *full) + "\nUNION ALL\n".join(
+        f"SELECT '{f.name}' AS column_name, '{f.dataType.simpleString()}' AS declared_type, "
+        f"'{f.dataType.simpleString()}' AS actual_type, count({f.name}) AS non_null_rows FROM rawt"
+        for f in wide_schema(tb.TESTBED_TAGS).fields)
     sql["calc_table"] = _with(RAW_SQL, *full) + _calc_select("rawt", CALC_START, CALC_END)
     sql["pipeline_calc"] = _with(RAW_SQL, *full) + _calc_select("rawt", tb.FIRST_DAY, tb.LAST_DAY)
     # two overlapping loads of the same readings store exactly the full-range result

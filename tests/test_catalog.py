@@ -154,3 +154,12 @@ def test_row_with_missing_column_is_rejected(spark, scratch):
 def test_catalog_column_named_like_a_derived_one_is_refused():
     with pytest.raises(ValueError, match="collide"):
         wide_schema([_tag("me_fo_flow", hull="H2521"), _tag("me1_fo_flow", hull="H2521")])
+
+
+def test_schema_report(spark):
+    from pyspark.sql.types import FloatType, LongType, StructField, StructType
+    from keelson.operators.contract import schema_report
+    df = spark.createDataFrame([(1, 2.0), (2, None)], "id_a bigint, v double")
+    declared = StructType([StructField("id_a", LongType()), StructField("v", FloatType()), StructField("w", FloatType())])
+    got = {r.column_name: (r.declared_type, r.actual_type, r.non_null_rows) for r in schema_report(df, declared).collect()}
+    assert got == {"id_a": ("bigint", "bigint", 2), "v": ("float", "double", 1), "w": ("float", None, 0)}
