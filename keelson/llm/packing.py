@@ -88,7 +88,10 @@ class WordIds(dict):
         self.model = self.tokenizer.model
         self.byte_level = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.split = regex.compile(self.PRE_TOKENS).findall
+        # What was seen lately, and before that: an entry that stays unused for two fillings is dropped.
+        self.older: dict[bytes, bytes] = {}
         self.pre_tokens: dict[str, bytes] = {}
+        self.older_pre_tokens: dict[str, bytes] = {}
         size = self.tokenizer.get_vocab_size()
         self.ends_sentence = np.zeros(size, dtype=bool)
         for token, i in self.tokenizer.get_vocab().items():
@@ -100,22 +103,31 @@ class WordIds(dict):
     def pre_token(self, piece: str) -> bytes:
         ids = self.pre_tokens.get(piece)
         if ids is None:
+            ids = self.older_pre_tokens.get(piece)
+            if ids is None:
+                mapped = piece if piece.isascii() else self.byte_level(piece)[0][0]
+                found = [t.id for t in self.model.tokenize(mapped)]
+                ids = struct.pack(f"<{len(found)}I", *found)
             if len(self.pre_tokens) >= CACHED_WORDS:
-                self.pre_tokens.clear()
-            mapped = piece if piece.isascii() else self.byte_level(piece)[0][0]
-            found = [t.id for t in self.model.tokenize(mapped)]
-            ids = struct.pack(f"<{len(found)}I", *found)
+                self.older_pre_tokens, self.pre_tokens = self.pre_tokens, {}
             self.pre_tokens[piece] = ids
         return ids
 
     def __missing__(self, word: bytes) -> bytes:
-        text = word.decode()
-        # Latin letters keep their kind when lower-cased, but for U+0130; other words (and controls) go there whole.
-        if text.isprintable() and (text.isascii() or (max(text) < "ɐ" and "İ" not in text)):
-            ids = b"".join(map(self.pre_token, self.split(unicodedata.normalize("NFC", text).lower())))
-        else:
-            ids = self.encoded(text)
+        ids = self.older.get(word)
+        if ids is None:
+            text = word.decode()
+            if not text.isprintable():
+                ids = self.encoded(text)
+            elif text.isascii():
+                ids = b"".join(map(self.pre_token, self.split(text)))
+            # Latin letters keep their kind when lower-cased, but for U+0130; other words go to the tokenizer whole.
+            elif max(text) < "ɐ" and "İ" not in text:
+                ids = b"".join(map(self.pre_token, self.split(unicodedata.normalize("NFC", text).lower())))
+            else:
+                ids = self.encoded(text)
         if len(self) >= CACHED_WORDS:
+            self.older = dict(self)
             self.clear()
         self[word] = ids
         return ids

@@ -142,10 +142,10 @@ ORACLE_SQL = {
         FROM beside GROUP BY conv_id""",
     "op10_vector_search": """
         WITH vectors AS (
-            SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
             FROM embeddings
             WHERE embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), parts AS (
             SELECT vec_id, unnest(x) AS v, unnest(range(len(x))) AS i FROM vectors
         ), scored AS (

@@ -219,6 +219,8 @@ def links(prints: DataFrame, bits: int = BITS, step: int = STEP, leaf: int = LEA
         ends_a, ends_b = forest(near_a.astype(np.int64), near_b.astype(np.int64))
         return pd.DataFrame({"a": ends_a, "b": ends_b})
 
+    if dealt is None:
+        return prints.sparkSession.createDataFrame([], "a long, b long")
     return dealt.groupBy("depth", "x", "y").applyInPandas(walk, "a long, b long")
 
 

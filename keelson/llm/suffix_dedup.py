@@ -63,7 +63,7 @@ def difference_cover(q: int) -> np.ndarray:
                 if x[2] == 0:
                     cover.append(i)
                 x = (c * x[2] % q, (x[0] + b * x[2]) % q, x[1])
-            if len({(i - j) % v for i in cover for j in cover}) == v:
+            if len(cover) == q + 1 and len({(i - j) % v for i in cover for j in cover}) == v:
                 return np.array(cover, dtype=np.int64)
     raise ValueError(f"no difference cover for {q}")
 
