@@ -64,19 +64,20 @@ def targets(
         # What the sources with lower cap / weight hold at their caps, and the weight of this one and those above it.
         .withColumn("below", F.sum("cap").over(by_cap.rowsBetween(W.unboundedPreceding, 0)) - F.col("cap"))
         .withColumn("above", F.sum("weight").over(by_cap.rowsBetween(0, W.unboundedFollowing)))
+        .withColumn("turn", F.row_number().over(by_cap))
         .withColumn("level", (F.col("total") - F.col("below")) / F.col("above"))
     )
     # The first source whose own cap the level does not reach sets the level; without one, all stop at their caps.
     uncapped = F.col("level") * F.col("weight") <= F.col("cap")
     return (
-        placed.withColumn("common", F.min(F.when(uncapped, F.struct(F.col("cap") / F.col("weight"), "level"))).over(everything)["level"])
+        placed.withColumn("common", F.min(F.when(uncapped, F.struct("turn", "level"))).over(everything)["level"])
         .withColumn(
             "target",
             F.coalesce(
                 F.least(F.col("common") * F.col("weight"), F.col("cap").cast("double")), F.col("cap").cast("double")
             ),
         )
-        .drop("place", "weight", "cap", "total", "below", "above", "level", "common")
+        .drop("place", "weight", "cap", "total", "below", "above", "turn", "level", "common")
     )
 
 
@@ -150,7 +151,7 @@ def decided(
     lines = staged(lines, "mix-lines")
     at = F.struct(F.col("q"), F.col("doc_id"))
     extra = (
-        F.when((F.col("left") <= 0) | (F.col("part") <= 0) | (F.col("q") == float("inf")), 0)
+        F.when((F.col("left") <= 0) | (F.col("size") == 0) | (F.col("q") == float("inf")), 0)
         .when(F.col("e_bin").isNull(), 1)
         .when(F.col("bin") != F.col("e_bin"), (F.col("bin") < F.col("e_bin")).cast("int"))
         .otherwise(F.coalesce((at <= F.col("last")).cast("int"), F.lit(0)))

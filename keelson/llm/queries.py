@@ -215,7 +215,8 @@ ORACLE_SQL["op4_mixing"] = f"""
                                       ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
         FROM w
     ), t AS (
-        SELECT *, least(cap::DOUBLE, coalesce(weight * (SELECT min(level) FROM levels WHERE level * weight <= cap),
+        SELECT *, least(cap::DOUBLE, coalesce(weight * (SELECT level FROM levels WHERE level * weight <= cap
+                                                         ORDER BY cap / weight, source NULLS LAST LIMIT 1),
                                               cap::DOUBLE)) AS target
         FROM levels
     ), f AS (

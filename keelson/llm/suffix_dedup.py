@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from keelson.llm.common import arrow_rows, release, row_key, staged, worker_cache
 
 LENGTH = 400
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 ONE, SEVERAL, MIXED, SURE, ASK = range(5)
 SAMPLE = pa.schema([("k", pa.int64()), ("w", pa.int64()), ("row", pa.int64()), ("lo", pa.int64()), ("more", pa.int64())])
 SAMPLE_DDL = "k long, w long, row long, lo long, more long"
@@ -103,7 +103,7 @@ def tables(salt: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         rng = np.random.Generator(np.random.PCG64(salt))
         codes = rng.integers(0, 2**64, 256, dtype=np.uint64)
         base = int(rng.integers(2**62, 2**63)) * 2 + 1
-        room = max(size + 1, CHUNK_BYTES + (1 << 20))
+        room = max(size + 1, CHUNK_BYTES + (1 << 18))
         powers = []
         for b in (pow(base, -1, 2**64), base):
             steps = np.full(room, b, dtype=np.uint64)
