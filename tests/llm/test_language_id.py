@@ -1,0 +1,97 @@
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF001
+from keelson.llm import language_id as li
+from keelson.llm.queries import op5_language_id
+
+
+def toy(spark):
+    model_rows = [(i, "the cat and the dog", "en") for i in range(6)] + [(10 + i, "der hund und die katze", "de") for i in range(6)]
+    return li.fit(spark.createDataFrame(model_rows, "doc_id long, text string, lang string"), "doc_id", "text", "lang")
+
+
+ROWS = [
+    (1, "the dog and the cat", "en", "a.x.com"), (2, "der hund und die katze", "de", "b.x.de"), (3, "die katze", "en", "b.x.de"),
+    (4, "zq", "de", "b.x.de"), (5, "", "en", "a.x.com"), (6, None, None, None), (7, "123 !!", "en", "a.x.com"),
+    (8, "the hund", None, None), (8, "the hund", None, None), (None, "the cat", "xx", "c"),
+]
+
+
+def slow(model, rows):
+    """Posterior by row, from the same text scores, with plain loops."""
+    seen = [None if s is None else np.array(s) for s in li.scores([(t or "").encode() for _, t, _, _ in rows], model.logs)]
+    soft = lambda s: np.exp(s - s.max()) / np.exp(s - s.max()).sum()
+    by = defaultdict(lambda: np.zeros(len(model.languages)))
+    suffix = lambda h: None if h is None else h.split(".")[-1]
+    for (_, _, d, h), s in zip(rows, seen, strict=True):
+        if s is not None:
+            for key in (("all",), ("d", d), ("h", h), ("s", suffix(h))):
+                by[key] = by[key] + soft(s)
+    base = (by["all",] + 1) / (by["all",].sum() + len(model.languages))
+    smooth = lambda own, prior, w: (own + w * prior) / (own.sum() + w)
+    out = []
+    for (_, _, d, h), s in zip(rows, seen, strict=True):
+        if s is None:
+            out.append((None, 0.0))
+            continue
+        prior = smooth(by["h", h], smooth(by["s", suffix(h)], base, li.SUFFIX_WEIGHT), li.HOST_WEIGHT)
+        says = (by["d", d] + li.SMOOTH) / (by["all",] + 2 * li.SMOOTH)
+        p = soft(s + np.log(prior) + np.log(says))
+        out.append((model.languages[int(p.argmax())], p.max()))
+    return out
+
+
+def test_fusion_matches_plain_loops(spark):
+    model = toy(spark)
+    assert model.languages == ("de", "en")
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(ROWS)], "doc_id long, text string, declared string, host string, n int")
+    got = li.identify(docs.repartition(3), model, F.col("text"), F.col("declared"), F.col("host")).orderBy("n").collect()
+    assert [r.n for r in got] == list(range(len(ROWS)))
+    for r, (lang, p) in zip(got, slow(model, ROWS), strict=True):
+        assert r.lang_id == lang
+        assert r.lang_confidence == pytest.approx(p)
+        assert r.lang_kept == (p >= li.LEAST)
+    assert li.identify(docs.limit(0), model, F.col("text"), F.col("declared"), F.col("host")).count() == 0
+
+
+def test_no_model_and_names_in_the_way(spark):
+    docs = spark.createDataFrame([(1, "a", "en", "h")], "doc_id long, text string, declared string, lang_id string")
+    model = toy(spark)
+    with pytest.raises(ValueError, match="in the way"):
+        li.identify(docs, model, F.col("text"), F.col("declared"), F.col("declared"))
+    none = li.fit(docs.limit(0), "doc_id", "text", "declared")
+    assert none.languages == ()
+    rows = li.identify(docs.drop("lang_id"), none, F.col("text"), F.col("declared"), F.col("declared")).collect()
+    assert [(r.lang_id, r.lang_kept) for r in rows] == [(None, False)]
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(3))
+    model = li.fit(docs.filter(fold != 0), "doc_id", "text", "lang")
+    rest = docs.filter(fold == 0)
+    blind = li.identify(rest, model, F.col("text"), F.lit(None), F.lit(None).cast("string"))
+    rows = blind.select("lang", "lang_id").collect()
+    assert sum(r.lang == r.lang_id for r in rows) >= 0.95 * len(rows)
+
+
+def test_query_keeps_documents_with_text(spark):
+    rows = op5_language_id(spark, SF001).collect()
+    docs = {r.doc_id: r for r in rows if r.doc_id is not None}
+    pages = [r for r in rows if r.page_id is not None]
+    assert len(docs) == spark.read.parquet(f"{SF001}/documents.parquet").count()
+    assert len(pages) == spark.read.parquet(f"{SF001}/pages.parquet").count()
+    assert sum(r.kept for r in docs.values()) >= 0.98 * len(docs)
+
+
+def test_markup(spark):
+    html = '<html class="x" LANG="de-AT"><script>var a = "<p>";</script><!-- no --><p>Hallo&nbsp;<b>Welt</b></p><style>p{}</style>'
+    frame = spark.createDataFrame([(html,), (None,), ("plain",)], "html string")
+    got = frame.select(li.markup_text(F.col("html")).alias("t"), li.markup_language(F.col("html")).alias("l")).collect()
+    assert got[0].t.split() == ["Hallo", "Welt"] and got[0].l == "de"
+    assert got[1].t is None and got[1].l is None
+    assert got[2].t == "plain" and got[2].l is None
