@@ -163,30 +163,29 @@ def node_pairs(prints: DataFrame, bits: int, step: int, leaf: int) -> DataFrame:
     """Leaf pairs of the upper trie: depth, x, y (prefixes)."""
     spark = prints.sparkSession
     done = []
-    open_pairs = spark.createDataFrame([(0, 0)], "x long, y long")
-    rows, depth = True, 0
-    while rows:
+    wide, depth = spark.createDataFrame([(0, 0)], "x long, y long"), 0
+    while True:
+        depth += step
+        kid = F.explode(F.sequence(F.lit(0), F.lit((1 << step) - 1)))
+        kids = (
+            wide.select("x", "y", kid.alias("i")).select("x", "y", "i", kid.alias("j"))
+            .filter("x <> y or i <= j")  # of a pair and its mirror image, one is enough
+            .select(
+                (F.shiftleft("x", step) + F.col("i")).alias("x"), (F.shiftleft("y", step) + F.col("j")).alias("y")
+            )
+            .filter(F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= bits)
+        )
         nodes = prefix(prints, depth).groupBy("p").agg(F.count(F.lit(1)).alias("n"))
         sized = (
-            open_pairs.join(nodes.select(F.col("p").alias("x"), F.col("n").alias("nx")), "x")
+            kids.join(nodes.select(F.col("p").alias("x"), F.col("n").alias("nx")), "x")
             .join(nodes.select(F.col("p").alias("y"), F.col("n").alias("ny")), "y")
             .withColumn("small", (F.col("nx") + F.col("ny") <= leaf) | F.lit(depth >= 64))
         )
         sized = staged(sized, "trie-pairs")
         done.append(sized.filter("small").select(F.lit(depth).alias("depth"), "x", "y"))
         wide = sized.filter(~F.col("small")).select("x", "y")
-        rows = depth < 64 and not wide.isEmpty()
-        if rows:
-            depth += step
-            kid = F.explode(F.sequence(F.lit(0), F.lit((1 << step) - 1)))
-            widened = wide.select("x", "y", kid.alias("i")).select("x", "y", "i", kid.alias("j"))
-            open_pairs = (
-                widened.filter("x <> y or i <= j")  # of a pair and its mirror image, one is enough
-                .select(
-                    (F.shiftleft("x", step) + F.col("i")).alias("x"), (F.shiftleft("y", step) + F.col("j")).alias("y")
-                )
-                .filter(F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= bits)
-            )
+        if depth >= 64 or wide.isEmpty():
+            break
     pairs = done[0]
     for more in done[1:]:
         pairs = pairs.union(more)
@@ -194,8 +193,7 @@ def node_pairs(prints: DataFrame, bits: int, step: int, leaf: int) -> DataFrame:
 
 
 def prefix(prints: DataFrame, depth: int) -> DataFrame:
-    value = F.shiftrightunsigned("bits", 64 - depth) if depth else F.lit(0)
-    return prints.select(value.cast("long").alias("p"), "bits")
+    return prints.select(F.shiftrightunsigned("bits", 64 - depth).alias("p"), "bits")
 
 
 def links(prints: DataFrame, bits: int = BITS, step: int = STEP, leaf: int = LEAF) -> DataFrame:

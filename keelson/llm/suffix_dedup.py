@@ -12,10 +12,12 @@ are therefore sorted:
    that strings through it can reach, v - 1 to each side). Suffixes are dealt to buckets by seed, and one bucket at a
    time is sorted by (seed, rank class). Equal rank classes settle a long tie at once: all strings through both are
    repeated, without looking at the strings one by one.
-2. Suffixes with equal seeds but different rank classes (edges of copies) leave ties open. For one suffix of each such
-   class, the strings through it are hashed one by one (128 bits) and sorted in the same way.
+2. Suffixes with equal seeds but different rank classes (short passages, edges of copies) leave ties open. For one
+   suffix of each such class, the strings through it are taken CELL starts at a time and sorted in the same way: a
+   cell's seed is what all its strings share, its rank class all that they reach.
+3. What is still open goes string by string.
 
-Both sorts see the suffixes of one chunk of text first: what repeats inside the chunk is settled there and only one
+All sorts see the suffixes of one chunk of text first: what repeats inside the chunk is settled there and only one
 representative leaves it, so a passage that a third of all documents share sends one row per chunk and seed, not one
 per document. Texts longer than a chunk are hashed in overlapping segments.
 
@@ -40,6 +42,7 @@ from keelson.llm.common import arrow_rows, release, row_key, staged, worker_cach
 
 LENGTH = 400
 CHUNK_BYTES = 1 << 20
+CELL = 52
 ONE, SEVERAL, MIXED, SURE, ASK = range(5)
 SAMPLE = pa.schema([("k", pa.int64()), ("w", pa.int64()), ("row", pa.int64()), ("lo", pa.int64()), ("more", pa.int64())])
 SAMPLE_DDL = "k long, w long, row long, lo long, more long"
@@ -138,14 +141,20 @@ def pieces(batches: Iterable[pa.RecordBatch], before: int, after: int, extra: st
         yield held
 
 
-def pre_sorted(k: np.ndarray, w: np.ndarray, row: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.RecordBatch:
+def pre_sorted(
+    k: np.ndarray, w: np.ndarray, row: np.ndarray, lo: np.ndarray, hi: np.ndarray, at: np.ndarray | None = None
+) -> pa.RecordBatch:
     """One chunk's suffixes in sorted order, settled as far as the chunk alone allows.
 
     Kinds: ONE of its seed; SEVERAL, for all of one class; MIXED, that a seed has several classes here; and ranges of
-    starts that need no bucket (under keys of their own): SURE (repeated) and ASK (to be looked at one by one).
+    starts that need no bucket (under keys of their own): SURE (repeated) and ASK (to be looked at closer).
+
+    lo, hi: the starts of the strings through a suffix; at: its own offset, which is what is asked about if given.
     """
     order = np.lexsort((w, k))
     k, w, row, lo, hi = k[order], w[order], row[order], lo[order], hi[order]
+    at = None if at is None else at[order]
+    more = (hi - lo) << 15 | (0 if at is None else (at - lo) << 3)
     new_k = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
     new_class = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (w[1:] != w[:-1])]))
     size_k = np.diff(np.append(new_k, len(k)))
@@ -157,15 +166,18 @@ def pre_sorted(k: np.ndarray, w: np.ndarray, row: np.ndarray, lo: np.ndarray, hi
     first = np.zeros(len(k), dtype=bool)
     first[new_class] = True
 
-    parts = [(k[alone], w[alone], row[alone], lo[alone], (hi - lo)[alone] * 8 + ONE)]
+    parts = [(k[alone], w[alone], row[alone], lo[alone], more[alone] | ONE)]
     several = whole & ~alone & first
-    parts.append((k[several], w[several], row[several], lo[several], (hi - lo)[several] * 8 + SEVERAL))
+    parts.append((k[several], w[several], row[several], lo[several], more[several] | SEVERAL))
     some = new_k[classes > 1]
     parts.append((k[some], np.zeros(len(some), dtype=np.uint64), row[some], lo[some], np.full(len(some), MIXED)))
-    for pick, kind in ((shared & ~(whole & first), SURE), (~whole & first, ASK)):
-        r, a, b = merged(row[pick], lo[pick], hi[pick])
+    for pick, kind, a, b in (
+        (shared & ~(whole & first), SURE, lo, hi),
+        (~whole & first, ASK, *((lo, hi) if at is None else (at, at))),
+    ):
+        r, a, b = merged(row[pick], a[pick], b[pick])
         own = mixed(r.astype(np.uint64) * np.uint64(31) + a.astype(np.uint64))
-        parts.append((own, np.zeros(len(r), dtype=np.uint64), r, a, (b - a) * 8 + kind))
+        parts.append((own, np.zeros(len(r), dtype=np.uint64), r, a, (b - a) << 15 | kind))
     k, w, row, lo, more = (np.concatenate(x) for x in zip(*parts, strict=True))
     return arrow_rows(
         {"k": k.view(np.int64), "w": w.view(np.int64), "row": row, "lo": lo, "more": more.astype(np.int64)}, SAMPLE
@@ -222,7 +234,48 @@ def sample_suffixes(docs: DataFrame, length: int) -> DataFrame:
             k = hashed(p + shift, p + shift + seed)
             w = mixed(hashed(lo + shift, stop + shift) + (p - lo).astype(np.uint64))
             del hashed
-            yield pre_sorted(k, w, row, lo, np.minimum(p, n - length))
+            yield pre_sorted(k, w, row, lo, np.minimum(p, n - length), p)
+
+    return docs.mapInArrow(run, SAMPLE_DDL)
+
+
+def ranges_of(asked: pa.Scalar, first: int, stop: int) -> list[np.ndarray]:
+    """The numbers from first up to stop that the ranges hold, each once: ranges of several buckets overlap."""
+    cells = asked.values
+    lo, hi = (cells.field(i).to_numpy() for i in range(2))
+    _, lo, hi = merged(np.zeros(len(lo), dtype=np.int64), lo, hi)
+    lo, hi = np.maximum(lo, first), np.minimum(hi + 1, stop)
+    return [np.arange(a, b) for a, b in zip(lo.tolist(), hi.tolist(), strict=True) if a < b]
+
+
+def asked_cells(docs: DataFrame, length: int) -> DataFrame:
+    """docs: row, text, asked (array of ranges of offsets of sample suffixes)."""
+    _, v = cover_for(length)
+    near = np.arange(0, v, CELL)  # a cell's strings start near to far bytes before the suffix
+    far = np.minimum(near + CELL, v) - 1
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in pieces(batches, v - 1, length, "asked"):
+            rows, places, shifts, ends = [], [], [], []
+            base = 0
+            for row, n, offset, body, core, stop, asked in held:
+                p = np.concatenate([np.zeros(0, dtype=np.int64), *ranges_of(asked, core, stop)])
+                rows.append(np.full(len(p), row, dtype=np.int64))
+                places.append(p)
+                shifts.append(np.full(len(p), base - offset, dtype=np.int64))
+                ends.append(np.full(len(p), n, dtype=np.int64))
+                base += len(body)
+            row, p, shift, n = (np.repeat(np.concatenate(x), len(near)) for x in (rows, places, shifts, ends))
+            short, long = np.tile(near, len(p) // len(near)), np.tile(far, len(p) // len(near))
+            lo, hi = np.maximum(p - long, 0), np.minimum(p - short, n - length)
+            some = lo <= hi
+            row, p, shift, short, long, lo, hi = (x[some] for x in (row, p, shift, short, long, lo, hi))
+            if not len(row):
+                continue
+            hashed = Rolling(b"".join(x[3] for x in held), 1)
+            k = mixed(hashed(p - short + shift, p - long + length + shift) + short.astype(np.uint64))
+            w = mixed(hashed(lo + shift, hi + length + shift) + (p - lo).astype(np.uint64))
+            yield pre_sorted(k, w, row, lo, hi)
 
     return docs.mapInArrow(run, SAMPLE_DDL)
 
@@ -235,12 +288,10 @@ def asked_strings(docs: DataFrame, length: int) -> DataFrame:
             rows, starts, shifts = [], [], []
             base = 0
             for row, n, offset, body, core, stop, asked in held:
-                for r in asked.as_py():
-                    lo, hi = max(r["lo"], core), min(r["hi"] + 1, stop, n - length + 1)
-                    if lo < hi:
-                        rows.append(np.full(hi - lo, row, dtype=np.int64))
-                        starts.append(np.arange(lo, hi))
-                        shifts.append(np.full(hi - lo, base - offset, dtype=np.int64))
+                for at in ranges_of(asked, core, min(stop, n - length + 1)):
+                    rows.append(np.full(len(at), row, dtype=np.int64))
+                    starts.append(at)
+                    shifts.append(np.full(len(at), base - offset, dtype=np.int64))
                 base += len(body)
             if not rows:
                 continue
@@ -253,11 +304,14 @@ def asked_strings(docs: DataFrame, length: int) -> DataFrame:
     return docs.mapInArrow(run, SAMPLE_DDL)
 
 
-def sorted_buckets(sample: DataFrame, ask_all: bool) -> DataFrame:
-    """Ranges of starts (row, lo, hi, sure) that sorting each bucket by (k, w) settles as repeated, or asks about."""
+def sorted_buckets(sample: DataFrame, asking: str | None) -> DataFrame:
+    """Ranges (row, lo, hi, sure) that sorting each bucket by (k, w) settles as repeated starts, or asks about.
+
+    asking: about "starts", about "suffixes" (their own offsets), or None where there is nothing left to ask.
+    """
 
     def settle(k, w, row, lo, more) -> pa.RecordBatch | None:
-        kind, hi = more & 7, lo + (more >> 3)
+        kind, hi, own_offset = more & 7, lo + (more >> 15), lo + ((more >> 3) & 0xFFF)
         own = kind >= SURE
         live = ~own
         new_k = np.concatenate([[True], k[1:] != k[:-1]])
@@ -273,9 +327,13 @@ def sorted_buckets(sample: DataFrame, ask_all: bool) -> DataFrame:
         at = np.flatnonzero(plain)
         first[at[np.unique(by_class[at], return_index=True)[1]]] = True
         sure = (plain & (alike > 1)) | (kind == SURE)
-        ask = (plain & first & mix & (members > 1)) if ask_all else np.zeros(len(k), dtype=bool)
-        ask |= kind == ASK if ask_all else False
-        out = [merged(row[x], lo[x], hi[x]) for x in (sure, ask)]
+        out = [merged(row[sure], lo[sure], hi[sure])]
+        if asking:
+            ask = plain & first & mix & (members > 1)
+            a, b = (own_offset, own_offset) if asking == "suffixes" else (lo, hi)
+            a, b = np.where(kind == ASK, lo, a), np.where(kind == ASK, hi, b)
+            ask |= kind == ASK
+            out.append(merged(row[ask], a[ask], b[ask]))
         row, lo, hi = (np.concatenate(x) for x in zip(*out, strict=True))
         if not len(row):
             return None
@@ -313,12 +371,15 @@ def repeated_starts(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
     keyed: row (long), text.
     """
     spark = keyed.sparkSession
-    first = staged(sorted_buckets(sample_suffixes(keyed, length), True), "suffix-buckets")
-    release(spark)
-    asked = keyed.join(by_row(first.filter("not sure"), "asked"), "row")
-    second = staged(sorted_buckets(asked_strings(asked, length), False), "suffix-strings")
+    found = staged(sorted_buckets(sample_suffixes(keyed, length), "suffixes"), "suffix-buckets")
     release(spark)
-    return first.filter("sure").union(second).select("row", "lo", "hi")
+    starts = found.filter("sure")
+    for name, strings, asking in (("cells", asked_cells, "starts"), ("strings", asked_strings, None)):
+        asked = keyed.join(by_row(found.filter("not sure"), "asked"), "row")
+        found = staged(sorted_buckets(strings(asked, length), asking), f"suffix-{name}")
+        release(spark)
+        starts = starts.union(found.filter("sure"))
+    return starts.select("row", "lo", "hi")
 
 
 def covered(ranges: list[dict], length: int) -> list[tuple[int, int]]:
