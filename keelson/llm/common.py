@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import sys
+import time
 import types
 import uuid
 from collections.abc import Iterable, Iterator
@@ -29,11 +31,16 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Let the driver notice frames no longer referenced, so Spark deletes the shuffle files of finished jobs."""
-    import gc
+    """Let the driver notice frames no longer referenced, so Spark deletes the shuffle files of finished jobs.
 
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    Python hands its dropped references to the JVM in the background, and the JVM those of shuffles to Spark's
+    cleaner; hence two rounds with a short wait each.
+    """
+    for _ in range(2):
+        gc.collect()
+        time.sleep(0.5)
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def ids_tell_rows_apart(docs: DataFrame, id_col: str) -> bool:
