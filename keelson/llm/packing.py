@@ -46,7 +46,7 @@ SEQUENCE_PENALTY = 8
 SENTENCE_STRIDE = 32
 HARD_STRIDE = 512
 LEAST_POWER = 64
-CACHED_WORDS = 600_000
+CACHED_WORDS = 300_000
 
 PIECES = pa.schema(
     [

@@ -43,6 +43,7 @@ from keelson.llm.common import arrow_rows, release, row_key, staged, worker_cach
 LENGTH = 400
 CHUNK_BYTES = 1 << 20
 CELL = 52
+SLICE_ROWS = 256
 ONE, SEVERAL, MIXED, SURE, ASK = range(5)
 SAMPLE = pa.schema([("k", pa.int64()), ("w", pa.int64()), ("row", pa.int64()), ("lo", pa.int64()), ("more", pa.int64())])
 SAMPLE_DDL = "k long, w long, row long, lo long, more long"
@@ -411,15 +412,19 @@ def with_runs(docs: DataFrame, text_col: str, key: F.Column, length: int) -> Dat
     return docs.withColumn("__row", key).join(starts, "__row", "left").drop("__row")
 
 
-def per_text(batches: Iterable[pa.RecordBatch], length: int, use: Callable) -> Iterator[tuple[pa.RecordBatch, list]]:
-    for batch in batches:
-        texts = batch.column(batch.schema.get_field_index("__text")).cast(pa.binary())
-        ranges = batch.column(batch.schema.get_field_index("__runs"))
-        out = []
-        for text, r in zip(texts, ranges, strict=True):
-            body = text.as_py() or b""
-            out.append(use(body, covered(r.as_py() or [], length)))
-        yield batch, out
+def per_text(
+    batches: Iterable[pa.RecordBatch], text_col: str, length: int, use: Callable
+) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Small slices of the batches with use(text, runs) of each row."""
+    worker_cache().clear()  # the tables of earlier tasks in this process are not needed any more
+    for whole in batches:
+        for at in range(0, whole.num_rows, SLICE_ROWS):
+            batch = whole.slice(at, SLICE_ROWS)
+            texts = batch.column(batch.schema.get_field_index(text_col)).cast(pa.binary())
+            ranges = batch.column(batch.schema.get_field_index("__runs"))
+            yield batch, [
+                use(t.as_py() or b"", covered(r.as_py() or [], length)) for t, r in zip(texts, ranges, strict=True)
+            ]
 
 
 def repeated_spans(
@@ -438,7 +443,7 @@ def repeated_spans(
         return len(body), [{"from": a, "to": b} for a, b in runs], kept
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, out in per_text(batches, length, use):
+        for batch, out in per_text(batches, "__text", length, use):
             ids = batch.column(batch.schema.get_field_index("doc_id"))
             cells = [list(x) for x in zip(*out, strict=True)] or [[], [], []]
             yield pa.RecordBatch.from_arrays(
@@ -461,13 +466,12 @@ def without_repeats(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = lambda body, runs: kept_bytes(body, runs).decode("utf-8", "ignore")
-        for batch, out in per_text(batches, length, use):
-            whole = batch.column(batch.schema.get_field_index("__text"))
-            texts = pa.array([t if w.is_valid else None for t, w in zip(out, whole, strict=True)], pa.string())
+        for batch, out in per_text(batches, text_col, length, use):
             at = batch.schema.get_field_index(text_col)
+            whole = batch.column(at)
+            texts = pa.array([t if w.is_valid else None for t, w in zip(out, whole, strict=True)], pa.string())
             cells = [texts if i == at else batch.column(batch.schema.get_field_index(c)) for i, c in enumerate(columns)]
             yield pa.RecordBatch.from_arrays(cells, names=columns)
 
     marked = with_runs(docs, text_col, row_key(docs, id_col, text_col), length)
-    shaped = marked.select(*columns, F.col(text_col).cast("string").alias("__text"), "__runs")
-    return shaped.mapInArrow(run, docs.schema)
+    return marked.select(*columns, "__runs").mapInArrow(run, docs.schema)
