@@ -6,49 +6,39 @@ stored row with the same key (all non-key columns updated, surrogate id kept).
 Hulls absent from ``incoming`` are untouched. The whole change is computed as
 one DataFrame, so writing it once is the atomic step.
 
-Joins are on the composite key (hull, column name) which is unique on both
-sides, so no single hull -- however large -- lands in one join group. The only
-hull-level join is against the distinct hull list of ``incoming``, broadcast
-behind a size check (``_scope_join``).
+Both sides are joined once on the composite key (hull, column name), which is
+checked to be unique, so no single hull -- however large -- lands in one join
+group; which hulls the files cover comes from a join with their distinct ids,
+whose strategy is left to the planner.
+
+Hull ids are compared trimmed and upper-cased on both sides.
 """
 
 from __future__ import annotations
 
+import uuid
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 DEFAULT_KEYS = ("hnum", "col_name")
 DEFAULT_SCOPE = ("hnum",)
 
-# Largest number of distinct hulls (scope values) whose list is broadcast; one
-# entry is a short id, so the broadcast side stays far below a few MB.
-MAX_BROADCAST_SCOPE = 100_000
-
-
-def _scope_side(incoming: DataFrame, scope: list[str]) -> DataFrame:
-    """The distinct scope values (hulls) of ``incoming``, marked for broadcast when their count is within bound.
-
-    Beyond the bound the plain side is returned: the join then shuffles and AQE
-    splits skewed partitions, so a hull holding a large share of the rows is never
-    gathered into one join task either way.
-    """
-    values = incoming.select(*scope).distinct()
-    n = values.limit(MAX_BROADCAST_SCOPE + 1).count()
-    return F.broadcast(values) if n <= MAX_BROADCAST_SCOPE else values
-
-
-def _scope_join(df: DataFrame, incoming: DataFrame, scope: list[str], how: str, side: DataFrame | None = None) -> DataFrame:
-    """Semi / anti join of ``df`` against the distinct scope values of ``incoming``."""
-    return df.join(side if side is not None else _scope_side(incoming, scope), scope, how)
-
 
 def normalise_hull(df: DataFrame, col: str = "hnum") -> DataFrame:
     """Hull ids compare upper-cased and trimmed on both sides."""
     return df.withColumn(col, F.upper(F.trim(F.col(col))))
 
 
+def _same(left: Sequence[str], right_prefix: str) -> Column:
+    cond = F.lit(True)
+    for c in left:
+        cond = cond & (F.col(c) == F.col(right_prefix + c))
+    return cond
+
+
 def absent_keys(
     existing: DataFrame,
     incoming: DataFrame,
@@ -57,26 +47,75 @@ def absent_keys(
 ) -> DataFrame:
     """Stored rows of the hulls ``incoming`` covers whose key ``incoming`` no longer has."""
     keys, scope = list(keys), list(scope)
-    in_scope = _scope_join(existing, incoming, scope, "left_semi")
+    in_scope = existing.join(incoming.select(*scope).distinct(), scope, "left_semi")
     return in_scope.join(incoming.select(*keys), keys, "left_anti")
 
 
+def require_unique(rows: DataFrame, keys: Sequence[str], what: str) -> None:
+    """Every key must be whole and occur once, as ON CONFLICT would have it."""
+    twice = rows.groupBy(*keys).count()
+    bad = twice.where((F.col("count") > 1) | F.greatest(*[F.col(k).isNull().cast("int") for k in keys], F.lit(0)).cast("boolean"))
+    found = bad.orderBy(*keys).limit(5).collect()  # an error text shows five
+    if found:
+        raise ValueError(f"{what}: keys missing or repeated: {[tuple(r[k] for k in keys) for r in found]}")
+
+
+def require_known_columns(existing: Sequence[str], incoming: Sequence[str]) -> None:
+    unknown = [c for c in incoming if c not in existing]
+    if unknown:
+        raise ValueError(f"the stored catalog has no columns {unknown}; add them first")
+
+
+def numbered(new: DataFrame, keys: Sequence[str], scope: Sequence[str], id_col: str, top: Column) -> DataFrame:
+    """``new`` with ids that go on from ``top`` in key order.
+
+    Each hull is numbered by itself and shifted by the sizes of the hulls before it: the window over all
+    hulls sees one row per hull.
+    """
+    before = Window.orderBy(*scope).rowsBetween(Window.unboundedPreceding, -1)
+    shifts = new.groupBy(*scope).agg(F.count(F.lit(1)).alias("__n")).select(
+        *[F.col(c).alias(f"__s_{c}") for c in scope], F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__shift"))
+    place = F.row_number().over(Window.partitionBy(*scope).orderBy(*keys))
+    ranked = new.withColumn("__place", place).join(shifts, _same(scope, "__s_"))
+    return ranked.withColumn(id_col, (top + F.col("__shift") + F.col("__place")).cast("long")).drop(
+        "__shift", "__place", *[f"__s_{c}" for c in scope])
+
+
 def sync_catalog(
     existing: DataFrame,
     incoming: DataFrame,
     keys: Sequence[str] = DEFAULT_KEYS,
     scope: Sequence[str] = DEFAULT_SCOPE,
     id_col: str | None = "id",
+    top_id: int | None = None,
 ) -> DataFrame:
-    """Catalog after delete-absent + upsert. New keys get a NULL ``id_col`` (the sink assigns it)."""
+    """Catalog after delete-absent + upsert.
+
+    Stored keys keep their ``id_col``. New keys get ids above ``top_id`` in key order, or NULL
+    without it (a sink that assigns ids itself).
+    """
     keys, scope = list(keys), list(scope)
-    side = _scope_side(incoming, scope)  # counted once, used by both scope joins
-    untouched = _scope_join(existing, incoming, scope, "left_anti", side)
-    if id_col is None or id_col not in existing.columns:
-        return untouched.unionByName(incoming.select(*untouched.columns))
-    ids = _scope_join(existing.select(*keys, id_col), incoming, scope, "left_semi", side)  # only in-scope hulls match
-    upserted = incoming.drop(id_col).join(ids, keys, "left")
-    return untouched.unionByName(upserted.select(*untouched.columns))
+    require_known_columns(existing.columns, incoming.columns)
+    columns = existing.columns
+    if len(scope) == 1:
+        existing, incoming = normalise_hull(existing, scope[0]), normalise_hull(incoming, scope[0])
+    has_id = id_col is not None and id_col in columns
+    values = [c for c in columns if not (has_id and c == id_col)]
+    missing = [c for c in values if c not in incoming.columns]
+    if missing:
+        raise ValueError(f"the incoming catalog lacks columns {missing}")
+    new = incoming.select(*[F.col(c).alias(f"__i_{c}") for c in values], F.lit(True).alias("__hit"))
+    covered = incoming.select(*[F.col(c).alias(f"__c_{c}") for c in scope]).distinct().withColumn("__covered", F.lit(True))
+    both = existing.withColumn("__had", F.lit(True)).join(new, _same(keys, "__i_"), "full_outer")
+    both = both.join(covered, _same(scope, "__c_"), "left")
+    hit = F.col("__hit").isNotNull()
+    kept = both.where(hit | F.col("__covered").isNull()).select(
+        *[F.when(hit, F.col(f"__i_{c}")).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in columns],
+        F.col("__had"))
+    if not has_id or top_id is None:
+        return kept.drop("__had")
+    fresh = numbered(kept.where("__had is null").drop("__had"), keys, scope, id_col, F.lit(top_id))
+    return kept.where("__had is not null").drop("__had").unionByName(fresh.select(*columns))
 
 
 def sync_catalog_path(
@@ -89,34 +128,41 @@ def sync_catalog_path(
 ) -> None:
     """Apply ``sync_catalog`` to a catalog stored as Parquet partitioned by hull.
 
-    Only the hull partitions present in ``incoming`` are rewritten (dynamic
-    partition overwrite), so deleting absent keys and upserting the rest is one
-    write per hull and other hulls are never touched. The new rows are staged
-    first so the overwrite never reads the folder it replaces.
+    Only the hull partitions present in ``incoming`` are read and rewritten (a swap that the next sync
+    finishes if it is interrupted), other hulls are never touched. Keys must be unique: a file that
+    repeats one is refused before anything is written, as is a column the stored catalog lacks. New keys
+    get the next ids; stored keys keep theirs. Only a folder that is not there is a new catalog.
     """
-    import uuid
-
-    from keelson.operators.upsert import remove_path
+    from keelson.operators.upsert import finish_swap, swap_in
     from keelson.session import checkpoint_dir
+    from keelson.sources.storage import delete_path, path_exists, read_stored
 
-    incoming = normalise_hull(incoming, scope[0]) if len(scope) == 1 else incoming
+    keys, scope = list(keys), list(scope)
+    if len(scope) == 1:
+        incoming = normalise_hull(incoming, scope[0])
+    incoming = incoming.drop(id_col) if id_col else incoming
+    finish_swap(spark, path, None, scope)
+    types = StructType([StructField(c, StringType(), True) for c in scope])
+    existing = read_stored(spark, path, types)
+    run = f"{checkpoint_dir(spark)}/keelson-catalog-{uuid.uuid4().hex}"
+    incoming.write.parquet(f"{run}/incoming")
+    rows = spark.read.schema(incoming.schema).parquet(f"{run}/incoming")
     try:
-        existing = spark.read.parquet(path)
-    except Exception:
-        existing = None
-    if existing is None:
-        out = incoming if id_col is None else incoming.withColumn(id_col, F.lit(None).cast("long"))
-        out.repartition(*scope).write.mode("overwrite").partitionBy(*scope).parquet(path)
-        return
-    cols = existing.columns
-    rows = incoming.drop(id_col) if id_col and id_col in incoming.columns else incoming
-    if id_col and id_col in cols:
-        # ids only exist in the incoming hulls' partitions: read just those
-        ids = _scope_join(existing.select(*keys, id_col), incoming, list(scope), "left_semi")
-        rows = rows.join(ids, list(keys), "left")
-    staging = f"{checkpoint_dir(spark)}/keelson-catalog-{uuid.uuid4().hex}"
-    # one hull's catalog is small (its table width): cluster by hull so each hull is one file
-    rows.select(*cols).repartition(*scope).write.mode("overwrite").partitionBy(*scope).parquet(staging)
-    (spark.read.parquet(staging).select(*cols).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*scope).parquet(path))
-    remove_path(spark, staging)
+        require_unique(rows, keys, "incoming catalog")
+        if existing is None:
+            out = rows if id_col is None else numbered(rows, keys, scope, id_col, F.lit(0))
+            mode = "append" if path_exists(spark, path) else "errorifexists"
+            out.hint("rebalance", *[F.col(c) for c in scope]).write.mode(mode).partitionBy(*scope).parquet(path)
+            return
+        require_known_columns(existing.columns, rows.columns)
+        touched = existing.join(rows.select(*scope).distinct(), scope, "left_semi")
+        has_id = id_col is not None and id_col in existing.columns
+        top = int(existing.agg(F.max(id_col)).first()[0] or 0) if has_id else None
+        after = sync_catalog(touched, rows, keys, scope, id_col if has_id else None, top)
+        after.hint("rebalance", *[F.col(c) for c in scope]).write.partitionBy(*scope).parquet(f"{run}/merged")
+        swap_in(spark, f"{run}/merged", path, None, scope)
+    finally:
+        # An interrupted swap still needs its staged copy: the note in the catalog's folder names it.
+        from keelson.sources.storage import read_note
+        if not path_exists(spark, path) or read_note(spark, path) is None:
+            delete_path(spark, run)

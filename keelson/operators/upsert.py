@@ -9,8 +9,12 @@ takes the source row wherever there is one is exactly MERGE.
 MERGE (``DataFrame.mergeInto``) that is used; for plain Parquet the source is
 staged once under ``spark.checkpoint.dir``, only the partitions it touches are
 read from the table and merged, the merged rows are staged too, and exactly
-those partitions are overwritten from the staged copy. The final write never
-reads the table it overwrites, and a re-run is idempotent.
+those partitions are swapped in from the staged copy.
+
+A swap replaces partitions one after another, so a crash can leave the table
+between two states. Before it starts, a note beside the table's folder names the
+staged copy; it goes when the swap is done. The next load of the table that
+finds a note repeats that swap first, and so never merges into half a table.
 """
 
 from __future__ import annotations
@@ -21,8 +25,12 @@ from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from keelson.session import checkpoint_dir
+from keelson.sources.storage import (
+    delete_path, drop_note, path_exists, read_note, read_stored, table_location, write_note,
+)
 
 log = logging.getLogger(__name__)
 
@@ -64,13 +72,28 @@ _HIT = "__src_hit"
 
 
 def _supports_merge(spark: SparkSession, table: str) -> bool:
-    try:
-        provider = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == "Provider").collect()
-    except Exception:
+    if not spark.catalog.tableExists(table):
         return False
+    provider = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == "Provider").collect()
     return bool(provider) and provider[0]["data_type"].lower() in {"iceberg", "delta"}
 
 
+def checked_source(source: DataFrame, keys: Sequence[str], partition_cols: Sequence[str] = ()) -> tuple[int, list]:
+    """(source rows with a NULL key, partition values of the others) in one job; a repeated key is an error."""
+    whole = _not_null(keys)
+    per_key = source.groupBy(*dict.fromkeys([*partition_cols, *keys])).agg(F.count(F.lit(1)).alias("__n"))
+    repeated = F.when(whole & (F.col("__n") > 1), F.struct(*[F.col(k).cast("string").alias(k) for k in keys]))
+    parts = per_key.groupBy(*partition_cols).agg(
+        F.sum(F.when(~whole, F.col("__n")).otherwise(0)).alias("__null"),
+        F.max(F.when(whole, 1).otherwise(0)).alias("__any"),
+        F.max(repeated).alias("__twice"),
+    ).collect()  # one row per partition the load touches
+    for p in parts:
+        if p["__twice"] is not None:
+            raise ValueError(f"source key {list(p['__twice'])} occurs more than once")
+    return sum(p["__null"] or 0 for p in parts), [p for p in parts if p["__any"]]
+
+
 def upsert_table(
     spark: SparkSession,
     source: DataFrame,
@@ -81,92 +104,129 @@ def upsert_table(
     partition_cols: Sequence[str] = (),
     sort_col: str | None = "ds_timestamp",
     check_unique: bool = True,
-    files_per_partition: int = 1,
 ) -> int:
     """Upsert ``source`` into a catalog ``table`` or a Parquet folder ``path``.
 
     Returns the number of source rows with a NULL key, which are not loaded (they
-    could never match, so every re-run would add them again). With
-    ``check_unique`` a key that occurs twice in the source is an error, raised
-    before the target is touched -- as a SQL MERGE would refuse it.
-
-    Partitioned writes are clustered by the partition columns first, so each
-    partition is written as ``files_per_partition`` files instead of one small
-    file per task. A raw or calc partition (one hull-month) is bounded by the
-    bucketing -- at most 31 days x 5,760 buckets -- so one task per partition
-    cannot be handed an unbounded share; for other layouts raise
-    ``files_per_partition`` to split each partition over that many tasks.
+    could never match, so every re-run would add them again). A key that occurs
+    twice in the source is an error, raised before the target is touched -- as a
+    SQL MERGE would refuse it.
+
+    A target is new only if its folder (or table) is not there; any error of
+    reading it is raised, and nothing that exists is overwritten as a whole.
+    Partitions are rebalanced by size before a write: a large one becomes several
+    files of the advisory partition size, each sorted by ``sort_col``.
     """
-    keys = list(keys)
+    keys, partition_cols = list(keys), list(partition_cols)
     if (table is None) == (path is None):
         raise ValueError("give exactly one of table / path")
     if table is not None and _supports_merge(spark, table):
-        cond = None
-        for k in keys:
-            eq = F.col(f"{table}.{k}") == F.col(f"s.{k}")
-            cond = eq if cond is None else cond & eq
-        # project onto the target's columns: helper columns such as the Parquet month partition are not
-        # part of a table that partitions by hidden transforms
-        target_cols = spark.table(table).columns
-        _check_no_new_columns(source, target_cols, ignore=partition_cols)
-        (source.where(_not_null(keys)).select(*target_cols).alias("s").mergeInto(table, cond)
-         .whenMatched().updateAll().whenNotMatched().insertAll().merge())
-        return 0
-
-    existing = _read_existing(spark, table, path)
+        return _merge_into(spark, source, keys, table, partition_cols, check_unique)
+    if table is not None:
+        existing = spark.table(table) if spark.catalog.tableExists(table) else None
+        folder = table_location(spark, table) if existing is not None else None
+    else:
+        folder = path
+    if folder is not None:
+        finish_swap(spark, folder, table, partition_cols, sort_col)
+    if path is not None:
+        types = StructType([source.schema[c] for c in partition_cols])
+        existing = read_stored(spark, path, types)
     if existing is not None:
         _check_no_new_columns(source, existing.columns)
     columns = existing.columns if existing is not None else source.columns
     run = f"{checkpoint_dir(spark)}/keelson-upsert-{uuid.uuid4().hex}"
     # 1. The source is computed exactly once: staged in the shared folder (this also
     #    cuts its lineage, so a lost executor never re-runs the whole load).
-    cluster = lambda df: _clustered(df, partition_cols, keys, files_per_partition)
-    cluster(source.select(*columns)).write.mode("overwrite").partitionBy(*partition_cols).parquet(f"{run}/source")
-    staged_all = spark.read.parquet(f"{run}/source").select(*columns)
-    null_keys = staged_all.where(~_not_null(keys)).count()
+    source.select(*columns).write.parquet(f"{run}/source")
+    staged_all = spark.read.schema(source.select(*columns).schema).parquet(f"{run}/source")
+    try:
+        null_keys, touched = checked_source(staged_all, keys, partition_cols)
+    except ValueError:
+        if check_unique:
+            delete_path(spark, run)
+            raise
+        null_keys = staged_all.where(~_not_null(keys)).count()
+        touched = staged_all.where(_not_null(keys)).select(*partition_cols).distinct().collect() if partition_cols else [()]
     if null_keys:
         log.warning("%d source rows have a NULL key and are not loaded", null_keys)
     staged_source = staged_all.where(_not_null(keys))
-    if check_unique:
-        dup = staged_source.groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
-        if dup:
-            remove_path(spark, run)
-            raise ValueError(f"source key {[dup[0][k] for k in keys]} occurs more than once")
     if existing is None:
-        _write(cluster(staged_source), table, path, partition_cols, sort_col, mode="overwrite", dynamic=False)
-        remove_path(spark, run)
-        return null_keys
-    target = existing
-    if partition_cols:
-        # 2. Only the partitions the source touches are read and rewritten. Their
-        #    values are few (one per month of the load window) and come from the
-        #    staged copy's partition folders; as a literal filter they prune the scan.
-        touched = staged_source.select(*partition_cols).distinct().collect()
-        target = existing.where(_partition_filter(partition_cols, touched))
-    # 3. Merge, stage the result, then swap the touched partitions in: the final
-    #    write never reads the partitions it replaces.
-    merged = merge_frames(target, staged_source, keys)
-    _sorted(cluster(merged), partition_cols, sort_col).write.mode("overwrite").partitionBy(*partition_cols).parquet(
-        f"{run}/merged")
-    staged = spark.read.parquet(f"{run}/merged").select(*existing.columns)
-    _write(staged, table, path, partition_cols, sort_col, mode="overwrite", dynamic=bool(partition_cols))
-    remove_path(spark, run)
+        _create(_arranged(staged_source, partition_cols, sort_col), table, path, partition_cols)
+    elif touched:
+        target = existing
+        if partition_cols:
+            # 2. Only the partitions the source touches are read and rewritten. Their
+            #    values are few (one per month of the load window); as a literal filter
+            #    they prune the scan.
+            target = existing.where(_partition_filter(partition_cols, touched))
+        # 3. Merge, stage the result, then swap the touched partitions in: the final
+        #    write never reads the partitions it replaces.
+        merged = _arranged(merge_frames(target, staged_source, keys), partition_cols, sort_col)
+        merged.write.partitionBy(*partition_cols).parquet(f"{run}/merged")
+        swap_in(spark, f"{run}/merged", folder, table, partition_cols, sort_col)
+    delete_path(spark, run)
     return null_keys
 
 
-def remove_path(spark: SparkSession, path: str) -> bool:
-    """Best-effort delete of a folder this library staged, through the path's Hadoop file system.
+def _merge_into(spark, source, keys, table, partition_cols, check_unique) -> int:
+    # project onto the target's columns: helper columns such as the Parquet month partition are not
+    # part of a table that partitions by hidden transforms
+    target_cols = spark.table(table).columns
+    _check_no_new_columns(source, target_cols, ignore=partition_cols)
+    run = f"{checkpoint_dir(spark)}/keelson-upsert-{uuid.uuid4().hex}"
+    source.select(*target_cols).write.parquet(run)
+    rows = spark.read.schema(source.select(*target_cols).schema).parquet(run)
+    null_keys = checked_source(rows, keys)[0] if check_unique else rows.where(~_not_null(keys)).count()
+    cond = None
+    for k in keys:
+        eq = F.col(f"{table}.{k}") == F.col(f"s.{k}")
+        cond = eq if cond is None else cond & eq
+    rows.where(_not_null(keys)).alias("s").mergeInto(table, cond).whenMatched().updateAll().whenNotMatched().insertAll().merge()
+    delete_path(spark, run)
+    return null_keys
 
-    A failure leaves the staged copy behind (harmless, it is never read again) instead of
-    failing a load whose result is already in place.
-    """
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.delete(p, True))
-    except Exception:
+
+def swap_in(spark: SparkSession, staged: str, folder: str, table: str | None, partition_cols: Sequence[str],
+            sort_col: str | None = None) -> None:
+    """Replace the partitions the staged copy holds (the whole table without partitions), recoverably."""
+    write_note(spark, folder, staged)
+    _replace(spark, staged, folder, table, partition_cols, sort_col)
+    drop_note(spark, folder)
+
+
+def finish_swap(spark: SparkSession, folder: str, table: str | None, partition_cols: Sequence[str],
+                sort_col: str | None = None) -> bool:
+    """Repeat a swap that did not end. The staged copy is whole, so repeating it is safe at any point."""
+    staged = read_note(spark, folder)
+    if staged is None:
         return False
+    log.warning("finishing an interrupted swap of %s from %s", folder, staged)
+    _replace(spark, staged, folder, table, partition_cols, sort_col)
+    drop_note(spark, folder)
+    return True
+
+
+def _replace(spark, staged, folder, table, partition_cols, sort_col) -> None:
+    if not path_exists(spark, staged):
+        raise OSError(f"{folder} was left in the middle of a swap and its staged copy {staged} is gone")
+    if table is not None:
+        # The files are written to the table's folder: the mode of replacing is then this write's own, not the session's.
+        target = spark.table(table)
+        rows = spark.read.schema(target.schema).parquet(staged).select(*target.columns)
+    elif partition_cols:
+        # Text values keep their leading zeros: folder names are not to be read as numbers.
+        rows = read_stored(spark, staged, StructType([StructField(c, StringType(), True) for c in partition_cols]))
+    else:
+        rows = spark.read.parquet(staged)
+    writer = _sorted(rows, partition_cols, sort_col).write.mode("overwrite")
+    if partition_cols:
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols)
+    writer.parquet(folder)
+    if table is not None:
+        if partition_cols:
+            spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+        spark.catalog.refreshTable(table)
 
 
 def _check_no_new_columns(source: DataFrame, target_cols: Sequence[str], ignore: Sequence[str] = ()) -> None:
@@ -196,22 +256,11 @@ def _partition_filter(partition_cols: Sequence[str], touched) -> Column:
     return cond
 
 
-def _clustered(df: DataFrame, partition_cols: Sequence[str], keys: Sequence[str], files: int) -> DataFrame:
-    """Rows of one partition value go to the same ``files`` tasks (hash of the key spreads them)."""
-    if not partition_cols:
-        return df
-    if files <= 1:
-        return df.repartition(*partition_cols)
-    return df.repartition(*partition_cols, F.pmod(F.xxhash64(*keys), F.lit(files)))
-
-
-def _read_existing(spark: SparkSession, table: str | None, path: str | None) -> DataFrame | None:
-    if table is not None:
-        return spark.table(table) if spark.catalog.tableExists(table) else None
-    try:
-        return spark.read.parquet(path)
-    except Exception:
-        return None
+def _arranged(df: DataFrame, partition_cols: Sequence[str], sort_col: str | None) -> DataFrame:
+    """Rows of a partition together, in parts of the advisory size; each part sorted."""
+    if partition_cols:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_cols])
+    return _sorted(df, partition_cols, sort_col)
 
 
 def _sorted(df: DataFrame, partition_cols: Sequence[str], sort_col: str | None) -> DataFrame:
@@ -220,22 +269,10 @@ def _sorted(df: DataFrame, partition_cols: Sequence[str], sort_col: str | None)
     return df
 
 
-def _write(df, table, path, partition_cols, sort_col, mode, dynamic):
-    df = _sorted(df, partition_cols, sort_col)
+def _create(df: DataFrame, table: str | None, path: str | None, partition_cols: Sequence[str]) -> None:
+    """The first load. An existing target is an error, but for a folder that holds hidden files alone."""
     if path is not None:
-        writer = df.write.mode(mode)
-        if dynamic:
-            writer = writer.option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(*partition_cols).parquet(path)
-        return
-    spark = df.sparkSession
-    if not spark.catalog.tableExists(table):
-        df.write.mode(mode).partitionBy(*partition_cols).format("parquet").saveAsTable(table)
+        mode = "append" if path_exists(df.sparkSession, path) else "errorifexists"
+        df.write.mode(mode).partitionBy(*partition_cols).parquet(path)
         return
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic" if dynamic else "static")
-    try:
-        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(key, before)
+    df.write.mode("errorifexists").partitionBy(*partition_cols).format("parquet").saveAsTable(table)

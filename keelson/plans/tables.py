@@ -112,11 +112,23 @@ def list_tables(spark: SparkSession, db: str, prefix: str) -> list[str]:
     return [t.name for t in spark.catalog.listTables(db, f"{prefix.strip().lower()}_*")]
 
 
+def drop_with_storage(spark: SparkSession, table: str) -> bool:
+    """Drop a table and the files at its location (DROP alone keeps those of a LOCATION table)."""
+    from keelson.sources.storage import delete_path, table_location
+
+    if not spark.catalog.tableExists(table):
+        return False
+    location = table_location(spark, table)
+    spark.sql(f"DROP TABLE {table}")
+    delete_path(spark, location)
+    return True
+
+
 def clear_hull(spark: SparkSession, db: str, hull: str) -> list[str]:
-    """Drop every table of ``db`` named ``<hull>_...``. Returns the dropped names."""
+    """Drop every table of ``db`` named ``<hull>_...`` with its files. Returns the dropped names."""
     names = list_tables(spark, db, hull)
     for n in names:
-        spark.sql(f"DROP TABLE IF EXISTS {db}.{n}")
+        drop_with_storage(spark, f"{db}.{n}")
     return names
 
 
@@ -167,3 +179,28 @@ def create_or_replace_view(spark: SparkSession, name: str, select_sql: str) -> N
 
 def add_columns(spark: SparkSession, table: str, schema: StructType) -> None:
     spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({_columns_ddl(schema)})")
+
+
+def drop_columns(spark: SparkSession, table: str, names: Sequence[str]) -> None:
+    """Declare an external Parquet table anew without some columns.
+
+    The files stay as they are; read by name, what is no longer declared is not read.
+    """
+    from keelson.sources.storage import table_location
+
+    schema = spark.table(table).schema
+    unknown = [n for n in names if n not in schema.names]
+    if unknown:
+        raise ValueError(f"table {table} has no columns {unknown}")
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    if not any(r["col_name"] == "Type" and r["data_type"] == "EXTERNAL" for r in details):
+        raise ValueError(f"table {table} owns its files: dropping it would delete them")
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if set(parts) & set(names):
+        raise ValueError(f"partition columns {sorted(set(parts) & set(names))} cannot be dropped")
+    location = table_location(spark, table)
+    left = StructType([f for f in schema.fields if f.name not in set(names)])
+    spark.sql(f"DROP TABLE {table}")
+    create_table(spark, table, left, parts, location)
+    if parts:
+        spark.sql(f"MSCK REPAIR TABLE {table}")

@@ -33,3 +33,18 @@ def spark():
 @pytest.fixture()
 def scratch(tmp_path):
     return str(tmp_path)
+
+
+def files(folder):
+    """Name -> size of every data file below a folder."""
+    return {os.path.join(d, n): os.path.getsize(os.path.join(d, n)) for d, _, names in os.walk(folder) for n in names if n.endswith(".parquet")}
+
+
+def damage(folder):
+    """Cut every data file below a folder off in the middle of its footer."""
+    for path, size in files(folder).items():
+        with open(path, "r+b") as f:
+            f.truncate(size - 6)
+        crc = os.path.join(os.path.dirname(path), "." + os.path.basename(path) + ".crc")
+        if os.path.exists(crc):
+            os.remove(crc)

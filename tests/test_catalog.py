@@ -3,6 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import damage, files
 from keelson.operators.catalog_sync import absent_keys, sync_catalog
 from keelson.operators.contract import single_value, type_violations
 from keelson.sources import testbed as tb
@@ -113,22 +114,52 @@ def test_sync_catalog_path_rewrites_only_incoming_hulls(spark, scratch):
     sync_catalog_path(spark, incoming, path)
     sync_catalog_path(spark, incoming, path)  # re-run: same result
     got = {(r.hnum, r.col_name): (r.id, r.description) for r in spark.read.parquet(path).collect()}
-    assert got == {("H1", "a"): (1, "new"), ("H1", "c"): (None, "added"), ("H2", "a"): (4, "other")}
-
-
-def test_scope_join_broadcasts_the_bounded_hull_list(spark):
-    """A hull holding most rows never becomes one join task: the distinct hull list is broadcast."""
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        rows = [(i, "H1" if i % 3 else "H2", f"c{i}", "d") for i in range(300)]
-        existing = _cat(spark, rows)
-        incoming = spark.createDataFrame([("H1", "c1", "x")], "hnum string, col_name string, description string")
-        out = absent_keys(existing, incoming)
-        plan = out._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
-        assert out.count() == sum(1 for i in range(300) if i % 3) - 1
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == {("H1", "a"): (1, "new"), ("H1", "c"): (5, "added"), ("H2", "a"): (4, "other")}
+
+
+def test_sync_reads_each_side_once_per_join(spark):
+    """One full outer join on the whole key; no join is forced to broadcast."""
+    existing = _cat(spark, [(i, "H1" if i % 3 else "H2", f"c{i}", "d") for i in range(300)])
+    incoming = spark.createDataFrame([("H1", "c1", "x")], "hnum string, col_name string, description string")
+    out = sync_catalog(existing, incoming)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join FullOuter") == 1 and plan.count("Join LeftOuter") == 1 and "strategy=broadcast" not in plan
+    assert out.count() == 100 + 1
+
+
+def test_sync_refuses_what_it_would_lose(spark, scratch):
+    from keelson.operators.catalog_sync import sync_catalog_path
+    path = os.path.join(scratch, "cat")
+    columns = "hnum string, col_name string, description string"
+    first = spark.createDataFrame([("0012", "b", "x"), ("0012", "a", "y"), ("H2", "a", "z")], columns)
+    sync_catalog_path(spark, first, path)
+    before = sorted(map(tuple, spark.read.schema("id long, hnum string, col_name string").parquet(path).select("id", "hnum", "col_name").collect()))
+    assert before == [(1, "0012", "a"), (2, "0012", "b"), (3, "H2", "a")]  # texts stay texts
+    twice = spark.createDataFrame([("0012", "a", "1"), ("0012 ", "a", "2")], columns)
+    with pytest.raises(ValueError, match="missing or repeated"):
+        sync_catalog_path(spark, twice, path)
+    with pytest.raises(ValueError, match="no columns"):
+        sync_catalog_path(spark, first.withColumn("extra", F.lit(1)), path)
+    with pytest.raises(ValueError, match="no columns"):
+        sync_catalog(first.withColumn("id", F.lit(1)), first.withColumn("extra", F.lit(1)))
+    after = sorted(map(tuple, spark.read.schema("id long, hnum string, col_name string").parquet(path).select("id", "hnum", "col_name").collect()))
+    assert after == before
+    sync_catalog_path(spark, spark.createDataFrame([("0012", "c", "n"), ("0012", "b", "m")], columns), path)
+    sync_catalog_path(spark, spark.createDataFrame([("0012", "c", "n"), ("0012", "b", "m")], columns), path)  # again: no change
+    after = sorted(map(tuple, spark.read.schema("id long, hnum string, col_name string").parquet(path).select("id", "hnum", "col_name").collect()))
+    assert after == [(2, "0012", "b"), (3, "H2", "a"), (4, "0012", "c")]
+
+
+def test_unreadable_catalog_is_not_replaced(spark, scratch):
+    from keelson.operators.catalog_sync import sync_catalog_path
+    path = os.path.join(scratch, "cat")
+    columns = "hnum string, col_name string, description string"
+    sync_catalog_path(spark, spark.createDataFrame([("H1", "a", "x")], columns), path)
+    damage(path)
+    kept = files(path)
+    with pytest.raises(Exception):
+        sync_catalog_path(spark, spark.createDataFrame([("H3", "a", "x")], columns), path)
+    assert files(path) == kept
 
 
 def test_schema_contract(spark):

@@ -1,9 +1,14 @@
 import datetime as dt
 import os
+import shutil
 
+import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
+from conftest import damage, files
 from keelson.operators.upsert import merge_frames, upsert_table
+from keelson.sources.storage import table_location
 
 D = dt.datetime
 
@@ -127,9 +132,91 @@ def test_new_source_columns_are_refused_not_dropped(spark, scratch):
         upsert_table(spark, wider, path=path, partition_cols=["ds_month"])
 
 
-def test_remove_path_is_best_effort(spark, scratch):
-    from keelson.operators.upsert import remove_path
+def test_delete_path(spark, scratch):
+    from keelson.sources.storage import delete_path
     folder = os.path.join(scratch, "staged")
     _t(spark, [(D(2024, 1, 1), 1.0, 1.0, 202401)]).write.parquet(folder)
-    assert remove_path(spark, folder) is True and not os.path.exists(folder)
-    assert remove_path(spark, folder) is False  # nothing left: reported, not raised
+    assert delete_path(spark, folder) is True and not os.path.exists(folder)
+    assert delete_path(spark, folder) is False  # nothing there
+
+
+MONTHS = [(D(2024, 1, 5), 1.0, 1.0, 202401), (D(2024, 2, 5), 2.0, 2.0, 202402)]
+
+
+@pytest.mark.parametrize("where", ["path", "table"])
+def test_unreadable_target_is_not_replaced(spark, scratch, where):
+    target = {"path": os.path.join(scratch, "t")} if where == "path" else {"table": "damaged_target"}
+    spark.sql("DROP TABLE IF EXISTS damaged_target")
+    upsert_table(spark, _t(spark, MONTHS), partition_cols=["ds_month"], **target)
+    folder = target.get("path") or table_location(spark, "damaged_target").removeprefix("file:")
+    damage(folder)
+    kept = files(folder)
+    for rows in ([(D(2024, 1, 6), 3.0, 3.0, 202401), (D(2024, 2, 6), 3.0, 3.0, 202402)],):
+        with pytest.raises(Exception):
+            upsert_table(spark, _t(spark, rows), partition_cols=["ds_month"], **target)
+    assert files(folder) == kept
+    spark.sql("DROP TABLE IF EXISTS damaged_target")
+
+
+@pytest.mark.parametrize("where", ["path", "table"])
+def test_interrupted_swap_is_finished_by_the_next_load(spark, scratch, monkeypatch, where):
+    from keelson.operators import upsert as module
+    target = {"path": os.path.join(scratch, "t")} if where == "path" else {"table": "torn_target"}
+    spark.sql("DROP TABLE IF EXISTS torn_target")
+    upsert_table(spark, _t(spark, MONTHS), partition_cols=["ds_month"], **target)
+    folder = target.get("path") or table_location(spark, "torn_target").removeprefix("file:")
+    real = module._replace
+
+    def torn(*args):  # the month is gone, its new version not there yet
+        shutil.rmtree(os.path.join(folder, "ds_month=202401"))
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(module, "_replace", torn)
+    with pytest.raises(RuntimeError, match="lost"):
+        upsert_table(spark, _t(spark, [(D(2024, 1, 6), 3.0, 3.0, 202401)]), partition_cols=["ds_month"], **target)
+    monkeypatch.setattr(module, "_replace", real)
+    upsert_table(spark, _t(spark, [(D(2024, 1, 7), 4.0, 4.0, 202401)]), partition_cols=["ds_month"], **target)
+    rows = spark.read.parquet(folder).collect()
+    assert sorted((r.ds_timestamp, r.v) for r in rows) == [
+        (D(2024, 1, 5), 1.0), (D(2024, 1, 6), 3.0), (D(2024, 1, 7), 4.0), (D(2024, 2, 5), 2.0)]
+    if where == "table":
+        assert spark.table("torn_target").count() == 4
+        spark.sql("DROP TABLE torn_target")
+
+
+def test_session_conf_is_left_alone(spark, scratch, monkeypatch):
+    seen = []
+    monkeypatch.setattr(type(spark.conf), "set", lambda self, key, value: seen.append(key))
+    spark.sql("DROP TABLE IF EXISTS quiet_target")
+    for _ in range(2):
+        upsert_table(spark, _t(spark, MONTHS), partition_cols=["ds_month"], table="quiet_target")
+    assert not [k for k in seen if "artitionOverwriteMode" in k]
+    assert spark.table("quiet_target").count() == 2
+    spark.sql("DROP TABLE quiet_target")
+
+
+def test_text_partitions_keep_their_zeros(spark, scratch):
+    path = os.path.join(scratch, "t")
+    for a in (1.0, 2.0):
+        rows = spark.createDataFrame([("0012", D(2024, 1, 5), a)], "hnum string, ds_timestamp timestamp_ntz, a double")
+        upsert_table(spark, rows, ["hnum", "ds_timestamp"], path=path, partition_cols=["hnum"])
+    assert [d for d in os.listdir(path) if d.startswith("hnum")] == ["hnum=0012"]
+    assert [r.a for r in spark.read.parquet(path).collect()] == [2.0]
+
+
+def test_large_partitions_become_several_sorted_files(spark, scratch):
+    path = os.path.join(scratch, "t")
+    rows = spark.range(200_000).select(  # 100 ms buckets
+        F.timestamp_millis(F.col("id") * 100 + 1704067200000).cast("timestamp_ntz").alias("ds_timestamp"),
+        F.rand(1).alias("a"), F.lit(202401).alias("ds_month"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "600k")
+    try:
+        upsert_table(spark, rows, path=path, partition_cols=["ds_month"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    parts = [os.path.join(d, n) for d, _, names in os.walk(path) for n in names if n.endswith(".parquet")]
+    counts = [pq.read_table(p).num_rows for p in parts]
+    assert len(parts) > 2 and max(counts) < 4 * 200_000 / len(parts)
+    for p in parts:
+        times = pq.read_table(p, columns=["ds_timestamp"]).column(0).to_pylist()
+        assert times == sorted(times)
