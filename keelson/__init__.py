@@ -6,7 +6,7 @@ sources    table scans, tag-catalog reading, by-name / by-position reads
 functions  column expressions (typed casts, booleans, epochs, buckets, wind, derived columns)
 operators  DataFrame -> DataFrame steps (first row per bucket, alignment, upsert, catalog sync, checks)
 plans      jobs that chain the steps (raw table, calc table, minute view, catalog sync) and DDL helpers
-streaming  nothing: the workload is batch (see the module docstring)
+llm        training-data operators (optional; nothing else imports them)
 """
 
 from keelson.session import build_session, checkpoint_dir, prepare  # noqa: F401

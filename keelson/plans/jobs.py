@@ -23,7 +23,8 @@ from keelson.operators.contract import enforce_schema
 from keelson.operators.resample import first_per_bucket
 from keelson.operators.upsert import upsert_table
 from keelson.session import prepare
-from keelson.sources.scans import TableReader, half_open, scan_source
+from keelson.sources.scans import TableReader, cast_tags, half_open, scan_source
+from keelson.sources.storage import read_stored
 from keelson.sources.tagcatalog import Tag, ordered_sources, validate, wide_schema
 
 # Raw-table columns the calc table reads.
@@ -55,8 +56,8 @@ log = logging.getLogger(__name__)
 def resampled_sources(
     read: TableReader,
     tags: Sequence[Tag],
-    start: str,
-    end: str,
+    start: str | None = None,
+    end: str | None = None,
     every: int | str = "15 seconds",
     keys: Iterable[str] = (),
     tiebreak: Sequence[str] = (),
@@ -71,7 +72,8 @@ def resampled_sources(
     keys, tiebreak = list(keys), list(tiebreak)
     frames = []
     for table, table_tags in ordered_sources(tags):
-        src = scan_source(read, table, table_tags, start, end, keep=[*keys, *tiebreak])
+        # With tie-break columns the pick needs no values: only the rows it keeps are cast.
+        src = scan_source(read, table, table_tags, start, end, keep=[*keys, *tiebreak], typed=not tiebreak)
         if src is None:
             log.warning("source %s has no catalogued tags; skipped", table)
             continue
@@ -80,30 +82,32 @@ def resampled_sources(
             log.warning("source %s has no rows between %s and %s", table, start, end)
         # Without explicit tie-break columns, readings tied on the millisecond are
         # ordered by all their values (deterministic whole-row pick).
-        frames.append(first_per_bucket(src, every, time_col=f"id_{table}", keys=keys, tiebreak=tiebreak or None,
-                                       drop_tiebreak=bool(tiebreak)))
+        first = first_per_bucket(src, every, time_col=f"id_{table}", keys=keys, tiebreak=tiebreak or None,
+                                 drop_tiebreak=bool(tiebreak))
+        frames.append(cast_tags(first, table_tags) if tiebreak else first)
     return frames
 
 
 def build_raw(
     read: TableReader,
     tags: Sequence[Tag],
-    start: str,
-    end: str,
+    start: str | None = None,
+    end: str | None = None,
     every: int | str = "15 seconds",
     keys: Iterable[str] = (),
     tiebreak: Sequence[str] = (),
     derive: bool = True,
     how: str = "left",
+    warn_empty: bool = False,
 ) -> DataFrame:
-    """The hull's raw wide frame for days [start, end] ('yyyyMMdd', inclusive).
+    """The hull's raw wide frame for days [start, end] ('yyyyMMdd', inclusive; None: no bound).
 
     ``how="left"`` keeps every bucket of the base (highest-priority) source;
     ``how="inner"`` keeps only buckets that every source has.
     """
     keys = list(keys)
     hull = validate(tags)
-    frames = resampled_sources(read, tags, start, end, every, keys, tiebreak)
+    frames = resampled_sources(read, tags, start, end, every, keys, tiebreak, warn_empty)
     aligned = align_left(frames, on=[*keys, "ds_timestamp"], how=how)
     full = wide_schema(tags, hull, derived=derive)
     base = StructType([f for f in full.fields if f.name in aligned.columns])
@@ -118,8 +122,8 @@ def _key_fields(df: DataFrame, keys: Sequence[str]) -> list[StructField]:
     return [df.schema[k] for k in keys]
 
 
-def calc(raw: DataFrame, start: str, end: str, keys: Iterable[str] = (), inputs: dict[str, str] | None = None) -> DataFrame:
-    """Calc rows for raw rows with start 00:00 <= ds_timestamp < (end + 1 day) 00:00."""
+def calc(raw: DataFrame, start: str | None = None, end: str | None = None, keys: Iterable[str] = (), inputs: dict[str, str] | None = None) -> DataFrame:
+    """Calc rows for raw rows with start 00:00 <= ds_timestamp < (end + 1 day) 00:00 (None: no bound)."""
     keys = list(keys)
     names = {**CALC_INPUTS, **(inputs or {})}
     missing = sorted(set(names.values()) - set(raw.columns))
@@ -149,8 +153,8 @@ def run_hull(
     spark: SparkSession,
     read: TableReader,
     tags: Sequence[Tag],
-    start: str,
-    end: str,
+    start: str | None = None,
+    end: str | None = None,
     raw_path: str | None = None,
     calc_path: str | None = None,
     every: int | str = "15 seconds",
@@ -161,8 +165,8 @@ def run_hull(
     clear: bool = False,
     keys: Iterable[str] = (),
     table_format: str = "parquet",
-) -> None:
-    """Load days [start, end] ('yyyyMMdd', inclusive) of one hull -- or, with
+) -> dict[str, int]:
+    """Load days [start, end] ('yyyyMMdd', inclusive; None: no bound) of one hull -- or, with
     ``keys=("hnum",)``, of every hull sharing the tag list, in one job.
 
     Upserts the raw table, then rebuilds the calc rows of the window from the
@@ -172,6 +176,10 @@ def run_hull(
     deletes stored history. ``table_format="iceberg"`` (or ``"delta"``) declares the
     catalog tables in that format -- hidden yearly partitioning, loaded with MERGE --
     when the session has that format's catalog.
+
+    Returns, per source table, the readings of the window without a readable time: they
+    are not loaded, are counted before the resample folds them, and are logged. A source
+    without any reading in the window is logged too.
     """
     keys = list(keys)
     part = [*keys, PARTITION_COL]
@@ -189,23 +197,63 @@ def run_hull(
             create_raw_table(spark, raw_table, tags, provider=table_format)
         if calc_table is not None:
             create_calc_table(spark, calc_table, provider=table_format)
+    lost = {}
+    for r in unloaded_readings(read, tags, start, end).collect():  # one row per source
+        lost[r["table_name"]] = r["no_time"]
+        if not r["readings"]:
+            log.warning("source %s has no rows between %s and %s", r["table_name"], start, end)
+        if r["no_time"]:
+            log.warning("source %s: %d readings without a readable time are not loaded", r["table_name"], r["no_time"])
     raw = build_raw(read, tags, start, end, every, keys=keys, tiebreak=tiebreak)
+    raw = raw.where(F.col("ds_timestamp").isNotNull())
     upsert_table(spark, with_partition(raw), upsert_keys, path=raw_path, table=raw_table, partition_cols=part)
-    stored = spark.read.parquet(raw_path) if raw_path else spark.table(raw_table)
+    if raw_path:
+        types = StructType([*_key_fields(raw, keys), StructField(PARTITION_COL, IntegerType(), True)])
+        stored = read_stored(spark, raw_path, types)
+        if stored is None:  # nothing was ever loaded
+            return lost
+    else:
+        stored = spark.table(raw_table)
     if PARTITION_COL in stored.columns:  # Parquet targets: prune to the window's months (table formats prune by ts)
-        lo_month, hi_month = int(start[:6]), int(end[:6])
-        stored = stored.where(F.col(PARTITION_COL).between(lo_month, hi_month))
+        if start is not None:
+            stored = stored.where(F.col(PARTITION_COL) >= int(start[:6]))
+        if end is not None:
+            stored = stored.where(F.col(PARTITION_COL) <= int(end[:6]))
     upsert_table(spark, with_partition(calc(stored, start, end, keys=keys)), upsert_keys, path=calc_path,
                  table=calc_table, partition_cols=part)
+    return lost
+
+
+def unloaded_readings(
+    read: TableReader, tags: Sequence[Tag], start: str | None = None, end: str | None = None
+) -> DataFrame:
+    """Per source table of the catalog: its readings in the window, and those without a readable time."""
+    rows = None
+    for table, table_tags in ordered_sources(tags):
+        src = scan_source(read, table, table_tags, start, end)
+        if src is None:
+            continue
+        prepare(src.sparkSession)
+        one = src.agg(
+            F.lit(table).alias("table_name"),
+            F.count(F.lit(1)).alias("readings"),
+            F.count_if(F.col(f"id_{table}").isNull()).alias("no_time"),
+        )
+        rows = one if rows is None else rows.unionByName(one)
+    if rows is None:
+        raise ValueError("the catalog lists no source with tags")
+    return rows
 
 
 def _clear_target(spark: SparkSession, path: str | None, table: str | None) -> None:
-    from keelson.operators.upsert import remove_path
+    """Drop a target with its stored files. What cannot be removed is an error: half-cleared history would be kept."""
+    from keelson.plans.tables import drop_with_storage
+    from keelson.sources.storage import delete_path
 
     if table is not None:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        drop_with_storage(spark, table)
     else:
-        remove_path(spark, path)
+        delete_path(spark, path)
 
 
 def sync_catalog_file(spark: SparkSession, csv_path: str, catalog_path: str) -> str | list[str]:

@@ -13,19 +13,18 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.functions.conform import CATALOG_TYPES
-from keelson.functions.derive import H2508_RATED_KW, add_derived
+from keelson.functions.derive import add_derived
 from keelson.functions.timebucket import bucket_text, floor_ms, text_to_ms
-from keelson.functions.wind import BEAUFORT_BOUNDS, beaufort, true_wind_angle_raw, true_wind_speed_raw, true_wind_vector
+from keelson.functions.wind import beaufort, true_wind_angle_raw, true_wind_speed_raw, true_wind_vector
 from keelson.operators.align import align_first_inner, align_left
 from keelson.operators.catalog_sync import absent_keys, sync_catalog
 from keelson.operators.contract import single_value, type_violations
 from keelson.operators.resample import first_per_bucket, first_row
 from keelson.operators.upsert import merge_frames
-from keelson.plans.jobs import build_raw, calc
+from keelson.plans.jobs import build_raw, calc, unloaded_readings
 from keelson.sources import testbed as tb
 from keelson.sources.scans import date_range, half_open, project_source
-from keelson.sources.tagcatalog import SOURCE_KEYWORDS, Tag, ordered_sources, source_priority, wide_schema, wide_schema_frame
+from keelson.sources.tagcatalog import Tag, source_priority, wide_schema, wide_schema_frame
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -54,13 +53,13 @@ PROJECTION_TAGS = [
 # Spark side
 # ----------------------------------------------------------------------------------------------
 
-def _conformed(spark: SparkSession, sf: str, tags=GENERIC_TAGS) -> DataFrame:
-    raw = tb.raw_readings(spark, sf)
+def _conformed(spark: SparkSession, sf: str, tags=GENERIC_TAGS, start=None, end=None) -> DataFrame:
+    raw = tb.raw_readings(spark, sf, start, end)
     return project_source(raw, tags, id_col="id_source", keep=["source", "seq", "ds_date"])
 
 
-def _resampled(spark: SparkSession, sf: str, every_ms: int) -> DataFrame:
-    conf = _conformed(spark, sf).drop("ds_date")
+def _resampled(spark: SparkSession, sf: str, every_ms: int, start=None, end=None) -> DataFrame:
+    conf = _conformed(spark, sf, start=start, end=end).drop("ds_date")
     return first_per_bucket(conf, every_ms, time_col="id_source", keys=["source"], tiebreak=["seq"], drop_tiebreak=True)
 
 
@@ -85,13 +84,14 @@ def q_first_in_minute(spark, sf):
 
 def q_range_scan(spark, sf):
     """Typed readings of an inclusive 'yyyyMMdd' day range."""
-    conf = date_range(_conformed(spark, sf), RANGE_START, RANGE_END)
+    conf = date_range(_conformed(spark, sf, start=RANGE_START, end=RANGE_END), RANGE_START, RANGE_END)
     return conf.select("source", "ds_date", "id_source", "value", "flag")
 
 
 def q_half_open_scan(spark, sf):
     """15 s buckets in [start 00:00, end + 1 day 00:00)."""
-    return half_open(_resampled(spark, sf, QUARTER_MIN_MS), RANGE_START, RANGE_END)
+    # a day holds whole buckets, so readings of other days are in none of them
+    return half_open(_resampled(spark, sf, QUARTER_MIN_MS, RANGE_START, RANGE_END), RANGE_START, RANGE_END)
 
 
 def q_tag_projection(spark, sf):
@@ -128,12 +128,12 @@ def _hourly_frames(spark, sf) -> list[DataFrame]:
 
 
 def q_align_left_chain(spark, sf):
-    """Hourly first readings of four sources, left-joined onto the base source (view)."""
+    """Hourly first readings of five sources, left-joined onto the base source (view)."""
     return align_left(_hourly_frames(spark, sf))
 
 
 def q_align_first_inner(spark, sf):
-    """Hourly first readings per (date, bucket), kept where all four sources have one."""
+    """Hourly first readings per (date, bucket), kept where all five sources have one."""
     conf = _conformed(spark, sf)
     frames = [
         conf.where(F.col("source") == et).select(
@@ -165,7 +165,7 @@ def _renamed_hourly(spark, sf, mapping: dict[str, str]) -> DataFrame:
 
 def q_derive_load(spark, sf):
     """H2508 generator load percentages in FLOAT arithmetic from the aligned frame."""
-    loads = tuple(f"{ge}_load" for ge in H2508_RATED_KW)
+    loads = ("ge1_load", "ge2_load", "ge3_load", "ge4_load")
     df = add_derived(_renamed_hourly(spark, sf, LOAD_INPUTS), "H2508", only=loads)
     return df.select("ds_timestamp", *loads)
 
@@ -176,6 +176,21 @@ def q_derive_sums(spark, sf):
     return df.select("ds_timestamp", *SUM_OUTPUTS)
 
 
+# Flags of hull H2508 that reach the rules as 0 / 1 numbers.
+FLAG_INPUTS = {
+    "me1_fg_use": "view_flag", "me2_fg_use": "click_flag", "me1_fo_vlsfo_use": "error_flag",
+    "me2_fo_vlsfo_use": "purchase_flag", "me1_fo_lsmgo_use": "signup_flag", "me2_fo_lsmgo_use": "view_flag",
+    "ge1_fg_use": "click_flag", "ge2_fg_use": "error_flag", "ge3_fg_use": "purchase_flag", "ge4_fg_use": "signup_flag",
+}
+
+
+def q_derive_flags(spark, sf):
+    """H2508 on/off flags re-cast from numbers to BOOLEAN."""
+    numbers = _renamed_hourly(spark, sf, FLAG_INPUTS)
+    numbers = numbers.withColumns({name: F.col(name).cast("int") for name in FLAG_INPUTS})
+    return add_derived(numbers, "H2508", only=tuple(FLAG_INPUTS))
+
+
 def q_true_wind(spark, sf):
     """True wind speed and angle of every reading (DOUBLE maths, FLOAT results)."""
     conf = _conformed(spark, sf, PROJECTION_TAGS)
@@ -207,7 +222,7 @@ def q_fuel_totals(spark, sf):
                      fuel_total("me_fg_flow", "ge_fg_flow").alias("fgc"))
 
 
-def _raw(spark, sf, start=tb.FIRST_DAY, end=tb.LAST_DAY, derive=True, keys=()) -> DataFrame:
+def _raw(spark, sf, start=None, end=None, derive=True, keys=()) -> DataFrame:
     return build_raw(tb.source_reader(spark, sf), tb.TESTBED_TAGS, start, end, "15 seconds",
                      keys=keys, tiebreak=["seq"], derive=derive)
 
@@ -218,13 +233,22 @@ def q_schema_enforce(spark, sf):
 
 
 def q_schema_contract(spark, sf):
-    """Per declared raw-table column: declared type, the built frame's type and how many rows hold a value."""
+    """Per declared raw-table column: declared type, the frame's type and how many rows hold a value.
+
+    The frame breaks the contract in two places: one column is missing, one has another type.
+    """
     from keelson.operators.contract import schema_report
-    return schema_report(_raw(spark, sf), wide_schema(tb.TESTBED_TAGS))
+    broken = _raw(spark, sf).drop("cargo_load").withColumn("me1_fo_flow", F.col("me1_fo_flow").cast("double"))
+    return schema_report(broken, wide_schema(tb.TESTBED_TAGS))
+
+
+def q_unloaded_readings(spark, sf):
+    """Per source: all readings and those without a readable time, counted before any resample."""
+    return unloaded_readings(tb.unclocked_reader(spark, sf), tb.TESTBED_TAGS)
 
 
 def q_pipeline_raw(spark, sf):
-    """End to end: the hull's raw wide frame for the whole month (15 s buckets, derived columns)."""
+    """End to end: the hull's raw wide frame over all readings (15 s buckets, derived columns)."""
     return _raw(spark, sf)
 
 
@@ -235,7 +259,7 @@ def q_pipeline_raw_fleet(spark, sf):
 
 def q_pipeline_calc_fleet(spark, sf):
     """End to end for every hull of the fleet: the calc frame keyed by (hnum, ds_timestamp)."""
-    return calc(_raw(spark, sf, keys=["hnum"]), tb.FIRST_DAY, tb.LAST_DAY, keys=["hnum"])
+    return calc(_raw(spark, sf, keys=["hnum"]), keys=["hnum"])
 
 
 def q_minute_view_1h(spark, sf):
@@ -244,14 +268,24 @@ def q_minute_view_1h(spark, sf):
     return minute_view(tb.source_reader(spark, sf), tb.TESTBED_TAGS, "1 hour", tiebreak=["seq"])
 
 
+def q_minute_view_sql(spark, sf):
+    """The generated view text over two sources that share minutes; raw columns pass unchanged."""
+    from keelson.plans.view import view_sql
+    tags = [t for t in tb.TESTBED_TAGS if t.table_name in ("ev_ias_view_pivot", "ev_vdr_click_pivot")]
+    read = tb.source_reader(spark, sf)
+    for table in {t.table_name for t in tags}:
+        read(table).createOrReplaceTempView(table)
+    return spark.sql(view_sql(tags, "1 minute", tiebreak=["seq"]))
+
+
 def q_calc_table(spark, sf):
     """Calc rows of a ten-day window of the raw frame."""
-    return calc(_raw(spark, sf), CALC_START, CALC_END)
+    return calc(_raw(spark, sf, CALC_START, CALC_END), CALC_START, CALC_END)
 
 
 def q_pipeline_calc(spark, sf):
-    """End to end: the calc frame of the whole month."""
-    return calc(_raw(spark, sf), tb.FIRST_DAY, tb.LAST_DAY)
+    """End to end: the calc frame over all readings."""
+    return calc(_raw(spark, sf))
 
 
 def revise(df: DataFrame) -> DataFrame:
@@ -263,8 +297,8 @@ def revise(df: DataFrame) -> DataFrame:
 
 
 def _upsert_pair(spark, sf):
-    target = _raw(spark, sf, tb.FIRST_DAY, TARGET_END)
-    source = revise(_raw(spark, sf, SOURCE_START, tb.LAST_DAY))
+    target = _raw(spark, sf, None, TARGET_END)
+    source = revise(_raw(spark, sf, SOURCE_START, None))
     return target, source
 
 
@@ -281,20 +315,18 @@ def q_upsert_idempotent(spark, sf):
 
 
 def q_upsert_calc(spark, sf):
-    """MERGE of the calc rows of two overlapping windows."""
-    target = calc(_raw(spark, sf, tb.FIRST_DAY, TARGET_END), tb.FIRST_DAY, TARGET_END)
-    source = calc(_raw(spark, sf, SOURCE_START, tb.LAST_DAY), SOURCE_START, tb.LAST_DAY)
-    return merge_frames(target, source, ["ds_timestamp"])
+    """MERGE of the calc rows of two overlapping windows, the second from revised readings."""
+    target, source = _upsert_pair(spark, sf)
+    return merge_frames(calc(target), calc(source), ["ds_timestamp"])
 
 
 def _stored(spark, sf):
-    """Load days 1-20, then 15-30 through run_hull into fresh folders; returns (raw path, calc path)."""
+    """Load up to day 20, then from day 15 on with revised readings, through run_hull into fresh folders."""
     import uuid
     from keelson.plans.jobs import run_hull
     from keelson.session import checkpoint_dir
     base = f"{checkpoint_dir(spark)}/keelson-stored-{uuid.uuid4().hex}"
-    read = tb.source_reader(spark, sf)
-    for start, end in ((tb.FIRST_DAY, TARGET_END), (SOURCE_START, tb.LAST_DAY)):
+    for read, start, end in ((tb.source_reader(spark, sf), None, TARGET_END), (tb.revised_reader(spark, sf), SOURCE_START, None)):
         run_hull(spark, read, tb.TESTBED_TAGS, start, end, f"{base}/raw", f"{base}/calc", tiebreak=["seq"])
     return f"{base}/raw", f"{base}/calc"
 
@@ -323,9 +355,29 @@ def q_catalog_sync(spark, sf):
     return sync_catalog(tb.customer_catalog(spark, sf), tb.incoming_catalog(spark, sf))
 
 
+def q_stored_catalog(spark, sf):
+    """The catalog folder after a first load and a sync with the new files: ids kept, new keys numbered on."""
+    import uuid
+    from pyspark.sql.types import StringType, StructField, StructType
+    from keelson.operators.catalog_sync import sync_catalog_path
+    from keelson.session import checkpoint_dir
+    from keelson.sources.storage import read_stored
+    path = f"{checkpoint_dir(spark)}/keelson-stored-catalog-{uuid.uuid4().hex}"
+    sync_catalog_path(spark, tb.customer_catalog(spark, sf).drop("id"), path)
+    sync_catalog_path(spark, tb.incoming_catalog(spark, sf), path)
+    return read_stored(spark, path, StructType([StructField("hnum", StringType())]))
+
+
 def q_single_value_check(spark, sf):
-    """Per database: how many hulls it holds, and the hull when there is exactly one."""
-    return single_value(tb.customer_catalog(spark, sf), ["db_name"], "hnum", normalise=True)
+    """Per database: how many hulls it holds, and the hull when there is exactly one.
+
+    Every sixth hull has a database of its own; half of the rows write the hull in lower case.
+    """
+    cat = tb.customer_catalog(spark, sf)
+    number = F.substring("hnum", 2, 4).cast("int")
+    cat = cat.withColumn("db_name", F.when(number % 6 == 0, F.concat(F.lit("solo_"), F.col("hnum"))).otherwise(F.col("db_name")))
+    cat = cat.withColumn("hnum", F.when(F.col("id") % 2 == 0, F.concat(F.lit(" "), F.lower("hnum"))).otherwise(F.col("hnum")))
+    return single_value(cat, ["db_name"], "hnum", normalise=True)
 
 
 def q_source_priority(spark, sf):
@@ -338,9 +390,17 @@ def q_type_whitelist(spark, sf):
     return type_violations(tb.customer_catalog(spark, sf))
 
 
+# Fleet hulls that stand for hulls with derived columns.
+RULED_HULLS = {"H0000": "H2508", "H0001": "H2521"}
+
+
 def q_wide_schema(spark, sf):
     """Per hull, the raw table's column list: time, catalog + derived columns by name, lineage ids."""
-    return wide_schema_frame(tb.customer_catalog(spark, sf))
+    cat = tb.customer_catalog(spark, sf)
+    hull = F.col("hnum")
+    for fleet, ruled in RULED_HULLS.items():
+        hull = F.when(F.col("hnum") == fleet, F.lit(ruled)).otherwise(hull)
+    return wide_schema_frame(cat.withColumn("hnum", hull))
 
 
 def q_tag_catalog(spark, sf):
@@ -383,6 +443,8 @@ QUERIES: dict[str, QueryFn] = {
     "schema_contract": q_schema_contract,
     "derive_load": q_derive_load,
     "derive_sums": q_derive_sums,
+    "derive_flags": q_derive_flags,
+    "unloaded_readings": q_unloaded_readings,
     "true_wind": q_true_wind,
     "beaufort": q_beaufort,
     "beaufort_capped": q_beaufort_capped,
@@ -395,6 +457,7 @@ QUERIES: dict[str, QueryFn] = {
     "stored_calc": q_stored_calc,
     "catalog_absent_keys": q_catalog_absent_keys,
     "catalog_sync": q_catalog_sync,
+    "stored_catalog": q_stored_catalog,
     "single_value_check": q_single_value_check,
     "source_priority": q_source_priority,
     "type_whitelist": q_type_whitelist,
@@ -402,6 +465,7 @@ QUERIES: dict[str, QueryFn] = {
     "pipeline_raw": q_pipeline_raw,
     "pipeline_calc": q_pipeline_calc,
     "minute_view_1h": q_minute_view_1h,
+    "minute_view_sql": q_minute_view_sql,
     "tag_catalog": q_tag_catalog,
     "schema_evolution_by_name": q_schema_evolution_by_name,
     "read_by_position": q_read_by_position,
@@ -411,11 +475,46 @@ QUERIES: dict[str, QueryFn] = {
 
 
 # ----------------------------------------------------------------------------------------------
-# DuckDB oracle
+# DuckDB oracle: nothing below uses a constant or a function of the library; expected values are literals
 # ----------------------------------------------------------------------------------------------
 
+# The testbed's sources in priority order, each with (column, raw text, type).
+_SOURCES = [
+    ("view", "ev_ias_view_pivot", [
+        ("vdr_relative_wind_speed", "value_txt", "FLOAT"), ("vdr_relative_wind_angle", "angle_txt", "FLOAT"),
+        ("vdr_aivdo_sog", "sog_txt", "FLOAT"), ("me1_fg_use", "flag_txt", "BOOLEAN"), ("ge2_1_power", "user_txt", "FLOAT")]),
+    ("click", "ev_vdr_click_pivot", [
+        ("me1_fo_flow", "value_txt", "FLOAT"), ("me2_fo_flow", "sog_txt", "FLOAT"), ("ge2_2_power", "user_txt", "FLOAT"),
+        ("me2_fg_use", "flag_txt", "BOOLEAN")]),
+    ("error", "ev_vdr_error_pivot", [
+        ("me1_fg_flow", "value_txt", "FLOAT"), ("ge_fo_flow", "angle_txt", "FLOAT"), ("ge_running_hours", "user_txt", "INTEGER")]),
+    ("purchase", "ev_vdr_purchase_pivot", [
+        ("me2_fg_flow", "value_txt", "FLOAT"), ("auxb_fo_flow", "sog_txt", "FLOAT"), ("ge_fg_flow", "angle_txt", "FLOAT"),
+        ("cargo_load", "user_txt", "DOUBLE")]),
+    ("signup", "ev_vdr_signup_pivot", [
+        ("shaft_power", "value_txt", "DOUBLE"), ("shaft_speed", "sog_txt", "FLOAT"), ("gcu_use", "flag_txt", "BOOLEAN")]),
+]
+_EVENTS = ["view", "click", "error", "purchase", "signup"]
+
+# The raw table's columns in order (d: derived), with Spark's type names.
+_RAW_COLUMNS = [
+    ("ds_timestamp", "timestamp_ntz"), ("auxb_fo_flow", "float"), ("cargo_load", "double"), ("gcu_use", "boolean"),
+    ("ge2_1_power", "float"), ("ge2_2_power", "float"), ("ge2_power", "float"), ("ge_fg_flow", "float"),
+    ("ge_fo_flow", "float"), ("ge_running_hours", "int"), ("me1_fg_flow", "float"), ("me1_fg_use", "boolean"),
+    ("me1_fo_flow", "float"), ("me2_fg_flow", "float"), ("me2_fg_use", "boolean"), ("me2_fo_flow", "float"),
+    ("me_fg_flow", "float"), ("me_fo_flow", "float"), ("shaft_power", "double"), ("shaft_speed", "float"),
+    ("vdr_aivdo_sog", "float"), ("vdr_relative_wind_angle", "float"), ("vdr_relative_wind_speed", "float"),
+    ("id_ev_ias_view_pivot", "bigint"), ("id_ev_vdr_click_pivot", "bigint"), ("id_ev_vdr_error_pivot", "bigint"),
+    ("id_ev_vdr_purchase_pivot", "bigint"), ("id_ev_vdr_signup_pivot", "bigint"),
+]
+_DERIVED = {
+    "ge2_power": "ge2_1_power + ge2_2_power",
+    "me_fo_flow": "me1_fo_flow + me2_fo_flow",
+    "me_fg_flow": "me1_fg_flow + me2_fg_flow",
+}
+
 _K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
-_FLAG_CASE = " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(tb.FLAG_TEXTS) if t is not None)
+_FLAG_CASE = "WHEN 0 THEN 'TRUE' WHEN 1 THEN '1' WHEN 2 THEN 'false' WHEN 3 THEN '0' WHEN 4 THEN 'yes' WHEN 6 THEN ' true'"
 
 RAW_SQL = f"""raw AS (
   SELECT event_type AS source, event_id AS seq,
@@ -426,7 +525,7 @@ RAW_SQL = f"""raw AS (
          CAST({_K} * 3.6 AS VARCHAR) AS angle_txt,
          CAST(user_id % 25 AS VARCHAR) AS sog_txt,
          CAST(user_id AS VARCHAR) AS user_txt,
-         'H' || lpad(CAST(user_id % {tb.FLEET_SIZE} AS VARCHAR), 4, '0') AS hnum
+         'H' || lpad(CAST(user_id % 5 AS VARCHAR), 4, '0') AS hnum
   FROM events)"""
 
 _ID = "CAST(trunc(TRY_CAST(ds_timestamp AS DOUBLE)) AS BIGINT)"
@@ -473,103 +572,109 @@ def _hourly_cte(et: str) -> str:
 
 
 def _aligned_sql() -> str:
-    ctes = [RAW_SQL, _conf_sql(), *[_hourly_cte(et) for et in EVENT_TYPES]]
-    cols = ["h_view.ds_timestamp"] + [f"{c}" for et in EVENT_TYPES for c in (f"id_{et}", f"{et}_value", f"{et}_flag")]
-    joins = " ".join(f"LEFT JOIN h_{et} ON h_{et}.ds_timestamp = h_view.ds_timestamp" for et in EVENT_TYPES[1:])
+    ctes = [RAW_SQL, _conf_sql(), *[_hourly_cte(et) for et in _EVENTS]]
+    cols = ["h_view.ds_timestamp"] + [f"{c}" for et in _EVENTS for c in (f"id_{et}", f"{et}_value", f"{et}_flag")]
+    joins = " ".join(f"LEFT JOIN h_{et} ON h_{et}.ds_timestamp = h_view.ds_timestamp" for et in _EVENTS[1:])
     return ",\n".join(ctes) + f",\naligned AS (SELECT {', '.join(cols)} FROM h_view {joins})"
 
 
 def _inner_sql() -> str:
     ctes = [RAW_SQL, _conf_sql()]
-    for et in EVENT_TYPES:
+    for et in _EVENTS:
         ctes.append(f"""m_{et} AS (
   SELECT ds_date, b, value AS {et}_value, flag AS {et}_flag FROM (
     SELECT *, {_floor('id_source', HOUR_MS)} AS b FROM conf WHERE source = '{et}')
   QUALIFY row_number() OVER (PARTITION BY ds_date, b ORDER BY id_source, seq) = 1)""")
-    vals = ", ".join(f"{et}_value, {et}_flag" for et in EVENT_TYPES)
-    joins = " ".join(f"JOIN m_{et} ON m_{et}.ds_date = m_view.ds_date AND m_{et}.b = m_view.b" for et in EVENT_TYPES[1:])
+    vals = ", ".join(f"{et}_value, {et}_flag" for et in _EVENTS)
+    joins = " ".join(f"JOIN m_{et} ON m_{et}.ds_date = m_view.ds_date AND m_{et}.b = m_view.b" for et in _EVENTS[1:])
     return _with(*ctes) + f"SELECT {_text_ms('m_view.b')} AS ds_timestamp, {vals}, m_view.ds_date FROM m_view {joins}"
 
 
-def _raw_table_ctes(name: str, start: str, end: str, derive: bool = True, keys: tuple[str, ...] = ()) -> list[str]:
+def _days(start: str | None, end: str | None) -> str:
+    bounds = ([f"ds_date >= '{start}'"] if start else []) + ([f"ds_date <= '{end}'"] if end else [])
+    return " AND ".join(bounds) or "TRUE"
+
+
+def _raw_table_ctes(
+    name: str, start: str | None = None, end: str | None = None, derive: bool = True, keys: tuple[str, ...] = (),
+    readings: str = "raw",
+) -> list[str]:
     """CTEs ending in ``name``: the testbed hull's raw wide frame for days [start, end] (per ``keys``)."""
     ctes = []
     kc = "".join(f"{k}, " for k in keys)
-    sources = ordered_sources(tb.TESTBED_TAGS)
-    for i, (table, tags) in enumerate(sources):
-        cols = ", ".join(f"{_typed(t.tag, t.data_type)} AS {t.col_name}" for t in tags)
-        names = ", ".join(t.col_name for t in tags)
+    for i, (event, table, columns) in enumerate(_SOURCES):
+        cols = ", ".join(f"{_typed(text, kind)} AS {column}" for column, text, kind in columns)
+        names = ", ".join(column for column, _, _ in columns)
         ctes.append(f"""{name}_s{i} AS (
   SELECT {kc}ds_timestamp, id_{table}, {names} FROM (
     SELECT {kc}epoch_ms({_floor('id', QUARTER_MIN_MS)}) AS ds_timestamp, id AS id_{table}, seq, {names} FROM (
-      SELECT {kc}{_ID} AS id, seq, {cols} FROM raw
-      WHERE source = '{tb.TABLE_EVENT[table]}' AND ds_date BETWEEN '{start}' AND '{end}'))
+      SELECT {kc}{_ID} AS id, seq, {cols} FROM {readings} WHERE source = '{event}' AND {_days(start, end)}))
   QUALIFY row_number() OVER (PARTITION BY {kc}ds_timestamp ORDER BY id_{table}, seq) = 1)""")
-    schema = wide_schema(tb.TESTBED_TAGS, tb.TESTBED_HULL, derived=derive)
-    derived = {
-        "ge2_power": "ge2_1_power + ge2_2_power",
-        "me_fo_flow": "me1_fo_flow + me2_fo_flow",
-        "me_fg_flow": "me1_fg_flow + me2_fg_flow",
-    }
     select = [f"{name}_s0.{k}" for k in keys]
-    for f in schema.fields:
-        if f.name == "ds_timestamp":
+    for column, _ in _RAW_COLUMNS:
+        if column == "ds_timestamp":
             select.append(f"{name}_s0.ds_timestamp")
-        elif f.name in derived:
-            select.append(f"CAST({derived[f.name]} AS FLOAT) AS {f.name}")
-        else:
-            select.append(f.name)
+        elif column not in _DERIVED:
+            select.append(column)
+        elif derive:
+            select.append(f"CAST({_DERIVED[column]} AS FLOAT) AS {column}")
     on = lambda i: " AND ".join(f"{name}_s{i}.{c} = {name}_s0.{c}" for c in (*keys, "ds_timestamp"))
-    joins = " ".join(f"LEFT JOIN {name}_s{i} ON {on(i)}" for i in range(1, len(sources)))
+    joins = " ".join(f"LEFT JOIN {name}_s{i} ON {on(i)}" for i in range(1, len(_SOURCES)))
     ctes.append(f"{name} AS (SELECT {', '.join(select)} FROM {name}_s0 {joins})")
     return ctes
 
 
 def _view_sql(every_ms: int) -> str:
     ctes = [RAW_SQL]
-    sources = ordered_sources(tb.TESTBED_TAGS)
     names_all = []
-    for i, (table, tags) in enumerate(sources):
-        cols = ", ".join(f"{_typed(t.tag, t.data_type)} AS {t.col_name}" for t in tags)
-        names = ", ".join(t.col_name for t in tags)
-        names_all.extend(t.col_name for t in tags)
+    for i, (event, _, columns) in enumerate(_SOURCES):
+        cols = ", ".join(f"{_typed(text, kind)} AS {column}" for column, text, kind in columns)
+        names = ", ".join(column for column, _, _ in columns)
+        names_all.append(names)
         ctes.append(f"""v{i} AS (
   SELECT ds_date, b, {names} FROM (
     SELECT ds_date, {_floor('id', every_ms)} AS b, id, seq, {names} FROM (
-      SELECT {_ID} AS id, ds_date, seq, {cols} FROM raw WHERE source = '{tb.TABLE_EVENT[table]}'))
+      SELECT {_ID} AS id, ds_date, seq, {cols} FROM raw WHERE source = '{event}'))
   QUALIFY row_number() OVER (PARTITION BY ds_date, b ORDER BY id, seq) = 1)""")
-    joins = " ".join(f"JOIN v{i} ON v{i}.ds_date = v0.ds_date AND v{i}.b = v0.b" for i in range(1, len(sources)))
+    joins = " ".join(f"JOIN v{i} ON v{i}.ds_date = v0.ds_date AND v{i}.b = v0.b" for i in range(1, len(_SOURCES)))
     return _with(*ctes) + f"SELECT {_text_ms('v0.b')} AS ds_timestamp, {', '.join(names_all)}, v0.ds_date FROM v0 {joins}"
 
 
-def _class_case(speed: str, bounds=BEAUFORT_BOUNDS, top: int | None = None, guard: bool = True) -> str:
-    """SQL CASE giving the Beaufort class of ``speed`` (first bound it is below; else the top class)."""
-    arms = " ".join(f"WHEN {speed} < {b} THEN {i}" for i, b in enumerate(bounds))
-    head = f"WHEN {speed} IS NULL THEN NULL " if guard else ""
-    return f"CASE {head}{arms} ELSE {len(bounds) if top is None else top} END"
+# The lower ends, in knots, of Beaufort classes 1 to 12.
+_SCALE = "(VALUES (1.0), (4.0), (7.0), (11.0), (17.0), (22.0), (28.0), (34.0), (41.0), (48.0), (56.0), (64.0)) AS scale(low)"
+
 
+def _force(speed: str) -> str:
+    """Beaufort class: how many of the scale's lower ends the speed has reached."""
+    return f"CASE WHEN {speed} IS NOT NULL THEN (SELECT CAST(count(*) AS INTEGER) FROM {_SCALE} WHERE low <= {speed}) END"
 
-def _wind_sql(w: str, a: str, s: str) -> tuple[str, str]:
-    """(east-west, along-ship) components of the true wind in SQL, from relative wind and speed over ground."""
-    return f"-{w} * sin(radians({a}))", f"{s} - {w} * cos(radians({a}))"
 
+def _wind(blow: str, off_bow: str, ship: str) -> tuple[str, str]:
+    """(speed, direction) of the true wind: the third side of the triangle of apparent wind and ship's way, and
+    the angle that side makes with the bow, from its tangent and its quadrant."""
+    turn = f"({off_bow} * (pi() / 180))"
+    speed = f"sqrt(abs({blow} * {blow} + {ship} * {ship} - 2 * {blow} * {ship} * cos({turn})))"
+    side, ahead = f"(0 - {blow} * sin({turn}))", f"({ship} - {blow} * cos({turn}))"
+    slope = f"(atan({side} / {ahead}) * (180 / pi()))"
+    direction = (
+        f"CASE WHEN {ahead} > 0 THEN {slope} + CASE WHEN {side} < 0 THEN 360 ELSE 0 END "
+        f"WHEN {ahead} < 0 THEN {slope} + 180 WHEN {side} > 0 THEN 90 WHEN {side} < 0 THEN 270 WHEN {side} = 0 THEN 0 END"
+    )
+    return speed, f"(CASE WHEN {direction} >= 360 THEN 0 ELSE {direction} END)"
 
-def _calc_select(src: str, start: str, end: str, keys: tuple[str, ...] = ()) -> str:
-    import datetime as dt
-    lo = dt.datetime.strptime(start, "%Y%m%d").strftime("%Y-%m-%d %H:%M:%S")
-    hi = (dt.datetime.strptime(end, "%Y%m%d") + dt.timedelta(days=1)).strftime("%Y-%m-%d %H:%M:%S")
+
+def _calc_select(src: str, start: str | None = None, end: str | None = None, keys: tuple[str, ...] = ()) -> str:
+    speed, direction = _wind(*(f"CAST({c} AS DOUBLE)" for c in
+                               ("vdr_relative_wind_speed", "vdr_relative_wind_angle", "vdr_aivdo_sog")))
+    total = lambda *terms: "CAST(" + " + ".join(f"{t}::DOUBLE" for t in terms) + " AS FLOAT)"
+    first = [f"ds_timestamp >= strptime('{start}', '%Y%m%d')"] if start else []
+    last = [f"ds_timestamp < strptime('{end}', '%Y%m%d') + INTERVAL 1 DAY"] if end else []
     kc = "".join(f"{k}, " for k in keys)
-    wx, wy = _wind_sql("vdr_relative_wind_speed", "vdr_relative_wind_angle", "vdr_aivdo_sog")
-    widen = lambda *cols: " + ".join(f"CAST({c} AS DOUBLE)" for c in cols)
-    return f"""SELECT {kc}ds_timestamp,
-       CAST(speed_kn AS FLOAT) AS true_wind_speed,
-       CAST(MOD(degrees(atan2(wx, wy)) + 360, 360) AS FLOAT) AS true_wind_angle,
-       {_class_case('speed_kn')} AS beaufort_number,
-       CAST({widen('me_fo_flow', 'ge_fo_flow', 'auxb_fo_flow')} AS FLOAT) AS foc,
-       CAST({widen('me_fg_flow', 'ge_fg_flow')} AS FLOAT) AS fgc
-FROM (SELECT *, sqrt(power(wx, 2) + power(wy, 2)) AS speed_kn
-      FROM (SELECT *, {wx} AS wx, {wy} AS wy FROM {src}
-            WHERE ds_timestamp >= TIMESTAMP '{lo}' AND ds_timestamp < TIMESTAMP '{hi}'))"""
+    return f"""SELECT {kc}ds_timestamp, CAST(knots AS FLOAT) AS true_wind_speed, CAST(heading AS FLOAT) AS true_wind_angle,
+  {_force('knots')} AS beaufort_number, foc, fgc
+FROM (SELECT {kc}ds_timestamp, {speed} AS knots, {direction} AS heading,
+        {total('me_fo_flow', 'ge_fo_flow', 'auxb_fo_flow')} AS foc, {total('me_fg_flow', 'ge_fg_flow')} AS fgc
+      FROM {src} WHERE {' AND '.join([*first, *last, 'TRUE'])})"""
 
 
 def _merge_sql(target: str, source: str) -> str:
@@ -583,8 +688,8 @@ _REVISE = "SELECT * REPLACE (CAST(NULL AS FLOAT) AS vdr_relative_wind_speed, me1
 def _catalog_ctes() -> list[str]:
     key = "c_custkey"
     nk = "lpad(CAST(c_nationkey AS VARCHAR), 4, '0')"
-    family = ("CASE c_mktsegment " + " ".join(f"WHEN '{seg}' THEN '{fam}'" for seg, fam in tb.SEGMENT_FAMILY.items())
-              + " ELSE 'vdr' END")
+    family = ("CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'cams' WHEN 'FURNITURE' THEN 'ams' WHEN 'HOUSEHOLD' THEN 'vdr' "
+              "WHEN 'BUILDING' THEN 'ias' WHEN 'MACHINERY' THEN 'ias' ELSE 'vdr' END")
     dtype = (f"CASE WHEN {key} % 53 = 0 THEN 'VARCHAR' WHEN {key} % 10 < 6 THEN 'FLOAT' "
              f"WHEN {key} % 10 < 8 THEN 'BOOLEAN' WHEN {key} % 10 = 8 THEN 'DOUBLE' ELSE 'INTEGER' END")
     existing = f"""existing AS (
@@ -594,20 +699,20 @@ def _catalog_ctes() -> list[str]:
          't' || CAST({key} AS VARCHAR) AS tag, c_mktsegment AS description,
          CASE WHEN c_acctbal < 0 THEN 'kn' ELSE 'kg/h' END AS unit, {dtype} AS data_type
   FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey)"""
-    quiet = f"'fleet{tb.QUIET_REGION}'"
+    quiet = "'fleet4'"
     incoming = f"""incoming AS (
   SELECT hnum, col_name, db_name, table_name, tag,
-         CASE WHEN description = '{tb.CHANGED_SEGMENT}' THEN lower(description) ELSE description END AS description,
+         CASE WHEN description = 'HOUSEHOLD' THEN lower(description) ELSE description END AS description,
          unit, data_type
-  FROM existing WHERE db_name <> {quiet} AND description <> '{tb.DROPPED_SEGMENT}'
+  FROM existing WHERE db_name <> {quiet} AND description <> 'AUTOMOBILE'
   UNION ALL
   SELECT hnum, col_name || '_b', db_name, table_name, tag, description, unit, data_type
-  FROM existing WHERE db_name <> {quiet} AND description = '{tb.ADDED_SEGMENT}')"""
+  FROM existing WHERE db_name <> {quiet} AND description = 'MACHINERY')"""
     return [existing, incoming]
 
 
 def _priority_sql(src: str = "existing") -> str:
-    order = ", ".join(f"contains(table_name, '{k}') DESC" for k in SOURCE_KEYWORDS)
+    order = ", ".join(f"contains(table_name, '{k}') DESC" for k in ("cams", "ias", "ams", "vdr"))
     return (f"SELECT hnum, table_name, CAST(row_number() OVER (PARTITION BY hnum ORDER BY {order}, table_name) AS INTEGER)"
             f" AS priority FROM (SELECT DISTINCT hnum, table_name FROM {src})")
 
@@ -635,50 +740,64 @@ QUALIFY row_number() OVER (PARTITION BY source, ds_date, b ORDER BY id_source, s
         "align_first_inner": _inner_sql(),
     }
 
+    # Rated power of the generator engines in kW.
     loads = ", ".join(
-        f"CAST(CAST(100.0 AS FLOAT) * {LOAD_INPUTS[f'{ge}_power']} / CAST({kw} AS FLOAT) AS FLOAT) AS {ge}_load"
-        for ge, kw in H2508_RATED_KW.items())
+        f"CAST(CAST(100.0 AS FLOAT) * {column} / CAST({kw} AS FLOAT) AS FLOAT) AS {ge}_load"
+        for ge, column, kw in (("ge1", "view_value", 2750), ("ge2", "click_value", 3670), ("ge3", "error_value", 3670),
+                               ("ge4", "purchase_value", 2750)))
     sql["derive_load"] = "WITH " + _aligned_sql() + f"\nSELECT ds_timestamp, {loads} FROM aligned"
+    flags = ", ".join(f"{column} AS {name}" for name, column in FLAG_INPUTS.items())
+    sql["derive_flags"] = "WITH " + _aligned_sql() + f"\nSELECT ds_timestamp, {flags} FROM aligned"
     s = SUM_INPUTS
     sums = (f"{s['ge1_fg_flow']} + {s['ge2_fg_flow']} + {s['ge3_fg_flow']} + {s['ge4_fg_flow']} AS ge_fg_flow, "
             f"{s['me1_fo_flow']} + {s['me2_fo_flow']} AS me_fo_flow, {s['me1_fg_flow']} + {s['me2_fg_flow']} AS me_fg_flow, "
             f"{s['auxb_fo_lsmgo_flow']} + {s['auxb_fo_vlsfo_flow']} AS auxb_fo_flow")
     sql["derive_sums"] = "WITH " + _aligned_sql() + f"\nSELECT ds_timestamp, {sums} FROM aligned"
 
-    wx, wy = _wind_sql("value", "angle", "sog")
-    wind = f"""comp AS (SELECT source, seq, sqrt(power({wx}, 2) + power({wy}, 2)) AS speed_kn,
-                      MOD(degrees(atan2({wx}, {wy})) + 360, 360) AS dir_deg FROM conf)"""
-    sql["true_wind"] = (_with(RAW_SQL, _conf_sql(PROJECTION_TAGS), wind)
-                        + "SELECT source, seq, CAST(speed_kn AS FLOAT) AS true_wind_speed, "
-                          "CAST(dir_deg AS FLOAT) AS true_wind_angle FROM comp")
-    sql["beaufort"] = (_with(RAW_SQL, _conf_sql(PROJECTION_TAGS), wind)
-                       + f"SELECT source, seq, CAST(speed_kn AS FLOAT) AS true_wind_speed, "
-                         f"{_class_case('speed_kn')} AS beaufort_number FROM comp")
-    sql["beaufort_capped"] = (_with(RAW_SQL, _conf_sql(PROJECTION_TAGS), wind)
-                              + f"SELECT source, seq, {_class_case('speed_kn', BEAUFORT_BOUNDS[:9], guard=False)}"
-                                " AS beaufort_number FROM comp")
+    speed, direction = _wind(*(f"CAST({c} AS DOUBLE)" for c in ("value", "angle", "sog")))
+    wind = f"w AS (SELECT source, seq, {speed} AS knots, {direction} AS heading FROM conf)"
+    blown = _with(RAW_SQL, _conf_sql(PROJECTION_TAGS), wind)
+    sql["true_wind"] = blown + ("SELECT source, seq, CAST(knots AS FLOAT) AS true_wind_speed, "
+                                "CAST(heading AS FLOAT) AS true_wind_angle FROM w")
+    sql["beaufort"] = blown + (f"SELECT source, seq, CAST(knots AS FLOAT) AS true_wind_speed, {_force('knots')} "
+                               "AS beaufort_number FROM w")
+    sql["beaufort_capped"] = blown + (f"SELECT source, seq, least(coalesce({_force('knots')}, 9), 9) AS beaufort_number FROM w")
     f_ = FUEL_INPUTS
     sql["fuel_totals"] = "WITH " + _aligned_sql() + (
         f"\nSELECT ds_timestamp, CAST(CAST({f_['me_fo_flow']} AS DOUBLE) + CAST({f_['ge_fo_flow']} AS DOUBLE) + "
         f"CAST({f_['auxb_fo_flow']} AS DOUBLE) AS FLOAT) AS foc, CAST(CAST({f_['me_fg_flow']} AS DOUBLE) + "
         f"CAST({f_['ge_fg_flow']} AS DOUBLE) AS FLOAT) AS fgc FROM aligned")
 
-    full = _raw_table_ctes("rawt", tb.FIRST_DAY, tb.LAST_DAY)
-    sql["schema_enforce"] = _with(RAW_SQL, *_raw_table_ctes("rawb", tb.FIRST_DAY, tb.LAST_DAY, derive=False)) + "SELECT * FROM rawb"
+    full = _raw_table_ctes("rawt")
+    sql["schema_enforce"] = _with(RAW_SQL, *_raw_table_ctes("rawb", derive=False)) + "SELECT * FROM rawb"
     sql["pipeline_raw"] = _with(RAW_SQL, *full) + "SELECT * FROM rawt"
-    # the contract holds: every declared column present with its declared type
+    found = {"cargo_load": ("CAST(NULL AS VARCHAR)", "0 * count(*)"), "me1_fo_flow": ("'double'", "count(me1_fo_flow)")}
     sql["schema_contract"] = _with(RAW_SQL, *full) + "\nUNION ALL\n".join(
-        f"SELECT '{f.name}' AS column_name, '{f.dataType.simpleString()}' AS declared_type, "
-        f"'{f.dataType.simpleString()}' AS actual_type, count({f.name}) AS non_null_rows FROM rawt"
-        for f in wide_schema(tb.TESTBED_TAGS).fields)
+        f"SELECT '{column}' AS column_name, '{kind}' AS declared_type, {actual} AS actual_type, "
+        f"CAST({n} AS BIGINT) AS non_null_rows FROM rawt"
+        for column, kind in _RAW_COLUMNS
+        for actual, n in [found.get(column, (f"'{kind}'", f"count({column})"))])
+    sql["unloaded_readings"] = _with(RAW_SQL) + "\nUNION ALL\n".join(
+        f"SELECT '{table}' AS table_name, count(*) AS readings, count(*) FILTER (seq % 89 = 0) AS no_time "
+        f"FROM raw WHERE source = '{event}'" for event, table, _ in _SOURCES)
     sql["calc_table"] = _with(RAW_SQL, *full) + _calc_select("rawt", CALC_START, CALC_END)
-    sql["pipeline_calc"] = _with(RAW_SQL, *full) + _calc_select("rawt", tb.FIRST_DAY, tb.LAST_DAY)
-    # two overlapping loads of the same readings store exactly the full-range result
-    sql["stored_raw"] = sql["pipeline_raw"]
-    sql["stored_calc"] = sql["pipeline_calc"]
+    sql["pipeline_calc"] = _with(RAW_SQL, *full) + _calc_select("rawt")
+    again = f"""again AS (SELECT * REPLACE (CASE source WHEN 'view' THEN NULL WHEN 'click' THEN user_txt ELSE value_txt END
+                                            AS value_txt) FROM raw)"""
+    loads_twice = [RAW_SQL, again, *_raw_table_ctes("one", None, TARGET_END),
+                   *_raw_table_ctes("two", SOURCE_START, None, readings="again")]
+    sql["stored_raw"] = _with(*loads_twice) + _merge_sql("one", "two")
+    sql["stored_calc"] = _with(*loads_twice, f"both_loads AS ({_merge_sql('one', 'two')})") + _calc_select("both_loads")
     sql["minute_view_1h"] = _view_sql(HOUR_MS)
+    minute = lambda event: f"""SELECT * FROM (SELECT *, {_floor(_ID, MINUTE_MS)} AS b FROM raw WHERE source = '{event}')
+QUALIFY row_number() OVER (PARTITION BY ds_date, b ORDER BY {_ID}, seq) = 1"""
+    sql["minute_view_sql"] = _with(RAW_SQL, f"v AS ({minute('view')})", f"c AS ({minute('click')})") + """SELECT v.b AS ds_timestamp,
+  v.value_txt AS vdr_relative_wind_speed, v.angle_txt AS vdr_relative_wind_angle, v.sog_txt AS vdr_aivdo_sog,
+  v.flag_txt AS me1_fg_use, v.user_txt AS ge2_1_power, c.value_txt AS me1_fo_flow, c.sog_txt AS me2_fo_flow,
+  c.user_txt AS ge2_2_power, c.flag_txt AS me2_fg_use, v.ds_date
+FROM v JOIN c ON c.ds_date = v.ds_date AND c.b = v.b"""
     sql["tag_catalog"] = _with(*_catalog_ctes()) + "SELECT hnum, col_name, db_name, table_name, tag, description, unit, data_type FROM existing"
-    first = ", ".join(f"'{e}'" for e in tb.LAYOUT_1_EVENTS)
+    first = "'view', 'click'"
     k = f"CAST({_K} AS DOUBLE)"
     sql["schema_evolution_by_name"] = (
         f"SELECT value AS cola, CAST(user_id AS DOUBLE) AS colb, CAST(NULL AS DOUBLE) AS colc, 1 AS dt "
@@ -687,17 +806,15 @@ QUALIFY row_number() OVER (PARTITION BY source, ds_date, b ORDER BY id_source, s
     sql["read_by_position"] = (
         f"SELECT value AS cola, CAST(user_id AS DOUBLE) AS colb, 1 AS dt FROM events WHERE event_type IN ({first})\n"
         f"UNION ALL\nSELECT {k}, value, 2 FROM events WHERE event_type NOT IN ({first})")
-    fleet = _raw_table_ctes("fleet", tb.FIRST_DAY, tb.LAST_DAY, keys=("hnum",))
+    fleet = _raw_table_ctes("fleet", keys=("hnum",))
     sql["pipeline_raw_fleet"] = _with(RAW_SQL, *fleet) + "SELECT * FROM fleet"
-    sql["pipeline_calc_fleet"] = _with(RAW_SQL, *fleet) + _calc_select("fleet", tb.FIRST_DAY, tb.LAST_DAY, keys=("hnum",))
+    sql["pipeline_calc_fleet"] = _with(RAW_SQL, *fleet) + _calc_select("fleet", keys=("hnum",))
 
-    pair = [RAW_SQL, *_raw_table_ctes("tgt", tb.FIRST_DAY, TARGET_END), *_raw_table_ctes("src0", SOURCE_START, tb.LAST_DAY),
+    pair = [RAW_SQL, *_raw_table_ctes("tgt", None, TARGET_END), *_raw_table_ctes("src0", SOURCE_START, None),
             f"src AS ({_REVISE} FROM src0)"]
     sql["upsert_raw"] = _with(*pair) + _merge_sql("tgt", "src")
     sql["upsert_idempotent"] = _with(*pair, f"once AS ({_merge_sql('tgt', 'src')})") + _merge_sql("once", "src")
-    calc_pair = [RAW_SQL, *_raw_table_ctes("tgt", tb.FIRST_DAY, TARGET_END), *_raw_table_ctes("src", SOURCE_START, tb.LAST_DAY),
-                 f"ct AS ({_calc_select('tgt', tb.FIRST_DAY, TARGET_END)})",
-                 f"cs AS ({_calc_select('src', SOURCE_START, tb.LAST_DAY)})"]
+    calc_pair = [*pair, f"ct AS ({_calc_select('tgt')})", f"cs AS ({_calc_select('src')})"]
     sql["upsert_calc"] = _with(*calc_pair) + _merge_sql("ct", "cs")
 
     cat = _catalog_ctes()
@@ -708,18 +825,35 @@ WHERE e.hnum IN (SELECT DISTINCT hnum FROM incoming)
 UNION ALL
 SELECT e.id, i.hnum, i.col_name, i.db_name, i.table_name, i.tag, i.description, i.unit, i.data_type
 FROM incoming i LEFT JOIN existing e ON e.hnum = i.hnum AND e.col_name = i.col_name"""
-    hn = "upper(trim(hnum))"
-    sql["single_value_check"] = _with(*cat) + (
-        f"SELECT db_name, count(DISTINCT {hn}) AS n_hnum, CASE WHEN count(DISTINCT {hn}) = 1 THEN min({hn}) END AS hnum, "
-        f"count(DISTINCT {hn}) = 1 AS hnum_unique FROM existing GROUP BY db_name")
+    sql["stored_catalog"] = _with(*cat) + """SELECT e.* FROM (
+  SELECT * REPLACE (row_number() OVER (ORDER BY hnum, col_name) AS id) FROM existing) e
+WHERE hnum NOT IN (SELECT hnum FROM incoming)
+UNION ALL
+SELECT coalesce(e.id, (SELECT count(*) FROM existing)
+                      + row_number() OVER (PARTITION BY e.id IS NULL ORDER BY i.hnum, i.col_name)) AS id, i.*
+FROM incoming i LEFT JOIN (
+  SELECT hnum, col_name, row_number() OVER (ORDER BY hnum, col_name) AS id FROM existing) e
+  ON e.hnum = i.hnum AND e.col_name = i.col_name"""
+    sql["single_value_check"] = _with(*cat) + """SELECT db, count(DISTINCT hnum) AS n_hnum,
+  CASE WHEN count(DISTINCT hnum) = 1 THEN min(hnum) END AS hnum, count(DISTINCT hnum) = 1 AS hnum_unique
+FROM (SELECT hnum, CASE WHEN CAST(substr(hnum, 2) AS INTEGER) % 6 = 0 THEN 'solo_' || hnum ELSE db_name END AS db FROM existing)
+GROUP BY db""".replace("SELECT db,", "SELECT db AS db_name,")
     sql["source_priority"] = _with(*cat) + _priority_sql()
-    accepted = ", ".join(f"'{t}'" for t in CATALOG_TYPES)
+    accepted = "'FLOAT', 'BOOLEAN', 'DOUBLE', 'INTEGER'"
     sql["type_whitelist"] = _with(*cat) + f"SELECT * FROM existing WHERE data_type IS NULL OR data_type NOT IN ({accepted})"
-    sql["wide_schema"] = _with(*cat, f"prio AS ({_priority_sql()})") + """SELECT hnum, 0 AS position, 'ds_timestamp' AS column_name, 'TIMESTAMP' AS data_type
-FROM (SELECT DISTINCT hnum FROM existing)
+    sql["wide_schema"] = _with(*cat, """ruled AS (
+  SELECT * REPLACE (CASE hnum WHEN 'H0000' THEN 'H2508' WHEN 'H0001' THEN 'H2521' ELSE hnum END AS hnum) FROM existing),
+body AS (
+  SELECT hnum, col_name, data_type FROM ruled
+  UNION ALL SELECT hnum, col_name, 'FLOAT' FROM (VALUES
+    ('H2508', 'ge_fg_flow'), ('H2508', 'ge1_load'), ('H2508', 'ge2_load'), ('H2508', 'ge3_load'), ('H2508', 'ge4_load'),
+    ('H2508', 'me_fo_flow'), ('H2508', 'me_fg_flow'), ('H2508', 'auxb_fo_flow'),
+    ('H2521', 'ge2_power'), ('H2521', 'me_fo_flow'), ('H2521', 'me_fg_flow')) AS more(hnum, col_name)
+  WHERE hnum IN (SELECT hnum FROM ruled))""", f"prio AS ({_priority_sql('ruled')})") + """SELECT hnum, 0 AS position, 'ds_timestamp' AS column_name, 'TIMESTAMP' AS data_type
+FROM (SELECT DISTINCT hnum FROM ruled)
 UNION ALL
-SELECT hnum, CAST(row_number() OVER (PARTITION BY hnum ORDER BY col_name, data_type) AS INTEGER), col_name, data_type FROM existing
+SELECT hnum, CAST(row_number() OVER (PARTITION BY hnum ORDER BY col_name, data_type) AS INTEGER), col_name, data_type FROM body
 UNION ALL
 SELECT p.hnum, CAST(w.n + p.priority AS INTEGER), 'id_' || p.table_name, 'BIGINT'
-FROM prio p JOIN (SELECT hnum, count(*) AS n FROM existing GROUP BY hnum) w ON w.hnum = p.hnum"""
+FROM prio p JOIN (SELECT hnum, count(*) AS n FROM body GROUP BY hnum) w ON w.hnum = p.hnum"""
     return sql

@@ -7,9 +7,11 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Epoch values are UTC and every output timestamp is zone-less, so the session
-# time zone must be UTC for epoch <-> timestamp conversions and text formats.
+# time zone must be UTC for epoch <-> timestamp conversions and text formats. A cast to
+# a declared schema must fail rather than turn values into NULLs: ANSI mode.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
 }
 
 

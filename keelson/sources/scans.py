@@ -25,23 +25,31 @@ def table_reader(spark: SparkSession, db_name: str | None = None) -> TableReader
     return lambda name: spark.table(f"{db_name}.{name}" if db_name else name)
 
 
-def date_range(df: DataFrame, start: str, end: str, date_col: str = "ds_date") -> DataFrame:
-    """Rows whose 'yyyyMMdd' text date lies in [start, end], both ends included."""
-    return df.where(F.col(date_col).between(F.lit(start), F.lit(end)))
+def date_range(df: DataFrame, start: str | None, end: str | None, date_col: str = "ds_date") -> DataFrame:
+    """Rows whose 'yyyyMMdd' text date lies in [start, end], both ends included (None: no bound)."""
+    if start is not None:
+        df = df.where(F.col(date_col) >= F.lit(start))
+    if end is not None:
+        df = df.where(F.col(date_col) <= F.lit(end))
+    return df
 
 
-def day_bounds(start: str, end: str) -> tuple[Column, Column]:
+def day_bounds(start: str | None, end: str | None) -> tuple[Column | None, Column | None]:
     """'yyyyMMdd' start / end days -> [start 00:00, day after end 00:00) as zone-less timestamps."""
-    lo = dt.datetime.strptime(start, "%Y%m%d")
-    hi = dt.datetime.strptime(end, "%Y%m%d") + dt.timedelta(days=1)
-    fmt = "%Y-%m-%d %H:%M:%S"
-    return F.lit(lo.strftime(fmt)).cast("timestamp_ntz"), F.lit(hi.strftime(fmt)).cast("timestamp_ntz")
+    def midnight(day: str, after: int) -> Column:
+        at = dt.datetime.strptime(day, "%Y%m%d") + dt.timedelta(days=after)
+        return F.lit(at.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    return (None if start is None else midnight(start, 0)), (None if end is None else midnight(end, 1))
 
 
-def half_open(df: DataFrame, start: str, end: str, ts_col: str = "ds_timestamp") -> DataFrame:
-    """Rows with start 00:00 <= ts < (end + 1 day) 00:00."""
+def half_open(df: DataFrame, start: str | None, end: str | None, ts_col: str = "ds_timestamp") -> DataFrame:
+    """Rows with start 00:00 <= ts < (end + 1 day) 00:00 (None: no bound)."""
     lo, hi = day_bounds(start, end)
-    return df.where((F.col(ts_col) >= lo) & (F.col(ts_col) < hi))
+    if lo is not None:
+        df = df.where(F.col(ts_col) >= lo)
+    if hi is not None:
+        df = df.where(F.col(ts_col) < hi)
+    return df
 
 
 def project_source(
@@ -50,8 +58,12 @@ def project_source(
     id_col: str,
     time_col: str = "ds_timestamp",
     keep: Iterable[str] = (),
+    typed: bool = True,
 ) -> DataFrame:
-    """Typed, renamed projection of one source: epoch-ms id, kept columns, one column per catalog tag.
+    """Renamed projection of one source: epoch-ms id, kept columns, one column per catalog tag.
+
+    Tags are cast to their catalog types, or left as they are stored with ``typed=False`` (``cast_tags``
+    then casts what a later step keeps).
 
     Raw column names are quoted, so a tag holding a dot or a blank is read as one column.
     """
@@ -61,10 +73,16 @@ def project_source(
     else:
         raw_ms = epoch_ms(_raw_col(time_col))
     cols = [raw_ms.alias(id_col), *[_raw_col(c) for c in keep]]
-    cols += [typed_tag(_raw_col(t.tag), t.data_type).alias(t.col_name) for t in tags]
+    cols += [(typed_tag(_raw_col(t.tag), t.data_type) if typed else _raw_col(t.tag)).alias(t.col_name) for t in tags]
     return raw.select(*cols)
 
 
+def cast_tags(df: DataFrame, tags: Sequence[Tag]) -> DataFrame:
+    """Cast the catalog columns of an untyped projection."""
+    kinds = {t.col_name: t.data_type for t in tags}
+    return df.select(*[typed_tag(F.col(c), kinds[c]).alias(c) if c in kinds else F.col(c) for c in df.columns])
+
+
 def _raw_col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
@@ -73,16 +91,22 @@ def scan_source(
     read: TableReader,
     table_name: str,
     tags: Sequence[Tag],
-    start: str,
-    end: str,
+    start: str | None,
+    end: str | None,
     keep: Iterable[str] = (),
     date_col: str = "ds_date",
+    typed: bool = True,
 ) -> DataFrame | None:
-    """Catalog-driven range scan of one source; ``None`` when the catalog lists no tag for it."""
+    """Catalog-driven range scan of one source; ``None`` when the catalog lists no tag for it.
+
+    A reader with a ``between(table, start, end)`` of its own may leave out rows it knows to lie
+    outside the days (its date column is computed, say, so the filter on it cannot reach the files).
+    """
     if not tags:
         return None
-    raw = date_range(read(table_name), start, end, date_col)
-    return project_source(raw, tags, id_col=f"id_{table_name}", keep=keep)
+    between = getattr(read, "between", None)
+    raw = date_range(between(table_name, start, end) if between else read(table_name), start, end, date_col)
+    return project_source(raw, tags, id_col=f"id_{table_name}", keep=keep, typed=typed)
 
 
 def jdbc_source(

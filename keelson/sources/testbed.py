@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.session import prepare
+from keelson.sources.scans import day_bounds
 from keelson.sources.tagcatalog import CATALOG_COLUMNS, Tag
 
 # Events.event_type -> source table name (base source first).
@@ -33,6 +34,7 @@ EVENT_SOURCES = {
     "click": "ev_vdr_click_pivot",
     "error": "ev_vdr_error_pivot",
     "purchase": "ev_vdr_purchase_pivot",
+    "signup": "ev_vdr_signup_pivot",
 }
 TABLE_EVENT = {t: e for e, t in EVENT_SOURCES.items()}
 
@@ -60,6 +62,9 @@ _TESTBED_TAGS = [
     ("auxb_fo_flow", "ev_vdr_purchase_pivot", "sog_txt", "kg/h", "FLOAT"),
     ("ge_fg_flow", "ev_vdr_purchase_pivot", "angle_txt", "kg/h", "FLOAT"),
     ("cargo_load", "ev_vdr_purchase_pivot", "user_txt", "t", "DOUBLE"),
+    ("shaft_power", "ev_vdr_signup_pivot", "value_txt", "kW", "DOUBLE"),
+    ("shaft_speed", "ev_vdr_signup_pivot", "sog_txt", "rpm", "FLOAT"),
+    ("gcu_use", "ev_vdr_signup_pivot", "flag_txt", "-", "BOOLEAN"),
 ]
 
 TESTBED_TAGS = [
@@ -67,8 +72,6 @@ TESTBED_TAGS = [
     for name, table, tag, unit, dtype in _TESTBED_TAGS
 ]
 
-FIRST_DAY, LAST_DAY = "20240101", "20240130"
-
 # Fleet runs: readings belong to hull user_id % FLEET_SIZE; all hulls share the testbed catalog.
 FLEET_SIZE = 5
 
@@ -96,9 +99,19 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return driver_table(spark, sf_dir, "events")
 
 
-def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events as raw readings, with ``source`` = event_type."""
+def raw_readings(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """All events as raw readings, with ``source`` = event_type.
+
+    ``start`` / ``end`` ('yyyyMMdd') leave out events of other days by a predicate on ``ts`` that
+    reaches the Parquet scan: ``ds_date`` is computed from ``ts``, so a filter on it cannot.
+    """
     e = events(spark, sf_dir)
+    lo, hi = day_bounds(start, end)
+    kind = e.schema["ts"].dataType
+    if lo is not None:
+        e = e.where(F.col("ts") >= lo.cast(kind))
+    if hi is not None:
+        e = e.where(F.col("ts") < hi.cast(kind))
     k = _k()
     flag = F.lit(None).cast("string")
     for i, text in reversed(list(enumerate(FLAG_TEXTS))):
@@ -117,14 +130,38 @@ def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def source_reader(spark: SparkSession, sf_dir: str):
-    """Table reader over the events sources (the filter on event_type reaches the Parquet scan)."""
-    readings = raw_readings(spark, sf_dir)
+class SourceReader:
+    """Table reader over the events sources (the filters on event_type and on days reach the Parquet scan)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, change=None):
+        self.spark, self.sf_dir, self.change = spark, sf_dir, change
+
+    def __call__(self, table_name: str) -> DataFrame:
+        return self.between(table_name, None, None)
+
+    def between(self, table_name: str, start: str | None, end: str | None) -> DataFrame:
+        readings = raw_readings(self.spark, self.sf_dir, start, end).where(F.col("source") == TABLE_EVENT[table_name])
+        return self.change(readings) if self.change else readings
+
+
+def source_reader(spark: SparkSession, sf_dir: str) -> SourceReader:
+    return SourceReader(spark, sf_dir)
+
+
+def revised_reader(spark: SparkSession, sf_dir: str) -> SourceReader:
+    """The same readings sent again: the values of ``view`` are lost, those of ``click`` are other ones."""
+    def change(readings: DataFrame) -> DataFrame:
+        source = F.col("source")
+        return readings.withColumn(
+            "value_txt", F.when(source == "view", F.lit(None).cast("string")).when(source == "click", F.col("user_txt"))
+            .otherwise(F.col("value_txt")))
+    return SourceReader(spark, sf_dir, change)
 
-    def read(table_name: str) -> DataFrame:
-        return readings.where(F.col("source") == TABLE_EVENT[table_name])
 
-    return read
+def unclocked_reader(spark: SparkSession, sf_dir: str) -> SourceReader:
+    """The same readings, every 89th without a readable time."""
+    return SourceReader(spark, sf_dir, lambda r: r.withColumn(
+        "ds_timestamp", F.when(F.col("seq") % 89 == 0, F.lit("n/a")).otherwise(F.col("ds_timestamp"))))
 
 
 def _hull(nationkey: Column) -> Column:

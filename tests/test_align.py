@@ -64,7 +64,10 @@ def test_documented_sf001_counts(spark):
     left = QUERIES["align_left_chain"](spark, SF01)
     assert left.count() == 667
     assert [left.where(F.col(f"id_{e}").isNotNull()).count() for e in ("click", "error", "purchase")] == [628, 629, 624]
-    assert QUERIES["align_first_inner"](spark, SF01).count() == 554
+    assert QUERIES["align_first_inner"](spark, SF01).count() == 524  # five sources
+    four = [_conformed(spark, SF01).where(F.col("source") == e).select(F.col("id_source").alias("id"), "ds_date", "seq", F.col("value").alias(e))
+            for e in ("view", "click", "error", "purchase")]
+    assert align_first_inner(four, 3_600_000, time_col="id", tiebreak=["seq"]).count() == 554
 
 
 def test_inner_chain_ties_are_deterministic_without_tiebreak(spark):

@@ -31,7 +31,7 @@ def test_load_command_against_catalog_source_tables(spark, scratch):
     assert main(args, spark) == 0
     assert main(["load", "--hull", "H2521", "--start", "2024-01-15", "--end", "2024-01-30", "--catalog-dir", csv_dir],
                 spark) == 0
-    expect = build_raw(tb.source_reader(spark, SF001), tb.TESTBED_TAGS, tb.FIRST_DAY, tb.LAST_DAY)
+    expect = build_raw(tb.source_reader(spark, SF001), tb.TESTBED_TAGS, "20240101", "20240130")
     stored = spark.table("dv.h2521_raw").select(*expect.columns)
     # catalog source tables carry no tie-break column; at this size no two readings of a source share a millisecond
     assert sorted(stored.collect()) == sorted(expect.collect())
@@ -55,7 +55,7 @@ def test_load_command_into_parquet_folders(spark, scratch):
     args = ["load", "--hull", "H2521", "--start", "2024-01-01", "--end", "2024-01-30", "--catalog-dir",
             _catalog_dir(scratch), "--storage", storage]
     assert main(args, spark) == 0
-    expect = build_raw(tb.source_reader(spark, SF001), tb.TESTBED_TAGS, tb.FIRST_DAY, tb.LAST_DAY)
+    expect = build_raw(tb.source_reader(spark, SF001), tb.TESTBED_TAGS, "20240101", "20240130")
     stored = spark.read.parquet(os.path.join(storage, "H2521", "raw")).select(*expect.columns)
     assert sorted(stored.collect()) == sorted(expect.collect())
     assert spark.read.parquet(os.path.join(storage, "H2521", "calc")).count() == expect.count()

@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import SF001
@@ -10,7 +12,7 @@ from keelson.sources.tagcatalog import wide_schema
 
 
 def test_build_raw_shape(spark):
-    raw = build_raw(tb.source_reader(spark, SF001), tb.TESTBED_TAGS, tb.FIRST_DAY, tb.LAST_DAY, tiebreak=["seq"])
+    raw = build_raw(tb.source_reader(spark, SF001), tb.TESTBED_TAGS, "20240101", "20240130", tiebreak=["seq"])
     assert raw.schema == wide_schema(tb.TESTBED_TAGS)
     n = raw.count()
     assert n == raw.select("ds_timestamp").distinct().count()  # one row per bucket
@@ -27,10 +29,10 @@ def test_run_hull_is_idempotent(spark, scratch):
     first = sorted(spark.read.parquet(raw_p).drop("ds_month").collect())
     run_hull(spark, read, tb.TESTBED_TAGS, "20240110", "20240130", raw_p, calc_p, tiebreak=["seq"])
     assert sorted(spark.read.parquet(raw_p).drop("ds_month").collect()) == first
-    full = build_raw(read, tb.TESTBED_TAGS, tb.FIRST_DAY, tb.LAST_DAY, tiebreak=["seq"])
+    full = build_raw(read, tb.TESTBED_TAGS, "20240101", "20240130", tiebreak=["seq"])
     assert sorted(full.collect()) == sorted(spark.read.parquet(raw_p).select(*full.columns).collect())
     stored_calc = spark.read.parquet(calc_p).select(*CALC_SCHEMA.names)
-    assert sorted(stored_calc.collect()) == sorted(calc(full, tb.FIRST_DAY, tb.LAST_DAY).collect())
+    assert sorted(stored_calc.collect()) == sorted(calc(full, "20240101", "20240130").collect())
 
 
 def test_minute_view(spark):
@@ -51,7 +53,7 @@ def test_partitioned_sources_are_pruned(spark, scratch):
 
     raw = build_raw(read, tb.TESTBED_TAGS, "20240105", "20240112", tiebreak=["seq"])
     plan = raw._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("PartitionFilters: [isnotnull(ds_date") == 4
+    assert plan.count("PartitionFilters: [isnotnull(ds_date") == 5
     read_schemas = [line for line in plan.split("\n") if "ReadSchema" in line or "FileScan" in line]
     assert read_schemas and not any("hnum" in line for line in read_schemas)  # unused columns are never read
     expect = build_raw(tb.source_reader(spark, SF001), tb.TESTBED_TAGS, "20240105", "20240112", tiebreak=["seq"])
@@ -60,13 +62,13 @@ def test_partitioned_sources_are_pruned(spark, scratch):
 
 def test_fleet_mode_matches_per_hull_runs(spark):
     read = tb.source_reader(spark, SF001)
-    fleet = build_raw(read, tb.TESTBED_TAGS, tb.FIRST_DAY, tb.LAST_DAY, keys=["hnum"], tiebreak=["seq"])
+    fleet = build_raw(read, tb.TESTBED_TAGS, "20240101", "20240130", keys=["hnum"], tiebreak=["seq"])
     one = "H0002"
 
     def read_one(name):
         return read(name).where(F.col("hnum") == one)
 
-    single = build_raw(read_one, tb.TESTBED_TAGS, tb.FIRST_DAY, tb.LAST_DAY, tiebreak=["seq"])
+    single = build_raw(read_one, tb.TESTBED_TAGS, "20240101", "20240130", tiebreak=["seq"])
     assert sorted(fleet.where(F.col("hnum") == one).drop("hnum").collect()) == sorted(single.collect())
 
 
@@ -118,7 +120,7 @@ def test_sync_catalog_file(spark, scratch):
         f.write(header + "\nh1 ,a,db,t,x,new,kn,FLOAT\nH1,b,db,t,z,added,kn,BOOLEAN\n")
     assert sync_catalog_file(spark, good, stored) == "H1"
     got = {(r.hnum, r.col_name): (r.id, r.description) for r in spark.read.parquet(stored).collect()}
-    assert got == {("H1", "a"): (7, "new"), ("H1", "b"): (None, "added"), ("H2", "a"): (9, "keep")}
+    assert got == {("H1", "a"): (7, "new"), ("H1", "b"): (10, "added"), ("H2", "a"): (9, "keep")}
     bad = os.path.join(scratch, "two.csv")
     with open(bad, "w", encoding="utf-8") as f:
         f.write(header + "\nH1,a,db,t,x,d,kn,FLOAT\nH3,a,db,t,x,d,kn,FLOAT\n")
@@ -132,15 +134,15 @@ def test_empty_source_warns_and_flows_through(spark, caplog):
     read = tb.source_reader(spark, SF001)
     with caplog.at_level(logging.WARNING, logger="keelson.plans.jobs"):
         frames = resampled_sources(read, tb.TESTBED_TAGS, "20300101", "20300102", tiebreak=["seq"], warn_empty=True)
-    assert len(frames) == 4 and all(f.count() == 0 for f in frames)
-    assert sum("has no rows" in r.message for r in caplog.records) == 4
+    assert len(frames) == 5 and all(f.count() == 0 for f in frames)
+    assert sum("has no rows" in r.message for r in caplog.records) == 5
 
 
 def test_fleet_run_stores_every_hull(spark, scratch):
     raw_p, calc_p = os.path.join(scratch, "fraw"), os.path.join(scratch, "fcalc")
     read = tb.source_reader(spark, SF001)
-    run_hull(spark, read, tb.TESTBED_TAGS, tb.FIRST_DAY, tb.LAST_DAY, raw_p, calc_p, tiebreak=["seq"], keys=["hnum"])
-    expect = build_raw(read, tb.TESTBED_TAGS, tb.FIRST_DAY, tb.LAST_DAY, keys=["hnum"], tiebreak=["seq"])
+    run_hull(spark, read, tb.TESTBED_TAGS, "20240101", "20240130", raw_p, calc_p, tiebreak=["seq"], keys=["hnum"])
+    expect = build_raw(read, tb.TESTBED_TAGS, "20240101", "20240130", keys=["hnum"], tiebreak=["seq"])
     stored = spark.read.parquet(raw_p).select(*expect.columns)
     assert sorted(stored.collect()) == sorted(expect.collect())
     assert {d for d in os.listdir(raw_p) if d.startswith("hnum=")} == {f"hnum=H000{i}" for i in range(tb.FLEET_SIZE)}
@@ -150,7 +152,7 @@ def test_fleet_run_stores_every_hull(spark, scratch):
 def test_library_entry_points_pin_utc(spark):
     spark.conf.set("spark.sql.session.timeZone", "Asia/Seoul")
     try:
-        raw = build_raw(tb.source_reader(spark, SF001), tb.TESTBED_TAGS, tb.FIRST_DAY, tb.LAST_DAY, tiebreak=["seq"])
+        raw = build_raw(tb.source_reader(spark, SF001), tb.TESTBED_TAGS, "20240101", "20240130", tiebreak=["seq"])
         assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
         first = raw.orderBy("ds_timestamp").first()
         assert first.ds_timestamp.second % 15 == 0 and first.ds_timestamp.hour < 24
@@ -161,8 +163,8 @@ def test_library_entry_points_pin_utc(spark):
 def test_calc_invariants_on_the_pipeline(spark):
     from conftest import SF01
     from pyspark.sql import Window
-    out = calc(build_raw(tb.source_reader(spark, SF01), tb.TESTBED_TAGS, tb.FIRST_DAY, tb.LAST_DAY, tiebreak=["seq"]),
-               tb.FIRST_DAY, tb.LAST_DAY)
+    out = calc(build_raw(tb.source_reader(spark, SF01), tb.TESTBED_TAGS, "20240101", "20240130", tiebreak=["seq"]),
+               "20240101", "20240130")
     bad_angle = out.where(F.col("true_wind_angle").isNotNull()
                           & ~((F.col("true_wind_angle") >= 0) & (F.col("true_wind_angle") < 360))).count()
     assert bad_angle == 0
@@ -184,7 +186,7 @@ def test_view_date_predicate_reaches_every_source_partition(spark, scratch):
     one_day = view.where(F.col("ds_date") == "20240105")
     import re
     plan = one_day._jdf.queryExecution().executedPlan().toString()
-    assert len(re.findall(r"PartitionFilters: \[[^\]]*ds_date#\d+ = 20240105", plan)) == 4  # one per source scan
+    assert len(re.findall(r"PartitionFilters: \[[^\]]*ds_date#\d+ = 20240105", plan)) == 5  # one per source scan
     assert sorted(one_day.collect()) == sorted(r for r in view.collect() if r.ds_date == "20240105")
 
 
@@ -202,8 +204,8 @@ def test_one_day_matches_the_catalog_schema(spark):
 
 def test_inner_alignment_keeps_buckets_every_source_has(spark):
     read = tb.source_reader(spark, SF001)
-    left = build_raw(read, tb.TESTBED_TAGS, tb.FIRST_DAY, tb.LAST_DAY, every="1 hour", tiebreak=["seq"])
-    inner = build_raw(read, tb.TESTBED_TAGS, tb.FIRST_DAY, tb.LAST_DAY, every="1 hour", tiebreak=["seq"], how="inner")
+    left = build_raw(read, tb.TESTBED_TAGS, "20240101", "20240130", every="1 hour", tiebreak=["seq"])
+    inner = build_raw(read, tb.TESTBED_TAGS, "20240101", "20240130", every="1 hour", tiebreak=["seq"], how="inner")
     ids = [c for c in left.columns if c.startswith("id_")]
     complete = left.where(" AND ".join(f"{c} IS NOT NULL" for c in ids))
     assert sorted(inner.collect()) == sorted(complete.collect())
@@ -241,11 +243,89 @@ def test_fleet_exchanges_are_keyed_on_hull_and_bucket(spark):
     import re
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        raw = build_raw(tb.source_reader(spark, SF001), tb.TESTBED_TAGS, tb.FIRST_DAY, tb.LAST_DAY, keys=["hnum"],
+        raw = build_raw(tb.source_reader(spark, SF001), tb.TESTBED_TAGS, "20240101", "20240130", keys=["hnum"],
                         tiebreak=["seq"])
         plan = raw._jdf.queryExecution().executedPlan().toString()
         keys = re.findall(r"Exchange hashpartitioning\(([^)]*?), \d+\)", plan)
-        assert len(keys) == 4
+        assert len(keys) == 5
         assert all(k.startswith("hnum#") and "ds_timestamp#" in k for k in keys)  # never the hull alone
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_readings_without_a_time_are_counted_before_the_resample(spark, scratch, caplog):
+    import logging
+    read = tb.unclocked_reader(spark, SF001)
+    with caplog.at_level(logging.WARNING, logger="keelson.plans.jobs"):
+        lost = run_hull(spark, read, tb.TESTBED_TAGS, raw_path=os.path.join(scratch, "r"), calc_path=os.path.join(scratch, "c"),
+                        tiebreak=["seq"])
+    bad = tb.events(spark, SF001).where("event_id % 89 = 0").count()
+    assert bad > 5 and sum(lost.values()) == bad
+    assert sum("without a readable time" in r.message for r in caplog.records) == sum(n > 0 for n in lost.values())
+    assert spark.read.parquet(os.path.join(scratch, "r")).where("ds_timestamp IS NULL").count() == 0
+
+
+def test_run_hull_warns_about_empty_sources(spark, scratch, caplog):
+    import logging
+    with caplog.at_level(logging.WARNING, logger="keelson.plans.jobs"):
+        run_hull(spark, tb.source_reader(spark, SF001), tb.TESTBED_TAGS, "20300101", "20300102",
+                 os.path.join(scratch, "r"), os.path.join(scratch, "c"), tiebreak=["seq"])
+    assert sum("has no rows" in r.message for r in caplog.records) == 5
+
+
+def test_clear_removes_the_files_of_a_location_table(spark, scratch):
+    from keelson.plans.tables import clear_hull, create_table
+    from pyspark.sql.types import LongType, StructField, StructType
+    spark.sql("CREATE DATABASE IF NOT EXISTS clearing")
+    folder = os.path.join(scratch, "h9_raw")
+    create_table(spark, "clearing.h9_raw", StructType([StructField("a", LongType())]), location=folder)
+    spark.sql("INSERT INTO clearing.h9_raw VALUES (1)")
+    assert os.path.exists(folder)
+    assert clear_hull(spark, "clearing", "H9") == ["h9_raw"]
+    assert not os.path.exists(folder)
+
+
+def test_dropped_columns_are_not_read(spark, scratch):
+    from keelson.plans.tables import create_external_table, drop_columns
+    from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+    spark.sql("CREATE DATABASE IF NOT EXISTS evolving")
+    folder = os.path.join(scratch, "t")
+    spark.createDataFrame([(1, 2.0, 1), (3, 4.0, 2)], "a long, b double, dt int").write.partitionBy("dt").parquet(folder)
+    create_external_table(spark, "evolving", "t", StructType([StructField("a", LongType()), StructField("b", DoubleType())]), folder)
+    spark.sql("MSCK REPAIR TABLE evolving.t")
+    assert spark.table("evolving.t").columns == ["a", "b", "dt"]
+    drop_columns(spark, "evolving.t", ["b"])
+    assert sorted(map(tuple, spark.table("evolving.t").collect())) == [(1, 1), (3, 2)]
+    with pytest.raises(ValueError, match="no columns"):
+        drop_columns(spark, "evolving.t", ["b"])
+    spark.sql("DROP TABLE evolving.t")
+
+
+def test_time_predicates_reach_the_scan(spark):
+    from keelson.plans.registry import QUERIES
+    for name in ("range_scan", "half_open_scan", "calc_table"):
+        plan = QUERIES[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+        scans = [line for line in plan.split("\n") if "PushedFilters" in line]
+        assert scans and all("GreaterThanOrEqual(ts," in line and "LessThan(ts," in line for line in scans), name
+
+
+@pytest.mark.parametrize("name", ["upsert_raw", "upsert_calc"])
+def test_a_merge_that_keeps_target_rows_would_be_seen(spark, monkeypatch, name):
+    from keelson.plans import registry
+    right = sorted(map(repr, registry.QUERIES[name](spark, SF001).collect()))
+
+    def keeps_target(target, source, keys):
+        fresh = source.where(F.col(keys[0]).isNotNull()).join(target, list(keys), "left_anti").select(*target.columns)
+        return target.unionByName(fresh)
+
+    monkeypatch.setattr(registry, "merge_frames", keeps_target)
+    assert sorted(map(repr, registry.QUERIES[name](spark, SF001).collect())) != right
+
+
+def test_a_stored_merge_that_keeps_target_rows_would_be_seen(spark, monkeypatch):
+    from keelson.operators import upsert
+    from keelson.plans import registry
+    right = sorted(map(repr, registry.QUERIES["stored_raw"](spark, SF001).collect()))
+    monkeypatch.setattr(upsert, "merge_frames", lambda target, source, keys: target.unionByName(
+        source.join(target, list(keys), "left_anti").select(*target.columns)))
+    assert sorted(map(repr, registry.QUERIES["stored_raw"](spark, SF001).collect())) != right

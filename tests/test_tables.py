@@ -67,3 +67,24 @@ def test_persistent_view(spark):
     assert [r.v for r in spark.table("dvtest.one_day").collect()] == [2]
     spark.sql("DROP VIEW dvtest.one_day")
     spark.sql("DROP TABLE dvtest.view_src")
+
+
+def test_persistent_minute_view(spark):
+    """Recreated in place, readable through the catalog, pruned by date."""
+    from conftest import SF001
+    from keelson.plans.view import create_minute_view, view_sql
+    from keelson.sources import testbed as tb
+    spark.sql("CREATE DATABASE IF NOT EXISTS views")
+    tags = [t for t in tb.TESTBED_TAGS if t.table_name in ("ev_ias_view_pivot", "ev_vdr_click_pivot")]
+    read = tb.source_reader(spark, SF001)
+    for table in sorted({t.table_name for t in tags}):
+        spark.sql(f"DROP TABLE IF EXISTS views.{table}")
+        read(table).write.partitionBy("ds_date").saveAsTable(f"views.{table}")
+    create_minute_view(spark, "views.aligned", tags, "1 day", db="views", tiebreak=["seq"])
+    create_minute_view(spark, "views.aligned", tags, "1 hour", db="views", tiebreak=["seq"])
+    rows = spark.table("views.aligned")
+    assert rows.columns == ["ds_timestamp", *[t.col_name for t in tags], "ds_date"]
+    assert rows.count() == spark.sql(view_sql(tags, "1 hour", db="views", tiebreak=["seq"])).count() > 10
+    plan = rows.where("ds_date = '20240105'")._jdf.queryExecution().executedPlan().toString()
+    assert len([line for line in plan.split("\n") if "PartitionFilters" in line and "= 20240105" in line]) == 2
+    spark.sql("DROP VIEW views.aligned")
