@@ -58,10 +58,18 @@ def row_key(docs: DataFrame, id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
-def worker_cache() -> dict:
-    """A dict that lives as long as the Python process; Spark reuses worker processes between tasks."""
+def worker_cache(owner: str) -> dict:
+    """A dict that lives as long as the Python process, which Spark reuses between tasks.
+
+    It holds what one operator keeps between its tasks: another owner finds it empty, so nothing of a finished
+    stage stays in memory.
+    """
     module = sys.modules.setdefault("_keelson_worker_cache", types.ModuleType("_keelson_worker_cache"))
-    return module.__dict__.setdefault("entries", {})
+    if module.__dict__.get("owner") != owner:
+        module.__dict__.update(owner=owner, entries={})
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+    return module.__dict__["entries"]
 
 
 def text_chunks(

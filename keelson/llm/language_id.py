@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.common import staged, text_chunks
+from keelson.llm.common import staged, text_chunks, worker_cache
 
 BUCKET_BITS = 16
 MOST_LABELLED = 300
@@ -39,7 +39,7 @@ SMOOTH = 0.5
 HOST_WEIGHT = 20.0
 SUFFIX_WEIGHT = 50.0
 LEAST = 0.5
-CHUNK = 2 << 20
+CHUNK = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -117,18 +117,20 @@ def text_evidence(text: Column, model: TextModel) -> Column:
 
     @F.pandas_udf("array<double>")
     def evidence(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        worker_cache("language")
         logs = table.value
         for part in parts:
             out: list = []
-            texts = [(t or "").encode() for t in part]
-            at = 0
-            while at < len(texts):
-                end, held = at, 0
-                while end < len(texts) and held < CHUNK:
-                    held += len(texts[end])
-                    end += 1
-                out.extend(scores(texts[at:end], logs))
-                at = end
+            texts: list[bytes] = []
+            held = 0
+            for text in part:
+                texts.append((text or "").encode())
+                held += len(texts[-1])
+                if held >= CHUNK:
+                    out.extend(scores(texts, logs))
+                    texts, held = [], 0
+            if texts:
+                out.extend(scores(texts, logs))
             yield pd.Series(out, index=part.index, dtype=object)
 
     return evidence(text)

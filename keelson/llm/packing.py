@@ -46,7 +46,7 @@ SEQUENCE_PENALTY = 8
 SENTENCE_STRIDE = 32
 HARD_STRIDE = 512
 LEAST_POWER = 64
-CACHED_WORDS = 300_000
+CACHED_WORDS = 250_000
 
 PIECES = pa.schema(
     [
@@ -140,7 +140,7 @@ class WordIds(dict):
 
 
 def word_ids(path: str) -> WordIds:
-    cache = worker_cache()
+    cache = worker_cache("packing")
     if ("word_ids", path) not in cache:
         cache["word_ids", path] = WordIds(path)
     return cache["word_ids", path]

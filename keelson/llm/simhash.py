@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.common import arrow_rows, ids_tell_rows_apart, staged, text_chunks
+from keelson.llm.common import arrow_rows, ids_tell_rows_apart, staged, text_chunks, worker_cache
 from keelson.llm.components import components
 
 SHINGLE = 3
@@ -67,7 +67,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """doc_id, bits (the fingerprint as a signed long), one row per row of docs."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, texts in text_chunks(batches, ["doc_id"], "text", 4 << 20):
+        worker_cache("simhash")
+        for keys, texts in text_chunks(batches, ["doc_id"], "text", 1 << 20):
             bits = np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64).astype(np.int64)
             yield arrow_rows({"doc_id": [k for (k,) in keys], "bits": bits}, PRINTS)
 

@@ -102,7 +102,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 def tables(salt: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    cache = worker_cache()
+    cache = worker_cache("rolling hashes")
     if ("rolling", salt) not in cache or len(cache["rolling", salt][0]) <= size:
         rng = np.random.Generator(np.random.PCG64(salt))
         codes = rng.integers(0, 2**64, 256, dtype=np.uint64)
@@ -416,7 +416,7 @@ def per_text(
     batches: Iterable[pa.RecordBatch], text_col: str, length: int, use: Callable
 ) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Small slices of the batches with use(text, runs) of each row."""
-    worker_cache().clear()  # the tables of earlier tasks in this process are not needed any more
+    worker_cache("spans")
     for whole in batches:
         for at in range(0, whole.num_rows, SLICE_ROWS):
             batch = whole.slice(at, SLICE_ROWS)

@@ -103,7 +103,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
     """doc_id, n_words, n_tokens: one row per row of docs. vocabulary: path of the piece model on the executors."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = worker_cache()
+        cache = worker_cache("token counts")
         if ("trie", vocabulary) not in cache:
             cache["trie", vocabulary] = TrieCounter(load_scores(vocabulary))
         counter = cache["trie", vocabulary]
