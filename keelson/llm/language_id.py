@@ -40,6 +40,7 @@ HOST_WEIGHT = 20.0
 SUFFIX_WEIGHT = 50.0
 LEAST = 0.5
 CHUNK = 1 << 19
+BROADCAST_BYTES = 16 << 20
 
 
 @dataclass(frozen=True)
@@ -208,13 +209,19 @@ def identify(
             share(table(), F.col("by_suffix"), HOST_WEIGHT).alias("prior"),
         )
     )
+    # Host and declaration tables are as small as their names: within BROADCAST_BYTES they go to every task, so the
+    # texts stay where they are; beyond, the join is left to the planner, which splits hot hosts.
+    name_bytes = counted.select(
+        F.sum(sum(F.coalesce(F.octet_length(c), F.lit(0)) for c in ("declared", "host", "suffix")) + 16 * len(per_lang) + 64)
+    ).first()[0]
+    sent = F.broadcast if (name_bytes or 0) <= BROADCAST_BYTES else (lambda frame: frame)
     declarations = again("declared").select(
         F.col("declared").alias("d_declared"),
         F.transform(table(), lambda x, i: (x + SMOOTH) / (F.get(constants(per_lang), i) + 2 * SMOOTH)).alias("says"),
     )
     fused = (
-        held.join(hosts, F.col("host").eqNullSafe(F.col("h_host")) & F.col("suffix").eqNullSafe(F.col("h_suffix")), "left")
-        .join(declarations, F.col("declared").eqNullSafe(F.col("d_declared")), "left")
+        held.join(sent(hosts), F.col("host").eqNullSafe(F.col("h_host")) & F.col("suffix").eqNullSafe(F.col("h_suffix")), "left")
+        .join(sent(declarations), F.col("declared").eqNullSafe(F.col("d_declared")), "left")
         .withColumn(
             "posterior",
             softmax(F.transform("seen", lambda s, i: s + F.log(F.get("prior", i)) + F.log(F.get("says", i)))),
