@@ -30,6 +30,17 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def expect_long_texts(spark: SparkSession) -> None:
+    """Hand Python 1,000 rows at a time rather than 10,000, unless the session says otherwise.
+
+    A batch is held by the JVM and by Python at once, so for texts of some KB the default takes most of the memory
+    a small executor leaves for both.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, "1000")
+
+
 def release(spark: SparkSession) -> None:
     """Let the driver notice frames no longer referenced, so Spark deletes the shuffle files of finished jobs.
 

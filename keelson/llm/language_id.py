@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.common import staged, text_chunks, worker_cache
+from keelson.llm.common import expect_long_texts, staged, text_chunks, worker_cache
 
 BUCKET_BITS = 16
 MOST_LABELLED = 300
@@ -177,6 +177,7 @@ def identify(
         return docs.withColumns(
             {"lang_id": F.lit(None).cast("string"), "lang_confidence": F.lit(0.0), "lang_kept": F.lit(False)}
         )
+    expect_long_texts(docs.sparkSession)
     langs = range(len(model.languages))
     held = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),

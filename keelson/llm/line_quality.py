@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.common import arrow_rows, text_chunks
+from keelson.llm.common import arrow_rows, expect_long_texts, text_chunks
 from keelson.llm.suffix_dedup import Rolling, mixed
 
 WINDOW = 5
@@ -303,5 +303,6 @@ def judge(
                 JUDGED,
             )
 
+    expect_long_texts(docs.sparkSession)
     narrow = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"cast(`{text_col}` as string) as text")
     return narrow.mapInArrow(run, JUDGED_DDL)

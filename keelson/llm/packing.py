@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from keelson.llm.common import arrow_rows, text_chunks, worker_cache
+from keelson.llm.common import arrow_rows, expect_long_texts, text_chunks, worker_cache
 
 LIMIT = 4096
 END_ID = 2
@@ -263,6 +263,7 @@ def pack(
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, sequence_tokens
     (and the piece's ids if with_ids). tokenizer: path of the vocabulary file on the executors."""
+    expect_long_texts(docs.sparkSession)
     schema = IDS if with_ids else PIECES
     end = np.array([end_id], dtype="<u4").tobytes()
 

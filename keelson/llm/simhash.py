@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.common import arrow_rows, ids_tell_rows_apart, staged, text_chunks, worker_cache
+from keelson.llm.common import arrow_rows, expect_long_texts, ids_tell_rows_apart, staged, text_chunks, worker_cache
 from keelson.llm.components import components
 
 SHINGLE = 3
@@ -72,6 +72,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             bits = np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64).astype(np.int64)
             yield arrow_rows({"doc_id": [k for (k,) in keys], "bits": bits}, PRINTS)
 
+    expect_long_texts(docs.sparkSession)
     narrow = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"cast(`{text_col}` as string) as text")
     return narrow.mapInArrow(run, "doc_id long, bits long")
 

@@ -38,12 +38,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.common import arrow_rows, release, row_key, staged, worker_cache
+from keelson.llm.common import arrow_rows, expect_long_texts, release, row_key, staged, worker_cache
 
 LENGTH = 400
 CHUNK_BYTES = 1 << 20
 CELL = 52
 SLICE_ROWS = 256
+SETTLE_ROWS = 20_000
 ONE, SEVERAL, MIXED, SURE, ASK = range(5)
 SAMPLE = pa.schema([("k", pa.int64()), ("w", pa.int64()), ("row", pa.int64()), ("lo", pa.int64()), ("more", pa.int64())])
 SAMPLE_DDL = "k long, w long, row long, lo long, more long"
@@ -342,20 +343,21 @@ def sorted_buckets(sample: DataFrame, asking: str | None) -> DataFrame:
         return arrow_rows({"row": row, "lo": lo, "hi": hi, "sure": flag}, RANGES)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
+        rest: list[list[np.ndarray]] = []  # parts not settled yet, as lists of columns
+        size = 0
         for batch in batches:
-            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
-            if rest is not None:
-                columns = [np.concatenate([a, b]) for a, b in zip(rest, columns, strict=True)]
-            k = columns[0]
-            if not len(k):
+            rest.append([batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)])
+            size += batch.num_rows
+            if size < SETTLE_ROWS:
                 continue
+            columns = [np.concatenate(c) for c in zip(*rest, strict=True)]
             # The last key may go on in the next batch.
-            cut = int(np.searchsorted(k, k[-1]))
-            rest = [c[cut:] for c in columns]
+            cut = int(np.searchsorted(columns[0], columns[0][-1]))
+            rest = [[c[cut:] for c in columns]]
+            size = len(columns[0]) - cut
             if cut and (out := settle(*[c[:cut] for c in columns])) is not None:
                 yield out
-        if rest is not None and (out := settle(*rest)) is not None:
+        if size and (out := settle(*[np.concatenate(c) for c in zip(*rest, strict=True)])) is not None:
             yield out
 
     bucketed = sample.repartition("k").sortWithinPartitions("k", "w")
@@ -372,6 +374,7 @@ def repeated_starts(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
     keyed: row (long), text.
     """
     spark = keyed.sparkSession
+    expect_long_texts(spark)
     found = staged(sorted_buckets(sample_suffixes(keyed, length), "suffixes"), "suffix-buckets")
     release(spark)
     starts = found.filter("sure")

@@ -23,7 +23,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from keelson.llm.common import arrow_rows, text_chunks, worker_cache
+from keelson.llm.common import arrow_rows, expect_long_texts, text_chunks, worker_cache
 
 MARK = "▁"
 ZIPF = 10.0
@@ -114,5 +114,6 @@ def count_tokens(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
                 COUNTS,
             )
 
+    expect_long_texts(docs.sparkSession)
     narrow = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"cast(`{text_col}` as string) as text")
     return narrow.mapInArrow(run, "doc_id long, n_words long, n_tokens long")

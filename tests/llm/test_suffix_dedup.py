@@ -54,6 +54,7 @@ def corpus(rng):
 @pytest.mark.parametrize("seed,chunk,parts", [(1, 4 << 20, 1), (2, 300, 3), (3, 1000, 5), (4, 4 << 20, 7)])
 def test_spans_match_brute_force(spark, monkeypatch, seed, chunk, parts):
     monkeypatch.setattr(sd, "CHUNK_BYTES", chunk)
+    monkeypatch.setattr(sd, "SETTLE_ROWS", 20 * parts)
     texts = corpus(random.Random(seed))
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(parts)
     rows = sorted(sd.repeated_spans(docs, length=50).collect(), key=lambda r: r.doc_id)
