@@ -19,8 +19,8 @@ The index is fitted on at most ``pivots`` vectors (the least hashes of their ids
 an annulus are dealt out in groups, so neither a hot vector nor a hot annulus makes a large task.
 
 Rows: a vector that is null, or holds a null or a component that is not finite, takes no part; shorter vectors are
-read as if filled with zeros (an empty one scores 0 everywhere); rows that share an id are rows of their own, but no
-query meets a row of its own id; ties go to the smaller id; queries without a candidate have no row; extra columns are
+read as if filled with zeros (an empty one scores 0 everywhere); rows that share an id are rows of their own, also as
+queries, each with its own list of k, but no query meets a row of its own id; ties go to the smaller id; queries without a candidate have no row; extra columns are
 ignored. Components must stay below 2^26 in size after scaling, or the sum of products could be inexact: an error.
 """
 
@@ -165,14 +165,14 @@ def best_of(q_ids: np.ndarray, scores: np.ndarray, ids: np.ndarray, k: int) -> t
 
 
 def search(index: Index, queries: DataFrame, k: int = K, group: int = QUERY_GROUP) -> DataFrame:
-    """queries: vec_id, x. Gives query_id, rank, vec_id, score."""
+    """queries: vec_id, x. Gives query_id, rank, vec_id, score: k rows for each row of queries."""
     pivots, p_up, m, dim, slack = index.pivots, index.p_up, index.m, index.dim, index.slack
-    hits = "query_id long, vec_id long, score long"
+    hits = "query long, query_id long, vec_id long, score long"
 
     def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each query with its distance to each pivot, and which is nearest."""
         for batch in batches:
-            x = matrix(batch.column(1).to_pylist(), dim)
+            x = matrix(batch.column(2).to_pylist(), dim)
             d = distances(x, np.zeros(len(x)), pivots, p_up)
             n = len(pivots)
             near = np.zeros(d.shape, dtype=bool)
@@ -181,17 +181,19 @@ def search(index: Index, queries: DataFrame, k: int = K, group: int = QUERY_GROU
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), n)),
+                    pa.array(np.repeat(batch.column(1).to_numpy(zero_copy_only=False), n)),
                     pa.array([v.tobytes() for v in x for _ in range(n)], pa.binary()),
                     pa.array(np.repeat((x * x).sum(axis=1), n)), pa.array(np.tile(np.arange(n, dtype=np.int32), len(x))),
                     pa.array(d.ravel()), pa.array(near.ravel()),
                 ],
-                ["query_id", "q", "square", "pivot", "d", "near"],
+                ["query", "query_id", "q", "square", "pivot", "d", "near"],
             )
 
+    # Each row has a number of its own, fixed once written: ids may repeat.
     spread_out = staged(
-        queries.select(F.col("vec_id").cast("long").alias("vec_id"), "x").mapInArrow(
-            spread, "query_id long, q binary, square double, pivot int, d double, near boolean"
-        ),
+        queries.select(
+            F.monotonically_increasing_id().alias("query"), F.col("vec_id").cast("long").alias("vec_id"), "x"
+        ).mapInArrow(spread, "query long, query_id long, q binary, square double, pivot int, d double, near boolean"),
         "query-pivots",
     )
     annuli = index.annuli
@@ -199,8 +201,8 @@ def search(index: Index, queries: DataFrame, k: int = K, group: int = QUERY_GROU
     gap = F.greatest(F.col("low") - F.col("d"), F.col("d") - F.col("high"), F.lit(0.0))
 
     def scored(pairs: DataFrame) -> DataFrame:
-        """pairs: annulus, query_id, q, floor (least score that matters). The k best of each pair."""
-        spread_groups = pairs.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(groups)))
+        """pairs: annulus, query, query_id, q, floor (least score that matters). The k best of each pair."""
+        spread_groups = pairs.withColumn("part", F.pmod(F.xxhash64("query"), F.lit(groups)))
         wanted = spread_groups.select(F.col("annulus").alias("c_annulus"), F.col("part").alias("c_part")).distinct()
         copies = annuli.select(F.col("annulus").alias("c_annulus"), "ids", "vectors").join(wanted, "c_annulus")
 
@@ -216,8 +218,15 @@ def search(index: Index, queries: DataFrame, k: int = K, group: int = QUERY_GROU
                     i, c = best_of(q_ids, scores, ids, k)
                     got = scores[i, c]
                     ok = got >= part["floor"].to_numpy()[i]
-                    out.append(pd.DataFrame({"query_id": q_ids[i[ok]], "vec_id": ids[c[ok]], "score": got[ok].astype(np.int64)}))
-            return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype=np.int64)
+                    out.append(
+                        pd.DataFrame(
+                            {
+                                "query": part["query"].to_numpy(dtype=np.int64)[i[ok]], "query_id": q_ids[i[ok]],
+                                "vec_id": ids[c[ok]], "score": got[ok].astype(np.int64),
+                            }
+                        )
+                    )
+            return pd.concat(out) if out else pd.DataFrame({"query": [], "query_id": [], "vec_id": [], "score": []}, dtype=np.int64)
 
         asking = spread_groups.groupBy("annulus", "part")
         return asking.cogroup(copies.groupBy("c_annulus", "c_part")).applyInPandas(run, hits)
@@ -226,21 +235,21 @@ def search(index: Index, queries: DataFrame, k: int = K, group: int = QUERY_GROU
     # First: the annulus of the nearest pivot closest to the query's own distance.
     home = (
         spread_out.filter("near").join(places, F.col("pivot") == F.col("a_pivot"))
-        .groupBy("query_id", "q", "square").agg(F.min(F.struct(gap.alias("gap"), "annulus"))["annulus"].alias("annulus"))
+        .groupBy("query", "query_id", "q", "square").agg(F.min(F.struct(gap.alias("gap"), "annulus"))["annulus"].alias("annulus"))
         .withColumn("floor", F.lit(float("-inf")))
     )
     first = staged(scored(home), "first-hits")
-    kth = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list("score"), False).alias("s"))
-    bound = kth.select("query_id", F.when(F.col("n") >= k, F.element_at("s", k).cast("double")).alias("bound"))
+    kth = first.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list("score"), False).alias("s"))
+    bound = kth.select("query", F.when(F.col("n") >= k, F.element_at("s", k).cast("double")).alias("bound"))
     reach = F.sqrt(F.greatest(F.col("square") + m - 2 * F.col("bound"), F.lit(0.0))) + slack
     pairs = (
-        spread_out.join(bound, "query_id", "left")
+        spread_out.join(bound, "query", "left")
         .join(places, F.col("pivot") == F.col("a_pivot"))
         .filter(F.col("bound").isNull() | (gap <= reach))
-        .select("annulus", "query_id", "q", F.coalesce("bound", F.lit(float("-inf"))).alias("floor"))
+        .select("annulus", "query", "query_id", "q", F.coalesce("bound", F.lit(float("-inf"))).alias("floor"))
     )
     all_hits = scored(pairs)
-    order = W.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id").asc())
+    order = W.partitionBy("query").orderBy(F.col("score").desc(), F.col("vec_id").asc())
     return (
         all_hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")

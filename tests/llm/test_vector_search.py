@@ -37,6 +37,26 @@ def test_search_matches_brute_force(spark, seed, block):
     assert searched(spark, rows, 8, block=block) == brute(rows, queries, 8)
 
 
+def brute_rows(rows, picked, k):
+    """Each row of picked is a query of its own; ids may repeat."""
+    out = []
+    for q, qx in picked:
+        found = sorted((-sum(a * b for a, b in zip(qx, x)), i) for i, x in rows if i != q)[:k]
+        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(found)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("block", [4, 16, 1000])
+def test_repeated_rows_as_queries(spark, block):
+    rng = np.random.default_rng(block)
+    rows = [(i, rng.integers(-40, 41, 4).tolist()) for i in range(80)]
+    rows += [rows[5], rows[10], rows[10]]  # the same row twice and three times
+    rows += [(15, rng.integers(-40, 41, 4).tolist()), (20, [-v for v in rows[20][1]])]  # other vectors under one id
+    rows += [rows[7]] * 3  # a candidate several times
+    picked = [r for r in rows if r[0] % 5 == 0]
+    assert searched(spark, rows, 8, block=block) == brute_rows(rows, picked, 8)
+
+
 def test_few_candidates_and_none(spark):
     rows = [(0, [1, 2]), (5, [3, 4]), (7, [-1, 0])]
     assert searched(spark, rows, 20) == brute(rows, {0, 5}, 20)
