@@ -13,7 +13,15 @@ the shuffle; a hot host is one row of its table.
 
 The trigram model is fitted on at most ``most_labelled`` labelled rows per language, chosen by a hash of the id.
 
-A row is rejected when its text holds no letter, or when the best language's posterior is below ``least``.
+The fitted languages are not all there is: the text is also scored as none of them, its trigrams being then letters in
+no order (each by its frequency in the fitted texts) or, as likely, any trigram alike. That model leans on what was
+fitted as far as the languages do: few labelled texts leave it, like them, near to all trigrams alike. With a prior of
+``NONE`` it is held against the language that fits the text best, by a third of the difference of log-likelihoods, as
+each byte is in three trigrams. A declaration or an address does not enter this: it tells which language, not whether
+there is one.
+
+A row is rejected when its text holds no letter, when its text is more likely none of the languages, or when the best
+language's posterior (among the fitted ones) is below ``least``.
 
 Rows: null and empty texts have no letters; a null or unknown declaration and a null host are values of their own (the
 prior of a null host is that of its suffix, the null one); repeated rows are judged one by one; an empty table gives
@@ -22,6 +30,7 @@ no row; extra columns stay, also those named like the added ones unless they wou
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -34,21 +43,26 @@ from pyspark.sql import functions as F
 from keelson.llm.common import expect_long_texts, staged, text_chunks, worker_cache
 
 BUCKET_BITS = 16
+CELL_BITS = BUCKET_BITS + 1
 MOST_LABELLED = 300
 SMOOTH = 0.5
 HOST_WEIGHT = 20.0
 SUFFIX_WEIGHT = 50.0
 LEAST = 0.5
+NONE = 0.01
 CHUNK = 1 << 19
 BROADCAST_BYTES = 16 << 20
 
 
 @dataclass(frozen=True)
 class TextModel:
-    """languages in order; log P(trigram bucket | language), one row per bucket."""
+    """languages in order; log P(trigram bucket | language), one row per bucket; P(byte) in trigrams of all languages;
+    share of P(trigram | none) that comes from the bytes, the rest is the same for all."""
 
     languages: tuple[str, ...]
     logs: np.ndarray
+    symbols: np.ndarray
+    leaning: float
 
 
 # Letters in lower case; all that is not a letter is a blank. Bytes above 7F belong to letters beyond ASCII.
@@ -58,8 +72,8 @@ FOLD[97:123] = np.arange(97, 123)
 FOLD[65:91] = np.arange(97, 123)
 
 
-def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bucket of each trigram, its text, letters per text); a blank stands before and after each text."""
+def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bucket of each trigram, its text, letters per text, its three bytes); a blank stands before and after each text."""
     joined = b" " + b"  ".join(texts) + b" "
     data = FOLD[np.frombuffer(joined, dtype=np.uint8)]
     size = np.array([len(t) for t in texts], dtype=np.int64) + 2
@@ -70,7 +84,7 @@ def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     code = (code * np.uint32(0x27D4EB2F)) >> np.uint32(32 - BUCKET_BITS)
     # Trigrams around a letter, within one text.
     at = np.flatnonzero(letter[1:-1] & (doc[:-2] == doc[2:]))
-    return code[at], doc[at], letters
+    return code[at], doc[at], letters, np.stack([data[at], data[at + 1], data[at + 2]]).astype(np.uint8)
 
 
 def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, most_labelled: int = MOST_LABELLED) -> TextModel:
@@ -94,12 +108,14 @@ def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, most_labelle
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, texts in text_chunks(batches, ["lang"], "text", CHUNK):
-            bucket, doc, _ = grams(texts)
+            bucket, doc, _, three = grams(texts)
             langs = sorted({k for (k,) in keys})
-            place = np.array([langs.index(k) for (k,) in keys])
-            cell, n = np.unique(place[doc].astype(np.int64) << BUCKET_BITS | bucket, return_counts=True)
+            place = np.array([langs.index(k) for (k,) in keys], dtype=np.int64)[doc] << CELL_BITS
+            # Bytes are counted in the cells behind the buckets.
+            cells = [place | bucket, *[place | 1 << BUCKET_BITS | b for b in three]]
+            cell, n = np.unique(np.concatenate(cells), return_counts=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([langs[c >> BUCKET_BITS] for c in cell.tolist()]), pa.array(cell & ((1 << BUCKET_BITS) - 1)), pa.array(n)],
+                [pa.array([langs[c >> CELL_BITS] for c in cell.tolist()], pa.string()), pa.array(cell & ((1 << CELL_BITS) - 1)), pa.array(n)],
                 ["lang", "bucket", "n"],
             )
 
@@ -107,19 +123,26 @@ def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, most_labelle
     got = counted.collect()
     languages = tuple(sorted({r.lang for r in got}))
     table = np.full((1 << BUCKET_BITS, max(len(languages), 1)), SMOOTH)
+    symbols = np.zeros(256)
     for r in got:
-        table[r.bucket, languages.index(r.lang)] += r.n
-    return TextModel(languages, np.log(table / table.sum(axis=0)).astype(np.float32))
+        if r.bucket < len(table):
+            table[r.bucket, languages.index(r.lang)] += r.n
+        else:
+            symbols[r.bucket - len(table)] += r.n
+    total = table.sum(axis=0)
+    # What the counts weigh against SMOOTH in a language's table; half of it are bytes in no order.
+    leaning = float(np.mean(1 - SMOOTH * len(table) / total)) / 2
+    return TextModel(languages, np.log(table / total).astype(np.float32), symbols / max(symbols.sum(), 1.0), leaning)
 
 
 def text_evidence(text: Column, model: TextModel) -> Column:
-    """Scaled log-likelihood by language; null for a text without letters."""
-    table = active_context().broadcast(model.logs)
+    """Scaled log-likelihood by language, and behind what the best has over none of them; null for a text without letters."""
+    table = active_context().broadcast((model.logs, model.symbols, model.leaning))
 
     @F.pandas_udf("array<double>")
     def evidence(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         worker_cache("language")
-        logs = table.value
+        logs, symbols, leaning = table.value
         for part in parts:
             out: list = []
             texts: list[bytes] = []
@@ -128,20 +151,27 @@ def text_evidence(text: Column, model: TextModel) -> Column:
                 texts.append((text or "").encode())
                 held += len(texts[-1])
                 if held >= CHUNK:
-                    out.extend(scores(texts, logs))
+                    out.extend(scores(texts, logs, symbols, leaning))
                     texts, held = [], 0
             if texts:
-                out.extend(scores(texts, logs))
+                out.extend(scores(texts, logs, symbols, leaning))
             yield pd.Series(out, index=part.index, dtype=object)
 
     return evidence(text)
 
 
-def scores(texts: list[bytes], logs: np.ndarray) -> list:
-    bucket, doc, letters = grams(texts)
+def scores(texts: list[bytes], logs: np.ndarray, symbols: np.ndarray | None = None, leaning: float = 0.0) -> list:
+    """By language; with symbols, one more: a third of what the best language has over none."""
+    bucket, doc, letters, three = grams(texts)
     n = np.bincount(doc, minlength=len(texts))
-    total = np.stack([np.bincount(doc, logs[bucket, i], minlength=len(texts)) for i in range(logs.shape[1])], axis=1)
+    total = [np.bincount(doc, logs[bucket, i], minlength=len(texts)) for i in range(logs.shape[1])]
+    total = np.stack(total, axis=1)
     scaled = total / np.sqrt(np.maximum(n, 1))[:, None]
+    if symbols is not None:
+        unordered = symbols[three[0]] * symbols[three[1]] * symbols[three[2]]
+        none = np.log(leaning * unordered + (1 - leaning) / (1 << BUCKET_BITS))
+        over = total.max(axis=1) - np.bincount(doc, none, minlength=len(texts))
+        scaled = np.column_stack([scaled, over / 3])
     return [s if has else None for s, has in zip(scaled, letters > 0, strict=True)]
 
 
@@ -181,11 +211,14 @@ def identify(
     langs = range(len(model.languages))
     held = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-        text_evidence(text, model).alias("seen"),
+        text_evidence(text, model).alias("scored"),
         F.lower(declared.cast("string")).alias("declared"),
         host.cast("string").alias("host"),
         (suffix if suffix is not None else suffix_of(host.cast("string"))).alias("suffix"),
     )
+    held = held.withColumn("seen", F.slice("scored", 1, len(model.languages))).withColumn(
+        "over_none", F.get("scored", F.lit(len(model.languages)))
+    ).drop("scored")
     soft = held.filter("seen is not null").select("declared", "host", "suffix", softmax(F.col("seen")).alias("p"))
     sums = [F.sum(F.element_at("p", i + 1)).alias(f"p{i}") for i in langs]
     counted = staged(soft.groupBy("declared", "host", "suffix").agg(*sums), "language-counts")
@@ -230,12 +263,13 @@ def identify(
         .withColumn("lang_confidence", F.coalesce(F.array_max("posterior"), F.lit(0.0)))
     )
     names = F.array(*[F.lit(x) for x in model.languages])
+    told = F.col("over_none") >= math.log(NONE / (1 - NONE))
     best = F.array_position("posterior", F.array_max("posterior")).cast("int")
     return fused.select(
         "row.*",
         F.when(F.col("posterior").isNotNull(), F.element_at(names, best)).alias("lang_id"),
         "lang_confidence",
-        (F.col("lang_confidence") >= least).alias("lang_kept"),
+        ((F.col("lang_confidence") >= least) & F.coalesce(told, F.lit(False))).alias("lang_kept"),
     )
 
 

@@ -79,6 +79,37 @@ def test_held_out_accuracy(spark):
     assert sum(r.lang == r.lang_id for r in rows) >= 0.95 * len(rows)
 
 
+NO_LANGUAGE = {
+    "russian": "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью",
+    "chinese": "人人生而自由,在尊严和权利上一律平等。他们赋有理性和良心,并应以兄弟关系的精神相对待。",
+    "polish": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem",
+    "consonants": "xkcdq wrtplm zzvbn qpwrtk sdfghj klmnbv cxzqw rtpsd fghjkl mnbvcx zqwrt plkjhg fdsqm nbvcxz wqrtp",
+    "base64": "SGVsbG8gd29ybGQhIFRoaXMgaXMgYSB0ZXN0IG9mIGJhc2U2NCBlbmNvZGluZyB3aXRoIHNvbWUgbW9yZSBieXRlcw==",
+}
+
+
+@pytest.mark.parametrize("declared", ["en", None])
+def test_texts_of_no_fitted_language_are_rejected(spark, declared):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text", "lang", "source")
+    alien = [(-1 - i, text, declared, "src1") for i, text in enumerate(NO_LANGUAGE.values())]
+    model = li.fit(docs, "doc_id", "text", "lang")
+    rows = docs.union(spark.createDataFrame(alien, docs.schema))
+    found = li.identify(rows, model, F.col("text"), F.col("lang"), F.col("source")).collect()
+    kept = {r.doc_id: r.lang_kept for r in found}
+    assert [name for i, name in enumerate(NO_LANGUAGE) if kept[-1 - i]] == []
+    assert all(kept[r.doc_id] for r in found if r.doc_id >= 0 and len((r.text or "").split()) < 20 and any(c.isalpha() for c in r.text or ""))
+    assert sum(kept[r.doc_id] for r in found if r.doc_id >= 0) >= 0.98 * docs.count()
+
+
+def test_short_held_out_texts_stay(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(3))
+    model = li.fit(docs.filter(fold != 0), "doc_id", "text", "lang")
+    cut = docs.filter(fold == 0).withColumn("text", F.substring("text", 1, 40))
+    rows = li.identify(cut, model, F.col("text"), F.lit(None), F.lit(None).cast("string")).select("lang_kept").collect()
+    assert sum(r.lang_kept for r in rows) >= 0.98 * len(rows)
+
+
 def test_query_keeps_documents_with_text(spark):
     rows = op5_language_id(spark, SF001).collect()
     docs = {r.doc_id: r for r in rows if r.doc_id is not None}
