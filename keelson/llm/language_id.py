@@ -94,8 +94,9 @@ def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, most_labelle
     )
     # The most_labelled least hashes of each language: kept as a bounded set while partitions are merged.
     sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    # A hash threshold twice as wide as needed bounds what is put in order.
-    near = known.join(F.broadcast(sizes.limit(1000)), "lang").filter(
+    # A hash threshold twice as wide as needed bounds what is put in order. Every language is fitted, however many: its
+    # row here is small against its column of the model, which goes to every task too.
+    near = known.join(F.broadcast(sizes), "lang").filter(
         (F.col("h").cast("double") + 2.0**63) / 2.0**64 <= 2.0 * most_labelled / F.col("n") + 1e-9
     )
     least = (
@@ -122,17 +123,26 @@ def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, most_labelle
     counted = rows.mapInArrow(run, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     got = counted.collect()
     languages = tuple(sorted({r.lang for r in got}))
-    table = np.full((1 << BUCKET_BITS, max(len(languages), 1)), SMOOTH)
+    buckets = 1 << BUCKET_BITS
+    own: dict[str, list] = {lang: [] for lang in languages}
     symbols = np.zeros(256)
     for r in got:
-        if r.bucket < len(table):
-            table[r.bucket, languages.index(r.lang)] += r.n
+        if r.bucket < buckets:
+            own[r.lang].append((r.bucket, r.n))
         else:
-            symbols[r.bucket - len(table)] += r.n
-    total = table.sum(axis=0)
-    # What the counts weigh against SMOOTH in a language's table; half of it are bytes in no order.
-    leaning = float(np.mean(1 - SMOOTH * len(table) / total)) / 2
-    return TextModel(languages, np.log(table / total).astype(np.float32), symbols / max(symbols.sum(), 1.0), leaning)
+            symbols[r.bucket - buckets] += r.n
+    # One language at a time in full width: what stays is 4 bytes a bucket and language.
+    logs = np.full((buckets, max(len(languages), 1)), -math.log(buckets), dtype=np.float32)
+    weights = []
+    for i, lang in enumerate(languages):
+        column = np.full(buckets, SMOOTH)
+        at, n = np.array(own.pop(lang)).T
+        column[at] += n
+        logs[:, i] = np.log(column / column.sum())
+        weights.append(1 - SMOOTH * buckets / column.sum())
+    # What the counts weigh against SMOOTH in a language's column; half of it are bytes in no order.
+    leaning = float(np.mean(weights)) / 2 if weights else 0.0
+    return TextModel(languages, logs, symbols / max(symbols.sum(), 1.0), leaning)
 
 
 def text_evidence(text: Column, model: TextModel) -> Column:

@@ -101,6 +101,13 @@ def test_texts_of_no_fitted_language_are_rejected(spark, declared):
     assert sum(kept[r.doc_id] for r in found if r.doc_id >= 0) >= 0.98 * docs.count()
 
 
+def test_every_language_is_fitted(spark):
+    """Dirty tags do not push languages out."""
+    docs = spark.range(1010).selectExpr("id as doc_id", "concat('text ', id) as text", "concat('tag', id) as lang")
+    model = li.fit(docs, "doc_id", "text", "lang")
+    assert model.languages == tuple(sorted(f"tag{i}" for i in range(1010)))
+
+
 def test_short_held_out_texts_stay(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(3))
