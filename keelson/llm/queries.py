@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import chat, language_id, line_quality, mixing, packing, simhash, suffix_dedup, token_counts
-from keelson.llm import url_rules, vector_search
+from keelson.llm import chat, hard_negatives, language_id, line_quality, minhash, mixing, packing, prefix_trie, simhash
+from keelson.llm import suffix_dedup, token_counts, url_rules, vector_search
 from keelson.llm.common import table
 
 PACKING_TOKENIZER = "word_bpe_49k.json"
@@ -102,6 +102,21 @@ def op10_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_search.search(vector_search.build(vectors), vectors.filter("vec_id % 20 = 0"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = embeddings.select("vec_id", moved.alias("label"), hard_negatives.whole(F.col("embedding")).alias("x"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -112,7 +127,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_packing, op2_suffix_dedup, op3_line_quality, op4_mixing, op5_language_id, op6_token_counts, op7_simhash,
-        op8_chat_format, op9_url_rules, op10_vector_search, pipeline,
+        op8_chat_format, op9_url_rules, op10_vector_search, op11_prefix_trie, op12_hard_negatives, op13_minhash, pipeline,
     )
 }
 
@@ -157,6 +172,95 @@ ORACLE_SQL = {
             FROM scored
         )
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20""",
+    # CRC-32 bit by bit; a node is its list of turns, and its subtree all nodes whose list begins with it.
+    "op11_prefix_trie": """
+        WITH turns AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS j
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), names AS (
+            SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS s FROM turns
+        ), bits AS (
+            SELECT conv_id, list_transform(range(8 * length(s)),
+                                           lambda i: (ascii(s[i // 8 + 1]) >> CAST(i % 8 AS INTEGER)) & 1) AS bits FROM names
+        ), families AS (
+            SELECT conv_id, conv_id - conv_id % 20 AS giver,
+                   xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(bits, lambda b: CAST(b AS BIGINT))),
+                                   lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295) % 4 AS h
+            FROM bits
+        ), steps AS (
+            SELECT f.conv_id, 0 AS kind, j, role, text FROM families f JOIN turns t ON t.conv_id = f.giver AND j <= h
+            UNION ALL
+            SELECT f.conv_id, 1, j, role, text FROM families f JOIN turns t ON t.conv_id = f.conv_id AND j > h
+        ), rows AS (
+            SELECT conv_id, row_number() OVER w AS depth, list(md5(role) || md5(text)) OVER w AS path,
+                   len(regexp_extract_all(text, '[^ \\t\\n\\x0B\\f\\r]+')) AS words
+            FROM steps WINDOW w AS (PARTITION BY conv_id ORDER BY kind, j)
+            UNION ALL SELECT conv_id, 0, [], 0 FROM families
+        ), lengths AS (SELECT conv_id, max(depth) AS n FROM rows GROUP BY conv_id
+        ), nodes AS (
+            SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(words) AS saved,
+                   sha256(coalesce(string_agg(CASE WHEN depth = n THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), ''))
+                       AS ends_sha256
+            FROM rows JOIN lengths USING (conv_id) GROUP BY path, depth
+        ), edges AS (
+            SELECT c.path, p.path AS parent, p.conv_id AS parent_conv_id
+            FROM nodes c JOIN nodes p ON c.depth = p.depth + 1 AND c.path[1:p.depth] = p.path
+        ), children AS (SELECT parent AS path, count(*) AS n_children FROM edges GROUP BY parent
+        ), own AS (
+            SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (path)
+        ), below AS (
+            SELECT path[1:a] AS path, CAST(sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves,
+                   CAST(sum(saved) AS BIGINT) AS saved_tokens
+            FROM (SELECT *, unnest(range(0, depth + 1)) AS a FROM own) GROUP BY 1
+        )
+        SELECT own.conv_id, own.depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+        FROM own JOIN below USING (path) LEFT JOIN edges USING (path)""",
+    "op12_hard_negatives": """
+        WITH vectors AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), parts AS (
+            SELECT vec_id, label, unnest(x) AS v, unnest(range(len(x))) AS i FROM vectors
+        ), scored AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS alike, CAST(sum(a.v * c.v) AS BIGINT) AS score
+            FROM parts a JOIN parts c ON a.i = c.i AND a.vec_id <> c.vec_id
+            WHERE a.vec_id % 100 = 0 GROUP BY a.vec_id, c.vec_id, a.label, c.label
+        ), firsts AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE alike
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT f.anchor_id, positive_id,
+               CAST(row_number() OVER (PARTITION BY f.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+               vec_id AS negative_id, positive_score, score AS negative_score
+        FROM firsts f JOIN scored s ON s.anchor_id = f.anchor_id AND NOT alike
+             AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+        QUALIFY row_number() OVER (PARTITION BY f.anchor_id, positive_id ORDER BY score DESC, vec_id) <= 5""",
+    # Every pair of sets that share a shingle, counted; components by reachability.
+    "op13_minhash": """
+        WITH words AS (
+            SELECT doc_id, regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^ \\t\\n\\x0B\\f\\r]+') AS w
+            FROM documents
+        ), sets AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN w
+                                ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s
+            FROM words
+        ), members AS (SELECT doc_id, len(s) AS n, unnest(s) AS m FROM sets
+        ), links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM members a JOIN members b ON a.m = b.m AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+        ), reach AS (
+            WITH RECURSIVE r AS (
+                SELECT doc_id, doc_id AS other FROM sets UNION SELECT r.doc_id, l.b FROM r JOIN links l ON l.a = r.other
+            ) SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id
+        )
+        SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, component_id, s.doc_id = component_id AS kept
+        FROM sets s JOIN reach USING (doc_id)""",
 }
 
 

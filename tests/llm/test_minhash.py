@@ -1,0 +1,112 @@
+import random
+
+import numpy as np
+import pytest
+
+from keelson.llm import minhash as mh
+
+
+def shingles(text):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").encode().split()
+    if len(words) < 2:
+        return {tuple(words)} if words else set()
+    return {(a, b) for a, b in zip(words, words[1:])}
+
+
+def brute(rows):
+    sets = [shingles(t) for _, t in rows]
+    top = list(range(len(rows)))
+
+    def root(i):
+        while top[i] != i:
+            i = top[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                top[root(i)] = root(j)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            least[root(i)] = min(least.get(root(i), d), d)
+    key = lambda r: tuple((x is None, x) for x in r)
+    return sorted(((d, len(s), least.get(root(i)), d == least.get(root(i))) for i, ((d, _), s) in enumerate(zip(rows, sets))), key=key)
+
+
+def found(spark, rows, ddl="doc_id long, text string"):
+    got = mh.near_duplicates(spark.createDataFrame(rows, ddl).repartition(3)).collect()
+    key = lambda r: tuple((x is None, x) for x in r)
+    return sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got), key=key)
+
+
+def edited(rng, words, edits):
+    words = list(words)
+    for _ in range(edits):
+        words[rng.randrange(len(words))] = f"e{rng.randrange(10**6)}"
+    return words
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_components_match_brute_force(spark, seed):
+    rng = random.Random(seed)
+    rows = []
+    for family in range(12):
+        base = [f"w{rng.randrange(3000)}" for _ in range(rng.choice([3, 12, 60, 200]))]
+        for _ in range(rng.randint(1, 9)):
+            rows.append(" ".join(edited(rng, base, rng.randint(0, max(1, len(base) // 18)))))
+    chain = [f"c{i}" for i in range(60)]
+    for i in range(20):  # each link of the chain is near the next alone
+        rows.append(" ".join(chain[i * 3 : i * 3 + 60] + [f"d{j}" for j in range(i * 3)]))
+    rows += ["", None, " \n", "one", "ONE", "one two", "One  two", "two one"] + [rows[0]] * 30
+    rng.shuffle(rows)
+    rows = list(zip(range(len(rows)), rows))
+    assert found(spark, rows) == brute(rows)
+
+
+def test_large_group_of_near_copies_and_shared_passage(spark):
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(120)]
+    rows = [" ".join(edited(rng, base, rng.randint(0, 4))) for _ in range(150)]
+    passage = [f"p{i}" for i in range(40)]  # common to all of these, which are no copies
+    rows += [" ".join([*passage, *[f"q{rng.randrange(10**6)}" for _ in range(15)]]) for _ in range(80)]
+    rows = list(zip(range(len(rows)), rows))
+    assert found(spark, rows) == brute(rows)
+
+
+def test_every_pair_of_a_bucket_is_compared_or_connected(spark):
+    """All sets in one bucket, similar only as a matching far from the leaders."""
+    from pyspark.sql import functions as F
+
+    n = 40
+    entries = spark.createDataFrame([(1, s) for s in range(n)], "key long, set long")
+    members = spark.createDataFrame([(s, [(s % 20) * 1000 + i for i in range(10)]) for s in range(n)], "set long, hashes array<long>")
+    got = {(r.node, r.root) for r in mh.links(entries, members, leaders=3).filter(F.col("node") != F.col("root")).collect()}
+    assert got == {(s + 20, s) for s in range(20)}
+
+
+def test_null_and_repeated_ids_extra_columns_and_empty(spark):
+    rows = [(None, "a b c"), (None, "a b c"), (5, "a b c"), (5, "x y"), (5, ""), (None, None), (6, "x  Y")]
+    got = found(spark, [(d, t, 1, 2, 3) for d, t in rows], "doc_id long, text string, `set` int, n int, key int")
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert got == sorted(
+        [(None, 2, 5, False), (None, 2, 5, False), (5, 2, 5, True), (5, 1, 5, True), (5, 0, 5, True), (None, 0, None, True), (6, 1, 5, False)],
+        key=key,
+    )
+    assert found(spark, []) == []
+
+
+def test_long_text(spark):
+    text = " ".join(f"w{i % 70_000}" for i in range(150_000))
+    assert found(spark, [(1, text), (2, text + " end"), (3, "short")]) == [(1, 70_000, 1, True), (2, 70_001, 1, False), (3, 1, 3, True)]
+
+
+def test_tables_are_left_and_right_pairs():
+    rng = np.random.default_rng(1)
+    hashes = np.unique(rng.integers(0, 2**64, 500, dtype=np.uint64))
+    near = np.unique(np.concatenate([hashes[25:], rng.integers(0, 2**64, 25, dtype=np.uint64)]))
+    a, b = (np.frombuffer(mh.signature(h), dtype=np.uint64)[None, :] for h in (hashes, near))
+    same = (mh.table_keys(a) == mh.table_keys(b)).reshape(mh.LEFT, mh.RIGHT)
+    equal = (a == b).ravel()
+    assert (same == equal[: mh.LEFT, None] & equal[None, mh.LEFT :]).all() and same.any()
