@@ -16,8 +16,12 @@ agree, so a pair of similarity s is missed with probability 1 - (1 - (1 - s^2)^1
 3. Rounds: in every bucket the first sets are leaders; a leader meets the bucket's later sets that are not yet in its
    component; new pairs are confirmed on the full sets and the components updated. Leaders have met everyone and leave.
    A bucket is done when its sets are in one component. Rounds take 1, then 8, then 64 ... leaders a bucket, so a large
-   group of near copies costs about one comparison a set, and still every pair that shares a table is either compared
-   or already connected. Nothing is capped.
+   group of near copies costs about one comparison a set.
+4. After ROUNDS rounds the sets of buckets not done (many texts around one passage, which are no copies) are dealt anew
+   by the rarest of their own shingles, so many of them that similar sets share one, and the rounds go on there; pairs
+   whose parity maps differ in more bins than similar sets can differ in members are not compared. So every pair that
+   shares a table is compared, already connected, or proven not to be similar. Nothing is capped: rounds end when no
+   bucket holds two components that could still meet.
 
 Rows: null, empty and blank texts have an empty set and are linked with nothing; rows with the same or null ids are
 separate rows (a component's id is its least id, null if it has none); an empty table gives no row; extra columns are
@@ -44,14 +48,22 @@ LEFT, LEFT_WIDTH = 10, 2
 RIGHT, RIGHT_WIDTH = 14, 3
 HASHES = LEFT * LEFT_WIDTH + RIGHT * RIGHT_WIDTH
 LEADERS = 8
+ROUNDS = 1
+#: Longs of a set's parity map.
+PARITY = 16
 #: Ids of documents to be read again are broadcast up to this many, joined otherwise.
 BROADCAST_IDS = 1 << 20
 PRINTS = pa.schema(
     [("doc_id", pa.int64()), ("n", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()), ("signature", pa.binary())]
 )
 PRINTS_DDL = "doc_id long, n long, f1 long, f2 long, signature binary"
-SETS = pa.schema([("doc_id", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()), ("hashes", pa.list_(pa.int64()))])
-SETS_DDL = "doc_id long, f1 long, f2 long, hashes array<long>"
+SETS = pa.schema(
+    [
+        ("doc_id", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()), ("hashes", pa.list_(pa.int64())),
+        ("parity", pa.list_(pa.int64())),
+    ]
+)
+SETS_DDL = "doc_id long, f1 long, f2 long, hashes array<long>, parity array<long>"
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -115,6 +127,16 @@ def table_keys(signatures: np.ndarray) -> np.ndarray:
     return mixed(both + number).reshape(len(signatures), -1)
 
 
+def parity_map(hashes: np.ndarray) -> np.ndarray:
+    """For each of 64 * PARITY bins the parity of the members in it.
+
+    A member of only one of two sets changes one bin's parity, so the maps differ in no more bins than the sets do in
+    members: more differing bins than similar sets may have prove that two sets are not similar.
+    """
+    counts = np.bincount((hashes % np.uint64(64 * PARITY)).astype(np.int64), minlength=64 * PARITY)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view("<i8")
+
+
 def narrowed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"cast(`{text_col}` as string) as text")
 
@@ -145,7 +167,8 @@ def full_sets(docs: DataFrame, shingle: int) -> DataFrame:
             out: dict[str, list] = {f.name: [] for f in SETS}
             for (doc_id,), text in zip(keys, texts, strict=True):
                 hashes = shingle_set(text, shingle)
-                for f, v in zip(SETS, (doc_id, *set_print(hashes), hashes.astype(np.int64)), strict=True):
+                row = (doc_id, *set_print(hashes), hashes.astype(np.int64), parity_map(hashes))
+                for f, v in zip(SETS, row, strict=True):
                     out[f.name].append(v)
             yield arrow_rows(out, SETS)
 
@@ -207,40 +230,103 @@ def similar(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def links(entries: DataFrame, members: DataFrame, percent: int = PERCENT, leaders: int = LEADERS) -> DataFrame:
-    """(node, root) of the components that the similar pairs of each bucket form."""
-    live, known, width, done = entries, None, 1, None
-    while True:
-        if known is None:
+def prefix_entries(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """(key, set, size, lead, parity...): each set under the rarest of its shingles; similar sets meet under one of them.
+
+    Two similar sets of n <= m members have o = t / (1 + t) * (n + m) in common at least (t: the similarity), so o >= t * m
+    and o >= 2 t / (1 + t) * n. In any one order of all shingles their first common one is then among the first
+    m - o + 1 of the larger set and the first n - o + 1 of the smaller; under the latter, a set may lead. The order is
+    rarest first, so a passage that many sets share is seldom a key, and hardly ever one that a set leads under.
+    """
+    members = members.join(sets, "set", "left_semi")
+    held = members.select("set", F.size("hashes").alias("size"), F.explode("hashes").alias("key"))
+    often = held.groupBy("key").agg(F.count(F.lit(1)).alias("often"))
+    place = F.row_number().over(W.partitionBy("set").orderBy("often", "key"))
+    n = F.col("size").cast("long")
+    # Whole numbers: n - ceil(a / b) is floor((n * b - a) / b).
+    larger = F.floor((n * 100 - n * percent) / 100) + 1
+    smaller = F.floor((n * (100 + percent) - n * 2 * percent) / (100 + percent)) + 1
+    ranked = held.join(often, "key").withColumn("place", place).filter(F.col("place") <= larger)
+    maps = members.select("set", *[F.col("parity")[i].alias(f"{PARITY_MARK}{i}") for i in range(PARITY)])
+    entries = ranked.filter("often > 1").select("key", "set", n.alias("size"), (F.col("place") <= smaller).alias("lead"))
+    return entries.join(maps, "set").select(*entries.columns, *maps.columns[1:])
+
+
+PARITY_MARK = "parity_"
+
+
+class Links:
+    """Similar pairs found so far: their components, and which pairs have been compared."""
+
+    def __init__(self, members: DataFrame, percent: int, leaders: int):
+        self.members, self.percent, self.leaders = members, percent, leaders
+        self.known: DataFrame | None = None
+        self.compared: DataFrame | None = None
+
+    def rounds(self, entries: DataFrame, most: int | None = None) -> DataFrame | None:
+        """Compare within the buckets of entries until each is in one component, or ``most`` rounds are over.
+
+        entries: key, set, size, lead and perhaps the parity map. In a bucket, sets are in order of (size, set); of those
+        that may lead, the first ones meet all after them, and then what is not after the last of them leaves. Gives the
+        entries left, if any.
+        """
+        live, width, n = entries, 1, 0
+        maps = [c for c in entries.columns if c.startswith(PARITY_MARK)]
+        while True:
             named = live.withColumn("root", F.col("set"))
-        else:
-            named = live.join(known.withColumnRenamed("node", "set"), "set", "left").withColumn(
-                "root", F.coalesce("root", "set")
+            if self.known is not None:
+                roots = self.known.withColumnRenamed("node", "set")
+                named = live.join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
+            apart = named.groupBy("key").agg(
+                F.min("root").alias("low"), F.max("root").alias("high"), F.max("lead").alias("led")
+            ).filter("led and low < high")
+            held = staged(named.join(apart.select("key"), "key", "left_semi"), "minhash-open")
+            if held.isEmpty():
+                return None
+            if n == most:
+                return held.drop("root")
+            place = F.row_number().over(W.partitionBy("key").orderBy("size", "set"))
+            heads = staged(
+                held.filter("lead").withColumn("place", place).filter(F.col("place") <= width)
+                .select("key", "place", *[F.col(c).alias(f"{c}_a") for c in ("set", "size", "root", *maps)]),
+                "minhash-leaders",
             )
-        apart = named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-        open_now = staged(named.join(apart.select("key"), "key", "left_semi"), "minhash-open")
-        if open_now.isEmpty():
-            break
-        place = F.row_number().over(W.partitionBy("key").orderBy("set"))
-        heads = staged(
-            open_now.withColumn("place", place).filter(F.col("place") <= width)
-            .select("key", F.col("set").alias("a"), F.col("root").alias("root_a")),
-            "minhash-leaders",
-        )
-        pairs = (
-            open_now.join(heads, "key").filter("a < set and root <> root_a").select("a", F.col("set").alias("b")).distinct()
-        )
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
+            after = F.struct("size", "set") > F.struct("size_a", "set_a")
+            near = (F.col("size_a") * 100 >= F.col("size") * self.percent) & (F.col("root") != F.col("root_a"))
+            if maps:
+                # percent of the union is what two similar sets have in common at least, the rest is where they differ.
+                differ = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_a"))) for c in maps), F.lit(0))
+                both = F.col("size") + F.col("size_a")
+                near &= differ * (100 + self.percent) <= both * (100 - self.percent)
+            met = held.join(heads, "key").filter(after & near)
+            self.compare(met.select(F.least("set_a", "set").alias("a"), F.greatest("set_a", "set").alias("b")))
+            last = heads.filter(F.col("place") == width).select("key", "size_a", "set_a")
+            live = held.join(last, "key").filter(after).select(*entries.columns)
+            width, n = width * self.leaders, n + 1
+
+    def compare(self, pairs: DataFrame) -> None:
+        pairs = pairs.distinct()
+        if self.compared is not None:
+            pairs = pairs.join(self.compared, ["a", "b"], "left_anti")
         pairs = staged(pairs, "minhash-pairs")
-        done = pairs if done is None else done.union(pairs)
-        found = similar(pairs, members, percent)
-        if known is not None:
-            found = found.union(known.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        known = components(found)
-        live = open_now.select("key", "set").join(heads.select("key", F.col("a").alias("set")), ["key", "set"], "left_anti")
-        width *= leaders
-    return known if known is not None else entries.select(F.col("set").alias("node"), F.col("set").alias("root")).limit(0)
+        self.compared = pairs if self.compared is None else self.compared.union(pairs)
+        found = similar(pairs, self.members, self.percent)
+        if self.known is not None:
+            found = found.union(self.known.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        self.known = components(found)
+
+
+def links(
+    entries: DataFrame, members: DataFrame, percent: int = PERCENT, leaders: int = LEADERS, rounds: int = ROUNDS
+) -> DataFrame:
+    """(node, root) of the components that the similar pairs of each bucket form."""
+    found = Links(members, percent, leaders)
+    left = found.rounds(entries.select("key", "set", F.lit(0).cast("long").alias("size"), F.lit(True).alias("lead")), rounds)
+    if left is not None:
+        found.rounds(prefix_entries(left.select("set").distinct(), members, percent))
+    if found.known is None:
+        return entries.select(F.col("set").alias("node"), F.col("set").alias("root")).limit(0)
+    return found.known
 
 
 def near_duplicates(
@@ -274,9 +360,9 @@ def is_first(component: Column) -> Column:
 
 
 def members(docs: DataFrame, met: DataFrame, shingle: int) -> DataFrame:
-    """(set, hashes) of the sets of ``met``, read again from one document of each."""
+    """(set, hashes, parity) of the sets of ``met``, read again from one document of each."""
     if ids_tell_rows_apart(docs, "doc_id"):
         ids = met.select(F.col("least").alias("doc_id"))
         docs = docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
     found = full_sets(docs, shingle).join(met.select("set", "f1", "f2"), ["f1", "f2"])
-    return found.select("set", "hashes").dropDuplicates(["set"])
+    return found.select("set", "hashes", "parity").dropDuplicates(["set"])

@@ -75,14 +75,19 @@ def test_large_group_of_near_copies_and_shared_passage(spark):
     assert found(spark, rows) == brute(rows)
 
 
-def test_every_pair_of_a_bucket_is_compared_or_connected(spark):
+@pytest.mark.parametrize("rounds", [0, 1, 20])
+def test_every_pair_of_a_bucket_is_compared_or_connected(spark, rounds):
     """All sets in one bucket, similar only as a matching far from the leaders."""
     from pyspark.sql import functions as F
 
     n = 40
     entries = spark.createDataFrame([(1, s) for s in range(n)], "key long, set long")
-    members = spark.createDataFrame([(s, [(s % 20) * 1000 + i for i in range(10)]) for s in range(n)], "set long, hashes array<long>")
-    got = {(r.node, r.root) for r in mh.links(entries, members, leaders=3).filter(F.col("node") != F.col("root")).collect()}
+    sets = [np.arange(10, dtype=np.uint64) + np.uint64((s % 20) * 1000) for s in range(n)]
+    members = spark.createDataFrame(
+        [(s, [int(h) for h in x], mh.parity_map(x).tolist()) for s, x in enumerate(sets)],
+        "set long, hashes array<long>, parity array<long>",
+    )
+    got = {(r.node, r.root) for r in mh.links(entries, members, leaders=3, rounds=rounds).filter(F.col("node") != F.col("root")).collect()}
     assert got == {(s + 20, s) for s in range(20)}
 
 
@@ -102,6 +107,15 @@ def test_long_text(spark):
     assert found(spark, [(1, text), (2, text + " end"), (3, "short")]) == [(1, 70_000, 1, True), (2, 70_001, 1, False), (3, 1, 3, True)]
 
 
+def test_parity_maps_differ_in_no_more_bins_than_sets_in_members():
+    rng = np.random.default_rng(2)
+    for n in (1, 40, 3000):
+        a = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[n // 7 :], rng.integers(0, 2**64, n // 5, dtype=np.uint64)]))
+        apart = np.bitwise_count((mh.parity_map(a) ^ mh.parity_map(b)).view(np.uint64)).sum()
+        assert apart <= len(np.setxor1d(a, b)) and (n < 40 or apart)
+
+
 def test_tables_are_left_and_right_pairs():
     rng = np.random.default_rng(1)
     hashes = np.unique(rng.integers(0, 2**64, 500, dtype=np.uint64))
