@@ -125,44 +125,73 @@ def sync_catalog_path(
     keys: Sequence[str] = DEFAULT_KEYS,
     scope: Sequence[str] = DEFAULT_SCOPE,
     id_col: str | None = "id",
+    wait: float = 600.0,
 ) -> None:
     """Apply ``sync_catalog`` to a catalog stored as Parquet partitioned by hull.
 
     Only the hull partitions present in ``incoming`` are read and rewritten (a swap that the next sync
     finishes if it is interrupted), other hulls are never touched. Keys must be unique: a file that
     repeats one is refused before anything is written, as is a column the stored catalog lacks. New keys
-    get the next ids; stored keys keep theirs. Only a folder that is not there is a new catalog.
+    get the next ids; stored keys keep theirs. Only a folder that is not there is a new catalog. A sync that
+    finds the catalog changed by another one when it wants to swap computes its change anew.
     """
-    from keelson.operators.upsert import finish_swap, swap_in
+    from keelson.operators.upsert import ATTEMPTS, _claimed, _partition_path, finish_swap, swap_in
     from keelson.session import checkpoint_dir
-    from keelson.sources.storage import delete_path, path_exists, read_stored
+    from keelson.sources.storage import (
+        TableBusy, data_files, declare_schema, declared_schema, delete_path, holds_data, path_exists, read_note, read_stored,
+    )
 
     keys, scope = list(keys), list(scope)
     if len(scope) == 1:
         incoming = normalise_hull(incoming, scope[0])
     incoming = incoming.drop(id_col) if id_col else incoming
-    finish_swap(spark, path, None, scope)
     types = StructType([StructField(c, StringType(), True) for c in scope])
-    existing = read_stored(spark, path, types)
     run = f"{checkpoint_dir(spark)}/keelson-catalog-{uuid.uuid4().hex}"
-    incoming.write.parquet(f"{run}/incoming")
-    rows = spark.read.schema(incoming.schema).parquet(f"{run}/incoming")
-    try:
-        require_unique(rows, keys, "incoming catalog")
-        if existing is None:
-            out = rows if id_col is None else numbered(rows, keys, scope, id_col, F.lit(0))
+    by_hull = [F.col(c) for c in scope]
+
+    def create(rows: DataFrame) -> bool:
+        out = rows if id_col is None else numbered(rows, keys, scope, id_col, F.lit(0))
+        with _claimed(spark, path, None, wait):
+            if holds_data(spark, path):
+                return False
+            declare_schema(spark, path, out.schema)
             mode = "append" if path_exists(spark, path) else "errorifexists"
-            out.hint("rebalance", *[F.col(c) for c in scope]).write.mode(mode).partitionBy(*scope).parquet(path)
-            return
+            out.hint("rebalance", *by_hull).write.mode(mode).partitionBy(*scope).parquet(path)
+        return True
+
+    def change(rows: DataFrame, existing: DataFrame, hulls: list, merged: str) -> bool:
         require_known_columns(existing.columns, rows.columns)
-        touched = existing.join(rows.select(*scope).distinct(), scope, "left_semi")
+        # Ids go on from the largest of all hulls, so any other sync in between counts as a change.
         has_id = id_col is not None and id_col in existing.columns
-        top = int(existing.agg(F.max(id_col)).first()[0] or 0) if has_id else None
-        after = sync_catalog(touched, rows, keys, scope, id_col if has_id else None, top)
-        after.hint("rebalance", *[F.col(c) for c in scope]).write.partitionBy(*scope).parquet(f"{run}/merged")
-        swap_in(spark, f"{run}/merged", path, None, scope)
+        files = lambda: sorted(existing_folders(hulls)) + ([top()] if has_id else [])
+        top = lambda: int(read_stored(spark, path, types).agg(F.max(id_col)).first()[0] or 0)
+        existing_folders = lambda hs: [
+            (str(f), data_files(spark, f)) for f in (f"{path}/{_partition_path(spark, scope, h)}" for h in hs)
+        ]
+        base = files()
+        touched = existing.join(rows.select(*scope).distinct(), scope, "left_semi")
+        after = sync_catalog(touched, rows, keys, scope, id_col if has_id else None, base[-1] if has_id else None)
+        after.hint("rebalance", *by_hull).write.partitionBy(*scope).parquet(merged)
+        declare_schema(spark, merged, after.schema)
+        if declared_schema(spark, path)[1] is None:
+            declare_schema(spark, path, existing.schema)
+        return swap_in(spark, merged, path, None, scope, wait=wait, unchanged=lambda: files() == base)
+
+    try:
+        incoming.write.parquet(f"{run}/incoming")
+        rows = spark.read.schema(incoming.schema).parquet(f"{run}/incoming")
+        require_unique(rows, keys, "incoming catalog")
+        hulls = rows.select(*scope).distinct().collect()  # one row per hull of the files
+        for attempt in range(ATTEMPTS):
+            finish_swap(spark, path, None, scope)
+            existing = read_stored(spark, path, types)
+            if existing is None and create(rows):
+                return
+            if existing is not None and change(rows, existing, hulls, f"{run}/merged-{attempt}"):
+                return
+        raise TableBusy(f"{path} changed during each of {ATTEMPTS} syncs")
     finally:
-        # An interrupted swap still needs its staged copy: the note in the catalog's folder names it.
-        from keelson.sources.storage import read_note
-        if not path_exists(spark, path) or read_note(spark, path) is None:
+        # An interrupted swap still needs its staged copy: the note beside the catalog's folder names it.
+        note = read_note(spark, path)
+        if not (note and (note["staged"] or "").startswith(run)):
             delete_path(spark, run)

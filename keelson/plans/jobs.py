@@ -12,7 +12,8 @@ from __future__ import annotations
 import logging
 from typing import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType, IntegerType, StructField, StructType, TimestampNTZType
 
@@ -62,12 +63,15 @@ def resampled_sources(
     keys: Iterable[str] = (),
     tiebreak: Sequence[str] = (),
     warn_empty: bool = False,
+    counts: dict[str, Observation] | None = None,
 ) -> list[DataFrame]:
     """Per source in priority order: range scan, typed projection, first row per bucket.
 
     A source without catalogued tags is skipped at plan time. ``warn_empty`` logs a
     warning for every source with no rows in the window (one small job per source);
-    an empty source still flows through the plan.
+    an empty source still flows through the plan. ``counts`` gets an observation per
+    source: its readings in the window, and those without a readable time, counted by
+    the job that runs the plan while it reads them.
     """
     keys, tiebreak = list(keys), list(tiebreak)
     frames = []
@@ -80,6 +84,9 @@ def resampled_sources(
         prepare(src.sparkSession)  # epoch -> timestamp conversions assume a UTC session
         if warn_empty and src.isEmpty():
             log.warning("source %s has no rows between %s and %s", table, start, end)
+        if counts is not None:
+            counts[table] = Observation(f"readings of {table}")
+            src = src.observe(counts[table], *_reading_counts(table))
         # Without explicit tie-break columns, readings tied on the millisecond are
         # ordered by all their values (deterministic whole-row pick).
         first = first_per_bucket(src, every, time_col=f"id_{table}", keys=keys, tiebreak=tiebreak or None,
@@ -88,6 +95,18 @@ def resampled_sources(
     return frames
 
 
+def _reading_counts(table: str) -> list:
+    return [F.count(F.lit(1)).alias("readings"), F.count_if(F.col(f"id_{table}").isNull()).alias("no_time")]
+
+
+def _observed(counts: Observation) -> dict | None:
+    """What the job counted; None if Spark left the source out of the plan while it ran (nothing of it was joined)."""
+    try:
+        return counts.get
+    except Py4JJavaError:
+        return None
+
+
 def build_raw(
     read: TableReader,
     tags: Sequence[Tag],
@@ -99,6 +118,7 @@ def build_raw(
     derive: bool = True,
     how: str = "left",
     warn_empty: bool = False,
+    counts: dict[str, Observation] | None = None,
 ) -> DataFrame:
     """The hull's raw wide frame for days [start, end] ('yyyyMMdd', inclusive; None: no bound).
 
@@ -107,7 +127,7 @@ def build_raw(
     """
     keys = list(keys)
     hull = validate(tags)
-    frames = resampled_sources(read, tags, start, end, every, keys, tiebreak, warn_empty)
+    frames = resampled_sources(read, tags, start, end, every, keys, tiebreak, warn_empty, counts)
     aligned = align_left(frames, on=[*keys, "ds_timestamp"], how=how)
     full = wide_schema(tags, hull, derived=derive)
     base = StructType([f for f in full.fields if f.name in aligned.columns])
@@ -165,6 +185,7 @@ def run_hull(
     clear: bool = False,
     keys: Iterable[str] = (),
     table_format: str = "parquet",
+    evolve: bool = False,
 ) -> dict[str, int]:
     """Load days [start, end] ('yyyyMMdd', inclusive; None: no bound) of one hull -- or, with
     ``keys=("hnum",)``, of every hull sharing the tag list, in one job.
@@ -177,9 +198,13 @@ def run_hull(
     catalog tables in that format -- hidden yearly partitioning, loaded with MERGE --
     when the session has that format's catalog.
 
+    ``evolve`` adds columns that the catalog gained to the stored raw table (a catalog that
+    lost some leaves them as stored). Partitions of Parquet catalog tables are swapped by
+    location, so readers see a month's old or new rows at any moment.
+
     Returns, per source table, the readings of the window without a readable time: they
-    are not loaded, are counted before the resample folds them, and are logged. A source
-    without any reading in the window is logged too.
+    are not loaded, are counted before the resample folds them, by the load's own scan,
+    and are logged. A source without any reading in the window is logged too.
     """
     keys = list(keys)
     part = [*keys, PARTITION_COL]
@@ -197,16 +222,20 @@ def run_hull(
             create_raw_table(spark, raw_table, tags, provider=table_format)
         if calc_table is not None:
             create_calc_table(spark, calc_table, provider=table_format)
-    lost = {}
-    for r in unloaded_readings(read, tags, start, end).collect():  # one row per source
-        lost[r["table_name"]] = r["no_time"]
-        if not r["readings"]:
-            log.warning("source %s has no rows between %s and %s", r["table_name"], start, end)
-        if r["no_time"]:
-            log.warning("source %s: %d readings without a readable time are not loaded", r["table_name"], r["no_time"])
-    raw = build_raw(read, tags, start, end, every, keys=keys, tiebreak=tiebreak)
+    counts: dict[str, Observation] = {}
+    raw = build_raw(read, tags, start, end, every, keys=keys, tiebreak=tiebreak, counts=counts)
     raw = raw.where(F.col("ds_timestamp").isNotNull())
-    upsert_table(spark, with_partition(raw), upsert_keys, path=raw_path, table=raw_table, partition_cols=part)
+    in_place = table_format == "parquet"  # other formats commit by themselves
+    upsert_table(spark, with_partition(raw), upsert_keys, path=raw_path, table=raw_table, partition_cols=part,
+                 evolve=evolve, by_location=raw_table is not None and in_place)
+    lost = {}
+    for source, observed in counts.items():
+        found = _observed(observed) or unloaded_readings(read, [t for t in tags if t.table_name == source], start, end).first()
+        lost[source] = found["no_time"]
+        if not found["readings"]:
+            log.warning("source %s has no rows between %s and %s", source, start, end)
+        if found["no_time"]:
+            log.warning("source %s: %d readings without a readable time are not loaded", source, found["no_time"])
     if raw_path:
         types = StructType([*_key_fields(raw, keys), StructField(PARTITION_COL, IntegerType(), True)])
         stored = read_stored(spark, raw_path, types)
@@ -220,7 +249,7 @@ def run_hull(
         if end is not None:
             stored = stored.where(F.col(PARTITION_COL) <= int(end[:6]))
     upsert_table(spark, with_partition(calc(stored, start, end, keys=keys)), upsert_keys, path=calc_path,
-                 table=calc_table, partition_cols=part)
+                 table=calc_table, partition_cols=part, by_location=calc_table is not None and in_place)
     return lost
 
 
@@ -234,11 +263,7 @@ def unloaded_readings(
         if src is None:
             continue
         prepare(src.sparkSession)
-        one = src.agg(
-            F.lit(table).alias("table_name"),
-            F.count(F.lit(1)).alias("readings"),
-            F.count_if(F.col(f"id_{table}").isNull()).alias("no_time"),
-        )
+        one = src.agg(F.lit(table).alias("table_name"), *_reading_counts(table))
         rows = one if rows is None else rows.unionByName(one)
     if rows is None:
         raise ValueError("the catalog lists no source with tags")

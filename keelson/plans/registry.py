@@ -20,7 +20,7 @@ from keelson.operators.align import align_first_inner, align_left
 from keelson.operators.catalog_sync import absent_keys, sync_catalog
 from keelson.operators.contract import single_value, type_violations
 from keelson.operators.resample import first_per_bucket, first_row
-from keelson.operators.upsert import merge_frames
+from keelson.operators.upsert import merge_frames, upsert_table
 from keelson.plans.jobs import build_raw, calc, unloaded_readings
 from keelson.sources import testbed as tb
 from keelson.sources.scans import date_range, half_open, project_source
@@ -345,6 +345,24 @@ def q_stored_calc(spark, sf):
     return spark.read.parquet(calc_path).drop(PARTITION_COL)
 
 
+def q_stored_evolved(spark, sf):
+    """A stored table through three loads: without the flag, then days of even number with it (the column is added),
+    then every fourth day sent again by an old catalog that lacks it. The flags stay, the values are the newer ones."""
+    import uuid
+    from pyspark.sql.types import IntegerType, StructField, StructType
+    from keelson.session import checkpoint_dir
+    from keelson.sources.storage import read_stored
+    path = f"{checkpoint_dir(spark)}/keelson-stored-evolved-{uuid.uuid4().hex}"
+    day = F.dayofmonth("ds_timestamp")
+    first = _resampled(spark, sf, HOUR_MS).where("ds_timestamp is not null").withColumn("ds_day", day)
+    keys, by_day = ["source", "ds_timestamp"], {"path": path, "partition_cols": ["ds_day"]}
+    upsert_table(spark, first.drop("flag"), keys, **by_day)
+    upsert_table(spark, first.where(day % 2 == 0), keys, evolve=True, **by_day)
+    again = first.where(day % 4 == 0).withColumn("value", (F.col("value") + F.lit(1.0).cast("float")).cast("float"))
+    upsert_table(spark, again.drop("flag"), keys, **by_day)
+    return read_stored(spark, path, StructType([StructField("ds_day", IntegerType())]))
+
+
 def q_catalog_absent_keys(spark, sf):
     """Stored catalog rows of the hulls with new files whose key the new files no longer have."""
     return absent_keys(tb.customer_catalog(spark, sf), tb.incoming_catalog(spark, sf))
@@ -458,6 +476,7 @@ QUERIES: dict[str, QueryFn] = {
     "catalog_absent_keys": q_catalog_absent_keys,
     "catalog_sync": q_catalog_sync,
     "stored_catalog": q_stored_catalog,
+    "stored_evolved": q_stored_evolved,
     "single_value_check": q_single_value_check,
     "source_priority": q_source_priority,
     "type_whitelist": q_type_whitelist,
@@ -786,6 +805,10 @@ QUALIFY row_number() OVER (PARTITION BY source, ds_date, b ORDER BY id_source, s
                                             AS value_txt) FROM raw)"""
     loads_twice = [RAW_SQL, again, *_raw_table_ctes("one", None, TARGET_END),
                    *_raw_table_ctes("two", SOURCE_START, None, readings="again")]
+    sql["stored_evolved"] = _with(*conf, f"r AS ({_resampled_sql(HOUR_MS)})") + """
+SELECT source, ds_timestamp, id_source, CASE WHEN day(ds_timestamp) % 4 = 0 THEN value + CAST(1.0 AS FLOAT) ELSE value END AS value,
+       CASE WHEN day(ds_timestamp) % 2 = 0 THEN flag END AS flag, CAST(day(ds_timestamp) AS INTEGER) AS ds_day
+FROM r WHERE ds_timestamp IS NOT NULL"""
     sql["stored_raw"] = _with(*loads_twice) + _merge_sql("one", "two")
     sql["stored_calc"] = _with(*loads_twice, f"both_loads AS ({_merge_sql('one', 'two')})") + _calc_select("both_loads")
     sql["minute_view_1h"] = _view_sql(HOUR_MS)

@@ -329,3 +329,17 @@ def test_a_stored_merge_that_keeps_target_rows_would_be_seen(spark, monkeypatch)
     monkeypatch.setattr(upsert, "merge_frames", lambda target, source, keys: target.unionByName(
         source.join(target, list(keys), "left_anti").select(*target.columns)))
     assert sorted(map(repr, registry.QUERIES["stored_raw"](spark, SF001).collect())) != right
+
+
+def test_counts_come_from_the_loads_own_scan(spark, scratch, monkeypatch):
+    """No second scan of the sources counts their readings; the numbers are those of one."""
+    from keelson.plans import jobs
+    want = {r["table_name"]: r["no_time"] for r in jobs.unloaded_readings(tb.unclocked_reader(spark, SF001), tb.TESTBED_TAGS).collect()}
+
+    def never(*args, **kwargs):
+        raise AssertionError("a second scan")
+
+    monkeypatch.setattr(jobs, "unloaded_readings", never)
+    got = run_hull(spark, tb.unclocked_reader(spark, SF001), tb.TESTBED_TAGS, None, None,
+                   os.path.join(scratch, "raw"), os.path.join(scratch, "calc"), tiebreak=["seq"])
+    assert got == want and sum(got.values()) > 0
