@@ -30,6 +30,14 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(columns: list[str], name: str) -> str:
+    """A column name that differs, in any case, from those given."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def expect_long_texts(spark: SparkSession) -> None:
     """Hand Python 1,000 rows at a time rather than 10,000, unless the session says otherwise.
 

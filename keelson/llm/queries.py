@@ -22,7 +22,8 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = suffix_dedup.repeated_spans(table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["to"] - s["from"])
     return spans.select(
-        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256",
+        "kept_text",
     )
 
 

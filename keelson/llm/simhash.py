@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.common import arrow_rows, expect_long_texts, ids_tell_rows_apart, staged, text_chunks, worker_cache
+from keelson.llm.common import arrow_rows, expect_long_texts, ids_tell_rows_apart, staged, text_chunks, unused, worker_cache
 from keelson.llm.components import components
 
 SHINGLE = 3
@@ -250,10 +250,11 @@ def one_of_each(
     and the row of the least hash stays.
     """
     columns = docs.columns
+    key = unused(columns, "__key")
     if ids_tell_rows_apart(docs, id_col):
-        keyed = docs.withColumn("__key", F.col(id_col).cast("long"))
+        keyed = docs.withColumn(key, F.col(id_col).cast("long"))
     else:
-        keyed = docs.withColumn("__key", F.xxhash64(F.col(id_col), F.col(text_col))).dropDuplicates(["__key"])
-    classes = near_duplicates(keyed, "__key", text_col, shingle, bits)
-    kept = classes.filter("doc_id = component_id").select(F.col("doc_id").alias("__key"))
-    return keyed.join(kept, "__key", "left_semi").select(*columns)
+        keyed = docs.withColumn(key, F.xxhash64(F.col(id_col), F.col(text_col))).dropDuplicates([key])
+    classes = near_duplicates(keyed, key, text_col, shingle, bits)
+    kept = classes.filter("doc_id = component_id").select(F.col("doc_id").alias(key))
+    return keyed.join(kept, key, "left_semi").select(*columns)

@@ -21,7 +21,8 @@ All sorts see the suffixes of one chunk of text first: what repeats inside the c
 representative leaves it, so a passage that a third of all documents share sends one row per chunk and seed, not one
 per document. Texts longer than a chunk are hashed in overlapping segments.
 
-Equality is by 64-bit seeds (only to propose) and 128-bit hashes of the whole strings (to decide).
+Two suffixes, cells or strings count as equal if two 64-bit rolling hashes of different bases agree: of the seed (or
+half of the string's hash) and of all bytes that the strings reach.
 
 Rows: null and empty texts have no bytes; rows with equal ids and texts are two places each, so both go; null ids and
 ids that repeat with other texts are told apart by a hash of id and text; an empty table gives no row; extra columns
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.common import arrow_rows, expect_long_texts, release, row_key, staged, worker_cache
+from keelson.llm.common import arrow_rows, expect_long_texts, release, row_key, staged, unused, worker_cache
 
 LENGTH = 400
 CHUNK_BYTES = 1 << 20
@@ -232,10 +233,10 @@ def sample_suffixes(docs: DataFrame, length: int) -> DataFrame:
             row, p, shift, n, lo, stop = (x[fits] for x in (row, p, shift, n, lo, stop))
             if not len(row):
                 continue
-            hashed = Rolling(b"".join(x[3] for x in held), 1)
-            k = hashed(p + shift, p + shift + seed)
-            w = mixed(hashed(lo + shift, stop + shift) + (p - lo).astype(np.uint64))
-            del hashed
+            text = b"".join(x[3] for x in held)
+            k = Rolling(text, 1)(p + shift, p + shift + seed)
+            w = mixed(Rolling(text, 2)(lo + shift, stop + shift) + (p - lo).astype(np.uint64))
+            del text
             yield pre_sorted(k, w, row, lo, np.minimum(p, n - length), p)
 
     return docs.mapInArrow(run, SAMPLE_DDL)
@@ -274,9 +275,9 @@ def asked_cells(docs: DataFrame, length: int) -> DataFrame:
             row, p, shift, short, long, lo, hi = (x[some] for x in (row, p, shift, short, long, lo, hi))
             if not len(row):
                 continue
-            hashed = Rolling(b"".join(x[3] for x in held), 1)
-            k = mixed(hashed(p - short + shift, p - long + length + shift) + short.astype(np.uint64))
-            w = mixed(hashed(lo + shift, hi + length + shift) + (p - lo).astype(np.uint64))
+            text = b"".join(x[3] for x in held)
+            k = mixed(Rolling(text, 1)(p - short + shift, p - long + length + shift) + short.astype(np.uint64))
+            w = mixed(Rolling(text, 2)(lo + shift, hi + length + shift) + (p - lo).astype(np.uint64))
             yield pre_sorted(k, w, row, lo, hi)
 
     return docs.mapInArrow(run, SAMPLE_DDL)
@@ -408,15 +409,16 @@ def kept_bytes(text: bytes, runs: list[tuple[int, int]]) -> bytes:
     return b"".join(out)
 
 
-def with_runs(docs: DataFrame, text_col: str, key: F.Column, length: int) -> DataFrame:
-    """docs with __runs: the ranges of repeated starts, null where there are none."""
+def with_runs(docs: DataFrame, text_col: str, key: F.Column, length: int, runs: str) -> DataFrame:
+    """docs with a column runs: the ranges of repeated starts, null where there are none."""
     keyed = docs.select(key.alias("row"), F.col(text_col).cast("string").alias("text"))
-    starts = by_row(repeated_starts(keyed, length), "__runs").withColumnRenamed("row", "__row")
-    return docs.withColumn("__row", key).join(starts, "__row", "left").drop("__row")
+    row = unused([*docs.columns, runs], "__row")
+    starts = by_row(repeated_starts(keyed, length), runs).withColumnRenamed("row", row)
+    return docs.withColumn(row, key).join(starts, row, "left").drop(row)
 
 
 def per_text(
-    batches: Iterable[pa.RecordBatch], text_col: str, length: int, use: Callable
+    batches: Iterable[pa.RecordBatch], text_col: str, length: int, use: Callable, runs: str
 ) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Small slices of the batches with use(text, runs) of each row."""
     worker_cache("spans")
@@ -424,7 +426,7 @@ def per_text(
         for at in range(0, whole.num_rows, SLICE_ROWS):
             batch = whole.slice(at, SLICE_ROWS)
             texts = batch.column(batch.schema.get_field_index(text_col)).cast(pa.binary())
-            ranges = batch.column(batch.schema.get_field_index("__runs"))
+            ranges = batch.column(batch.schema.get_field_index(runs))
             yield batch, [
                 use(t.as_py() or b"", covered(r.as_py() or [], length)) for t, r in zip(texts, ranges, strict=True)
             ]
@@ -433,31 +435,36 @@ def per_text(
 def repeated_spans(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH
 ) -> DataFrame:
-    """doc_id, n_bytes, spans (array of byte ranges from, to), kept_sha256: one row per row of docs."""
+    """doc_id, n_bytes, spans (array of byte ranges from, to), kept_sha256, kept_text: one row per row of docs.
+
+    kept_text is what is left as text; a character cut in two is not in it, though its bytes are in the digest.
+    """
     schema = pa.schema(
         [
             ("doc_id", pa.int64()), ("n_bytes", pa.int64()),
             ("spans", pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))), ("kept_sha256", pa.string()),
+            ("kept_text", pa.string()),
         ]
     )
 
     def use(body: bytes, runs: list[tuple[int, int]]) -> tuple:
-        kept = hashlib.sha256(kept_bytes(body, runs)).hexdigest()
-        return len(body), [{"from": a, "to": b} for a, b in runs], kept
+        kept = kept_bytes(body, runs)
+        spans = [{"from": a, "to": b} for a, b in runs]
+        return len(body), spans, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, out in per_text(batches, "__text", length, use):
+        for batch, out in per_text(batches, "__text", length, use, "__runs"):
             ids = batch.column(batch.schema.get_field_index("doc_id"))
-            cells = [list(x) for x in zip(*out, strict=True)] or [[], [], []]
+            cells = [list(x) for x in zip(*out, strict=True)] or [[], [], [], []]
             yield pa.RecordBatch.from_arrays(
                 [ids.cast(pa.int64()), *[pa.array(c, f.type) for c, f in zip(cells, list(schema)[1:], strict=True)]],
                 schema=schema,
             )
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("__text"))
-    marked = with_runs(narrow, "__text", row_key(narrow, "doc_id", "__text"), length)
+    marked = with_runs(narrow, "__text", row_key(narrow, "doc_id", "__text"), length, "__runs")
     return marked.mapInArrow(
-        run, "doc_id long, n_bytes long, spans array<struct<`from`: long, `to`: long>>, kept_sha256 string"
+        run, "doc_id long, n_bytes long, spans array<struct<`from`: long, `to`: long>>, kept_sha256 string, kept_text string"
     )
 
 
@@ -466,15 +473,16 @@ def without_repeats(
 ) -> DataFrame:
     """docs with the repeated bytes taken out of the text. A character cut in two goes whole."""
     columns = docs.columns
+    ranges = unused(columns, "__runs")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = lambda body, runs: kept_bytes(body, runs).decode("utf-8", "ignore")
-        for batch, out in per_text(batches, text_col, length, use):
+        for batch, out in per_text(batches, text_col, length, use, ranges):
             at = batch.schema.get_field_index(text_col)
             whole = batch.column(at)
             texts = pa.array([t if w.is_valid else None for t, w in zip(out, whole, strict=True)], pa.string())
             cells = [texts if i == at else batch.column(batch.schema.get_field_index(c)) for i, c in enumerate(columns)]
             yield pa.RecordBatch.from_arrays(cells, names=columns)
 
-    marked = with_runs(docs, text_col, row_key(docs, id_col, text_col), length)
-    return marked.select(*columns, "__runs").mapInArrow(run, docs.schema)
+    marked = with_runs(docs, text_col, row_key(docs, id_col, text_col), length, ranges)
+    return marked.select(*columns, ranges).mapInArrow(run, docs.schema)
