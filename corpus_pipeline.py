@@ -10,7 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.llm import mixing, packing, queries, simhash, suffix_dedup
-from keelson.llm.common import staged, table
+from keelson.llm.common import staged, table, unused
+
+#: A repeated passage of this many bytes goes. Fifty words of prose are 250 to 330 bytes (on sf0.1 the shortest
+#: fifty-word window of a repeated run has a median of 288, and 7 % of them are shorter than this); far shorter strings
+#: would take set phrases out of clean texts.
+PASSAGE_BYTES = 240
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,11 +30,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated passages go; a document that was nothing else goes with them."""
-    left = suffix_dedup.without_repeats(docs.withColumn("__bytes", F.octet_length("text")))
-    emptied = (F.col("text") == "") & (F.col("__bytes") > 0)
+    size = unused(docs.columns, "__bytes")
+    left = suffix_dedup.without_repeats(docs.withColumn(size, F.octet_length("text")), length=PASSAGE_BYTES)
+    emptied = (F.col("text") == "") & (F.col(size) > 0)
     return (
         left.filter(~F.coalesce(emptied, F.lit(False)))
-        .withColumn("n_chars", F.when(F.octet_length("text") != F.col("__bytes"), F.length("text").cast("long")).otherwise(F.col("n_chars")))
+        .withColumn("n_chars", F.when(F.octet_length("text") != F.col(size), F.length("text").cast("long")).otherwise(F.col("n_chars")))
         .select(*docs.columns)
     )
 
