@@ -41,7 +41,7 @@ def slow_pipeline(rows):
     rows = [rows[i] for i in sorted(set(roots(len(rows), links)))]
     texts = [r[1].encode() for r in rows]
     left = []
-    for row, body, (_, runs, _) in zip(rows, texts, brute(texts, 400), strict=True):
+    for row, body, (_, runs, _) in zip(rows, texts, brute(texts, corpus_pipeline.PASSAGE_BYTES), strict=True):
         kept = bytes(b for i, b in enumerate(body) if not any(lo <= i < hi for lo, hi in runs)).decode("utf-8", "ignore")
         if kept or not body:
             left.append((row[0], kept, row[3]))
@@ -73,9 +73,36 @@ def test_pipeline_matches_brute_force(spark, sf_dir):
 def test_stages_keep_columns_and_take_odd_rows(spark, sf_dir):
     odd = [(None, None, None, None, None), (1, "", None, None, 0), (1, "", None, None, 0), (2, "a b c", "en", "s", 5)]
     for rows in (odd, []):
-        docs = spark.createDataFrame(rows, COLUMNS).withColumn("__n", F.lit(1))
+        docs = spark.createDataFrame(rows, COLUMNS).withColumns({c: F.lit(7) for c in ("__n", "__row", "__runs", "__key", "__bytes")})
         for name, stage in corpus_pipeline.STAGES[:-1]:
             out = stage(spark, docs, sf_dir)
             assert out.columns == docs.columns, name
             assert out.count() <= 2 * len(rows)
+            assert all(r["__row"] == r["__runs"] == r["__key"] == r["__bytes"] == 7 for r in out.collect())
         assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() == len(rows)
+
+
+def test_passages_of_fifty_words_go_and_clean_texts_stay(spark, sf_dir):
+    """Passages of 50 to 60 words, 250 to 390 bytes, each in two or three documents."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(rng.randint(2, 8)))
+    some = lambda n: " ".join(word() for _ in range(n))
+    passages, rows, clean = [], [], {}
+    while len(passages) < 12:
+        if 250 <= len(text := some(rng.randint(50, 60))) < 390:
+            passages.append(text)
+    for i, text in enumerate(passages):
+        for k in range(2 + i % 2):
+            rows.append((100 * i + k, f"{some(40)} {text} {some(30)}", "en", "s", 0))
+    for i in range(20):
+        clean[5000 + i] = some(rng.randint(30, 120))
+        rows.append((5000 + i, clean[5000 + i], "en", "s", 0))
+    phrase = some(25)  # shared, but far shorter than a passage
+    for i in range(3):
+        clean[6000 + i] = f"{some(30)} {phrase} {some(30)}"
+        rows.append((6000 + i, clean[6000 + i], "en", "s", 0))
+    out = {r.doc_id: r.text for r in corpus_pipeline.repeats(spark, spark.createDataFrame(rows, COLUMNS), sf_dir).collect()}
+    assert {d: t for d, t in out.items() if d >= 5000} == clean
+    for d, t in out.items():
+        if d < 5000:
+            assert 60 <= len(t.split()) <= 72 and passages[d // 100][5:-5] not in t
