@@ -1,7 +1,7 @@
 """Command line: the two batch programs.
 
-    python -m keelson load --hull H2521 --start 2026-03-01 --end 2026-03-31 [--clear]
-    python -m keelson sync-catalog --path catalogs/H2532_metadata.csv --catalog <folder>
+    python -m keelson load --hull H7001 --start 2025-11-03 --end 2025-11-09 [--clear]
+    python -m keelson sync-catalog --path catalogs/tugs.csv --catalog <folder>
 
 ``load`` reads ``<catalog-dir>/<hull>_metadata.csv``, scans the catalogued source
 tables (database named in the catalog) for the inclusive date range, and upserts
@@ -30,7 +30,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="python -m keelson", description=__doc__.split("\n\n")[0])
     sub = p.add_subparsers(dest="command", required=True)
     load = sub.add_parser("load", help="load a date range of one hull into its raw and calc tables")
-    load.add_argument("--hull", required=True, help="hull id, e.g. H2521")
+    load.add_argument("--hull", required=True, help="hull id, e.g. H7001")
     load.add_argument("--start", required=True, type=_day, help="first day, YYYY-MM-DD")
     load.add_argument("--end", required=True, type=_day, help="last day (included), YYYY-MM-DD")
     load.add_argument("--catalog-dir", default="resources/csv", help="folder of <hull>_metadata.csv files")

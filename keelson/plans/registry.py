@@ -398,6 +398,18 @@ def q_single_value_check(spark, sf):
     return single_value(cat, ["db_name"], "hnum", normalise=True)
 
 
+def q_hull_database_check(spark, sf):
+    """Per hull: how many databases its sources are in, and the database when there is exactly one.
+
+    Every seventh tag of every fourth hull was entered under another database.
+    """
+    cat = tb.customer_catalog(spark, sf)
+    number = F.substring("hnum", 2, 4).cast("int")
+    strayed = (number % 4 == 0) & (F.col("id") % 7 == 0)
+    cat = cat.withColumn("db_name", F.when(strayed, F.lit("elsewhere")).otherwise(F.col("db_name")))
+    return single_value(cat, ["hnum"], "db_name")
+
+
 def q_source_priority(spark, sf):
     """Distinct source tables per hull with their priority (cams > ias > ams > vdr, then name)."""
     return source_priority(tb.customer_catalog(spark, sf))
@@ -478,6 +490,7 @@ QUERIES: dict[str, QueryFn] = {
     "stored_catalog": q_stored_catalog,
     "stored_evolved": q_stored_evolved,
     "single_value_check": q_single_value_check,
+    "hull_database_check": q_hull_database_check,
     "source_priority": q_source_priority,
     "type_whitelist": q_type_whitelist,
     "wide_schema": q_wide_schema,
@@ -861,6 +874,10 @@ FROM incoming i LEFT JOIN (
   CASE WHEN count(DISTINCT hnum) = 1 THEN min(hnum) END AS hnum, count(DISTINCT hnum) = 1 AS hnum_unique
 FROM (SELECT hnum, CASE WHEN CAST(substr(hnum, 2) AS INTEGER) % 6 = 0 THEN 'solo_' || hnum ELSE db_name END AS db FROM existing)
 GROUP BY db""".replace("SELECT db,", "SELECT db AS db_name,")
+    sql["hull_database_check"] = _with(*cat) + """SELECT hnum, count(DISTINCT db) AS n_db_name,
+  CASE WHEN count(DISTINCT db) = 1 THEN min(db) END AS db_name, count(DISTINCT db) = 1 AS db_name_unique
+FROM (SELECT hnum, CASE WHEN CAST(substr(hnum, 2) AS INTEGER) % 4 = 0 AND id % 7 = 0 THEN 'elsewhere' ELSE db_name END AS db
+      FROM existing) GROUP BY hnum"""
     sql["source_priority"] = _with(*cat) + _priority_sql()
     accepted = "'FLOAT', 'BOOLEAN', 'DOUBLE', 'INTEGER'"
     sql["type_whitelist"] = _with(*cat) + f"SELECT * FROM existing WHERE data_type IS NULL OR data_type NOT IN ({accepted})"

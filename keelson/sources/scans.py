@@ -126,6 +126,8 @@ def jdbc_source(
     ``partition_column`` and bounds the query is split into ``num_partitions``
     parallel range reads instead of one connection.
     """
+    if partition_column and (lower_bound is None or upper_bound is None):
+        raise ValueError(f"partition column {partition_column} needs a lower and an upper bound")
     reader = spark.read.format("jdbc").option("url", url).option("fetchsize", fetchsize)
     if partition_column:
         reader = (reader.option("dbtable", f"({query}) q").option("partitionColumn", partition_column)
