@@ -21,7 +21,9 @@ an annulus are dealt out in groups, so neither a hot vector nor a hot annulus ma
 Rows: a vector that is null, or holds a null or a component that is not finite, takes no part; shorter vectors are
 read as if filled with zeros (an empty one scores 0 everywhere); rows that share an id are rows of their own, also as
 queries, each with its own list of k, but no query meets a row of its own id; ties go to the smaller id; queries without a candidate have no row; extra columns are
-ignored. Components must stay below 2^26 in size after scaling, or the sum of products could be inexact: an error.
+ignored. Scores are exact for all finite vectors: products of doubles while no |x|^2 passes 2^53, beyond that whole
+numbers in int64 or, where needed, without bound (``hard_negatives.scores``). Distances then only choose the annuli, with
+a slack far above their rounding. A score among the k best that does not fit in a long is an error.
 """
 
 from __future__ import annotations
@@ -37,13 +39,17 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from keelson.llm.common import arrow_rows, staged
+from keelson.llm.hard_negatives import matrix as matrix_of_integers
+from keelson.llm.hard_negatives import scores as integer_scores
 
 K = 20
 PIVOTS = 32
 BLOCK = 2048
 QUERY_GROUP = 1024
 SCALE = 64.0
-LARGEST = 1 << 26
+#: Up to here every sum of products of whole doubles is exact.
+EXACT = float(1 << 53)
+LOWEST = -(1 << 63)
 INDEX = pa.schema(
     [
         ("annulus", pa.int64()), ("pivot", pa.int32()), ("low", pa.float64()), ("high", pa.float64()),
@@ -57,7 +63,10 @@ def whole(embedding: Column, scale: float = SCALE) -> Column:
     """floor(scale * x) of each component as double; null for vectors that take no part."""
     doubles = F.transform(embedding, lambda x: x.cast("double"))
     bad = F.exists(doubles, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    floors = F.transform(doubles, lambda x: F.floor(x * scale).cast("double"))
+    # Spark's floor gives a long; a double beyond 2^53 has no fraction to cut.
+    floors = F.transform(
+        doubles, lambda x: F.when(F.abs(x * scale) < EXACT, F.floor(x * scale).cast("double")).otherwise(x * scale)
+    )
     return F.when(embedding.isNotNull() & ~F.coalesce(bad, F.lit(True)), floors)
 
 
@@ -93,11 +102,8 @@ class Index:
 def build(vectors: DataFrame, pivots: int = PIVOTS, block: int = BLOCK) -> Index:
     """vectors: vec_id, x (array of whole doubles)."""
     square = F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v)
-    top = F.aggregate("x", F.lit(0.0), lambda a, v: F.greatest(a, F.abs(v)))
-    facts = vectors.agg(F.max(square), F.max(F.size("x")), F.max(top)).first()
-    m, dim, largest = float(facts[0] or 0.0), int(facts[1] or 0), float(facts[2] or 0.0)
-    if largest >= LARGEST:
-        raise ValueError(f"a component of {largest:g} is too large for exact sums")
+    facts = vectors.agg(F.max(square), F.max(F.size("x"))).first()
+    m, dim = float(facts[0] or 0.0), int(facts[1] or 0)
     chosen = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).collect()  # at most pivots rows
     p = np.unique(matrix([r.x for r in chosen], dim), axis=0) if chosen else np.zeros((0, dim))
     p_up = lifted(p, m)
@@ -150,15 +156,29 @@ def unpacked(ids: bytes, vectors: bytes, dim: int) -> tuple[np.ndarray, np.ndarr
     return i, np.frombuffer(vectors, dtype=np.float64).reshape(len(i), dim)
 
 
-def best_of(q_ids: np.ndarray, scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+def products(q: np.ndarray, x: np.ndarray, m: float) -> tuple[np.ndarray, np.ndarray]:
+    """Inner products as int64, and which of them int64 can hold; m: the largest |x|^2 of all vectors."""
+    if m <= EXACT:
+        found = (q @ x.T).astype(np.int64)
+        return found, np.ones(found.shape, dtype=bool)
+    whole_numbers = lambda v: matrix_of_integers(v.tolist(), v.shape[1])
+    return integer_scores(whole_numbers(q), whole_numbers(x))
+
+
+def best_of(
+    q_ids: np.ndarray, scores: np.ndarray, ids: np.ndarray, k: int, fits: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """(query place, candidate place) of the k best of each row of scores, ties to the smaller id, own id left out."""
-    scores = np.where(q_ids[:, None] == ids[None, :], -np.inf, scores)
+    allowed = q_ids[:, None] != ids[None, :]
+    if fits is not None and (allowed & ~fits).any():
+        raise OverflowError("an inner product does not fit in a long")
     if scores.shape[1] > k:
-        edge = -np.partition(-scores, k - 1, axis=1)[:, k - 1]
-    else:
-        edge = np.full(len(scores), -np.inf)
-    q, c = np.nonzero((scores >= edge[:, None]) & (scores > -np.inf))
-    order = np.lexsort((ids[c], -scores[q, c], q))
+        held = np.where(allowed, scores, LOWEST)
+        edge = np.partition(held, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
+        allowed &= scores >= edge[:, None]
+    q, c = np.nonzero(allowed)
+    # ~score falls as score rises, without the overflow that -score has at the lowest long.
+    order = np.lexsort((ids[c], ~scores[q, c], q))
     q, c = q[order], c[order]
     rank = np.arange(len(q)) - np.searchsorted(q, q)
     return q[rank < k], c[rank < k]
@@ -214,15 +234,15 @@ def search(index: Index, queries: DataFrame, k: int = K, group: int = QUERY_GROU
                     part = q.iloc[at : at + 512]
                     q_ids = part["query_id"].to_numpy(dtype=np.int64)
                     qx = np.frombuffer(b"".join(part["q"]), dtype=np.float64).reshape(len(part), dim)
-                    scores = qx @ x.T
-                    i, c = best_of(q_ids, scores, ids, k)
+                    scores, fits = products(qx, x, m)
+                    i, c = best_of(q_ids, scores, ids, k, fits)
                     got = scores[i, c]
-                    ok = got >= part["floor"].to_numpy()[i]
+                    ok = got >= part["floor"].to_numpy(dtype=np.int64)[i]
                     out.append(
                         pd.DataFrame(
                             {
                                 "query": part["query"].to_numpy(dtype=np.int64)[i[ok]], "query_id": q_ids[i[ok]],
-                                "vec_id": ids[c[ok]], "score": got[ok].astype(np.int64),
+                                "vec_id": ids[c[ok]], "score": got[ok],
                             }
                         )
                     )
@@ -236,17 +256,17 @@ def search(index: Index, queries: DataFrame, k: int = K, group: int = QUERY_GROU
     home = (
         spread_out.filter("near").join(places, F.col("pivot") == F.col("a_pivot"))
         .groupBy("query", "query_id", "q", "square").agg(F.min(F.struct(gap.alias("gap"), "annulus"))["annulus"].alias("annulus"))
-        .withColumn("floor", F.lit(float("-inf")))
+        .withColumn("floor", F.lit(LOWEST).cast("long"))
     )
     first = staged(scored(home), "first-hits")
     kth = first.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list("score"), False).alias("s"))
-    bound = kth.select("query", F.when(F.col("n") >= k, F.element_at("s", k).cast("double")).alias("bound"))
-    reach = F.sqrt(F.greatest(F.col("square") + m - 2 * F.col("bound"), F.lit(0.0))) + slack
+    bound = kth.select("query", F.when(F.col("n") >= k, F.element_at("s", k)).alias("bound"))
+    reach = F.sqrt(F.greatest(F.col("square") + m - 2 * F.col("bound").cast("double"), F.lit(0.0))) + slack
     pairs = (
         spread_out.join(bound, "query", "left")
         .join(places, F.col("pivot") == F.col("a_pivot"))
         .filter(F.col("bound").isNull() | (gap <= reach))
-        .select("annulus", "query", "query_id", "q", F.coalesce("bound", F.lit(float("-inf"))).alias("floor"))
+        .select("annulus", "query", "query_id", "q", F.coalesce("bound", F.lit(LOWEST).cast("long")).alias("floor"))
     )
     all_hits = scored(pairs)
     order = W.partitionBy("query").orderBy(F.col("score").desc(), F.col("vec_id").asc())

@@ -82,7 +82,17 @@ def test_vectors_that_take_no_part(spark):
     assert got == {0: [32.0, -1.0], 1: None, 2: None, 3: None, 4: None, 5: [], 6: [63.0, 64.0]}
 
 
-def test_large_components_are_refused(spark):
-    frame = spark.createDataFrame([(0, [float(1 << 27)])], "vec_id long, x array<double>")
-    with pytest.raises(ValueError, match="too large"):
-        vs.build(frame)
+@pytest.mark.parametrize("size", [1 << 21, (1 << 27) + 1, (1 << 30) - 1])
+def test_large_components_are_scored_exactly(spark, size):
+    """Scores up to 2^62 that differ in their last digits only."""
+    rng = np.random.default_rng(size % 97)
+    rows = [(i, [size - int(rng.integers(0, 3)), int(rng.integers(-2, 3)), size if i % 3 else -size, 1]) for i in range(60)]
+    queries = {i for i, _ in rows if i % 5 == 0}
+    assert searched(spark, rows, 6, block=8) == brute(rows, queries, 6)
+
+
+def test_a_score_beyond_a_long_is_an_error(spark):
+    big = [(i, [float(1 << 40), 1.0]) for i in (0, 1)]
+    with pytest.raises(Exception, match="does not fit in a long"):
+        frame = spark.createDataFrame(big, "vec_id long, x array<double>")
+        vs.search(vs.build(frame), frame.filter("vec_id = 0"), 3).collect()
