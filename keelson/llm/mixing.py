@@ -5,18 +5,22 @@ code-point order, null last); a target stops at ``most`` times its source's size
 With sources sorted by cap / weight this has a closed form: the sources up to some place stop at their caps, and the
 others get one common level times their weight.
 
-Selection: a source whose target is e times its size takes floor(e) certain copies of each document. What remains is
-an order sample of fixed size. Each document has an inclusion probability p, unequal within a source (p rises with the
-square root of the document's size, and averages the remaining fraction), and a uniform number u from a hash of its
-id; documents are ranked by
+Selection: a source whose target is e times its size takes floor(e) certain copies of each document. The words that
+remain are an order sample of fixed size. Each document has an inclusion probability p = min(1, c * pull), where pull
+rises with the square root of its size and c is the number at which the source's p * size sum to the remaining words.
+Documents with p = 1 are taken as certain. Each other one has a uniform number u from a hash of its id; they are ranked by
 
     q = (u / (1 - u)) / (p / (1 - p))
 
-and taken in that order until the source's remaining words are reached. p >= 1 ranks first.
+(ties by u, then id) and taken in that order until the words the certain ones left are reached. The document on the
+line goes in if that ends nearer to it; one longer than all words that remain can thus be taken less or more often than p.
 
-No source is sorted as a whole: documents are counted in ``bins`` intervals of q / (1 + q) per source by a grouped sum,
-prefix sums over those counts find the interval where the words run out, and only that interval's documents are put
-in order. The cut (q and id) then decides each document by comparison, so a hot source costs no more than others.
+c has a closed form per source from the words of each distinct pull (``levels``); there are at most as many pulls as
+the root of the longest text's words. No source is sorted as a whole: documents are counted in ``bins`` intervals of
+q / (1 + q) per source by a grouped sum, prefix sums over those counts find the interval where the words run out, and
+only that interval's documents are put in order. As half the interval scale is where u = p, that interval holds about
+one document in ``bins``. The cut (q, u and id) then decides each document by comparison, so a hot source costs no more
+than others.
 
 Rows: a null text has size 0 and is never counted; null sources form one source, the last; null ids hash alike; rows
 equal in source, id and size rank alike and go in or out together; a source of no words takes none. An empty table
@@ -81,6 +85,32 @@ def targets(
     )
 
 
+def levels(held: DataFrame, sources: DataFrame) -> DataFrame:
+    """The odds of each source's sample: l_source, limit, odds, room.
+
+    held: (source, pull, held), the words of the documents with a pull; sources: (source, left), the words to sample.
+    Documents with a pull above limit are certain, the others have p = odds * pull < 1 and fill room words. A source
+    all of whose documents are certain has no row.
+    """
+    upto = W.partitionBy("source").orderBy("pull").rowsBetween(W.unboundedPreceding, 0)
+    beyond = W.partitionBy("source").orderBy("pull").rowsBetween(1, W.unboundedFollowing)
+    steps = (
+        held.filter("held > 0")
+        .withColumn("weighted", F.sum(F.col("pull") * F.col("held")).over(upto))
+        .withColumn("certain", F.coalesce(F.sum("held").over(beyond), F.lit(0)))
+    )
+    by = sources.select(F.col("source").alias("l_source"), "left")
+    rest = F.col("left") - F.col("certain")
+    # p at this pull is below 1 if all larger pulls are certain. That holds up to one pull; the largest such one counts.
+    return (
+        steps.join(by, F.col("source").eqNullSafe(F.col("l_source")))
+        .filter(rest * F.col("pull") < F.col("weighted"))
+        .groupBy("l_source")
+        .agg(F.max(F.struct(F.col("pull").alias("limit"), (rest / F.col("weighted")).alias("odds"), rest.alias("room"))).alias("at"))
+        .select("l_source", "at.*")
+    )
+
+
 def decided(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -104,54 +134,58 @@ def decided(
     ).withColumn("pull", F.floor(F.sqrt("size")) + 1)
     # Texts are read once for their sizes; ids and sizes are what the rest works on.
     slim = staged(with_pull.drop("row"), "mix-sizes")
-    sources = targets(
-        slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.avg("pull").alias("mean_pull")),
-        weights, share, most,
-    )
+    held = staged(slim.groupBy("source", "pull").agg(F.sum("size").alias("held")), "mix-pulls")
+    sources = targets(held.groupBy("source").agg(F.sum("held").alias("source_size")), weights, share, most)
     factor = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    sources = sources.withColumn("whole", F.floor(factor).cast("long")).withColumn(
+        "left", F.col("target") - F.col("whole") * F.col("source_size")
+    )
     sources = (
-        sources.withColumn("whole", F.floor(factor).cast("long"))
-        .withColumn("part", factor - F.col("whole"))
-        .withColumn("left", F.col("target") - F.col("whole") * F.col("source_size"))
+        sources.join(levels(held, sources), F.col("source").eqNullSafe(F.col("l_source")), "left").drop("l_source")
+        .withColumn("limit", F.coalesce("limit", F.lit(0)))
     )
     sources = staged(sources, "mix-sources")
-    p = F.col("part") * F.col("pull") / F.col("mean_pull")
-    u = uniform(F.col("doc_id"), seed)
-    q = F.when(p >= 1, F.lit(0.0)).when(p > 0, u / (1 - u) * (1 - p) / p).otherwise(F.lit(float("inf")))
+    p = F.col("odds") * F.col("pull")
+    u = F.col("u")
+
     def ranked(rows: DataFrame, by: DataFrame) -> DataFrame:
         joined = rows.alias("d").join(by.withColumnRenamed("source", "s_source").alias("s"),
                                       F.col("s_source").eqNullSafe(F.col("d.source"))).drop("s_source")
-        return joined.withColumn("q", q).withColumn(
-            "bin", F.when(F.col("q") < float("inf"), F.floor(F.col("q") / (1 + F.col("q")) * bins)).otherwise(F.lit(bins))
+        return (
+            joined.withColumn("u", uniform(F.col("doc_id"), seed))
+            .withColumn("q", F.when((F.col("pull") <= F.col("limit")) & (p > 0), u / (1 - u) * (1 - p) / p))
+            .withColumn("bin", F.floor(F.col("q") / (1 + F.col("q")) * bins))
         )
 
-    taking = ranked(slim, sources).filter((F.col("left") > 0) & (F.col("size") > 0))
-    counted = taking.groupBy("source", "bin").agg(F.sum("size").alias("held"), F.first("left").alias("left"))
+    sampled = ranked(slim, sources).filter((F.col("left") > 0) & (F.col("size") > 0) & F.col("q").isNotNull())
+    counted = sampled.groupBy("source", "bin").agg(F.sum("size").alias("held"), F.first("room").alias("room"))
     upto = W.partitionBy("source").orderBy("bin").rowsBetween(W.unboundedPreceding, 0)
     edge = (
         counted.withColumn("upto", F.sum("held").over(upto))
-        .filter((F.col("upto") >= F.col("left")) & (F.col("upto") - F.col("held") < F.col("left")))
+        .filter((F.col("upto") >= F.col("room")) & (F.col("upto") - F.col("held") < F.col("room")))
         .select(F.col("source").alias("e_source"), F.col("bin").alias("e_bin"),
-                (F.col("left") - (F.col("upto") - F.col("held"))).alias("room"))
+                (F.col("room") - (F.col("upto") - F.col("held"))).alias("e_room"))
     )
-    inside = W.partitionBy("source").orderBy("q", "doc_id").rowsBetween(W.unboundedPreceding, 0)
+    inside = W.partitionBy("source").orderBy("q", "u", "doc_id").rowsBetween(W.unboundedPreceding, 0)
     close = (
-        taking.join(edge, F.col("source").eqNullSafe(F.col("e_source")) & (F.col("bin") == F.col("e_bin")))
-        .groupBy("source", "q", "doc_id").agg(F.sum("size").alias("size"), F.first("room").alias("room"))
+        sampled.join(edge, F.col("source").eqNullSafe(F.col("e_source")) & (F.col("bin") == F.col("e_bin")))
+        .groupBy("source", "q", "u", "doc_id").agg(F.sum("size").alias("size"), F.first("e_room").alias("e_room"))
         .withColumn("run", F.sum("size").over(inside))
         # The document that crosses the line goes in if that ends nearer to it.
-        .filter(F.col("run") - F.col("room") <= F.col("room") - (F.col("run") - F.col("size")))
-        .groupBy("source").agg(F.max(F.struct("q", "doc_id")).alias("last"))
+        .filter(F.col("run") - F.col("e_room") <= F.col("e_room") - (F.col("run") - F.col("size")))
+        .groupBy("source").agg(F.max(F.struct("q", "u", "doc_id")).alias("last"))
         .select(F.col("source").alias("c_source"), "last")
     )
     lines = (
-        sources.join(edge, F.col("source").eqNullSafe(F.col("e_source")), "left").drop("e_source")
-        .join(close, F.col("source").eqNullSafe(F.col("c_source")), "left").drop("c_source", "room")
+        sources.join(edge, F.col("source").eqNullSafe(F.col("e_source")), "left").drop("e_source", "e_room")
+        .join(close, F.col("source").eqNullSafe(F.col("c_source")), "left").drop("c_source")
     )
     lines = staged(lines, "mix-lines")
-    at = F.struct(F.col("q"), F.col("doc_id"))
+    at = F.struct("q", "u", "doc_id")
     extra = (
-        F.when((F.col("left") <= 0) | (F.col("size") == 0) | (F.col("q") == float("inf")), 0)
+        F.when((F.col("left") <= 0) | (F.col("size") == 0), 0)
+        .when(F.col("pull") > F.col("limit"), 1)
+        .when(F.col("q").isNull(), 0)
         .when(F.col("e_bin").isNull(), 1)
         .when(F.col("bin") != F.col("e_bin"), (F.col("bin") < F.col("e_bin")).cast("int"))
         .otherwise(F.coalesce((at <= F.col("last")).cast("int"), F.lit(0)))

@@ -308,7 +308,7 @@ ORACLE_SQL["op4_mixing"] = f"""
                CAST(len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\x0B\\f\\r]+')) AS BIGINT) AS size
         FROM documents
     ), s AS (
-        SELECT source, CAST(sum(size) AS BIGINT) AS source_size, avg(floor(sqrt(size)) + 1) AS mean_pull,
+        SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
                row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place
         FROM d GROUP BY source
     ), w AS (
@@ -328,17 +328,32 @@ ORACLE_SQL["op4_mixing"] = f"""
         SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS factor FROM t
     ), p AS (
         SELECT d.doc_id, d.source, d.size, f.source_size, f.target, floor(factor) AS whole,
-               target - floor(factor) * source_size AS "left",
-               (factor - floor(factor)) * (floor(sqrt(size)) + 1) / mean_pull AS p,
+               target - floor(factor) * source_size AS "left", CAST(floor(sqrt(size)) AS BIGINT) + 1 AS pull,
                (CAST('0x' || substr(md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12) AS BIGINT)
                 + 0.5::DOUBLE) / 281474976710656::DOUBLE AS u
         FROM d JOIN f ON d.source IS NOT DISTINCT FROM f.source
+    ), pulls AS (
+        -- If all documents with a larger pull are certain, what is left for those up to this one?
+        SELECT source, pull, "left" - coalesce(sum(sum(size)) OVER (PARTITION BY source ORDER BY pull
+                   ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0)::DOUBLE AS room,
+               sum(sum(size * pull)) OVER (PARTITION BY source ORDER BY pull)::DOUBLE AS weighted
+        FROM p WHERE size > 0 GROUP BY source, pull, "left"
+    ), odds AS (
+        SELECT source, max(pull) AS "limit", arg_max(room, pull) AS room, arg_max(room / weighted, pull) AS odds
+        FROM pulls WHERE room * pull < weighted GROUP BY source
     ), q AS (
-        SELECT *, CASE WHEN p >= 1 THEN 0 WHEN p > 0 THEN u / (1 - u) * (1 - p) / p END AS q FROM p
+        SELECT p.*, odds.room, CASE WHEN pull <= "limit" AND odds > 0
+                                    THEN u / (1 - u) * (1 - odds * pull) / (odds * pull) END AS q
+        FROM p LEFT JOIN odds ON p.source IS NOT DISTINCT FROM odds.source
     ), r AS (
-        SELECT *, sum(size) OVER (PARTITION BY source ORDER BY q, doc_id) AS run FROM q
+        -- Certain documents have no q; their peers are not ranked.
+        SELECT *, sum(CASE WHEN q IS NOT NULL THEN size END) OVER (PARTITION BY source ORDER BY q NULLS LAST, u, doc_id)
+                      AS run,
+               sum(size) OVER (PARTITION BY source, q, u, doc_id) AS same
+        FROM q
     )
     SELECT doc_id, size, source_size, target,
-           CAST(size * (whole + CASE WHEN q IS NOT NULL AND "left" > 0 AND size > 0
-                                      AND run - "left" <= "left" - (run - size) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+           CAST(size * (whole + CASE WHEN "left" <= 0 OR size = 0 THEN 0
+                                     WHEN q IS NULL THEN 1
+                                     WHEN run - room <= room - (run - same) THEN 1 ELSE 0 END) AS BIGINT) AS taken
     FROM r"""

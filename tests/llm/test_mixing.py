@@ -23,6 +23,20 @@ def slow_targets(sizes, weights=(5, 2, 1), share=1.5, most=2):
         capped |= {s: float(most * sizes[s]) for s in over}
 
 
+def slow_odds(own, left):
+    """{(doc_id, size): p}: more and more documents are certain, until no p of the others reaches 1."""
+    pull = {(d, n): math.isqrt(n) + 1 for d, n in own if n}
+    certain = set()
+    while True:
+        open_ = [x for x in pull if x not in certain]
+        rest = left - sum(n for _, n in certain)
+        c = rest / sum(pull[x] * x[1] for x in open_) if open_ else 0.0
+        more = {x for x in open_ if c * pull[x] >= 1}
+        if not more:
+            return {**{x: c * pull[x] for x in open_}, **{x: 1.0 for x in certain}}
+        certain |= more
+
+
 def slow_mix(rows):
     """rows: (doc_id, size, source). Copies by (doc_id, size, source), all rows of a source ranked at once."""
     sizes = defaultdict(int)
@@ -35,20 +49,20 @@ def slow_mix(rows):
         factor = target[source] / sizes[source] if sizes[source] else 0.0
         whole = math.floor(factor)
         left = target[source] - whole * sizes[source]
-        pull = {(d, n): math.isqrt(n) + 1 for d, n in own}
-        mean = sum(pull[x] for x in own) / len(own)
         ranked = []
-        for d, n in own:
-            p = (factor - whole) * pull[d, n] / mean
+        extra = set()
+        for (d, n), p in slow_odds(own, left).items():
             h = hashlib.md5(f"{mixing.SEED}:{'' if d is None else d}".encode()).hexdigest()
             u = (int(h[:12], 16) + 0.5) / 2.0**48
-            if n and p > 0:
-                ranked.append((0.0 if p >= 1 else u / (1 - u) * (1 - p) / p, d, n))
+            if p >= 1:
+                extra.add((d, n))
+            elif p > 0:
+                ranked.append((u / (1 - u) * (1 - p) / p, u, d, n))
+        room = left - sum(n for _, n in extra)
         run = 0
-        extra = set()
-        for q, d, n in sorted(ranked):
+        for q, u, d, n in sorted(ranked):
             run += n
-            if run - left <= left - (run - n):
+            if run - room <= room - (run - n):
                 extra.add((d, n))
         for d, n in own:
             copies[d, n, source] = whole + ((d, n) in extra)
@@ -114,3 +128,35 @@ def test_odds_favour_longer_documents(spark):
     taken = {r.size: r.share for r in mixing.decided(docs).groupBy("size").agg({"copies": "avg"}).withColumnRenamed("avg(copies)", "share").collect()}
     # e = 1.5: one certain copy, and half of the words once more; odds rise with the root of the size.
     assert taken[100] > taken[25] > 1
+
+
+def test_realised_inclusion_is_near_the_odds(spark):
+    """100 sources of equal make-up, each with a few documents that hold a quarter of its words."""
+    make_up = [20] * 400 + [60] * 200 + [200] * 80 + [3000] * 4
+    runs, share = 100, 1.3
+    rows = [(s * 1000 + i, n, f"s{s:03}") for s in range(runs) for i, n in enumerate(make_up)]
+    sizes = spark.createDataFrame(rows, "doc_id long, n int, source string").repartition(8)
+    docs = sizes.selectExpr("doc_id", "source", "repeat('w ', n) as text")
+    got = mixing.decided(docs, weights=(1,), share=share).groupBy("size").agg({"copies": "avg"}).collect()
+    p = {n: v for (_, n), v in slow_odds(list(enumerate(make_up)), sum(make_up) * (share - 1)).items()}
+    assert p[3000] > 0.7 and p[20] < 0.1
+    for r in got:
+        draws = runs * make_up.count(r.size)
+        # Four standard errors, and what stopping at words rather than at a count may shift.
+        near = 4 * math.sqrt(p[r.size] * (1 - p[r.size]) / draws) + 0.005
+        assert r["avg(copies)"] - 1 == pytest.approx(p[r.size], abs=near), (r, p[r.size])
+
+
+def test_long_documents_are_certain_and_short_ones_still_get_in(spark):
+    """The long documents' odds stop at 1; what they leave goes to the others by their odds."""
+    make_up = [50] * 2000 + [3000] * 5
+    docs = spark.createDataFrame(list(enumerate(make_up)), "doc_id long, n int").selectExpr(
+        "doc_id", "'s' as source", "repeat('w ', n) as text"
+    )
+    total = sum(make_up)
+    got = mixing.decided(docs, share=1.5).collect()
+    odds = slow_odds(list(enumerate(make_up)), total / 2)
+    assert odds[2000, 3000] == 1.0 and 0 < odds[0, 50] < 1
+    assert all(r.copies == 2 for r in got if r.size == 3000)
+    short = [r.copies - 1 for r in got if r.size == 50]
+    assert sum(short) / len(short) == pytest.approx(odds[0, 50], abs=0.01)
