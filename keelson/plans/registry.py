@@ -262,6 +262,25 @@ def q_pipeline_calc_fleet(spark, sf):
     return calc(_raw(spark, sf, keys=["hnum"]), keys=["hnum"])
 
 
+def q_fleet_unlike_raw(spark, sf):
+    """Three hulls with unlike tag lists, sources and rules in one job: the fleet's raw wide frame."""
+    from keelson.plans.fleet import fleet_raw
+    return fleet_raw(tb.unlike_reader(spark, sf), tb.unlike_catalog(spark), tiebreak=["seq"])
+
+
+def q_stored_fleet(spark, sf):
+    """The calc table of the same fleet as stored after two overlapping loads."""
+    import uuid
+    from keelson.plans.fleet import load_fleet
+    from keelson.plans.jobs import PARTITION_COL
+    from keelson.session import checkpoint_dir
+    base = f"{checkpoint_dir(spark)}/keelson-stored-fleet-{uuid.uuid4().hex}"
+    for window in ({"end": TARGET_END}, {"start": SOURCE_START}):
+        load_fleet(spark, tb.unlike_reader(spark, sf), tb.unlike_catalog(spark), f"{base}/raw", f"{base}/calc",
+                   tiebreak=["seq"], **window)
+    return spark.read.parquet(f"{base}/calc").drop(PARTITION_COL)
+
+
 def q_minute_view_1h(spark, sf):
     """The aligned view over the testbed catalog, one-hour buckets (1 minute leaves no bucket shared by all sources)."""
     from keelson.plans.view import minute_view
@@ -503,6 +522,8 @@ QUERIES: dict[str, QueryFn] = {
     "read_by_position": q_read_by_position,
     "pipeline_raw_fleet": q_pipeline_raw_fleet,
     "pipeline_calc_fleet": q_pipeline_calc_fleet,
+    "fleet_unlike_raw": q_fleet_unlike_raw,
+    "stored_fleet": q_stored_fleet,
 }
 
 
@@ -656,6 +677,54 @@ def _raw_table_ctes(
     return ctes
 
 
+# Sources of the fleet's two other hulls by priority, as (event, [(raw text, type, columns)]), and their sums.
+_SHIP_A = [
+    ("view", [("value_txt", "FLOAT", "ge1_power ge1_fg_flow vdr_relative_wind_speed"),
+              ("angle_txt", "FLOAT", "ge2_power vdr_relative_wind_angle"), ("sog_txt", "FLOAT", "vdr_aivdo_sog ge2_fg_flow"),
+              ("flag_txt", "BOOLEAN", "me1_fg_use me2_fg_use me1_fo_vlsfo_use me2_fo_vlsfo_use me1_fo_lsmgo_use")]),
+    ("error", [("value_txt", "FLOAT", "ge3_power me1_fo_flow ge3_fg_flow"),
+               ("user_txt", "FLOAT", "ge4_power me2_fo_flow auxb_fo_lsmgo_flow"),
+               ("flag_txt", "BOOLEAN", "me2_fo_lsmgo_use ge1_fg_use ge2_fg_use ge3_fg_use ge4_fg_use")]),
+    ("signup", [("value_txt", "FLOAT", "me1_fg_flow ge4_fg_flow ge_fo_flow"),
+                ("user_txt", "FLOAT", "me2_fg_flow auxb_fo_vlsfo_flow")]),
+]
+_SHIP_C = [
+    ("click", [("value_txt", "FLOAT", "me1_fo_flow ge_fo_flow"), ("user_txt", "FLOAT", "me2_fo_flow"),
+               ("sog_txt", "FLOAT", "ge2_1_power"), ("angle_txt", "FLOAT", "vdr_relative_wind_speed")]),
+    ("purchase", [("value_txt", "FLOAT", "vdr_relative_wind_angle ge2_2_power"), ("sog_txt", "FLOAT", "vdr_aivdo_sog"),
+                  ("user_txt", "FLOAT", "me1_fg_flow"), ("user_txt", "INTEGER", "ge_running_hours"),
+                  ("angle_txt", "FLOAT", "me2_fg_flow"), ("flag_txt", "BOOLEAN", "hatch_open")]),
+]
+_SUMS_A = {
+    "ge_fg_flow": "ge1_fg_flow + ge2_fg_flow + ge3_fg_flow + ge4_fg_flow", "auxb_fo_flow": "auxb_fo_lsmgo_flow + auxb_fo_vlsfo_flow",
+    "me_fo_flow": "me1_fo_flow + me2_fo_flow", "me_fg_flow": "me1_fg_flow + me2_fg_flow",
+    **{f"ge{i}_load": f"CAST(100.0 AS FLOAT) * ge{i}_power / CAST({kw} AS FLOAT)" for i, kw in enumerate((2750, 3670, 3670, 2750), 1)},
+}
+
+
+def _fleet_ctes() -> list[str]:
+    """CTEs ending in ``fleet``: each hull's own chain of left joins, their rows united by column name."""
+    ship_b = [(event, [(text, kind, column) for column, text, kind in columns]) for event, _, columns in _SOURCES]
+    ctes, parts = [RAW_SQL], []
+    for rest, hull, sources, sums in ((0, "H2508", _SHIP_A, _SUMS_A), (1, "H2521", ship_b, _DERIVED), (2, "H2532", _SHIP_C, _DERIVED)):
+        names = []
+        for i, (event, tags) in enumerate(sources):
+            typed = [(f"{_typed(text, kind)} AS {c}", c) for text, kind, columns in tags for c in columns.split()]
+            own = ", ".join(c for _, c in typed)
+            names.append(own)
+            ctes.append(f"""{hull}_{i} AS (
+  SELECT ds_timestamp, id AS id_source_{i + 1}, {own} FROM (
+    SELECT epoch_ms({_floor('id', QUARTER_MIN_MS)}) AS ds_timestamp, id, seq, {own} FROM (
+      SELECT {_ID} AS id, seq, {', '.join(t for t, _ in typed)} FROM raw
+      WHERE source = '{event}' AND CAST(user_txt AS BIGINT) % 4 = {rest}))
+  QUALIFY row_number() OVER (PARTITION BY ds_timestamp ORDER BY id, seq) = 1)""")
+        joins = " ".join(f"LEFT JOIN {hull}_{i} ON {hull}_{i}.ds_timestamp = {hull}_0.ds_timestamp" for i in range(1, len(sources)))
+        ids = ", ".join(f"id_source_{i + 1}" for i in range(len(sources)))
+        made = ", ".join(f"CAST({e} AS FLOAT) AS {c}" for c, e in sums.items())
+        parts.append(f"SELECT '{hull}' AS hnum, {hull}_0.ds_timestamp, {', '.join(names)}, {made}, {ids} FROM {hull}_0 {joins}")
+    return [*ctes, "fleet AS (" + "\nUNION ALL BY NAME\n".join(parts) + ")"]
+
+
 def _view_sql(every_ms: int) -> str:
     ctes = [RAW_SQL]
     names_all = []
@@ -846,6 +915,9 @@ FROM v JOIN c ON c.ds_date = v.ds_date AND c.b = v.b"""
     sql["pipeline_raw_fleet"] = _with(RAW_SQL, *fleet) + "SELECT * FROM fleet"
     sql["pipeline_calc_fleet"] = _with(RAW_SQL, *fleet) + _calc_select("fleet", keys=("hnum",))
 
+    sql["fleet_unlike_raw"] = _with(*_fleet_ctes()) + "SELECT * FROM fleet"
+    sql["stored_fleet"] = _with(*_fleet_ctes()) + _calc_select("fleet", keys=("hnum",))
+
     pair = [RAW_SQL, *_raw_table_ctes("tgt", None, TARGET_END), *_raw_table_ctes("src0", SOURCE_START, None),
             f"src AS ({_REVISE} FROM src0)"]
     sql["upsert_raw"] = _with(*pair) + _merge_sql("tgt", "src")

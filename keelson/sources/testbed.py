@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from keelson.session import prepare
 from keelson.sources.scans import day_bounds
-from keelson.sources.tagcatalog import CATALOG_COLUMNS, Tag
+from keelson.sources.tagcatalog import CATALOG_COLUMNS, CATALOG_SCHEMA, Tag
 
 # Events.event_type -> source table name (base source first).
 EVENT_SOURCES = {
@@ -72,6 +72,47 @@ TESTBED_TAGS = [
     for name, table, tag, unit, dtype in _TESTBED_TAGS
 ]
 
+# Catalogs of two hulls unlike the testbed's, as (raw tag, data_type, col_names) by source table.
+_UNLIKE_TAGS = {
+    "H2508": {
+        "ev_ias_view_pivot": [
+            ("value_txt", "FLOAT", "ge1_power ge1_fg_flow vdr_relative_wind_speed"),
+            ("angle_txt", "FLOAT", "ge2_power vdr_relative_wind_angle"),
+            ("sog_txt", "FLOAT", "vdr_aivdo_sog ge2_fg_flow"),
+            ("flag_txt", "BOOLEAN", "me1_fg_use me2_fg_use me1_fo_vlsfo_use me2_fo_vlsfo_use me1_fo_lsmgo_use"),
+        ],
+        "ev_vdr_error_pivot": [
+            ("value_txt", "FLOAT", "ge3_power me1_fo_flow ge3_fg_flow"),
+            ("user_txt", "FLOAT", "ge4_power me2_fo_flow auxb_fo_lsmgo_flow"),
+            ("flag_txt", "BOOLEAN", "me2_fo_lsmgo_use ge1_fg_use ge2_fg_use ge3_fg_use ge4_fg_use"),
+        ],
+        "ev_vdr_signup_pivot": [
+            ("value_txt", "FLOAT", "me1_fg_flow ge4_fg_flow ge_fo_flow"),
+            ("user_txt", "FLOAT", "me2_fg_flow auxb_fo_vlsfo_flow"),
+        ],
+    },
+    "H2532": {
+        "ev_vdr_click_pivot": [
+            ("value_txt", "FLOAT", "me1_fo_flow ge_fo_flow"), ("user_txt", "FLOAT", "me2_fo_flow"),
+            ("sog_txt", "FLOAT", "ge2_1_power"), ("angle_txt", "FLOAT", "vdr_relative_wind_speed"),
+        ],
+        "ev_vdr_purchase_pivot": [
+            ("value_txt", "FLOAT", "vdr_relative_wind_angle ge2_2_power"), ("sog_txt", "FLOAT", "vdr_aivdo_sog"),
+            ("user_txt", "FLOAT", "me1_fg_flow"), ("user_txt", "INTEGER", "ge_running_hours"),
+            ("angle_txt", "FLOAT", "me2_fg_flow"), ("flag_txt", "BOOLEAN", "hatch_open"),
+        ],
+    },
+}
+
+UNLIKE_TAGS = TESTBED_TAGS + [
+    Tag(hull, name, TESTBED_DB, table, tag, None, None, dtype)
+    for hull, tables in _UNLIKE_TAGS.items() for table, tags in tables.items()
+    for tag, dtype, names in tags for name in names.split()
+]
+
+# Hull of a reading by user_id % 4, written as ships do; the last one has no catalog.
+UNLIKE_HULLS = ("H2508", "H2521", " h2532", "H9999")
+
 # Fleet runs: readings belong to hull user_id % FLEET_SIZE; all hulls share the testbed catalog.
 FLEET_SIZE = 5
 
@@ -164,6 +205,18 @@ def unclocked_reader(spark: SparkSession, sf_dir: str) -> SourceReader:
         "ds_timestamp", F.when(F.col("seq") % 89 == 0, F.lit("n/a")).otherwise(F.col("ds_timestamp"))))
 
 
+def unlike_reader(spark: SparkSession, sf_dir: str) -> SourceReader:
+    """The same readings, sent by hulls whose catalogs differ."""
+    hulls = F.array(*[F.lit(h) for h in UNLIKE_HULLS])
+    at = F.pmod(F.col("user_txt").cast("long"), F.lit(len(UNLIKE_HULLS))).cast("int")
+    return SourceReader(spark, sf_dir, lambda r: r.withColumn("hnum", F.get(hulls, at)))
+
+
+def unlike_catalog(spark: SparkSession) -> DataFrame:
+    """The three hulls' catalogs as one table."""
+    return spark.createDataFrame([tuple(getattr(t, c) for c in CATALOG_COLUMNS) for t in UNLIKE_TAGS], CATALOG_SCHEMA)
+
+
 def _hull(nationkey: Column) -> Column:
     return F.concat(F.lit("H"), F.lpad(nationkey.cast("string"), 4, "0"))
 
