@@ -11,6 +11,15 @@ staged once under ``spark.checkpoint.dir``, only the partitions it touches are
 read from the table and merged, the merged rows are staged too, and exactly
 those partitions are swapped in.
 
+Appends: where the keys hold ``sort_col``, a touched partition without any stored
+row between the load's first and last row of it can share no key with the load.
+Its new rows are written as files of their own and moved in; no stored file is
+read but for its statistics, or rewritten. A partition with MOST_SMALL small files
+is rewritten instead.
+
+Files: a partition that needs several files gets them by ranges of ``sort_col``,
+so they do not overlap and a filter on a day opens the one or two that hold it.
+
 Columns: a stored table has a declared schema (``sources.storage``). What the
 source lacks stays as stored (NULL in inserted rows), as in a MERGE whose update
 list does not name it; what the table lacks is refused, or added with ``evolve``.
@@ -35,6 +44,7 @@ from __future__ import annotations
 import logging
 import time
 import uuid
+from collections import defaultdict
 from typing import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -44,8 +54,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from keelson.session import checkpoint_dir
 from keelson.sources.storage import (
-    Claim, TableBusy, data_files, declare_schema, delete_path, drop_note, holds_data, path_exists, read_note, read_stored,
-    table_location, take_over,
+    Claim, TableBusy, data_files, declare_schema, delete_path, drop_note, files_below, holds_data, move_files, path_exists,
+    read_note, read_stored, table_location, take_over,
 )
 
 log = logging.getLogger(__name__)
@@ -56,6 +66,10 @@ ATTEMPTS = 5
 WAIT = 600.0
 #: Below a catalog table's folder, hidden: the folders of partitions swapped in by location.
 LOADS = "_loads"
+#: Below a target's folder, hidden: files about to be appended.
+ADDED = "_added"
+#: A partition with so many files below a quarter of the advisory size is rewritten, not appended to.
+MOST_SMALL = 32
 #: Old partition folders are deleted by the first load that starts this many seconds after their swap.
 RETIRE_AFTER = 3600.0
 
@@ -108,8 +122,18 @@ def _supports_merge(spark: SparkSession, table: str) -> bool:
     return bool(provider) and provider[0]["data_type"].lower() in {"iceberg", "delta"}
 
 
-def checked_source(source: DataFrame, keys: Sequence[str], partition_cols: Sequence[str] = ()) -> tuple[int, list]:
-    """(source rows with a NULL key, partition values of the others) in one job; a repeated key is an error."""
+def _range(order: Column) -> list[Column]:
+    lo, hi = F.min(order), F.max(order)
+    return [lo.alias("__lo"), hi.alias("__hi"), lo.cast("string").alias("__lo_text"), hi.cast("string").alias("__hi_text")]
+
+
+def checked_source(
+    source: DataFrame, keys: Sequence[str], partition_cols: Sequence[str] = (), order: str | None = None
+) -> tuple[int, list]:
+    """(source rows with a NULL key, partition values of the others) in one job; a repeated key is an error.
+
+    With ``order``, one of the keys, each partition comes with its range of it (__lo, __hi; also as texts).
+    """
     whole = _not_null(keys)
     per_key = source.groupBy(*dict.fromkeys([*partition_cols, *keys])).agg(F.count(F.lit(1)).alias("__n"))
     repeated = F.when(whole & (F.col("__n") > 1), F.struct(*[F.col(k).cast("string").alias(k) for k in keys]))
@@ -117,6 +141,7 @@ def checked_source(source: DataFrame, keys: Sequence[str], partition_cols: Seque
         F.sum(F.when(~whole, F.col("__n")).otherwise(0)).alias("__null"),
         F.max(F.when(whole, 1).otherwise(0)).alias("__any"),
         F.max(repeated).alias("__twice"),
+        *(_range(F.when(whole, F.col(order))) if order else []),
     ).collect()  # one row per partition the load touches
     for p in parts:
         if p["__twice"] is not None:
@@ -175,7 +200,8 @@ def upsert_table(
         #    cuts its lineage, so a lost executor never re-runs the whole load).
         source.write.parquet(f"{run}/source")
         staged_all = spark.read.schema(source.schema).parquet(f"{run}/source")
-        null_keys, touched = checked_source(staged_all, keys, partition_cols)
+        target.size = sum(n for _, n in files_below(spark, f"{run}/source"))
+        null_keys, touched = checked_source(staged_all, keys, partition_cols, sort_col if sort_col in keys else None)
         if null_keys:
             log.warning("%d source rows have a NULL key and are not loaded", null_keys)
         rows = staged_all.where(_not_null(keys))
@@ -196,6 +222,10 @@ class _Target:
     def __init__(self, spark, table, path, partition_cols, sort_col, by_location):
         self.spark, self.table, self.path = spark, table, path
         self.parts, self.sort_col, self.by_location = list(partition_cols), sort_col, by_location
+        self.size = 0  # bytes of the load, once it is staged
+        folder = self.folder() if table is not None and partition_cols else None
+        if folder is not None and path_exists(spark, f"{folder}/{LOADS}"):
+            self.by_location = True  # its partitions are where the catalog says, not below the folder
 
     def folder(self) -> str | None:
         if self.path is not None:
@@ -218,13 +248,49 @@ class _Target:
         return read_stored(self.spark, self.path, StructType([source[c] for c in self.parts]))
 
     def version(self, touched) -> list:
-        """The files of the touched partitions: a swap always changes them."""
+        """The files of each touched partition: a swap or an append always changes them."""
         if not self.parts:
-            return data_files(self.spark, self.folder())
+            return [data_files(self.spark, self.folder())]
         folders = _locations(self.spark, self.table, self.parts) if self.by_location else {}
         at = lambda r: f"{self.folder()}/{_partition_path(self.spark, self.parts, r)}"
         where = [folders.get(_spec_key(self.parts, r), at(r)) for r in touched]
-        return [(f, data_files(self.spark, f)) for f in sorted(where)]
+        return [data_files(self.spark, f) for f in where]
+
+    def apart(self, existing: DataFrame, touched, keys: Sequence[str], base: list) -> list:
+        """The touched partitions that can share no key with the load: no stored row lies within its range of them.
+
+        One job that reads the order column alone, and by its statistics only where files reach into the load's range;
+        it returns a row per touched partition at most.
+        """
+        order, parts = self.sort_col, self.parts
+        if self.by_location or order not in keys:
+            return []
+        small = _file_bytes(self.spark) / 4
+        few = [sum(size < small for _, size in files) < MOST_SMALL for files in base]
+        if not any(few):
+            return []
+        joined = set()
+        if any(base):
+            kind = existing.schema[order].dataType
+            # As texts, which Spark reads as it wrote them, in whatever time zone Python runs.
+            lo = min(touched, key=lambda r: r["__lo"])["__lo_text"]
+            hi = max(touched, key=lambda r: r["__hi"])["__hi_text"]
+            within = F.col(order).between(F.lit(lo).cast(kind), F.lit(hi).cast(kind))
+            # Whatever partition a key is stored in, a load that gives it another one moves it: all touched ones are
+            # asked, and where two can share a key both are rewritten.
+            stored = existing.where(_partition_filter(parts, touched) & within if parts else within)
+            held = stored.groupBy(*parts).agg(F.min(order).alias("__lo"), F.max(order).alias("__hi"))
+            fixed = [c for c in parts if c in keys]  # rows that differ here have different keys
+            values = lambda r, columns: tuple(r[c] for c in columns)
+            spans = defaultdict(list)
+            for h in held.collect():
+                if h["__lo"] is not None:
+                    spans[values(h, fixed)].append(h)
+            for r in touched:
+                for h in spans[values(r, fixed)]:
+                    if h["__lo"] <= r["__hi"] and r["__lo"] <= h["__hi"]:
+                        joined |= {values(r, parts), values(h, parts)}
+        return [r for r, ok in zip(touched, few, strict=True) if ok and tuple(r[c] for c in parts) not in joined]
 
     def add_columns(self, source: StructType, existing: DataFrame) -> DataFrame:
         new = StructType([f for f in source.fields if f.name not in existing.columns])
@@ -250,20 +316,33 @@ class _Target:
             return True
         existing = self.add_columns(rows.schema, existing)
         base = self.version(touched)
-        # 2. Only the partitions the source touches are read and rewritten. Their values are few (one per month of
-        #    the load window); as a literal filter they prune the scan.
-        target = existing.where(_partition_filter(parts, touched)) if parts else existing
-        # 3. Merge, stage the result, then swap the touched partitions in: the final write never reads the
-        #    partitions it replaces.
-        partial = {"partial": True} if set(target.columns) - set(rows.columns) else {}
-        merged = _arranged(merge_frames(target, rows, keys, **partial), parts, sort_col)
+        # 2. Partitions that share no key with the load are appended to. Of the others, only those the source touches
+        #    are read and rewritten. Their values are few (one per month of the load window); as a literal filter they
+        #    prune the scan.
         folder = self.folder()
-        if self.by_location:
-            staged = f"{folder}/{LOADS}/{uuid.uuid4().hex}"
-        merged.write.partitionBy(*parts).parquet(staged)
-        declare_schema(spark, staged, merged.schema)
+        apart = self.apart(existing, touched, keys, base)
+        appended = {id(r) for r in apart}
+        joined = [r for r in touched if id(r) not in appended]
+        added = f"{folder}/{ADDED}/{uuid.uuid4().hex}" if apart else None
+        left = False
         try:
-            with _claimed(spark, folder, staged, wait) as claim:
+            if apart:
+                new = rows.where(_partition_filter(parts, apart)) if parts and joined else rows
+                _arranged(new, parts, sort_col, self.size).write.partitionBy(*parts).parquet(added)
+            # 3. Merge, stage the result, then swap the touched partitions in: the final write never reads the
+            #    partitions it replaces.
+            if joined:
+                given = rows.where(_partition_filter(parts, joined)) if apart else rows
+                target = existing.where(_partition_filter(parts, joined)) if parts else existing
+                partial = {"partial": True} if set(target.columns) - set(rows.columns) else {}
+                merged = merge_frames(target, given, keys, **partial)
+                if self.by_location:
+                    staged = f"{folder}/{LOADS}/{uuid.uuid4().hex}"
+                _arranged(merged, parts, sort_col if self.by_location else None).write.partitionBy(*parts).parquet(staged)
+                declare_schema(spark, staged, merged.schema)
+                if self.by_location:
+                    staged = self.in_ranges(staged)
+            with _claimed(spark, folder, staged if joined else None, wait, added) as claim:
                 if self.version(touched) != base:
                     if self.by_location:
                         delete_path(spark, staged)
@@ -271,8 +350,9 @@ class _Target:
                 if self.path is not None:
                     declare_schema(spark, folder, existing.schema)
                 try:
-                    _replace(spark, staged, folder, self.table, parts, sort_col)
+                    _install(spark, staged if joined else None, added, folder, self.table, parts, sort_col)
                 except BaseException:
+                    left = True
                     claim.leave()
                     raise
         except TableBusy as busy:
@@ -282,11 +362,27 @@ class _Target:
                 self.recover()
                 return False
             raise
+        finally:
+            if added and not left:
+                delete_path(spark, added)
         return True
 
+    def in_ranges(self, staged: str) -> str:
+        """A copy of staged partitions of several files each, cut by ranges; the same folder if there is none."""
+        text = StructType([StructField(c, StringType(), True) for c in self.parts])
+        n = _ranges(self.spark, staged)
+        if not n or self.sort_col is None:
+            return staged
+        rows = read_stored(self.spark, staged, text)
+        again = f"{staged}-ranges"
+        _ranged(rows, self.parts, self.sort_col, n).write.partitionBy(*self.parts).parquet(again)
+        declare_schema(self.spark, again, rows.schema)
+        delete_path(self.spark, staged)
+        return again
+
     def create(self, rows: DataFrame, wait: float) -> bool:
         """The first load. False if another writer created the target meanwhile."""
-        arranged = _arranged(rows, self.parts, self.sort_col)
+        arranged = _arranged(rows, self.parts, self.sort_col, self.size)
         if self.table is not None:
             if self.spark.catalog.tableExists(self.table):
                 return False
@@ -312,9 +408,9 @@ class Unfinished(TableBusy):
 class _claimed:
     """Hold the table's note while its partitions are replaced; wait for another writer, finish a dead one's swap."""
 
-    def __init__(self, spark, folder, staged, wait):
+    def __init__(self, spark, folder, staged, wait, added=None):
         self.spark, self.folder, self.wait = spark, folder, wait
-        self.claim = Claim(spark, folder, staged)
+        self.claim = Claim(spark, folder, staged, added)
         self.left = False
 
     def __enter__(self):
@@ -386,15 +482,30 @@ def finish_swap(spark: SparkSession, folder: str, table: str | None, partition_c
     note = read_note(spark, folder)
     if note is None or not note["dead"] or not take_over(spark, folder):
         return False
-    if note["staged"]:
-        log.warning("finishing an interrupted swap of %s from %s", folder, note["staged"])
-        _replace(spark, note["staged"], folder, table, partition_cols, sort_col)
+    added = note.get("added")
+    if note["staged"] or added:
+        log.warning("finishing an interrupted load of %s from %s", folder, note["staged"] or added)
+        _install(spark, note["staged"], added, folder, table, partition_cols, sort_col)
     drop_note(spark, folder)
+    if added:
+        delete_path(spark, added)
     if note["staged"] and f"/{LOADS}/" not in note["staged"]:
         delete_path(spark, note["staged"])
     return True
 
 
+def _install(spark, staged, added, folder, table, partition_cols, sort_col) -> None:
+    """Replace the partitions of ``staged`` and append the files of ``added``; repeating it is harmless."""
+    if staged:
+        _replace(spark, staged, folder, table, partition_cols, sort_col)
+    if added:
+        move_files(spark, added, folder)
+        if table is not None:
+            if partition_cols:
+                spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+            spark.catalog.refreshTable(table)
+
+
 def _replace(spark, staged, folder, table, partition_cols, sort_col) -> None:
     if not path_exists(spark, staged):
         raise OSError(f"{folder} was left in the middle of a swap and its staged copy {staged} is gone")
@@ -411,7 +522,7 @@ def _replace(spark, staged, folder, table, partition_cols, sort_col) -> None:
         rows = read_stored(spark, staged, types)
         if rows is None:  # nothing to swap in
             return
-    writer = _sorted(rows, partition_cols, sort_col).write.mode("overwrite")
+    writer = _ranged(rows, partition_cols, sort_col, _ranges(spark, staged)).write.mode("overwrite")
     if partition_cols:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols)
     else:
@@ -535,8 +646,36 @@ def _partition_filter(partition_cols: Sequence[str], touched) -> Column:
     return cond
 
 
-def _arranged(df: DataFrame, partition_cols: Sequence[str], sort_col: str | None) -> DataFrame:
-    """Rows of a partition together, in parts of the advisory size; each part sorted."""
+def _file_bytes(spark: SparkSession) -> int:
+    """The size a file should have: AQE's advisory size."""
+    text = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
+
+
+def _ranges(spark: SparkSession, folder: str) -> int:
+    """Into how many ranges staged rows are cut: as many as their files' sizes ask for, 0 if no partition has two files."""
+    files = files_below(spark, folder)
+    folders = [name.rpartition("/")[0] for name, _ in files]
+    if len(set(folders)) == len(folders):
+        return 0
+    return max(1, -(-sum(n for _, n in files) // _file_bytes(spark)))
+
+
+def _ranged(df: DataFrame, partition_cols: Sequence[str], sort_col: str | None, n: int) -> DataFrame:
+    """Rows dealt to n tasks by ranges of (partition, sort_col), so that no two files of a partition overlap."""
+    if n and sort_col and sort_col in df.columns:
+        df = df.repartitionByRange(n, *partition_cols, sort_col)
+    return _sorted(df, partition_cols, sort_col)
+
+
+def _arranged(df: DataFrame, partition_cols: Sequence[str], sort_col: str | None, size: int = 0) -> DataFrame:
+    """Rows of a partition together, in parts of the advisory size; each part sorted.
+
+    Rows known to have more than the advisory size (``size``, in bytes as stored) are dealt by ranges.
+    """
+    n = -(-size // _file_bytes(df.sparkSession))
+    if n > 1 and sort_col and sort_col in df.columns:
+        return _ranged(df, partition_cols, sort_col, n)
     if partition_cols:
         df = df.hint("rebalance", *[F.col(c) for c in partition_cols])
     return _sorted(df, partition_cols, sort_col)

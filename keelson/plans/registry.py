@@ -382,6 +382,22 @@ def q_stored_evolved(spark, sf):
     return read_stored(spark, path, StructType([StructField("ds_day", IntegerType())]))
 
 
+def q_stored_appended(spark, sf):
+    """A stored table through three loads: up to the 10th of each month, the rest (appended where no stored row lies
+    within the load's range of a month), then the 8th to the 12th with newer values (their months are rewritten)."""
+    import uuid
+    from pyspark.sql.types import IntegerType, StructField, StructType
+    from keelson.session import checkpoint_dir
+    from keelson.sources.storage import read_stored
+    path = f"{checkpoint_dir(spark)}/keelson-stored-appended-{uuid.uuid4().hex}"
+    day = F.dayofmonth("ds_timestamp")
+    every = _resampled(spark, sf, HOUR_MS).where("ds_timestamp is not null").withColumn("ds_month", F.month("ds_timestamp"))
+    newer = every.withColumn("value", (F.col("value") + F.lit(1.0).cast("float")).cast("float"))
+    for rows in (every.where(day <= 10), every.where(day > 10), newer.where(day.between(8, 12))):
+        upsert_table(spark, rows, ["source", "ds_timestamp"], path=path, partition_cols=["ds_month"])
+    return read_stored(spark, path, StructType([StructField("ds_month", IntegerType())]))
+
+
 def q_catalog_absent_keys(spark, sf):
     """Stored catalog rows of the hulls with new files whose key the new files no longer have."""
     return absent_keys(tb.customer_catalog(spark, sf), tb.incoming_catalog(spark, sf))
@@ -508,6 +524,7 @@ QUERIES: dict[str, QueryFn] = {
     "catalog_sync": q_catalog_sync,
     "stored_catalog": q_stored_catalog,
     "stored_evolved": q_stored_evolved,
+    "stored_appended": q_stored_appended,
     "single_value_check": q_single_value_check,
     "hull_database_check": q_hull_database_check,
     "source_priority": q_source_priority,
@@ -890,6 +907,10 @@ QUALIFY row_number() OVER (PARTITION BY source, ds_date, b ORDER BY id_source, s
     sql["stored_evolved"] = _with(*conf, f"r AS ({_resampled_sql(HOUR_MS)})") + """
 SELECT source, ds_timestamp, id_source, CASE WHEN day(ds_timestamp) % 4 = 0 THEN value + CAST(1.0 AS FLOAT) ELSE value END AS value,
        CASE WHEN day(ds_timestamp) % 2 = 0 THEN flag END AS flag, CAST(day(ds_timestamp) AS INTEGER) AS ds_day
+FROM r WHERE ds_timestamp IS NOT NULL"""
+    sql["stored_appended"] = _with(*conf, f"r AS ({_resampled_sql(HOUR_MS)})") + """
+SELECT source, ds_timestamp, id_source, CASE WHEN day(ds_timestamp) BETWEEN 8 AND 12 THEN value + CAST(1.0 AS FLOAT) ELSE value END AS value,
+       flag, CAST(month(ds_timestamp) AS INTEGER) AS ds_month
 FROM r WHERE ds_timestamp IS NOT NULL"""
     sql["stored_raw"] = _with(*loads_twice) + _merge_sql("one", "two")
     sql["stored_calc"] = _with(*loads_twice, f"both_loads AS ({_merge_sql('one', 'two')})") + _calc_select("both_loads")

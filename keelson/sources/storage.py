@@ -100,9 +100,9 @@ class Claim:
     repeat. While it is held a thread renews it, so that a note grown old belongs to a writer that died.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, staged: str | None):
+    def __init__(self, spark: SparkSession, folder: str, staged: str | None, added: str | None = None):
         self.spark, self.path = spark, _note(folder)
-        self.text = {"owner": uuid.uuid4().hex, "staged": staged, "state": "running"}
+        self.text = {"owner": uuid.uuid4().hex, "staged": staged, "added": added, "state": "running"}
         self.over = threading.Event()
 
     def take(self) -> bool:
@@ -127,7 +127,8 @@ class Claim:
 
 
 def read_note(spark: SparkSession, folder: str) -> dict | None:
-    """Who holds the table: owner, staged (the copy being swapped in, if any), dead (nobody works on it any more)."""
+    """Who holds the table: owner, staged (the copy being swapped in, if any), added (the files being appended, if any),
+    dead (nobody works on it any more)."""
     text = _read_small(spark, _note(folder))
     if text is None:
         return None
@@ -171,6 +172,35 @@ def data_files(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
     return sorted(f for f in found if not f[0].startswith(("_", ".")))
 
 
+def files_below(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
+    """Full names and sizes of the data files in a folder and the folders below it."""
+    fs, p = _resolve(spark, folder)
+    if not fs.exists(p):
+        return []
+    out, found = [], fs.listFiles(p, True)
+    while found.hasNext():
+        status = found.next()
+        if not status.getPath().getName().startswith(("_", ".")):
+            out.append((status.getPath().toString(), status.getLen()))
+    return out
+
+
+def move_files(spark: SparkSession, staged: str, folder: str) -> int:
+    """Move the data files below one folder to the same places below another, on the same file system.
+
+    A file is moved as a whole, and its name is used once: doing it again moves what is left. Returns how many.
+    """
+    fs, top = _resolve(spark, staged)
+    skip = len(fs.makeQualified(top).toString()) + 1
+    names = [name for name, _ in files_below(spark, staged)]
+    for name in names:
+        to = _resolve(spark, f"{folder}/{name[skip:]}")[1]
+        fs.mkdirs(to.getParent())
+        if not fs.rename(_resolve(spark, name)[1], to):
+            raise OSError(f"could not move {name} to {folder}")
+    return len(names)
+
+
 def declared_schema(spark: SparkSession, folder: str) -> tuple[int, StructType | None]:
     """The schema declared for a stored folder and its number (0: none)."""
     fs, p = _resolve(spark, folder)

@@ -173,7 +173,8 @@ def test_interrupted_swap_is_finished_by_the_next_load(spark, scratch, monkeypat
 
     monkeypatch.setattr(module, "_replace", torn)
     with pytest.raises(RuntimeError, match="lost"):
-        upsert_table(spark, _t(spark, [(D(2024, 1, 6), 3.0, 3.0, 202401)]), partition_cols=["ds_month"], **target)
+        upsert_table(spark, _t(spark, [(D(2024, 1, 5), 1.0, 1.0, 202401), (D(2024, 1, 6), 3.0, 3.0, 202401)]),
+                     partition_cols=["ds_month"], **target)  # a stored key is among them, so the month is replaced
     monkeypatch.setattr(module, "_replace", real)
     upsert_table(spark, _t(spark, [(D(2024, 1, 7), 4.0, 4.0, 202401)]), partition_cols=["ds_month"], **target)
     rows = spark.read.parquet(folder).collect()
