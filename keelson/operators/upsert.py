@@ -54,8 +54,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from keelson.session import checkpoint_dir
 from keelson.sources.storage import (
-    Claim, TableBusy, data_files, declare_schema, delete_path, drop_note, files_below, holds_data, move_files, path_exists,
-    read_note, read_stored, table_location, take_over,
+    Claim, TableBusy, data_files, declare_schema, delete_path, drop_note, files_below, holds_data, move_files,
+    partition_locations as _locations, path_exists, read_note, read_stored, spec_key as _spec_key, table_location, take_over,
 )
 
 log = logging.getLogger(__name__)
@@ -536,11 +536,6 @@ def _replace(spark, staged, folder, table, partition_cols, sort_col) -> None:
         spark.catalog.refreshTable(table)
 
 
-def _spec_key(partition_cols: Sequence[str], row) -> str:
-    """A partition's values as the catalog prints them."""
-    return "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if row[c] is None else row[c]}" for c in partition_cols)
-
-
 def _partition_path(spark, partition_cols: Sequence[str], row) -> str:
     """A partition's folder as Spark's writers name it."""
     escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
@@ -548,20 +543,6 @@ def _partition_path(spark, partition_cols: Sequence[str], row) -> str:
     return "/".join(f"{escape(c)}={text(row[c])}" for c in partition_cols)
 
 
-def _locations(spark, table: str, partition_cols: Sequence[str]) -> dict[str, str]:
-    """Where the catalog says that each partition of a table is."""
-    jvm, session = spark._jvm, spark._jsparkSession
-    name = session.sessionState().sqlParser().parseTableIdentifier(table)
-    found = session.sessionState().catalog().listPartitions(name, jvm.scala.Option.empty())
-    out = {}
-    for i in range(found.size()):
-        part = found.apply(i)
-        spec = part.spec()
-        row = {c: spec.apply(c) for c in partition_cols}
-        out[_spec_key(partition_cols, row)] = part.location().toString()
-    return out
-
-
 def switch_locations(spark, staged: str, folder: str, table: str, partition_cols: Sequence[str]) -> None:
     """Point the catalog's partitions at the folders of ``staged``, one atomic change each; repeating it is harmless."""
     before = _locations(spark, table, partition_cols)

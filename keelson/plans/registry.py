@@ -493,6 +493,26 @@ def q_read_by_position(spark, sf):
     return read_by_position(spark, [f"{base}/dt=1", f"{base}/dt=2"], StructType.fromDDL(_LAYOUT_SCHEMA), base_path=base)
 
 
+def q_table_by_position(spark, sf):
+    """The same folders as partitions of an external table, added with their layouts; a column is added to the table,
+    which is then read by position: (cola, colb, colc) are a file's first, second and third column."""
+    import uuid
+    from pyspark.sql.types import StructType
+    from keelson.plans import tables
+    from keelson.sources.scans import read_table_by_position
+    base, name = tb.write_layouts(spark, sf), f"by_position_{uuid.uuid4().hex}"
+    two = StructType.fromDDL(_LAYOUT_SCHEMA)
+    tables.create_external_table(spark, "default", name, two, base)
+    try:
+        tables.add_partitions(spark, f"default.{name}", [({"dt": 1}, f"{base}/dt=1")], two)
+        shifted = StructType.fromDDL("colc double, " + _LAYOUT_SCHEMA)
+        tables.add_partitions(spark, f"default.{name}", [({"dt": 2}, f"{base}/dt=2")], shifted)
+        tables.add_columns(spark, f"default.{name}", StructType.fromDDL("colc double"))
+        return read_table_by_position(spark, f"default.{name}")
+    finally:  # an external table: its files stay
+        spark.sql(f"DROP TABLE default.{name}")
+
+
 QUERIES: dict[str, QueryFn] = {
     "resample_first_15s": q_resample_first_15s,
     "resample_first_1h": q_resample_first_1h,
@@ -537,6 +557,7 @@ QUERIES: dict[str, QueryFn] = {
     "tag_catalog": q_tag_catalog,
     "schema_evolution_by_name": q_schema_evolution_by_name,
     "read_by_position": q_read_by_position,
+    "table_by_position": q_table_by_position,
     "pipeline_raw_fleet": q_pipeline_raw_fleet,
     "pipeline_calc_fleet": q_pipeline_calc_fleet,
     "fleet_unlike_raw": q_fleet_unlike_raw,
@@ -932,6 +953,9 @@ FROM v JOIN c ON c.ds_date = v.ds_date AND c.b = v.b"""
     sql["read_by_position"] = (
         f"SELECT value AS cola, CAST(user_id AS DOUBLE) AS colb, 1 AS dt FROM events WHERE event_type IN ({first})\n"
         f"UNION ALL\nSELECT {k}, value, 2 FROM events WHERE event_type NOT IN ({first})")
+    sql["table_by_position"] = (
+        f"SELECT value AS cola, CAST(user_id AS DOUBLE) AS colb, CAST(NULL AS DOUBLE) AS colc, 1 AS dt FROM events WHERE event_type IN ({first})\n"
+        f"UNION ALL\nSELECT {k}, value, CAST(user_id AS DOUBLE), 2 FROM events WHERE event_type NOT IN ({first})")
     fleet = _raw_table_ctes("fleet", keys=("hnum",))
     sql["pipeline_raw_fleet"] = _with(RAW_SQL, *fleet) + "SELECT * FROM fleet"
     sql["pipeline_calc_fleet"] = _with(RAW_SQL, *fleet) + _calc_select("fleet", keys=("hnum",))

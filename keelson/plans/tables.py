@@ -172,6 +172,31 @@ def add_partition(spark: SparkSession, table: str, spec: dict, location: str) ->
     spark.catalog.refreshTable(table)
 
 
+def add_partitions(
+    spark: SparkSession, table: str, partitions: Sequence[tuple[dict, str]], layout: StructType | None = None
+) -> None:
+    """Register partition folders, (values, location) each, in one statement.
+
+    ``layout``: the physical columns of their files, noted beside the table for readers by position, who then open no
+    footer to learn them (``sources.scans.read_table_by_position``).
+    """
+    from keelson.sources.storage import declare_layout, spec_key, table_location
+
+    if not partitions:
+        return
+    cols = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if layout is not None:
+        if set(layout.names) & set(cols):
+            raise ValueError(f"partition columns {sorted(set(layout.names) & set(cols))} are not columns of files")
+        declare_layout(spark, table_location(spark, table), [spec_key(cols, values) for values, _ in partitions], layout)
+    quoted = lambda v: "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(v, str) else str(v)
+    added = " ".join(
+        f"PARTITION ({', '.join(f'`{c}` = {quoted(values[c])}' for c in cols)}) LOCATION '{location}'" for values, location in partitions
+    )
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {added}")
+    spark.catalog.refreshTable(table)
+
+
 def create_or_replace_view(spark: SparkSession, name: str, select_sql: str) -> None:
     """Persistent view over catalog tables (``select_sql`` must reference catalog tables only)."""
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS {select_sql}")

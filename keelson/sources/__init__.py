@@ -6,6 +6,7 @@ from keelson.sources.scans import (  # noqa: F401
     project_source,
     read_by_name,
     read_by_position,
+    read_table_by_position,
     scan_source,
     table_reader,
 )

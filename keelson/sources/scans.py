@@ -8,13 +8,14 @@ projection selects only catalogued tags, so Parquet reads just those columns.
 from __future__ import annotations
 
 import datetime as dt
-from typing import Callable, Iterable, Sequence
+from typing import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType, TimestampNTZType, TimestampType
+from pyspark.sql.types import StructField, StructType, TimestampNTZType, TimestampType
 
 from keelson.functions.conform import epoch_ms, typed_tag
+from keelson.sources.storage import declared_layouts, partition_locations, table_location
 from keelson.sources.tagcatalog import Tag
 
 TableReader = Callable[[str], DataFrame]
@@ -151,25 +152,34 @@ def read_by_position(
     folders: Sequence[str],
     schema: StructType,
     base_path: str | None = None,
+    layouts: Mapping[str, StructType] | None = None,
+    partition_fields: Sequence[StructField] = (),
 ) -> DataFrame:
     """Parquet partition folders resolved by column *position* against ``schema``.
 
     The i-th declared column takes the i-th physical column of a folder's files
     (positions a layout lacks read as NULL). Folders are grouped by physical
     layout and each layout is read with one multi-path scan, so the plan has one
-    scan per distinct layout, not one per partition. With ``base_path`` the
-    partition columns (e.g. ``dt=2``) are discovered from the folder names.
+    scan per distinct layout, not one per partition. ``layouts`` names the
+    physical columns of folders; of a folder it lacks, a footer is read. With
+    ``base_path`` the partition columns (e.g. ``dt=2``) are discovered from the
+    folder names, of the types of ``partition_fields`` where given.
     """
-    layouts: dict[tuple[str, ...], list[str]] = {}
+    known = layouts or {}
+    groups: dict[str, tuple[StructType, list[str]]] = {}
     for folder in folders:
-        layouts.setdefault(tuple(spark.read.parquet(folder).columns), []).append(folder)
+        layout = known.get(folder)
+        if layout is None:
+            layout = spark.read.parquet(folder).schema
+        groups.setdefault(layout.json(), (layout, []))[1].append(folder)
     frames = []
-    for physical, group in layouts.items():
+    for layout, group in groups.values():
         reader = spark.read.option("basePath", base_path) if base_path else spark.read
-        df = reader.parquet(*group)
+        df = reader.schema(StructType([*layout.fields, *partition_fields])).parquet(*group)
+        physical = layout.names
         partition_cols = [c for c in df.columns if c not in physical]
         cols = [
-            (F.col(physical[i]) if i < len(physical) else F.lit(None)).cast(f.dataType).alias(f.name)
+            (_raw_col(physical[i]) if i < len(physical) else F.lit(None)).cast(f.dataType).alias(f.name)
             for i, f in enumerate(schema.fields)
         ]
         frames.append(df.select(*cols, *partition_cols))
@@ -177,3 +187,33 @@ def read_by_position(
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return out
+
+
+def read_table_by_position(spark: SparkSession, table: str) -> DataFrame:
+    """A partitioned Parquet table of the catalog, its declared columns resolved by position in every partition.
+
+    The catalog says where the partitions are (their folders named as partitions are, ``dt=2``), the layouts noted
+    when they were added which physical columns their files have: one scan per distinct layout, and no footer is read
+    on the driver but of partitions added without a layout. A filter on the partition columns prunes each scan.
+    """
+    declared = spark.table(table).schema
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    known = declared_layouts(spark, table_location(spark, table))
+    folders: dict[str, list[str]] = {}
+    layouts = {}
+    for key, location in partition_locations(spark, table, parts).items():
+        base, *named = location.rstrip("/").rsplit("/", len(parts))
+        if [n.partition("=")[0] for n in named] != parts:
+            raise ValueError(f"partition {key} of {table} is at {location}, which does not name it")
+        folders.setdefault(base, []).append(location)
+        if key in known:
+            layouts[location] = known[key]
+    if not folders:
+        return spark.table(table).limit(0)
+    plain = StructType([f for f in declared.fields if f.name not in parts])
+    fields = [declared[c] for c in parts]
+    frames = [read_by_position(spark, group, plain, base, layouts, fields) for base, group in folders.items()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out

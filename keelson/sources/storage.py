@@ -20,6 +20,8 @@ from pyspark.sql.types import StructType
 SWAP_NOTE = "_keelson_swap_"
 #: In a table's folder: its declared schemas, the highest number being the one in force.
 SCHEMA_NOTE = "_keelson_schema_"
+#: In a table's folder: which partitions' files have which physical columns; one for each call that added some.
+LAYOUT_NOTE = "_keelson_layout_"
 #: A writer that lives renews its note this often; a note not renewed for LEASE seconds belongs to a dead one.
 LEASE = 600.0
 
@@ -234,6 +236,47 @@ def table_location(spark: SparkSession, table: str) -> str:
     return rows[0]["data_type"]
 
 
+def spec_key(partition_cols: Sequence[str], row) -> str:
+    """A partition's values as the catalog prints them."""
+    return "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if row[c] is None else row[c]}" for c in partition_cols)
+
+
+def partition_locations(spark, table: str, partition_cols: Sequence[str]) -> dict[str, str]:
+    """Where the catalog says that each partition of a table is."""
+    jvm, session = spark._jvm, spark._jsparkSession
+    name = session.sessionState().sqlParser().parseTableIdentifier(table)
+    found = session.sessionState().catalog().listPartitions(name, jvm.scala.Option.empty())
+    out = {}
+    for i in range(found.size()):
+        part = found.apply(i)
+        spec = part.spec()
+        row = {c: spec.apply(c) for c in partition_cols}
+        out[spec_key(partition_cols, row)] = part.location().toString()
+    return out
+
+
+def declare_layout(spark: SparkSession, folder: str, keys: Sequence[str], layout: StructType) -> None:
+    """Note the physical columns of some partitions (as ``spec_key`` names them) in a table's folder."""
+    note = {"layout": layout.jsonValue(), "partitions": list(keys)}
+    _write_new(spark, f"{folder}/{LAYOUT_NOTE}{uuid.uuid4().hex}", json.dumps(note))
+
+
+def declared_layouts(spark: SparkSession, folder: str) -> dict[str, StructType]:
+    """Partition -> its noted physical columns. Two notes that differ about one partition are an error."""
+    fs, p = _resolve(spark, folder)
+    out: dict[str, StructType] = {}
+    for status in fs.listStatus(p) if fs.exists(p) else ():
+        name = status.getPath().getName()
+        if not name.startswith(LAYOUT_NOTE):
+            continue
+        note = json.loads(_read_small(spark, f"{folder}/{name}"))
+        layout = StructType.fromJson(note["layout"])
+        for key in note["partitions"]:
+            if out.setdefault(key, layout) != layout:
+                raise ValueError(f"two layouts are declared for partition {key} of {folder}")
+    return out
+
+
 def read_stored(spark: SparkSession, path: str, partition_types: StructType) -> DataFrame | None:
     """A partitioned Parquet folder with its partition columns as declared (a hull ``0012`` stays a text).
 
