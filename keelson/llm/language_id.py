@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.common import expect_long_texts, staged, text_chunks, worker_cache
+from keelson.llm.common import expect_long_texts, give_back, staged, text_chunks, tidy, worker_cache
 
 BUCKET_BITS = 16
 CELL_BITS = BUCKET_BITS + 1
@@ -120,7 +120,7 @@ def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, most_labelle
                 ["lang", "bucket", "n"],
             )
 
-    counted = rows.mapInArrow(run, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    counted = rows.mapInArrow(tidy(run), "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     got = counted.collect()
     languages = tuple(sorted({r.lang for r in got}))
     buckets = 1 << BUCKET_BITS
@@ -166,6 +166,7 @@ def text_evidence(text: Column, model: TextModel) -> Column:
             if texts:
                 out.extend(scores(texts, logs, symbols, leaning))
             yield pd.Series(out, index=part.index, dtype=object)
+        give_back()
 
     return evidence(text)
 

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from keelson.llm.common import arrow_rows, expect_long_texts, text_chunks, worker_cache
+from keelson.llm.common import arrow_rows, expect_long_texts, text_chunks, tidy, worker_cache
 
 LIMIT = 4096
 END_ID = 2
@@ -296,4 +296,4 @@ def pack(
             yield block()
 
     narrow = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"cast(`{text_col}` as string) as text")
-    return narrow.mapInArrow(run, PIECES_DDL + (", ids array<int>" if with_ids else ""))
+    return narrow.mapInArrow(tidy(run), PIECES_DDL + (", ids array<int>" if with_ids else ""))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.common import arrow_rows, expect_long_texts, ids_tell_rows_apart, staged, text_chunks, unused, worker_cache
+from keelson.llm.common import arrow_rows, expect_long_texts, ids_tell_rows_apart, staged, text_chunks, tidy, unused, worker_cache
 from keelson.llm.components import components
 
 SHINGLE = 3
@@ -74,7 +74,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     expect_long_texts(docs.sparkSession)
     narrow = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"cast(`{text_col}` as string) as text")
-    return narrow.mapInArrow(run, "doc_id long, bits long")
+    return narrow.mapInArrow(tidy(run), "doc_id long, bits long")
 
 
 def trie_links(a: np.ndarray, b: np.ndarray, bits: int, depth: int, same: bool) -> tuple[np.ndarray, np.ndarray]:

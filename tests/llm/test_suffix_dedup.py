@@ -1,8 +1,10 @@
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from keelson.llm import suffix_dedup as sd
@@ -77,3 +79,43 @@ def test_rows_that_share_ids(spark):
     left = {r["row"]: r.text for r in sd.without_repeats(docs, length=50).collect()}
     assert left == {"x": "", "y": "", "z": "other " * 3, "n": None, None: ""}
     assert sd.repeated_spans(docs.limit(0), length=50).count() == 0
+
+
+@pytest.mark.parametrize("size", [0, 1, sd.BLOCK - 1, sd.BLOCK, 3 * sd.BLOCK + 7])
+def test_rolling_hashes_tell_strings_apart_wherever_they_stand(size):
+    body = random.Random(size).randbytes(size)
+    text = body + b"." * 5 + body
+    at = sd.Rolling(text, 1)
+    first, last = np.arange(0, size + 1, 97), np.full(size // 97 + 1, size)
+    assert (at(first, last) == at(first + size + 5, last + size + 5)).all()
+    assert len(set(at(first, last).tolist())) == len(first)
+
+
+class Captured:
+    """Stands for a frame and keeps what is to run on its batches."""
+
+    def mapInArrow(self, run, schema):
+        self.run = run
+        return self
+
+
+def peak_mb(frame, batch):
+    """MB at most that running over the batch takes; what a process keeps between its tasks counts."""
+    tracemalloc.start()
+    rows = sum(out.num_rows for out in frame.run([batch]))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return most / 1e6, rows
+
+
+def test_a_chunk_takes_little_memory():
+    """A task's process holds one chunk; three steps of 1 MB of text, all of it asked about, within 50 MB."""
+    body = random.Random(7).randbytes(1 << 20).hex().encode()[: 1 << 20]
+    asked = pa.array([[{"lo": 0, "hi": (1 << 20) - 241}]], pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())])))
+    some = pa.array([[{"lo": p, "hi": p} for p in range(0, (1 << 20) - 300, 13)]], asked.type)
+    for step, ranges, least in ((sd.sample_suffixes, asked, 75_000), (sd.asked_cells, some, 300_000), (sd.asked_strings, asked, 1_000_000)):
+        batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([body.decode()]), ranges], names=["row", "text", "asked"])
+        sd.worker_cache("nobody")
+        most, rows = peak_mb(step(Captured(), 240), batch)
+        assert rows >= least
+        assert most < 50, step.__name__
