@@ -124,3 +124,49 @@ def test_tables_are_left_and_right_pairs():
     same = (mh.table_keys(a) == mh.table_keys(b)).reshape(mh.LEFT, mh.RIGHT)
     equal = (a == b).ravel()
     assert (same == equal[: mh.LEFT, None] & equal[None, mh.LEFT :]).all() and same.any()
+
+
+def test_a_word_is_hashed_once_and_numbers_are_drawn_once(monkeypatch):
+    import xxhash
+
+    texts = [" ".join(f"word{i * k}" for i in range(300)).encode() for k in (1, 2, 3)]
+    mh.signature(mh.shingle_set(texts[0]))
+    mh.set_print(mh.shingle_set(texts[0]))
+    hashed = []
+    real = xxhash.xxh64_intdigest
+    monkeypatch.setattr(xxhash, "xxh64_intdigest", lambda b, *seed: hashed.append(len(b)) or real(b, *seed))
+    monkeypatch.setattr(mh.np.random, "PCG64", None)
+    for text in texts:
+        hashes = mh.shingle_set(text)
+        mh.signature(hashes)
+        mh.set_print(hashes)
+    assert sum(hashed) <= sum(map(len, texts))
+
+
+def test_shingle_sets():
+    sets = {t: tuple(mh.shingle_set(t.encode()).tolist()) for t in ("", " ", "a", "b", "a b", "b a", "A  B", "ab", "a b a b", "b a b")}
+    assert [len(sets[t]) for t in sets] == [0, 0, 1, 1, 1, 1, 1, 1, 2, 2]
+    assert sets["a b"] == sets["A  B"] and sets["a b a b"] == sets["b a b"]
+    assert len({sets[t] for t in ("a", "b", "a b", "b a", "ab")}) == 5
+    words = [str(i * i) for i in range(30)]
+    for width in (1, 2, 3, 5):
+        text = " ".join(words * 2).encode()
+        shingles = {tuple((words * 2)[i : i + width]) for i in range(61 - width)}
+        assert len(mh.shingle_set(text, width)) == len(shingles)
+        assert len(mh.shingle_set(b"1 2", width)) == (2 if width == 1 else 1)
+
+
+@pytest.mark.parametrize("size", [9, 90, 900])
+def test_tables_miss_as_many_similar_sets_as_stated(size):
+    """A minhash agrees as often as the similarity says, and so do its groups together."""
+    rng = np.random.default_rng(size)
+    agree = missed = 0
+    pairs = 2000
+    for _ in range(pairs):
+        drawn = rng.integers(0, 2**64, size + size // 9, dtype=np.uint64)
+        a, b = drawn[:size], drawn[size // 9 :]  # 8 in 10 of the members of both are common
+        agree += (mh.minhashes(a) == mh.minhashes(b)).mean()
+        x, y = (np.frombuffer(mh.signature(h), dtype=np.uint64) for h in (a, b))
+        missed += not ((x[: mh.LEFT] == y[: mh.LEFT]).any() and (x[mh.LEFT :] == y[mh.LEFT :]).any())
+    assert abs(agree / pairs - 0.8) < 0.01
+    assert missed <= 4
