@@ -47,6 +47,8 @@ SENTENCE_STRIDE = 32
 HARD_STRIDE = 512
 LEAST_POWER = 64
 CACHED_WORDS = 250_000
+#: Behind letters, each of these is a pre-token alone.
+MARKS = ".,;:!?"
 
 PIECES = pa.schema(
     [
@@ -72,7 +74,8 @@ class WordIds(dict):
 
     The tokenizer drops white space and never joins across it, so a text's ids are its words' ids in a row. A word in
     Latin letters is split into the tokenizer's pre-tokens here, which repeat far more often than words do; any other
-    word goes to the tokenizer whole.
+    word goes to the tokenizer whole. A word of letters is one pre-token, and a mark behind it another, so the pattern is
+    for the rest.
     """
 
     #: Fixed value: the pre-token pattern of the tokenizer file.
@@ -86,7 +89,10 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
-        self.byte_level = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        # Every byte beyond ASCII occurs in these characters; the model's sign for it by the byte's number.
+        wide = "".join(map(chr, (*range(0x80, 0x800), *range(0x800, 0xD800, 0x800), *range(0xE000, 0x110000, 0x1000))))
+        signs = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(wide)[0][0]
+        self.signs = dict(zip(wide.encode(), signs, strict=True))
         self.split = regex.compile(self.PRE_TOKENS).findall
         # What was seen lately, and before that: an entry that stays unused for two fillings is dropped.
         self.older: dict[bytes, bytes] = {}
@@ -96,36 +102,49 @@ class WordIds(dict):
         self.ends_sentence = np.zeros(size, dtype=bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends_sentence[i] = token.removesuffix("</w>").endswith((".", "!", "?"))
+        self.marks = {ord(c): self.tokenized(c) for c in MARKS}
 
     def encoded(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def tokenized(self, piece: str) -> bytes:
+        mapped = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.signs)
+        found = [t.id for t in self.model.tokenize(mapped)]
+        return struct.pack(f"<{len(found)}I", *found)
+
     def pre_token(self, piece: str) -> bytes:
         ids = self.pre_tokens.get(piece)
         if ids is None:
             ids = self.older_pre_tokens.get(piece)
             if ids is None:
-                mapped = piece if piece.isascii() else self.byte_level(piece)[0][0]
-                found = [t.id for t in self.model.tokenize(mapped)]
-                ids = struct.pack(f"<{len(found)}I", *found)
+                ids = self.tokenized(piece)
             if len(self.pre_tokens) >= CACHED_WORDS:
                 self.older_pre_tokens, self.pre_tokens = self.pre_tokens, {}
             self.pre_tokens[piece] = ids
         return ids
 
+    def new(self, word: bytes) -> bytes:
+        if word.isalpha():  # in ASCII
+            return self.tokenized(word.decode())
+        mark = self.marks.get(word[-1])
+        if mark and word[:-1].isalpha():
+            return self[word[:-1]] + mark
+        text = word.decode()
+        # Latin letters keep their kind when lower-cased, but for U+0130; other words go to the tokenizer whole.
+        if not text.isprintable() or max(text) >= "ɐ" or "İ" in text:
+            return self.encoded(text)
+        if mark and text[:-1].isalpha():
+            return self[word[:-1]] + mark
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text).lower()
+            if text.isalpha():
+                return self.pre_token(text)
+        return b"".join(map(self.pre_token, self.split(text)))
+
     def __missing__(self, word: bytes) -> bytes:
         ids = self.older.get(word)
         if ids is None:
-            text = word.decode()
-            if not text.isprintable():
-                ids = self.encoded(text)
-            elif text.isascii():
-                ids = b"".join(map(self.pre_token, self.split(text)))
-            # Latin letters keep their kind when lower-cased, but for U+0130; other words go to the tokenizer whole.
-            elif max(text) < "ɐ" and "İ" not in text:
-                ids = b"".join(map(self.pre_token, self.split(unicodedata.normalize("NFC", text).lower())))
-            else:
-                ids = self.encoded(text)
+            ids = self.new(word)
         if len(self) >= CACHED_WORDS:
             self.older = dict(self)
             self.clear()

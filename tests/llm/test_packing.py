@@ -95,3 +95,28 @@ def test_repeated_and_null_rows(spark):
     rows = packing.pack(docs, PATH).collect()
     assert sorted((str(r.doc_id), r.length) for r in rows) == [("1", len(plain("a b.")))] * 2 + [("None", len(plain("c")))]
     assert packing.pack(docs.limit(0), PATH).count() == 0
+
+
+def test_words_of_letters_need_no_pattern():
+    """Nor do marks behind them; a word is tokenized once, whatever mark follows it."""
+    ids = packing.WordIds(PATH)
+    whole = Tokenizer.from_file(PATH)
+    texts = ["reator. reator, Heouan heouan? Èanen émentaux! ciónñesí: ªº.", "naïve; \u0061\u0062"]
+    ids.split = None
+    seen = []
+    tokenized = ids.tokenized
+    ids.tokenized = lambda piece: seen.append(piece) or tokenized(piece)
+    for text in texts:
+        want = whole.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids.of(text.encode()), dtype="<u4").tolist() == want
+    assert len(seen) == len(set(seen)) == 8
+
+
+def test_odd_words_have_the_tokenizers_ids():
+    rng = random.Random(3)
+    odd = [chr(c) for c in (*range(0x21, 0x7F), *range(0xA0, 0x260), 0x1C, 0x85, 0x301, 0x2026, 0x4E2D, 0x3A3, 0x1E9E, 0x2C65)]
+    words = ["".join(rng.choice(odd if rng.random() < 0.3 else "abéßñ'.st,ªº²½Ⱥ") for _ in range(rng.randint(1, 9))) for _ in range(4000)]
+    ids, whole = packing.WordIds(PATH), Tokenizer.from_file(PATH)
+    for at in range(0, len(words), 7):
+        text = " ".join([*words[at : at + 7], "it's", "é!", "é..", "Ⱥ.", "."])
+        assert np.frombuffer(ids.of(text.encode()), dtype="<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
