@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from keelson.llm.common import arrow_rows, expect_long_texts, ids_tell_rows_apart, staged, text_chunks, worker_cache
+from keelson.llm.common import arrow_rows, expect_long_texts, ids_tell_rows_apart, release, staged, text_chunks, worker_cache
 from keelson.llm.components import components
 
 SHINGLE = 2
@@ -53,7 +53,7 @@ LEADERS = 8
 ROUNDS = 1
 #: Longs of a set's parity map.
 PARITY = 16
-#: Ids of documents to be read again are broadcast up to this many, joined otherwise.
+#: Ids of documents to be read again, and numbers of sets to be compared, are broadcast up to this many; more are joined.
 BROADCAST_IDS = 1 << 20
 PRINTS = pa.schema(
     [("doc_id", pa.int64()), ("n", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()), ("signature", pa.binary())]
@@ -236,13 +236,15 @@ def table_entries(sets: DataFrame) -> DataFrame:
 
 def similar(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """Those pairs (a, b) of sets whose Jaccard similarity is percent or more, counted on the full sets."""
-    side = lambda x: members.select(F.col("set").alias(x), F.col("hashes").alias(f"hashes_{x}"))
     sized = members.select("set", F.size("hashes").alias("n"))
     near = (  # sizes alone rule out most wrong pairs before any set moves
         pairs.join(sized.select(F.col("set").alias("a"), F.col("n").alias("na")), "a")
         .join(sized.select(F.col("set").alias("b"), F.col("n").alias("nb")), "b")
         .filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
     )
+    near = staged(near.select("a", "b", "na", "nb"), "minhash-near")
+    members = asked_members(near, members)
+    side = lambda x: members.select(F.col("set").alias(x), F.col("hashes").alias(f"hashes_{x}"))
     both = F.size(F.array_intersect("hashes_a", "hashes_b"))
     return (
         near.join(side("a"), "a").join(side("b"), "b")
@@ -251,6 +253,12 @@ def similar(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def asked_members(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """The members of the pairs' sets only, so that a round of few pairs moves few sets; all, if the pairs have many."""
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
+    return members.join(F.broadcast(asked), "set", "left_semi") if asked.count() <= BROADCAST_IDS else members
+
+
 def prefix_entries(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """(key, set, size, lead, parity...): each set under the rarest of its shingles; similar sets meet under one of them.
 
@@ -344,6 +352,7 @@ def links(
     found = Links(members, percent, leaders)
     left = found.rounds(entries.select("key", "set", F.lit(0).cast("long").alias("size"), F.lit(True).alias("lead")), rounds)
     if left is not None:
+        release(entries.sparkSession)
         found.rounds(prefix_entries(left.select("set").distinct(), members, percent))
     if found.known is None:
         return entries.select(F.col("set").alias("node"), F.col("set").alias("root")).limit(0)
@@ -361,6 +370,7 @@ def near_duplicates(
     # A set's number is fixed once written.
     sets = staged(sets.withColumn("set", F.monotonically_increasing_id()), "minhash-sets")
     entries = staged(table_entries(sets), "minhash-entries")
+    release(docs.sparkSession)
     met = sets.join(entries.select("set").distinct(), "set", "left_semi").select("set", "least", "f1", "f2")
     met = staged(met, "minhash-met")
     known = links(entries, staged(members(narrow, met, shingle), "minhash-members"), percent)
@@ -385,5 +395,6 @@ def members(docs: DataFrame, met: DataFrame, shingle: int) -> DataFrame:
     if ids_tell_rows_apart(docs, "doc_id"):
         ids = met.select(F.col("least").alias("doc_id"))
         docs = docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
-    found = full_sets(docs, shingle).join(met.select("set", "f1", "f2"), ["f1", "f2"])
-    return found.select("set", "hashes", "parity").dropDuplicates(["set"])
+    # A set's fingerprint is its own, as is its number: rows of one set meet by the fingerprint and move once.
+    found = full_sets(docs, shingle).dropDuplicates(["f1", "f2"]).join(met.select("set", "f1", "f2"), ["f1", "f2"])
+    return found.select("set", "hashes", "parity")

@@ -170,3 +170,41 @@ def test_tables_miss_as_many_similar_sets_as_stated(size):
         missed += not ((x[: mh.LEFT] == y[: mh.LEFT]).any() and (x[mh.LEFT :] == y[mh.LEFT :]).any())
     assert abs(agree / pairs - 0.8) < 0.01
     assert missed <= 4
+
+
+def shuffled_sets(frame):
+    """Rows of members' hashes that the plan, once run, wrote to shuffles."""
+    frame.collect()
+    plan, rows = frame._jdf.queryExecution().executedPlan(), 0
+    todo = [plan]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStage"):
+            todo.append(node.plan())
+        else:
+            if name == "Exchange" and any("hashes" in x for x in node.schema().fieldNames()):
+                rows += node.metrics().apply("shuffleRecordsWritten").value()
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+    return rows
+
+
+def test_a_round_of_few_pairs_moves_few_sets(spark, monkeypatch):
+    """Before, each round sent all sets through two shuffles, whatever it had to compare."""
+    rng = np.random.default_rng(4)
+    sets = [[int(h) for h in np.sort(rng.integers(-(2**63), 2**63, 300))] for _ in range(2000)]
+    sets[7], sets[9] = [*sets[3][:290], *sets[7][:10]], [*sets[3][:200], *sets[9][:100]]
+    members = mh.staged(spark.createDataFrame([(s, x, [0]) for s, x in enumerate(sets)], "set long, hashes array<long>, parity array<long>"), "test")
+    pairs = spark.createDataFrame([(3, 7), (3, 9), (11, 12)], "a long, b long")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "256k")
+    try:
+        found = mh.similar(pairs, members, 80)
+        assert shuffled_sets(found) <= 20
+        assert [tuple(r) for r in found.collect()] == [(3, 7)]
+        monkeypatch.setattr(mh, "BROADCAST_IDS", 0)
+        assert [tuple(r) for r in mh.similar(pairs, members, 80).collect()] == [(3, 7)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
