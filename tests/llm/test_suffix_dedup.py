@@ -119,3 +119,19 @@ def test_a_chunk_takes_little_memory():
         most, rows = peak_mb(step(Captured(), 240), batch)
         assert rows >= least
         assert most < 50, step.__name__
+
+
+def test_turns_hold_all_suffixes_of_a_seed_and_about_as_many_each():
+    """One turn's suffixes are shuffled at a time: half of the disk that all take at once."""
+    body = random.Random(3).randbytes(1 << 17).hex()
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([body, body[1000:] + "end"])], names=["row", "text"])
+
+    def kinds(*turn):
+        out = sd.sample_suffixes(Captured(), 240, *turn).run([batch])
+        cells = [list(zip(*(x.column(i).to_pylist() for i in range(5)), strict=True)) for x in out]
+        return [(k, w, more & 7) for rows in cells for k, w, _, _, more in rows if more & 7 < sd.SURE]
+
+    whole, parts = kinds(), [kinds(turn, sd.TURNS) for turn in range(sd.TURNS)]
+    assert sd.TURNS > 1 and sorted(sum(parts, [])) == sorted(whole)
+    assert not set.intersection(*({k for k, _, _ in part} for part in parts))
+    assert all(len(part) * sd.TURNS < 1.1 * len(whole) for part in parts)
